@@ -81,6 +81,89 @@ WHERE rank <= 5""",
 TICK_MS = 3600 * 1000
 
 
+def _recent_top(window_ms: int) -> str:
+    """CTE ``top``: every delayed report's list by a range self-join."""
+    return f"""d AS (SELECT seq, id, delay, lastupdate FROM active WHERE delay > 0),
+pairs AS (
+  SELECT r.seq AS rseq, r.lastupdate AS rt, q.seq AS qseq, q.id, q.delay, q.lastupdate
+  FROM d r JOIN d q
+    ON q.lastupdate >= r.lastupdate - {window_ms}
+   AND (q.lastupdate < r.lastupdate OR (q.lastupdate = r.lastupdate AND q.seq <= r.seq))),
+dedup AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rseq, id ORDER BY lastupdate DESC, qseq DESC) AS k
+                 FROM pairs) WHERE k = 1),
+top AS (
+  SELECT * FROM (
+    SELECT rseq AS seq, rt, CAST(row_number() OVER (PARTITION BY rseq ORDER BY lastupdate DESC, qseq DESC) AS INTEGER) AS rank,
+           id, delay, lastupdate FROM dedup)
+  WHERE rank <= 5)"""
+
+
+def _recent_changes(window_ms: int, iso: bool = False) -> str:
+    flags = """lists AS (
+  SELECT seq, rt, count(*) AS n, string_agg(id || '|' || CAST(delay AS VARCHAR), ',' ORDER BY rank) AS key
+  FROM top GROUP BY seq, rt),
+flags AS (
+  SELECT seq, NOT (coalesce(lag(n) OVER w, 0) = 5 AND n = 5 AND lag(key) OVER w = key) AS changed
+  FROM lists WINDOW w AS (ORDER BY rt, seq))"""
+    if iso:
+        cols = f"t.seq, t.rank, t.id, t.delay, {_iso('t.lastupdate')} AS lastupdate_iso"
+    else:
+        cols = "t.seq, t.rank, t.id, t.delay, t.lastupdate"
+    return _w(f"SELECT {cols} FROM top t JOIN flags f ON t.seq = f.seq WHERE f.changed", _recent_top(window_ms), flags)
+
+
+def _iso(ms: str) -> str:
+    return (
+        f"strftime(make_timestamp({ms} * 1000), '%Y-%m-%dT%H:%M:%S') || "
+        f"CASE WHEN {ms} % 1000 <> 0 THEN '.' || lpad(CAST({ms} % 1000 AS VARCHAR), 3, '0') || '000' ELSE '' END"
+    )
+
+
+def _recent_final(window_ms: int) -> str:
+    return _w(
+        f"""SELECT * FROM (
+  SELECT row_number() OVER (ORDER BY lastupdate DESC, seq DESC) AS rank, id, delay, lastupdate FROM (
+    SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY lastupdate DESC, seq DESC) AS k
+      FROM active WHERE delay > 0
+        AND lastupdate >= (SELECT max(lastupdate) FROM active WHERE delay > 0) - {window_ms})
+    WHERE k = 1))
+WHERE rank <= 5"""
+    )
+
+
+FRAME = """frame AS (
+  SELECT seq, lastupdate, count(*) OVER w AS n, lastupdate - min(lastupdate) OVER w AS span_ms
+  FROM active WINDOW w AS (ORDER BY lastupdate, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))"""
+
+VEHICLE_FRAME = """frame AS (
+  SELECT id, seq, lastupdate, count(*) OVER w AS n, lastupdate - min(lastupdate) OVER w AS span_ms
+  FROM active WINDOW w AS (PARTITION BY id ORDER BY lastupdate, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))"""
+
+BUFFER = """buf AS (
+  SELECT * FROM (SELECT row_number() OVER (ORDER BY lastupdate DESC, seq DESC) AS rank, seq, lastupdate FROM active)
+  WHERE rank <= 10)"""
+
+
+def _duration(us: str) -> str:
+    d = f"({us}) // 86400000000"
+    rest = f"(({us}) - {d} * 86400000000)"
+    secs = f"({rest} // 1000000)"
+    frac = f"({rest} - {secs} * 1000000)"
+    clock = f"printf('%d:%02d:%02d', {secs} // 3600, ({secs} % 3600) // 60, {secs} % 60)"
+    return (
+        f"CASE WHEN {d} = 0 THEN '' WHEN {d} = 1 THEN '1 day, ' ELSE printf('%d days, ', {d}) END || {clock} || "
+        f"CASE WHEN {frac} <> 0 THEN printf('.%06d', {frac}) ELSE '' END"
+    )
+
+
+def _rounded_us(span: str, n: str) -> str:
+    q = f"(({span}) * 1000) // (({n}) - 1)"
+    r2 = f"((({span}) * 1000) - {q} * (({n}) - 1)) * 2"
+    return f"(CASE WHEN {r2} > ({n}) - 1 THEN {q} + 1 WHEN {r2} = ({n}) - 1 AND {q} % 2 = 1 THEN {q} + 1 ELSE {q} END)"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_reports"] = _w("SELECT seq, value FROM lines", LINES)
@@ -139,4 +222,32 @@ WHERE rank <= 5""",
     q["avg_delay_sliding_6h"] = _sliding(TRAILING_6H_MS, SLIDE_10MIN_MS, True)
     q["window_report_count"] = _sliding(TRAILING_MS, SLIDE_MS, False)
     q["window_report_count_6h"] = _sliding(TRAILING_6H_MS, SLIDE_10MIN_MS, False)
+    q["recent5_final"] = _recent_final(TRAILING_MS)
+    q["recent5_final_6h"] = _recent_final(TRAILING_6H_MS)
+    q["recent5_timeline"] = _w("SELECT seq, rank, id, delay, lastupdate FROM top", _recent_top(TRAILING_MS))
+    q["recent5_timeline_6h"] = _w("SELECT seq, rank, id, delay, lastupdate FROM top", _recent_top(TRAILING_6H_MS))
+    q["recent5_changes"] = _recent_changes(TRAILING_MS)
+    q["recent5_changes_6h"] = _recent_changes(TRAILING_6H_MS)
+    q["recent5_iso"] = _recent_changes(TRAILING_MS, iso=True)
+    q["last10_buffer"] = _w("SELECT rank, seq, lastupdate FROM buf", BUFFER)
+    q["last10_gap_final"] = _w(
+        """SELECT * FROM (SELECT count(*) AS n, max(lastupdate) - min(lastupdate) AS span_ms,
+  (max(lastupdate) - min(lastupdate)) / (count(*) - 1) AS gap_ms FROM buf) WHERE n > 1""",
+        BUFFER,
+    )
+    q["last10_deltas"] = _w(
+        """SELECT pos, delta_ms FROM (
+  SELECT row_number() OVER (ORDER BY lastupdate, seq) - 1 AS pos,
+         lastupdate - lag(lastupdate) OVER (ORDER BY lastupdate, seq) AS delta_ms FROM buf) WHERE pos >= 1""",
+        BUFFER,
+    )
+    q["last10_gap_timeline"] = _w(
+        "SELECT seq, lastupdate, n, span_ms, span_ms / (n - 1) AS gap_ms FROM frame WHERE n > 1", FRAME
+    )
+    q["last10_gap_per_vehicle"] = _w(
+        "SELECT id, seq, lastupdate, n, span_ms, span_ms / (n - 1) AS gap_ms FROM frame WHERE n > 1", VEHICLE_FRAME
+    )
+    q["last10_gap_text"] = _w(
+        f"SELECT seq, {_duration(_rounded_us('span_ms', 'n'))} AS gap_text FROM frame WHERE n > 1", FRAME
+    )
     return q

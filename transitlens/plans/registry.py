@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import filters, latest, topk, windows
+from ..operators import filters, gaps, latest, recent, topk, windows
 from ..schema import REPORT_COLUMNS, SLIDE_10MIN_MS, TRAILING_6H_MS, TRAIN_HEADER
 from ..sources import (
     corrupt_reports,
@@ -140,6 +140,58 @@ def q_window_report_count_6h(spark, sf_dir):
     return windows.window_counts(_reports(spark, sf_dir), size_ms=TRAILING_6H_MS, slide_ms=SLIDE_10MIN_MS)
 
 
+def q_recent5_final(spark, sf_dir):
+    return recent.recent_final(_reports(spark, sf_dir))
+
+
+def q_recent5_final_6h(spark, sf_dir):
+    return recent.recent_final(_reports(spark, sf_dir), TRAILING_6H_MS)
+
+
+def q_recent5_timeline(spark, sf_dir):
+    return recent.recent_timeline(_reports(spark, sf_dir))
+
+
+def q_recent5_timeline_6h(spark, sf_dir):
+    return recent.recent_timeline(_reports(spark, sf_dir), TRAILING_6H_MS)
+
+
+def q_recent5_changes(spark, sf_dir):
+    return recent.recent_changes(_reports(spark, sf_dir))
+
+
+def q_recent5_changes_6h(spark, sf_dir):
+    return recent.recent_changes(_reports(spark, sf_dir), TRAILING_6H_MS)
+
+
+def q_recent5_iso(spark, sf_dir):
+    return recent.recent_changes_iso(_reports(spark, sf_dir))
+
+
+def q_last10_buffer(spark, sf_dir):
+    return gaps.last_n_buffer(_reports(spark, sf_dir))
+
+
+def q_last10_gap_final(spark, sf_dir):
+    return gaps.gap_final(_reports(spark, sf_dir))
+
+
+def q_last10_deltas(spark, sf_dir):
+    return gaps.buffer_deltas(_reports(spark, sf_dir))
+
+
+def q_last10_gap_timeline(spark, sf_dir):
+    return gaps.gap_timeline(_reports(spark, sf_dir))
+
+
+def q_last10_gap_per_vehicle(spark, sf_dir):
+    return gaps.gap_per_vehicle(_reports(spark, sf_dir))
+
+
+def q_last10_gap_text(spark, sf_dir):
+    return gaps.gap_text_timeline(_reports(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 

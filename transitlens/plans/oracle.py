@@ -250,4 +250,18 @@ WHERE rank <= 5""",
     q["last10_gap_text"] = _w(
         f"SELECT seq, {_duration(_rounded_us('span_ms', 'n'))} AS gap_text FROM frame WHERE n > 1", FRAME
     )
+    # streaming twins answer like their batch forms
+    for twin, batch in [
+        ("stream_scan_reports", "parse_reports"),
+        ("stream_north_bearing", "north_bearing"),
+        ("stream_train_last_stop", "train_last_stop"),
+        ("stream_top5_delayed", "top5_delayed"),
+        ("stream_last10_per_vehicle", "last10_gap_per_vehicle"),
+    ]:
+        q[twin] = q[batch]
+    # append mode emits the windows whose end the final watermark has passed
+    q["stream_avg_delay_sliding"] = (
+        "SELECT * FROM (" + _sliding(TRAILING_MS, SLIDE_MS, True) + ") s "
+        "WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type <> 'error') - 10000"
+    )
     return q

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import filters, gaps, latest, recent, topk, windows
+from .. import streaming
 from ..schema import REPORT_COLUMNS, SLIDE_10MIN_MS, TRAILING_6H_MS, TRAIN_HEADER
 from ..sources import (
     corrupt_reports,
@@ -192,6 +193,48 @@ def q_last10_gap_text(spark, sf_dir):
     return gaps.gap_text_timeline(_reports(spark, sf_dir))
 
 
+# --- streaming twins: run to completion (availableNow), read the sink back ---
+
+
+def q_stream_scan_reports(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return streaming.run_append(parse_reports(report_lines_from_events(ev)), "stream_scan_reports")
+
+
+def q_stream_north_bearing(spark, sf_dir):
+    return streaming.run_append(streaming.north_stream(streaming.report_stream_from_events(spark, sf_dir)), "stream_north")
+
+
+def q_stream_train_last_stop(spark, sf_dir):
+    s = latest.train_last_stop(streaming.report_stream_from_events(spark, sf_dir))
+    return streaming.run_snapshots(s, "stream_train_last_stop", lambda b: b, mode="complete")
+
+
+def q_stream_top5_delayed(spark, sf_dir):
+    per_vehicle = topk.latest_delay_per_vehicle(streaming.report_stream_from_events(spark, sf_dir))
+
+    def snapshot(state):
+        return topk.top_k(filters.delayed(state), 5, topk.delay_order()).select("rank", "id", "delay", "lastupdate")
+
+    return streaming.run_snapshots(per_vehicle, "stream_top5_delayed", snapshot, mode="complete")
+
+
+def q_stream_avg_delay_sliding(spark, sf_dir):
+    s = streaming.sliding_average_stream(streaming.report_stream_from_events(spark, sf_dir))
+    return streaming.run_append(s, "stream_avg_delay_sliding")
+
+
+def q_stream_avg_delay_ptime(spark, sf_dir):
+    s = streaming.sliding_average_processing_time(streaming.report_stream_from_events(spark, sf_dir))
+    return streaming.run_snapshots(s, "stream_avg_delay_ptime", lambda b: b, mode="update")
+
+
+def q_stream_last10_per_vehicle(spark, sf_dir):
+    s = streaming.last_n_per_vehicle_stream(streaming.report_stream_from_events(spark, sf_dir))
+    return streaming.run_append(s, "stream_last10_per_vehicle")
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 

@@ -48,8 +48,12 @@ def landing(tmp_path):
     def make(docs_per_file, name=None):
         d = tmp_path / (name or f"landing-{uuid.uuid4().hex[:6]}")
         d.mkdir()
+        base = 1_600_000_000
         for i, docs in enumerate(docs_per_file):
-            (d / f"part-{i:04d}.json").write_text("\n".join(docs) + "\n")
+            f = d / f"part-{i:04d}.json"
+            f.write_text("\n".join(docs) + "\n")
+            # a stream takes files oldest first: make the landing order explicit
+            os.utime(f, (base + 10 * i, base + 10 * i))
         return str(d)
 
     return make

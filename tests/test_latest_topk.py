@@ -57,3 +57,22 @@ def test_timeline_as_of_ticks(spark):
     ]
     got = [tuple(r) for r in topk.top_delayed_timeline(frame(spark, rows), 10).orderBy("tick_ms", "rank").collect()]
     assert got == [(10, 1, "a", 3.0), (20, 1, "b", 4.0), (20, 2, "a", 3.0), (30, 1, "b", 4.0)]
+
+
+def test_timeline_with_small_buckets_matches_one_bucket(spark):
+    from helpers import random_reports
+
+    rows = random_reports(250, 6, seed=5, max_step=20, delays=(3, 1, -2, 7))
+    df = frame(spark, rows)
+    one = sorted(map(tuple, topk.top_delayed_timeline(df, 10, bucket_ms=10**12).collect()))
+    many = sorted(map(tuple, topk.top_delayed_timeline(df, 10, bucket_ms=37).collect()))
+    assert one == many and len(one) > 0
+
+
+def test_next_time_across_buckets(spark):
+    from transitlens.operators.carry import with_next_time
+
+    rows = [{"seq": i, "id": "a" if i % 3 else "b", "t": t} for i, t in enumerate([5, 5, 9, 30, 31, 77, 200, 200])]
+    got = {r.seq: r._next for r in with_next_time(frame(spark, rows), 10).collect()}
+    # per id in (t asc, seq desc) order: a: 5(s1),9(s2),31(s4),77(s5),200(s7); b: 5(s0),30(s3),200(s6)
+    assert got == {1: 9, 2: 31, 4: 77, 5: 200, 7: None, 0: 30, 3: 200, 6: None}

@@ -54,3 +54,29 @@ def with_trailing_rows(
     both = own.unionByName(carried, allowMissingColumns=True)
     frame = Window.partitionBy(*key).orderBy(time_col, tie_col).rowsBetween(-k, 0)
     return both.withColumn(out, F.collect_list(F.col(time_col)).over(frame)).where("_own").drop("_own", "_b")
+
+
+def with_next_time(
+    df: DataFrame,
+    bucket_ms: int,
+    part: Sequence[str] = ("id",),
+    time_col: str = "lastupdate",
+    tie_col: str = "seq",
+    out: str = "_next",
+) -> DataFrame:
+    """Add ``out``: the ``time_col`` of the next row of the same ``part`` in the
+    order (``time_col`` ascending, ``tie_col`` descending), null for the last.
+
+    ``lead`` over ``partitionBy(part)`` would put a key's whole history in one
+    task; instead the lead runs per (key, time bucket) and a bucket's last row
+    takes the first time of the key's next non-empty bucket from a summary
+    holding one row per (key, bucket)."""
+    part = list(part)
+    key = [*part, "_b"]
+    d = df.withColumn("_b", F.floor(F.col(time_col) / bucket_ms).cast("bigint"))
+    inside = Window.partitionBy(*key).orderBy(F.col(time_col).asc(), F.col(tie_col).desc())
+    d = d.withColumn(out, F.lead(time_col).over(inside))
+    firsts = d.groupBy(*key).agg(F.min(time_col).alias("_first"))
+    following = Window.partitionBy(*part).orderBy("_b")
+    firsts = firsts.select(*key, F.lead("_first").over(following).alias("_after"))
+    return d.join(firsts, key, "left").withColumn(out, F.coalesce(F.col(out), F.col("_after"))).drop("_after", "_b")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_string, number_text
 from ..schema import TOP_N
+from .carry import with_next_time
 from .filters import active, delayed
 from .latest import latest_per_key
 
@@ -59,18 +60,25 @@ def top_list_json(top: DataFrame) -> DataFrame:
     )
 
 
-def top_delayed_timeline(reports: DataFrame, tick_ms: int, k: int = TOP_N) -> DataFrame:
+TIMELINE_BUCKET_MS = 24 * 3600 * 1000
+
+
+def top_delayed_timeline(
+    reports: DataFrame, tick_ms: int, k: int = TOP_N, bucket_ms: int = TIMELINE_BUCKET_MS
+) -> DataFrame:
     """The top-``k`` delayed list as it stood at every tick (multiples of
     ``tick_ms`` between the first and the last report): ``(tick_ms, rank, id,
     delay)``.  A report is a vehicle's state from its ``lastupdate`` until the
     vehicle's next report; only states with a positive delay are expanded, and
     the per-tick ranking is a partial top-k before its shuffle."""
     a = active(reports).select("id", "seq", "delay", "lastupdate")
-    # last element in this order = newest report, first arrival among ties
-    w = Window.partitionBy("id").orderBy(F.col("lastupdate").asc(), F.col("seq").desc())
-    # scalar subquery: one value, evaluated once, no join
-    last_tick = F.floor(a.select(F.max("lastupdate")).scalar() / tick_ms).cast("bigint") * tick_ms
-    states = delayed(a.withColumn("_next", F.lead("lastupdate").over(w)))
+    # next report of the same vehicle; in (lastupdate asc, seq desc) order the
+    # newest report, first arrival among ties, comes last
+    states = delayed(with_next_time(a, bucket_ms, part=["id"]))
+    # scalar subquery (one value, no join), bound once to a column
+    newest = a.select(F.max("lastupdate")).scalar()
+    states = states.withColumn("_last_tick", F.floor(newest / tick_ms).cast("bigint") * tick_ms)
+    last_tick = F.col("_last_tick")
     first = F.expr(f"(lastupdate + {tick_ms - 1}) div {tick_ms} * {tick_ms}")
     stop = F.least(F.coalesce(F.col("_next") - 1, last_tick), last_tick)
     stop = F.floor(stop / tick_ms).cast("bigint") * tick_ms

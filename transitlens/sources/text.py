@@ -28,8 +28,9 @@ def read_report_lines(
     Batch: a bounded scan of the files present now.  Stream: the directory is
     watched; ``max_files_per_trigger`` bounds a micro-batch.  Writers must
     land files atomically (write elsewhere, then rename) so that no partial
-    document is read.  ``seq`` orders the lines of one batch scan; streams
-    order by event time and use ``seq`` only to break ties.
+    document is read.  ``seq`` orders the lines of one batch scan; a stream
+    gets a stable hash of (file, line) instead, so event-time operators use it
+    only to break ties.
     """
     if not path:
         raise ValueError("an input path is required")
@@ -40,11 +41,10 @@ def read_report_lines(
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(path)
-    return lines.select(
-        F.monotonically_increasing_id().alias("seq"),
-        F.col("_metadata.file_path").alias("source_file"),
-        "value",
-    )
+    source = F.col("_metadata.file_path")
+    # a stream has no global row order; a hash of (file, line) is a stable tie-breaker
+    seq = F.xxhash64(source, F.col("value")) if stream else F.monotonically_increasing_id()
+    return lines.select(seq.alias("seq"), source.alias("source_file"), "value")
 
 
 def tokenize_lines(lines: DataFrame) -> DataFrame:

@@ -92,3 +92,46 @@ def test_snapshot_reader_takes_newest(spark, tmp_path):
     spark.range(3).write.parquet(f"{base}/batch_id=0")
     spark.range(5).write.parquet(f"{base}/batch_id=1")
     assert latest_snapshot(spark, base).count() == 5
+
+
+def test_fleet_buffer_merged_over_batches(spark, landing, tmp_path):
+    from transitlens.operators.gaps import last_n_buffer
+    from transitlens.streaming import last_n_buffer_writer, run_foreach
+
+    docs = _docs(45)
+    path = landing(_chunks(docs, 4))
+    out = str(tmp_path / "buf")
+    s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    run_foreach(s, "t-buf", last_n_buffer_writer(out))
+    got = [r.lastupdate for r in latest_snapshot(spark, out).orderBy("rank").collect()]
+    want = [r.lastupdate for r in last_n_buffer(parse_reports(read_report_lines(spark, path))).orderBy("rank").collect()]
+    assert got == want and len(got) == 10
+
+
+def test_late_rows_are_set_aside(spark, landing, tmp_path):
+    from transitlens.streaming import late_rows_writer, run_foreach
+
+    first = [report("a", 1_000_000 + 1000 * i) for i in range(5)]
+    second = [report("b", 1_003_500), report("c", 990_000), report("d", 1_010_000)]
+    third = [report("e", 1_000_001)]
+    path = landing([first, second, third])
+    base = str(tmp_path / "late")
+    s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    run_foreach(s, "t-late-split", late_rows_writer(base, delay_ms=2000))
+    late = sorted(r.id for r in spark.read.parquet(f"{base}/late").collect())
+    # batch 2: newest before = 1_004_000, c (990_000) is late; b is within 2 s
+    # batch 3: newest before = 1_010_000, e is late
+    assert late == ["c", "e"]
+
+
+def test_train_snapshot_file(spark, tmp_path):
+    from helpers import frame
+    from transitlens.sinks import write_train_snapshot
+
+    rows = [{"seq": i, "id": f"T{i % 3}", "t": 100 + i, "stop": f"s{i}", "ltype": 5} for i in range(9)]
+    path = str(tmp_path / "snap")
+    write_train_snapshot(latest.train_last_stop(frame(spark, rows)), path)
+    text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.startswith("part-"))
+    lines = text.strip().split("\n")
+    assert lines[0] == "id,laststop,lastupdate"
+    assert sorted(lines[1:]) == ["'T0','s6','106'", "'T1','s7','107'", "'T2','s8','108'"]

@@ -148,6 +148,16 @@ def recent_changes_iso(reports: DataFrame, window_ms: int = TRAILING_MS, k: int
     return c.select("seq", "rank", "id", "delay", iso_text("lastupdate").alias("lastupdate_iso"))
 
 
+def recent_final_from_latest(per_vehicle: DataFrame, window_ms: int = TRAILING_MS, k: int = TOP_N) -> DataFrame:
+    """The final list from each vehicle's newest delayed report
+    ``(id, delay, lastupdate, seq)``: a vehicle whose newest delayed report is
+    outside the window has no report inside it either."""
+    newest = per_vehicle.select(F.max("lastupdate")).scalar()
+    recent = per_vehicle.where(F.col("lastupdate") >= newest - window_ms)
+    order = (F.col("lastupdate").desc(), F.col("seq").desc())
+    return top_k(recent, k, order).select("rank", "id", "delay", "lastupdate")
+
+
 def recent_final(reports: DataFrame, window_ms: int = TRAILING_MS, k: int = TOP_N) -> DataFrame:
     """The list after the newest delayed report: ``(rank, id, delay, lastupdate)``.
     Declarative: a scalar subquery for the newest time, a range filter, a

@@ -257,6 +257,8 @@ WHERE rank <= 5""",
         ("stream_train_last_stop", "train_last_stop"),
         ("stream_top5_delayed", "top5_delayed"),
         ("stream_last10_per_vehicle", "last10_gap_per_vehicle"),
+        ("stream_recent5", "recent5_final"),
+        ("stream_last10_buffer", "last10_buffer"),
     ]:
         q[twin] = q[batch]
     # append mode emits the windows whose end the final watermark has passed

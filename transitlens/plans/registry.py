@@ -235,6 +235,21 @@ def q_stream_last10_per_vehicle(spark, sf_dir):
     return streaming.run_append(s, "stream_last10_per_vehicle")
 
 
+def q_stream_recent5(spark, sf_dir):
+    d = filters.delayed(filters.active(streaming.report_stream_from_events(spark, sf_dir)))
+    per_vehicle = latest.latest_per_key(d, "id", ["delay", "lastupdate", "seq"], tie="last")
+    return streaming.run_snapshots(per_vehicle, "stream_recent5", recent.recent_final_from_latest, mode="complete")
+
+
+def q_stream_last10_buffer(spark, sf_dir):
+    from ..session import fresh_path
+
+    out = fresh_path(spark, "stream_last10_buffer-out")
+    s = streaming.report_stream_from_events(spark, sf_dir)
+    streaming.run_foreach(s, "stream_last10_buffer", streaming.last_n_buffer_writer(out))
+    return streaming.runner.latest_snapshot(spark, out)
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 

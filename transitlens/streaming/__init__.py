@@ -15,7 +15,8 @@ from .queries import (
     sliding_average_stream,
     sliding_average_processing_time,
 )
-from .runner import run_append, run_snapshots
+from .merges import last_n_buffer_writer, late_rows_writer, previous_snapshot
+from .runner import run_append, run_foreach, run_snapshots
 from .state import last_n_per_vehicle_stream
 
 __all__ = [
@@ -26,5 +27,9 @@ __all__ = [
     "sliding_average_processing_time",
     "last_n_per_vehicle_stream",
     "run_append",
+    "run_foreach",
+    "last_n_buffer_writer",
+    "late_rows_writer",
+    "previous_snapshot",
     "run_snapshots",
 ]

@@ -71,6 +71,18 @@ def run_snapshots(
     return latest_snapshot(spark, out)
 
 
+def run_foreach(df: DataFrame, name: str, writer, checkpoint: str | None = None) -> None:
+    """Run a stream to completion through a ``foreachBatch`` writer."""
+    checkpoint = checkpoint or fresh_path(df.sparkSession, f"{name}-ckpt")
+    q = df.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination(RUN_TIMEOUT_S)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"streaming query {name} did not finish")
+    if q.exception():
+        raise q.exception()
+
+
 def latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
     snaps = spark.read.parquet(out)
     newest = snaps.select(F.max("batch_id")).scalar()

@@ -48,7 +48,7 @@ def buffer_deltas(reports: DataFrame, n: int = LAST_N) -> DataFrame:
 
 
 def _gap_columns(frame: str = "frame") -> list[Column]:
-    n = F.size(frame)
+    n = F.size(frame).cast("bigint")
     span = F.element_at(frame, -1) - F.element_at(frame, 1)
     return [n.alias("n"), span.alias("span_ms"), (span / (n - 1)).alias("gap_ms")]
 

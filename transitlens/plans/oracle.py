@@ -67,12 +67,12 @@ def _top5(filter_first: bool) -> str:
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY lastupdate DESC, seq ASC) AS rn
   FROM active WHERE delay > 0) WHERE rn = 1)"""
         return _w(
-            """SELECT * FROM (SELECT row_number() OVER (ORDER BY delay DESC, id ASC) AS rank, id, delay, lastupdate FROM ff)
+            """SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY delay DESC, id ASC) AS INTEGER) AS rank, id, delay, lastupdate FROM ff)
 WHERE rank <= 5""",
             src,
         )
     return _w(
-        """SELECT * FROM (SELECT row_number() OVER (ORDER BY delay DESC, id ASC) AS rank, id, delay, lastupdate
+        """SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY delay DESC, id ASC) AS INTEGER) AS rank, id, delay, lastupdate
   FROM latest WHERE delay > 0) WHERE rank <= 5""",
         LATEST,
     )
@@ -123,7 +123,7 @@ def _iso(ms: str) -> str:
 def _recent_final(window_ms: int) -> str:
     return _w(
         f"""SELECT * FROM (
-  SELECT row_number() OVER (ORDER BY lastupdate DESC, seq DESC) AS rank, id, delay, lastupdate FROM (
+  SELECT CAST(row_number() OVER (ORDER BY lastupdate DESC, seq DESC) AS INTEGER) AS rank, id, delay, lastupdate FROM (
     SELECT * FROM (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY lastupdate DESC, seq DESC) AS k
       FROM active WHERE delay > 0
@@ -142,7 +142,7 @@ VEHICLE_FRAME = """frame AS (
   FROM active WINDOW w AS (PARTITION BY id ORDER BY lastupdate, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))"""
 
 BUFFER = """buf AS (
-  SELECT * FROM (SELECT row_number() OVER (ORDER BY lastupdate DESC, seq DESC) AS rank, seq, lastupdate FROM active)
+  SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY lastupdate DESC, seq DESC) AS INTEGER) AS rank, seq, lastupdate FROM active)
   WHERE rank <= 10)"""
 
 
@@ -200,14 +200,14 @@ UNION ALL SELECT 1 AS ord, '''' || id || ''',''' || last_stop || ''',''' || CAST
     q["top5_delayed_filter_first"] = _top5(True)
     q["top5_delayed_json"] = _w(
         f"""SELECT '[' || coalesce(string_agg('["' || id || '", ' || {_num('delay')} || ', ' || CAST(lastupdate AS VARCHAR) || ']', ', ' ORDER BY rank), '') || ']' AS line
-FROM (SELECT row_number() OVER (ORDER BY delay DESC, id ASC) AS rank, id, delay, lastupdate FROM latest WHERE delay > 0)
+FROM (SELECT CAST(row_number() OVER (ORDER BY delay DESC, id ASC) AS INTEGER) AS rank, id, delay, lastupdate FROM latest WHERE delay > 0)
 WHERE rank <= 5""",
         LATEST,
     )
     q["top5_delayed_timeline"] = _w(
         f"""SELECT tick_ms, rank, id, delay FROM (
   SELECT t.tick_ms, s.id, s.delay,
-         row_number() OVER (PARTITION BY t.tick_ms ORDER BY s.delay DESC, s.id ASC) AS rank
+         CAST(row_number() OVER (PARTITION BY t.tick_ms ORDER BY s.delay DESC, s.id ASC) AS INTEGER) AS rank
   FROM ticks t JOIN states s ON s.lastupdate <= t.tick_ms AND (s.nxt IS NULL OR t.tick_ms < s.nxt)
   WHERE s.delay > 0)
 WHERE rank <= 5""",
@@ -237,7 +237,7 @@ WHERE rank <= 5""",
     )
     q["last10_deltas"] = _w(
         """SELECT pos, delta_ms FROM (
-  SELECT row_number() OVER (ORDER BY lastupdate, seq) - 1 AS pos,
+  SELECT CAST(row_number() OVER (ORDER BY lastupdate, seq) - 1 AS INTEGER) AS pos,
          lastupdate - lag(lastupdate) OVER (ORDER BY lastupdate, seq) AS delta_ms FROM buf) WHERE pos >= 1""",
         BUFFER,
     )

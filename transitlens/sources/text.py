@@ -59,15 +59,13 @@ def tokenize_lines(lines: DataFrame) -> DataFrame:
     return toks.where(F.length("token") > 0)
 
 
-def parse_report_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """Parse JSON documents into the flat report columns plus the raw text of
-    any document that did not parse (``_corrupt_record``)."""
-    parsed = lines.select(
-        "*", F.from_json(F.col(text_col), REPORT_JSON_SCHEMA, _PARSE_OPTIONS).alias("_doc")
-    )
+def _parsed(lines: DataFrame, text_col: str):
+    """Each line with its parsed document as one struct column ``_r``: the flat
+    report fields plus ``_corrupt_record`` and the raw ``_text``."""
+    doc = F.from_json(F.col(text_col), REPORT_JSON_SCHEMA, _PARSE_OPTIONS)
+    parsed = lines.select("seq", F.col(text_col).alias("_text"), doc.alias("_doc"))
     a = F.col("_doc.attributes")
-    return parsed.select(
-        "seq",
+    row = F.struct(
         a["id"].alias("id"),
         a["bearing"].alias("bearing"),
         a["isinactive"].alias("isinactive"),
@@ -78,19 +76,36 @@ def parse_report_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
         # a document without attributes (e.g. "{}") counts as corrupt too
         F.coalesce(
             F.col(f"_doc.{CORRUPT_COLUMN}"),
-            F.when(a.isNull(), F.coalesce(F.col(text_col), F.lit(""))),
+            F.when(a.isNull(), F.coalesce(F.col("_text"), F.lit(""))),
         ).alias(CORRUPT_COLUMN),
-        F.col(text_col).alias("_text"),
+        F.col("_text").alias("_text"),
     )
+    return parsed.select("seq", row.alias("_r"))
+
+
+def parse_report_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
+    """Parse JSON documents into the flat report columns plus the raw text of
+    any document that did not parse (``_corrupt_record``) and the line itself
+    (``_text``)."""
+    return _parsed(lines, text_col).select("seq", "_r.*")
+
+
+def _keep(lines: DataFrame, text_col: str, corrupt: bool) -> DataFrame:
+    # The parse is wrapped in a one-element array that is filtered and then
+    # inlined: a filter on the parsed fields cannot be pushed below the
+    # generator, so every line is parsed once (a plain where() would be pushed
+    # under the projection and evaluate from_json a second time).
+    p = _parsed(lines, text_col)
+    test = (lambda r: r[CORRUPT_COLUMN].isNotNull()) if corrupt else (lambda r: r[CORRUPT_COLUMN].isNull())
+    kept = p.select("seq", F.explode(F.filter(F.array("_r"), test)).alias("_r"))
+    return kept.select("seq", "_r.*")
 
 
 def parse_reports(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Well-formed reports only."""
-    p = parse_report_lines(lines, text_col)
-    return p.where(F.col(CORRUPT_COLUMN).isNull()).select(*REPORT_COLUMNS)
+    return _keep(lines, text_col, corrupt=False).select(*REPORT_COLUMNS)
 
 
 def corrupt_reports(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Documents that did not parse, kept aside as ``(seq, value)``."""
-    p = parse_report_lines(lines, text_col)
-    return p.where(F.col(CORRUPT_COLUMN).isNotNull()).select("seq", F.col("_text").alias("value"))
+    return _keep(lines, text_col, corrupt=True).select("seq", F.col("_text").alias("value"))

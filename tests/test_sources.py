@@ -46,3 +46,23 @@ def test_read_requires_path(spark):
 
     with pytest.raises(ValueError):
         read_report_lines(spark, "")
+
+
+def test_report_source_modes_and_tokenizing(spark, landing):
+    import pytest
+
+    from transitlens.sources import report_source
+
+    a, b, c = report("a", 1), report("b", 2), report("c", 3)
+    spaced = report("d", 4).replace(":", ": ").replace(",", ", ")
+    path = landing([[f"{a} {b}", c, spaced]])
+    assert sorted(r.id for r in report_source(spark, path).collect()) == ["a", "b", "c", "d"]
+    assert sorted(r.id for r in report_source(spark, path, mode="bulk", split="whitespace").collect()) == ["a", "b", "c"]
+    # one document per line: the JSON parser keeps the first document only
+    assert sorted(r.id for r in report_source(spark, path, split="none").collect()) == ["a", "c", "d"]
+    with pytest.raises(ValueError):
+        report_source(spark, path, mode="files")
+    with pytest.raises(ValueError):
+        report_source(spark, None)
+    with pytest.raises(ValueError):
+        report_source(spark, path, split="lines")

@@ -22,7 +22,7 @@ from .operators import filters, gaps, latest, recent, topk, windows
 from .operators.gaps import rounded_gap_micros
 from .schema import TRAIN_HEADER
 from .session import build_session
-from .sources import parse_reports, read_report_lines
+from .sources import report_source
 
 QUESTIONS = {
     "1": "vehicles heading north (±45°)",
@@ -44,7 +44,7 @@ def _gap_line(buffer: DataFrame) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, src: str, out: str, q: str) -> None:
-    r = parse_reports(read_report_lines(spark, src))
+    r = report_source(spark, src)
     if q == "1":
         sinks.write_lines(filters.north_lines(filters.active(r)), f"{out}/heading_north")
     elif q == "2":

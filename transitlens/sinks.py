@@ -10,9 +10,13 @@ from .operators.latest import train_snapshot_lines
 from .schema import TRAIN_HEADER
 
 
-def write_lines(lines: DataFrame, path: str, column: str = "line") -> None:
-    """Write one text line per row (bounded input), replacing ``path``."""
-    lines.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+def write_lines(lines: DataFrame, path: str, column: str = "line", max_records_per_file: int | None = None) -> None:
+    """Write one text line per row (bounded input), replacing ``path``;
+    ``max_records_per_file`` rolls over to a new part file."""
+    w = lines.select(F.col(column).alias("value")).write.mode("overwrite")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.text(path)
 
 
 def stream_lines(lines: DataFrame, path: str, checkpoint: str, column: str = "line", trigger: dict | None = None) -> StreamingQuery:

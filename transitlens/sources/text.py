@@ -83,6 +83,20 @@ def _parsed(lines: DataFrame, text_col: str):
     return parsed.select("seq", row.alias("_r"))
 
 
+# boundary between two documents on one line: "}" then whitespace then "{"
+DOCUMENT_BOUNDARY = r"(?<=\})\s+(?=\{)"
+
+
+def split_documents(lines: DataFrame) -> DataFrame:
+    """One row per JSON document when several share a line: ``(seq, pos,
+    token)``.  Lines are cut only between a closing and an opening brace, so
+    a document that contains spaces stays whole.  (The JSON parser reads the
+    first document of a line and ignores the rest, so without this split a
+    second document on the line would be lost.)"""
+    docs = lines.select("seq", F.posexplode(F.split(F.trim(F.col("value")), DOCUMENT_BOUNDARY)).alias("pos", "token"))
+    return docs.where(F.length("token") > 0)
+
+
 def parse_report_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Parse JSON documents into the flat report columns plus the raw text of
     any document that did not parse (``_corrupt_record``) and the line itself

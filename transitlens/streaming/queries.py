@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import active, north
 from ..schema import SLIDE_MS, TRAILING_MS, WATERMARK
 from ..sources.events import reports_from_events
-from ..sources.text import parse_reports, read_report_lines
+from ..sources.landing import report_source
 
 
 def with_event_time(reports: DataFrame) -> DataFrame:
@@ -29,8 +29,7 @@ def report_stream_from_text(spark: SparkSession, landing_dir: str, max_files_per
     """Reports parsed from JSON lines landing in ``landing_dir`` (a watched
     directory).  ``seq`` is not an arrival order across micro-batches here;
     event-time operators order by ``lastupdate``."""
-    lines = read_report_lines(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
-    return parse_reports(lines)
+    return report_source(spark, landing_dir, mode="stream", max_files_per_trigger=max_files_per_trigger)
 
 
 def north_stream(reports: DataFrame) -> DataFrame:

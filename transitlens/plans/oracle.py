@@ -9,6 +9,7 @@ at test scale and independent of the Spark plans it checks.
 from __future__ import annotations
 
 from ..schema import SLIDE_10MIN_MS, SLIDE_MS, TRAILING_6H_MS, TRAILING_MS
+from .registry import DAMAGE_ABOVE_VALUE
 
 REPORTS = """reports AS (
   SELECT event_id AS seq,
@@ -170,7 +171,8 @@ def oracle_sql() -> dict[str, str]:
     q["tokenize_lines"] = _w("SELECT seq, CAST(0 AS INTEGER) AS pos, value AS token FROM lines", LINES)
     q["parse_reports"] = _w(f"SELECT {COLS} FROM reports")
     q["corrupt_reports"] = _w(
-        "SELECT seq, substring(value, 1, length(value) // 2) AS value FROM lines WHERE src_value > 450", LINES
+        f"SELECT seq, substring(value, 1, length(value) // 2) AS value FROM lines WHERE src_value > {DAMAGE_ABOVE_VALUE}",
+        LINES,
     )
     q["reports_as_json"] = _w(
         """SELECT seq, '{"seq":' || seq || ',"id":"' || id || '","bearing":' || CAST(bearing AS VARCHAR)

@@ -135,3 +135,13 @@ def test_train_snapshot_file(spark, tmp_path):
     lines = text.strip().split("\n")
     assert lines[0] == "id,laststop,lastupdate"
     assert sorted(lines[1:]) == ["'T0','s6','106'", "'T1','s7','107'", "'T2','s8','108'"]
+
+
+def test_pane_and_plain_streaming_windows_agree(spark, landing):
+    docs = [report(f"v{i % 3}", 1_000_000 + 1700 * i, delay=i % 7) for i in range(120)]
+    path = landing(_chunks(docs, 30))
+    results = []
+    for panes in (True, False):
+        s = streaming.sliding_average_stream(streaming.report_stream_from_text(spark, path, max_files_per_trigger=1), panes=panes)
+        results.append(sorted(map(tuple, run_append(s, f"t-panes-{panes}").collect())))
+    assert results[0] == results[1] and results[0]

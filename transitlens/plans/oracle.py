@@ -231,6 +231,7 @@ WHERE rank <= 5""",
     q["recent5_changes"] = _recent_changes(TRAILING_MS)
     q["recent5_changes_6h"] = _recent_changes(TRAILING_6H_MS)
     q["recent5_iso"] = _recent_changes(TRAILING_MS, iso=True)
+    q["recent5_iso_6h"] = _recent_changes(TRAILING_6H_MS, iso=True)
     q["last10_buffer"] = _w("SELECT rank, seq, lastupdate FROM buf", BUFFER)
     q["last10_gap_final"] = _w(
         """SELECT * FROM (SELECT count(*) AS n, max(lastupdate) - min(lastupdate) AS span_ms,

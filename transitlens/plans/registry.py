@@ -169,6 +169,10 @@ def q_recent5_iso(spark, sf_dir):
     return recent.recent_changes_iso(_reports(spark, sf_dir))
 
 
+def q_recent5_iso_6h(spark, sf_dir):
+    return recent.recent_changes_iso(_reports(spark, sf_dir), TRAILING_6H_MS)
+
+
 def q_last10_buffer(spark, sf_dir):
     return gaps.last_n_buffer(_reports(spark, sf_dir))
 

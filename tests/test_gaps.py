@@ -64,3 +64,17 @@ def test_buffer_and_deltas(spark):
     assert buf == [100, 80, 70, 61, 60, 50, 41, 40, 20, 9]
     d = [r.delta_ms for r in gaps.buffer_deltas(frame(spark, rows)).orderBy("pos").collect()]
     assert d == [11, 20, 1, 9, 10, 1, 9, 10, 20]
+
+
+def test_auto_bucket_splits_the_densest_key(spark):
+    from pyspark.sql import functions as F
+
+    from transitlens.operators.carry import auto_bucket_ms
+
+    rows = [{"seq": i, "id": "hot" if i % 4 else f"c{i}", "t": 1000 * i} for i in range(4000)]
+    df = frame(spark, rows)
+    width = df.select(auto_bucket_ms(df, ["id"], target_rows=100).alias("w")).first().w
+    # the hot vehicle has 3 reports per 4 s: 100 rows need about 133 s
+    assert 120_000 <= width <= 140_000
+    got = _timeline(gaps.gap_per_vehicle(df))
+    assert got == brute_last_n(rows, by_vehicle=True)

@@ -13,14 +13,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+TARGET_ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKET_MS = 1000
+ONE_BUCKET_MS = 1 << 60  # wider than any epoch-ms range: a single bucket
+
+
+def auto_bucket_ms(
+    df: DataFrame, part: Sequence[str] = (), time_col: str = "lastupdate", target_rows: int = TARGET_ROWS_PER_BUCKET
+) -> Column:
+    """Bucket width (ms) that gives the densest key about ``target_rows`` rows
+    per bucket, as a scalar subquery evaluated by Spark at run time (no
+    collect).  Only keys with more than ``target_rows`` rows need cutting; a
+    key holding a third of all reports is cut into many buckets.  When no key
+    is that large, every key keeps one bucket."""
+    per_key = df.groupBy(*part) if part else df
+    stats = per_key.agg(F.count(F.lit(1)).alias("n"), (F.max(time_col) - F.min(time_col) + 1).alias("span"))
+    big = stats.where(F.col("n") > target_rows)
+    densest = big.select(F.max(F.col("n") / F.col("span")).alias("rows_per_ms"))
+    width = F.floor(F.lit(float(target_rows)) / densest.scalar()).cast("bigint")
+    return F.coalesce(F.greatest(F.lit(MIN_BUCKET_MS), width), F.lit(ONE_BUCKET_MS))
+
+
+def _bucket(df: DataFrame, bucket_ms, part, time_col) -> Column:
+    width = auto_bucket_ms(df, part, time_col) if bucket_ms is None else F.lit(bucket_ms)
+    return F.floor(F.col(time_col) / width).cast("bigint")
+
 
 def with_trailing_rows(
     df: DataFrame,
     k: int,
-    bucket_ms: int,
+    bucket_ms: int | None = None,
     part: Sequence[str] = (),
     time_col: str = "lastupdate",
     tie_col: str = "seq",
@@ -28,10 +53,10 @@ def with_trailing_rows(
 ) -> DataFrame:
     """Add ``out``: the times of the current row and of up to ``k`` preceding
     rows (order ``time_col, tie_col``, within ``part``), oldest first, as
-    ``array<bigint>``."""
+    ``array<bigint>``.  ``bucket_ms=None`` sizes buckets from the data."""
     part = list(part)
     key = [*part, "_b"]
-    d = df.withColumn("_b", F.floor(F.col(time_col) / bucket_ms).cast("bigint"))
+    d = df.withColumn("_b", _bucket(df, bucket_ms, part, time_col))
     item = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("s"))
 
     # last k rows of every (key, bucket); WindowGroupLimit trims before the shuffle
@@ -58,7 +83,7 @@ def with_trailing_rows(
 
 def with_next_time(
     df: DataFrame,
-    bucket_ms: int,
+    bucket_ms: int | None = None,
     part: Sequence[str] = ("id",),
     time_col: str = "lastupdate",
     tie_col: str = "seq",
@@ -73,7 +98,7 @@ def with_next_time(
     holding one row per (key, bucket)."""
     part = list(part)
     key = [*part, "_b"]
-    d = df.withColumn("_b", F.floor(F.col(time_col) / bucket_ms).cast("bigint"))
+    d = df.withColumn("_b", _bucket(df, bucket_ms, part, time_col))
     inside = Window.partitionBy(*key).orderBy(F.col(time_col).asc(), F.col(tie_col).desc())
     d = d.withColumn(out, F.lead(time_col).over(inside))
     firsts = d.groupBy(*key).agg(F.min(time_col).alias("_first"))

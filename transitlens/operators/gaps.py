@@ -15,8 +15,9 @@ from .carry import with_trailing_rows
 from .filters import active
 from .topk import top_k
 
-FLEET_BUCKET_MS = 15 * 60 * 1000
-VEHICLE_BUCKET_MS = 24 * 3600 * 1000
+# bucket widths: None = sized from the data (see carry.auto_bucket_ms)
+FLEET_BUCKET_MS = None
+VEHICLE_BUCKET_MS = None
 
 
 def _newest_first() -> tuple[Column, Column]:
@@ -53,7 +54,7 @@ def _gap_columns(frame: str = "frame") -> list[Column]:
     return [n.alias("n"), span.alias("span_ms"), (span / (n - 1)).alias("gap_ms")]
 
 
-def gap_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int = FLEET_BUCKET_MS) -> DataFrame:
+def gap_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int | None = FLEET_BUCKET_MS) -> DataFrame:
     """After every active report (fleet-wide, in event-time order), the mean
     gap over the last ``n`` reports: ``(seq, lastupdate, n, span_ms, gap_ms)``.
     The first report has no gap and gives no row."""
@@ -62,7 +63,7 @@ def gap_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int = FLEET_BUC
     return f.select("seq", "lastupdate", *_gap_columns()).where("n > 1")
 
 
-def gap_per_vehicle(reports: DataFrame, n: int = LAST_N, bucket_ms: int = VEHICLE_BUCKET_MS) -> DataFrame:
+def gap_per_vehicle(reports: DataFrame, n: int = LAST_N, bucket_ms: int | None = VEHICLE_BUCKET_MS) -> DataFrame:
     """The same per vehicle: ``(id, seq, lastupdate, n, span_ms, gap_ms)``."""
     a = active(reports).select("id", "seq", "lastupdate")
     f = with_trailing_rows(a, n - 1, bucket_ms, part=["id"])
@@ -79,7 +80,7 @@ def rounded_gap_micros(span_ms: Column, n: Column) -> Column:
     return F.when(r2 > m, q + 1).when((r2 == m) & (q % 2 == 1), q + 1).otherwise(q)
 
 
-def gap_text_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int = FLEET_BUCKET_MS) -> DataFrame:
+def gap_text_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int | None = FLEET_BUCKET_MS) -> DataFrame:
     """``(seq, gap_text)``: each mean gap as duration text (``H:MM:SS[.ffffff]``)."""
     g = gap_timeline(reports, n, bucket_ms)
     return g.select("seq", duration_text(rounded_gap_micros(F.col("span_ms"), F.col("n"))).alias("gap_text"))

@@ -60,11 +60,11 @@ def top_list_json(top: DataFrame) -> DataFrame:
     )
 
 
-TIMELINE_BUCKET_MS = 24 * 3600 * 1000
+TIMELINE_BUCKET_MS = None  # sized from the data (carry.auto_bucket_ms)
 
 
 def top_delayed_timeline(
-    reports: DataFrame, tick_ms: int, k: int = TOP_N, bucket_ms: int = TIMELINE_BUCKET_MS
+    reports: DataFrame, tick_ms: int, k: int = TOP_N, bucket_ms: int | None = TIMELINE_BUCKET_MS
 ) -> DataFrame:
     """The top-``k`` delayed list as it stood at every tick (multiples of
     ``tick_ms`` between the first and the last report): ``(tick_ms, rank, id,

@@ -76,5 +76,7 @@ def test_auto_bucket_splits_the_densest_key(spark):
     width = df.select(auto_bucket_ms(df, ["id"], target_rows=100).alias("w")).first().w
     # the hot vehicle has 3 reports per 4 s: 100 rows need about 133 s
     assert 120_000 <= width <= 140_000
+    sparse = df.select(auto_bucket_ms(df, ["id"], target_rows=10**6).alias("w")).first().w
+    assert sparse >= 1 << 60
     got = _timeline(gaps.gap_per_vehicle(df))
     assert got == brute_last_n(rows, by_vehicle=True)

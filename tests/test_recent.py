@@ -36,7 +36,9 @@ def test_shrinking_list_counts_as_change(spark):
     assert got[5] == ([("v4", 1.0, 4000 + W + 10_000)], True)
 
 
-@pytest.mark.parametrize("seed,vehicles,sub,gap_every", [(1, 6, 6, 0), (2, 8, 3, 20), (3, 3, 1, 10), (4, 12, 12, 30)])
+@pytest.mark.parametrize(
+    "seed,vehicles,sub,gap_every", [(1, 6, 6, 0), (2, 8, 3, 20), (3, 3, 1, 10), (4, 12, 12, 30), (5, 6, 7, 12)]
+)
 def test_matches_brute_force(spark, seed, vehicles, sub, gap_every):
     rows = random_reports(300, vehicles, seed, gap_every=gap_every, gap=W + 1000)
     got = _lists(recent.recent_lists(frame(spark, rows), W, sub_buckets=sub))
@@ -51,3 +53,10 @@ def test_final_list(spark):
     last = max((r for r in rows if r["delay"] > 0), key=lambda r: (r["t"], r["seq"]))
     got = [(r.id, r.delay, r.lastupdate) for r in recent.recent_final(frame(spark, rows), W).orderBy("rank").collect()]
     assert got == d[last["seq"]][0]
+
+
+@pytest.mark.parametrize("target", [3, 20, 10**9])
+def test_data_sized_buckets_match_brute_force(spark, target):
+    rows = random_reports(250, 7, seed=target, gap_every=25, gap=W + 1000)
+    got = _lists(recent.recent_lists(frame(spark, rows), W, target_rows=target))
+    assert got == brute_recent(rows, W)

@@ -34,7 +34,8 @@ def auto_bucket_ms(
     big = stats.where(F.col("n") > target_rows)
     densest = big.select(F.max(F.col("n") / F.col("span")).alias("rows_per_ms"))
     width = F.floor(F.lit(float(target_rows)) / densest.scalar()).cast("bigint")
-    return F.coalesce(F.greatest(F.lit(MIN_BUCKET_MS), width), F.lit(ONE_BUCKET_MS))
+    # (greatest() skips nulls, so "no key to cut" is tested explicitly)
+    return F.when(width.isNull(), F.lit(ONE_BUCKET_MS)).otherwise(F.greatest(F.lit(MIN_BUCKET_MS), width))
 
 
 def _bucket(df: DataFrame, bucket_ms, part, time_col) -> Column:

@@ -6,11 +6,12 @@ holds the newest report of each vehicle among the delayed reports q with
 cut to 5.  A list counts as changed unless it and the previous one both hold
 5 entries with the same ``(id, delay)`` at every position.
 
-Scale-out: time is cut into buckets of ``W / sub_buckets``.  Every bucket is
-scanned in order by one task; what it needs from earlier buckets is tiny: the
-5 newest distinct vehicles of each of the ``2 * sub_buckets`` buckets before it
-(the newest 5 distinct vehicles of a union of ranges are among the newest 5
-of each range).  With those seeds the scan also knows the list that stood
+Scale-out: time is cut into buckets of width w (sized from the data so a
+bucket holds about 2M reports, or ``W / sub_buckets`` when given).  Every
+bucket is scanned in order by one task; what it needs from earlier buckets is
+tiny: the 5 newest distinct vehicles of each of the ``ceil(2W / w)`` buckets
+before it (the newest 5 distinct vehicles of a union of ranges are among the
+newest 5 of each range).  With those seeds the scan also knows the list that stood
 before its first row.  The scan keeps one entry per vehicle seen within W,
 ordered by recency, so each report costs O(1); no pairs are formed.  This is
 the one place where a Python scan is used: "newest k distinct keys in a
@@ -28,12 +29,11 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from ..functions import iso_text
 from ..schema import TOP_N, TRAILING_MS
+from .carry import TARGET_ROWS_PER_BUCKET, auto_bucket_ms
 from .filters import active, delayed
 from .latest import latest_per_key
 from .topk import top_k
 
-SUB_BUCKETS = 6
-
 LIST_SCHEMA = StructType(
     [
         StructField("seq", LongType()),
@@ -57,7 +57,7 @@ def _newest(state: OrderedDict, k: int, since: int) -> list:
     return top
 
 
-def _scan(window_ms: int, bucket_ms: int, k: int):
+def _scan(window_ms: int, k: int):
     """Scan of rows sorted by (bucket, kind, lastupdate, seq); kind 0 = seed
     from earlier buckets, 1 = the bucket's own report."""
 
@@ -66,10 +66,10 @@ def _scan(window_ms: int, bucket_ms: int, k: int):
         for pdf in batches:
             out = {f.name: [] for f in LIST_SCHEMA.fields}
             rows = zip(
-                pdf["_b"].tolist(), pdf["_kind"].tolist(), pdf["lastupdate"].tolist(),
+                pdf["_b"].tolist(), pdf["_w"].tolist(), pdf["_kind"].tolist(), pdf["lastupdate"].tolist(),
                 pdf["seq"].tolist(), pdf["id"].tolist(), pdf["delay"].tolist(),
             )
-            for b, kind, t, s, vid, dly in rows:
+            for b, bucket_ms, kind, t, s, vid, dly in rows:
                 if b != cur_b:
                     cur_b, state, last_seed, prev, started = b, OrderedDict(), None, None, False
                 if kind == 1 and not started:
@@ -107,29 +107,38 @@ def _scan(window_ms: int, bucket_ms: int, k: int):
 
 
 def recent_lists(
-    reports: DataFrame, window_ms: int = TRAILING_MS, k: int = TOP_N, sub_buckets: int = SUB_BUCKETS
+    reports: DataFrame,
+    window_ms: int = TRAILING_MS,
+    k: int = TOP_N,
+    sub_buckets: int | None = None,
+    target_rows: int = TARGET_ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Every delayed report's list: ``(seq, rank, id, delay, lastupdate, changed)``."""
-    if window_ms % sub_buckets:
-        raise ValueError("the window must split into whole sub-buckets")
-    bucket_ms = window_ms // sub_buckets
+    """Every delayed report's list: ``(seq, rank, id, delay, lastupdate, changed)``.
+    ``sub_buckets`` fixes the bucket width to ``W / sub_buckets``; by default
+    the width is sized from the data (``target_rows`` reports per bucket)."""
     d = delayed(active(reports)).select("seq", "id", "delay", "lastupdate")
-    d = d.withColumn("_b", F.floor(F.col("lastupdate") / bucket_ms).cast("bigint"))
+    if sub_buckets:
+        width = F.lit(-(-window_ms // sub_buckets)).cast("bigint")
+    else:
+        width = auto_bucket_ms(d, (), target_rows=target_rows)
+    d = d.withColumn("_w", width).withColumn("_b", F.floor(F.col("lastupdate") / F.col("_w")).cast("bigint"))
+    # buckets whose tails can matter: everything within 2W before a bucket
+    reach = F.ceil(F.lit(2 * window_ms) / F.col("_w")).cast("bigint")
 
     # seeds: the k newest distinct vehicles of each bucket, copied to the
     # 2 * sub_buckets buckets after it (a partial aggregate, then a partial top-k)
-    per_vehicle = d.groupBy("_b", "id").agg(
+    per_vehicle = d.groupBy("_b", "_w", "id").agg(
         F.max_by(F.struct("lastupdate", "seq", "delay"), F.struct("lastupdate", "seq")).alias("_r")
-    ).select("_b", "id", "_r.*")
+    ).select("_b", "_w", "id", "_r.*")
     newest = Window.partitionBy("_b").orderBy(F.col("lastupdate").desc(), F.col("seq").desc())
     tails = per_vehicle.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= k).drop("_n")
     seeds = tails.select(
-        F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + 2 * sub_buckets)).alias("_b"),
-        "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"),
+        F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + reach)).alias("_b"),
+        "_w", "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"),
     )
     rows = d.withColumn("_kind", F.lit(1)).unionByName(seeds)
     rows = rows.repartition("_b").sortWithinPartitions("_b", "_kind", "lastupdate", "seq")
-    return rows.mapInPandas(_scan(window_ms, bucket_ms, k), LIST_SCHEMA)
+    return rows.mapInPandas(_scan(window_ms, k), LIST_SCHEMA)
 
 
 def recent_timeline(reports: DataFrame, window_ms: int = TRAILING_MS, k: int = TOP_N) -> DataFrame:

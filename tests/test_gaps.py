@@ -67,8 +67,6 @@ def test_buffer_and_deltas(spark):
 
 
 def test_auto_bucket_splits_the_densest_key(spark):
-    from pyspark.sql import functions as F
-
     from transitlens.operators.carry import auto_bucket_ms
 
     rows = [{"seq": i, "id": "hot" if i % 4 else f"c{i}", "t": 1000 * i} for i in range(4000)]

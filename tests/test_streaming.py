@@ -145,3 +145,23 @@ def test_pane_and_plain_streaming_windows_agree(spark, landing):
         s = streaming.sliding_average_stream(streaming.report_stream_from_text(spark, path, max_files_per_trigger=1), panes=panes)
         results.append(sorted(map(tuple, run_append(s, f"t-panes-{panes}").collect())))
     assert results[0] == results[1] and results[0]
+
+
+def test_recent_changes_stream_equals_batch_over_batches(spark, landing, tmp_path):
+    from transitlens.operators import recent
+    from transitlens.streaming import recent_changes_writer, run_foreach
+
+    # few vehicles, repeated delays: lists fill up and unchanged ones occur
+    # every vehicle reports twice in a row with the same delay: the second
+    # report leaves a full list unchanged
+    docs = [report(f"v{(i // 2) % 6}", 1_000_000 + 5_000 * i, delay=1 + (i // 2) % 2) for i in range(90)]
+    path = landing(_chunks(docs, 13))
+    base = str(tmp_path / "rc")
+    s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    run_foreach(s, "t-rc", recent_changes_writer(base, window_ms=120_000))
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/changes").select("rank", "id", "delay", "lastupdate").collect()))
+    batch = recent.recent_changes(parse_reports(read_report_lines(spark, path)), 120_000)
+    want = sorted(map(tuple, batch.select("rank", "id", "delay", "lastupdate").collect()))
+    assert got == want
+    all_lists = recent.recent_timeline(parse_reports(read_report_lines(spark, path)), 120_000)
+    assert len(want) < all_lists.count()  # some lists did not change

@@ -67,9 +67,9 @@ def _scan(window_ms: int, k: int):
             out = {f.name: [] for f in LIST_SCHEMA.fields}
             rows = zip(
                 pdf["_b"].tolist(), pdf["_w"].tolist(), pdf["_kind"].tolist(), pdf["lastupdate"].tolist(),
-                pdf["seq"].tolist(), pdf["id"].tolist(), pdf["delay"].tolist(),
+                pdf["seq"].tolist(), pdf["id"].tolist(), pdf["delay"].tolist(), pdf["_emit"].tolist(),
             )
-            for b, bucket_ms, kind, t, s, vid, dly in rows:
+            for b, bucket_ms, kind, t, s, vid, dly, emit in rows:
                 if b != cur_b:
                     cur_b, state, last_seed, prev, started = b, OrderedDict(), None, None, False
                 if kind == 1 and not started:
@@ -94,6 +94,8 @@ def _scan(window_ms: int, k: int):
                 key = [(i, e[2]) for i, e in top]
                 changed = prev is None or len(prev) < k or len(key) < k or key != prev
                 prev = key
+                if not emit:  # a context row: it shapes the state, its list was emitted before
+                    continue
                 for rank, (i, e) in enumerate(top, start=1):
                     out["seq"].append(s)
                     out["rank"].append(rank)
@@ -112,11 +114,16 @@ def recent_lists(
     k: int = TOP_N,
     sub_buckets: int | None = None,
     target_rows: int = TARGET_ROWS_PER_BUCKET,
+    context: DataFrame | None = None,
 ) -> DataFrame:
     """Every delayed report's list: ``(seq, rank, id, delay, lastupdate, changed)``.
     ``sub_buckets`` fixes the bucket width to ``W / sub_buckets``; by default
-    the width is sized from the data (``target_rows`` reports per bucket)."""
-    d = delayed(active(reports)).select("seq", "id", "delay", "lastupdate")
+    the width is sized from the data (``target_rows`` reports per bucket).
+    ``context``: earlier delayed reports ``(seq, id, delay, lastupdate)`` that
+    shape the lists but get none of their own (see ``newest_distinct``)."""
+    d = delayed(active(reports)).select("seq", "id", "delay", "lastupdate").withColumn("_emit", F.lit(True))
+    if context is not None:
+        d = d.unionByName(context.select("seq", "id", "delay", "lastupdate").withColumn("_emit", F.lit(False)))
     if sub_buckets:
         width = F.lit(-(-window_ms // sub_buckets)).cast("bigint")
     else:
@@ -134,13 +141,26 @@ def recent_lists(
     tails = per_vehicle.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= k).drop("_n")
     seeds = tails.select(
         F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + reach)).alias("_b"),
-        "_w", "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"),
+        "_w", "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"), F.lit(False).alias("_emit"),
     )
     rows = d.withColumn("_kind", F.lit(1)).unionByName(seeds)
     rows = rows.repartition("_b").sortWithinPartitions("_b", "_kind", "lastupdate", "seq")
     return rows.mapInPandas(_scan(window_ms, k), LIST_SCHEMA)
 
 
+def newest_distinct(reports: DataFrame, k: int = TOP_N, context: DataFrame | None = None) -> DataFrame:
+    """The ``k`` newest distinct delayed vehicles with their newest delayed
+    report ``(seq, id, delay, lastupdate)``: all that later reports need from
+    the past (the newest k distinct vehicles of a union are among the newest
+    k of each part)."""
+    d = delayed(active(reports)).select("seq", "id", "delay", "lastupdate")
+    if context is not None:
+        d = d.unionByName(context.select("seq", "id", "delay", "lastupdate"))
+    per_vehicle = latest_per_key(d, "id", ["seq", "delay", "lastupdate"], tie="last")
+    order = (F.col("lastupdate").desc(), F.col("seq").desc())
+    return top_k(per_vehicle, k, order).select("seq", "id", "delay", "lastupdate")
+
+
 def recent_timeline(reports: DataFrame, window_ms: int = TRAILING_MS, k: int = TOP_N) -> DataFrame:
     """``(seq, rank, id, delay, lastupdate)`` for every delayed report."""
     return recent_lists(reports, window_ms, k).drop("changed")

@@ -261,6 +261,7 @@ WHERE rank <= 5""",
         ("stream_top5_delayed", "top5_delayed"),
         ("stream_last10_per_vehicle", "last10_gap_per_vehicle"),
         ("stream_recent5", "recent5_final"),
+        ("stream_recent5_changes", "recent5_changes"),
         ("stream_last10_buffer", "last10_buffer"),
     ]:
         q[twin] = q[batch]

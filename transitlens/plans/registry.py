@@ -245,6 +245,17 @@ def q_stream_recent5(spark, sf_dir):
     return streaming.run_snapshots(per_vehicle, "stream_recent5", recent.recent_final_from_latest, mode="complete")
 
 
+def q_stream_recent5_changes(spark, sf_dir):
+    from ..session import fresh_path
+
+    out = fresh_path(spark, "stream_recent5_changes-out")
+    s = streaming.report_stream_from_events(spark, sf_dir)
+    streaming.run_foreach(s, "stream_recent5_changes", streaming.recent_changes_writer(out))
+    schema = recent.LIST_SCHEMA
+    cols = [f.name for f in schema.fields if f.name != "changed"]
+    return spark.read.parquet(f"{out}/changes").select(*cols)
+
+
 def q_stream_last10_buffer(spark, sf_dir):
     from ..session import fresh_path
 

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.filters import active
+from ..operators.filters import active, delayed
+from ..operators.recent import newest_distinct, recent_lists
 from ..operators.topk import top_k
-from ..schema import LAST_N
+from ..schema import LAST_N, TOP_N, TRAILING_MS
 
 
 def previous_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
@@ -64,3 +65,29 @@ def late_rows_writer(base: str, delay_ms: int = 10_000):
         newest_now.write.mode("overwrite").parquet(f"{base}/clock/batch_id={batch_id}")
 
     return write
+
+
+def recent_changes_writer(base: str, window_ms: int = TRAILING_MS, k: int = TOP_N):
+    """``foreachBatch`` function over raw report rows: the trailing-window
+    list after every delayed report of the batch, emitted only when it
+    changed, to ``base/changes/batch_id=N``.  The previous batches are
+    represented by the newest ``k`` distinct delayed vehicles, stored in
+    ``base/context/batch_id=N``.  Reports are taken in event-time order within
+    a batch; a report older than the stored context is treated as arriving
+    after it (the original job processes in arrival order too)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ctx = previous_snapshot(batch.sparkSession, f"{base}/context", batch_id)
+        # the micro-batch (bounded by the trigger) is used by several actions:
+        # keep its delayed reports for the duration of this batch only
+        mine = delayed(active(batch)).persist()
+        try:
+            lists = recent_lists(mine, window_ms, k, context=ctx)
+            lists.where("changed").drop("changed").write.mode("overwrite").parquet(
+                f"{base}/changes/batch_id={batch_id}"
+            )
+            newest_distinct(mine, k, ctx).write.mode("overwrite").parquet(f"{base}/context/batch_id={batch_id}")
+        finally:
+            mine.unpersist()
+
+    return write

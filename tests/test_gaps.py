@@ -70,11 +70,14 @@ def test_auto_bucket_splits_the_densest_key(spark):
     from transitlens.operators.carry import auto_bucket_ms
 
     rows = [{"seq": i, "id": "hot" if i % 4 else f"c{i}", "t": 1000 * i} for i in range(4000)]
+    # a burst: 400 more reports of the hot vehicle within one second
+    rows += [{"seq": 4000 + j, "id": "hot", "t": 2_000_000 + j} for j in range(400)]
     df = frame(spark, rows)
     width = df.select(auto_bucket_ms(df, ["id"], target_rows=100).alias("w")).first().w
-    # the hot vehicle has 3 reports per 4 s: 100 rows need about 133 s
-    assert 120_000 <= width <= 140_000
-    sparse = df.select(auto_bucket_ms(df, ["id"], target_rows=10**6).alias("w")).first().w
-    assert sparse >= 1 << 60
+    # the busiest (vehicle, second) holds about 400 reports: 100 rows per bucket
+    # means a bucket of about a quarter second
+    assert 200 <= width <= 300
+    small = df.select(auto_bucket_ms(df, ["id"], target_rows=10**6).alias("w")).first().w
+    assert small >= 1 << 60
     got = _timeline(gaps.gap_per_vehicle(df))
     assert got == brute_last_n(rows, by_vehicle=True)

@@ -17,25 +17,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TARGET_ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKET_MS = 1000
+MIN_BUCKET_MS = 1
+GRANULE_MS = 1000
 ONE_BUCKET_MS = 1 << 60  # wider than any epoch-ms range: a single bucket
 
 
 def auto_bucket_ms(
-    df: DataFrame, part: Sequence[str] = (), time_col: str = "lastupdate", target_rows: int = TARGET_ROWS_PER_BUCKET
+    df: DataFrame,
+    part: Sequence[str] = (),
+    time_col: str = "lastupdate",
+    target_rows: int = TARGET_ROWS_PER_BUCKET,
+    min_ms: int = MIN_BUCKET_MS,
 ) -> Column:
-    """Bucket width (ms) that gives the densest key about ``target_rows`` rows
-    per bucket, as a scalar subquery evaluated by Spark at run time (no
-    collect).  Only keys with more than ``target_rows`` rows need cutting; a
-    key holding a third of all reports is cut into many buckets.  When no key
-    is that large, every key keeps one bucket."""
-    per_key = df.groupBy(*part) if part else df
-    stats = per_key.agg(F.count(F.lit(1)).alias("n"), (F.max(time_col) - F.min(time_col) + 1).alias("span"))
-    big = stats.where(F.col("n") > target_rows)
-    densest = big.select(F.max(F.col("n") / F.col("span")).alias("rows_per_ms"))
-    width = F.floor(F.lit(float(target_rows)) / densest.scalar()).cast("bigint")
-    # (greatest() skips nulls, so "no key to cut" is tested explicitly)
-    return F.when(width.isNull(), F.lit(ONE_BUCKET_MS)).otherwise(F.greatest(F.lit(MIN_BUCKET_MS), width))
+    """Bucket width (ms) so that no (key, bucket) holds much more than
+    ``target_rows`` rows.  The statistic is a distributed aggregate; only the
+    resulting number is fetched (once, when the plan is built).
+
+    The width follows the *peak* rate: rows per second of the busiest
+    (key, second), so a burst or a key holding a third of all reports is cut
+    into many buckets.  A bucket of that width holds at most about
+    ``target_rows`` plus one second's peak.  When the whole input has no more
+    than ``target_rows`` rows, every key keeps one bucket."""
+    per_second = df.groupBy(*part, F.floor(F.col(time_col) / GRANULE_MS).alias("_g")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    stats = per_second.agg(F.sum("n").alias("total"), F.max("n").alias("peak"))
+    width = stats.select(
+        F.when(F.col("total").isNull() | (F.col("total") <= target_rows), F.lit(ONE_BUCKET_MS))
+        .otherwise(
+            F.greatest(F.lit(min_ms), F.floor(F.lit(float(target_rows) * GRANULE_MS) / F.col("peak")).cast("bigint"))
+        )
+        .alias("width")
+    )
+    # one statistic, computed once by a small distributed job; only the
+    # resulting number reaches the driver
+    return F.lit(width.first()["width"])
 
 
 def _bucket(df: DataFrame, bucket_ms, part, time_col) -> Column:

@@ -57,6 +57,14 @@ def _newest(state: OrderedDict, k: int, since: int) -> list:
     return top
 
 
+_DTYPES = {"seq": "int64", "rank": "int32", "id": "object", "delay": "float64", "lastupdate": "int64", "changed": "bool"}
+
+
+def _frame(out: dict) -> pd.DataFrame:
+    """Output batch with fixed dtypes (also when empty)."""
+    return pd.DataFrame({c: pd.Series(out[c], dtype=t) for c, t in _DTYPES.items()})
+
+
 def _scan(window_ms: int, k: int):
     """Scan of rows sorted by (bucket, kind, lastupdate, seq); kind 0 = seed
     from earlier buckets, 1 = the bucket's own report."""
@@ -103,7 +111,7 @@ def _scan(window_ms: int, k: int):
                     out["delay"].append(e[2])
                     out["lastupdate"].append(e[0])
                     out["changed"].append(changed)
-            yield pd.DataFrame(out, columns=[f.name for f in LIST_SCHEMA.fields])
+            yield _frame(out)
 
     return run
 
@@ -127,7 +135,9 @@ def recent_lists(
     if sub_buckets:
         width = F.lit(-(-window_ms // sub_buckets)).cast("bigint")
     else:
-        width = auto_bucket_ms(d, (), target_rows=target_rows)
+        # at least W/360 wide, so a bucket's seeds (5 per earlier bucket within
+        # 2W) stay far below the rows it holds
+        width = auto_bucket_ms(d, (), target_rows=target_rows, min_ms=max(1, window_ms // 360))
     d = d.withColumn("_w", width).withColumn("_b", F.floor(F.col("lastupdate") / F.col("_w")).cast("bigint"))
     # buckets whose tails can matter: everything within 2W before a bucket
     reach = F.ceil(F.lit(2 * window_ms) / F.col("_w")).cast("bigint")

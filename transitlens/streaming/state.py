@@ -28,6 +28,7 @@ GAP_SCHEMA = StructType(
         StructField("gap_ms", DoubleType()),
     ]
 )
+_DTYPES = {"id": "object", "seq": "int64", "lastupdate": "int64", "n": "int64", "span_ms": "int64", "gap_ms": "float64"}
 STATE_SCHEMA = StructType([StructField("times", ArrayType(LongType())), StructField("seqs", ArrayType(LongType()))])
 
 
@@ -51,7 +52,8 @@ def _buffer_update(n: int):
                 span = buf[-1][0] - buf[0][0]
                 out.append((key[0], s, t, len(buf), span, span / (len(buf) - 1)))
         state.update(([t for t, _ in buf], [s for _, s in buf]))
-        yield pd.DataFrame(out, columns=[f.name for f in GAP_SCHEMA.fields])
+        cols = list(zip(*out)) if out else [[] for _ in GAP_SCHEMA.fields]
+        yield pd.DataFrame({f.name: pd.Series(c, dtype=_DTYPES[f.name]) for f, c in zip(GAP_SCHEMA.fields, cols)})
 
     return update
 

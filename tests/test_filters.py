@@ -34,9 +34,11 @@ def test_heading_within_wraps(spark):
 def test_json_line_format(spark):
     import json
 
-    df = spark.createDataFrame([("v1", 45.0), ('a"b', 315.5)], ["id", "bearing"])
+    ids = [("v1", 45.0), ('a"b', 315.5), ("Želivského", 0.0), ("bus😀\t", 360.0)]
+    df = spark.createDataFrame(ids, ["id", "bearing"])
     lines = [r.l for r in df.select(json_pair_line("id", "bearing").alias("l")).collect()]
-    assert lines == [json.dumps(["v1", 45]), json.dumps(['a"b', 315.5])]
+    want = [json.dumps([i, int(b) if b == int(b) else b]) for i, b in ids]
+    assert lines == want
 
 
 def test_number_text(spark):

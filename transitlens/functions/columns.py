@@ -35,9 +35,27 @@ def number_text(x) -> Column:
     )
 
 
+def _ascii_only(text: Column) -> Column:
+    """Replace every non-ASCII UTF-16 code unit by ``\\uXXXX`` (lowercase hex;
+    characters beyond the BMP become surrogate pairs)."""
+    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), 1)
+    return F.array_join(
+        F.transform(
+            units,
+            lambda u: F.when(F.conv(u, 16, 10).cast("int") < 128, F.char(F.conv(u, 16, 10).cast("int"))).otherwise(
+                F.concat(F.lit("\\u"), F.lower(u))
+            ),
+        ),
+        "",
+    )
+
+
 def json_string(s) -> Column:
-    """A string as a quoted, escaped JSON literal."""
-    return F.regexp_extract(F.to_json(F.array(_c(s))), r"^\[(.*)\]$", 1)
+    """A string as a quoted JSON literal, escaped like a JSON dump with ASCII
+    output: quotes, backslashes and control characters by ``to_json``, any
+    non-ASCII character as ``\\uXXXX`` (only lines that hold one pay for it)."""
+    quoted = F.regexp_extract(F.to_json(F.array(_c(s))), r"^\[(.*)\]$", 1)
+    return F.when(quoted.rlike("[^\\x00-\\x7F]"), _ascii_only(quoted)).otherwise(quoted)
 
 
 def json_pair_line(key, number) -> Column:

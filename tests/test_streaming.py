@@ -103,7 +103,10 @@ def test_fleet_buffer_merged_over_batches(spark, landing, tmp_path):
     out = str(tmp_path / "buf")
     s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
     run_foreach(s, "t-buf", last_n_buffer_writer(out))
-    got = [r.lastupdate for r in latest_snapshot(spark, out).orderBy("rank").collect()]
+    from transitlens.streaming.merges import latest_state
+
+    assert sorted(os.listdir(out)) == ["slot=0", "slot=1"]  # bounded, not one folder per batch
+    got = [r.lastupdate for r in latest_state(spark, out).orderBy("rank").collect()]
     want = [r.lastupdate for r in last_n_buffer(parse_reports(read_report_lines(spark, path))).orderBy("rank").collect()]
     assert got == want and len(got) == 10
 

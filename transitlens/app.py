@@ -99,7 +99,7 @@ def run_stream(spark: SparkSession, src: str, out: str, q: str, once: bool) -> N
 
             def write(b, i):
                 buffer_writer(b, i)
-                buf = spark.read.parquet(f"{out}/last10reports/buffer/batch_id={i}")
+                buf = streaming.merges.latest_state(spark, f"{out}/last10reports/buffer")
                 sinks.write_lines(_gap_line(buf), f"{out}/last10reports/gap/batch_id={i}")
         else:
             raise ValueError(f"unknown question {q}")

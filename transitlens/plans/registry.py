@@ -262,7 +262,7 @@ def q_stream_last10_buffer(spark, sf_dir):
     out = fresh_path(spark, "stream_last10_buffer-out")
     s = streaming.report_stream_from_events(spark, sf_dir)
     streaming.run_foreach(s, "stream_last10_buffer", streaming.last_n_buffer_writer(out))
-    return streaming.runner.latest_snapshot(spark, out)
+    return streaming.merges.latest_state(spark, out)
 
 
 def queries() -> dict[str, Query]:

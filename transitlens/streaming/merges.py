@@ -2,9 +2,12 @@
 
 A fleet-wide answer must not become one long-lived group in the state store.
 Each micro-batch reduces its own rows first (a partial top-k), then merges the
-small result with the previous snapshot in ``foreachBatch``.  Snapshots are
-stored per ``batch_id`` and a batch reads only snapshots of earlier batches,
-so a replayed batch rewrites the same folder with the same content.
+small result with the previous snapshot in ``foreachBatch``.  A state snapshot
+is written to one of two alternating slots (``slot = batch_id mod 2``) with its
+``batch_id`` inside; a batch reads the newest snapshot of an earlier batch, so
+a replayed batch rewrites its own slot with the same content and the folder
+count stays bounded.  (The states kept here only grow, so an empty snapshot
+never hides a fuller one.)
 """
 
 from __future__ import annotations
@@ -18,10 +21,23 @@ from ..operators.topk import top_k
 from ..schema import LAST_N, TOP_N, TRAILING_MS
 
 
+SLOTS = 2
+
+
+def write_state(df: DataFrame, base: str, batch_id: int) -> None:
+    """Store a state snapshot of ``batch_id`` in its slot."""
+    out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    out.write.mode("overwrite").parquet(f"{base}/slot={batch_id % SLOTS}")
+
+
 def previous_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
-    """The newest snapshot written by a batch before ``batch_id``, if any."""
+    """The snapshot of the batch before ``batch_id``, if any.  Micro-batch ids
+    run consecutively, so it sits in the other slot; only that slot is read,
+    never the one this batch is about to overwrite."""
+    if batch_id <= 0:
+        return None
     try:
-        snaps = spark.read.parquet(base)
+        snaps = spark.read.parquet(f"{base}/slot={(batch_id - 1) % SLOTS}")
     except Exception:  # noqa: BLE001 - nothing written yet
         return None
     earlier = snaps.where(F.col("batch_id") < batch_id)
@@ -29,6 +45,13 @@ def previous_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFram
     return earlier.where(F.col("batch_id") == newest).drop("batch_id")
 
 
+def latest_state(spark: SparkSession, base: str) -> DataFrame:
+    """The newest state snapshot (for reading a result after the stream)."""
+    snaps = spark.read.parquet(base)
+    newest = snaps.select(F.max("batch_id")).scalar()
+    return snaps.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+
+
 def last_n_buffer_writer(base: str, n: int = LAST_N):
     """``foreachBatch`` function over raw report rows: keeps the ``n`` newest
     active report times seen so far as ``(rank, seq, lastupdate)``."""
@@ -39,8 +62,7 @@ def last_n_buffer_writer(base: str, n: int = LAST_N):
         prev = previous_snapshot(batch.sparkSession, base, batch_id)
         if prev is not None:
             mine = mine.unionByName(prev.select("seq", "lastupdate"))
-        merged = top_k(mine, n, order).select("rank", "seq", "lastupdate")
-        merged.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+        write_state(top_k(mine, n, order).select("rank", "seq", "lastupdate"), base, batch_id)
 
     return write
 
@@ -49,7 +71,7 @@ def late_rows_writer(base: str, delay_ms: int = 10_000):
     """``foreachBatch`` function that sets aside the reports of a micro-batch
     lying more than ``delay_ms`` behind the newest event time of all earlier
     batches (the rows a watermarked aggregate may drop).  Per batch it writes
-    ``base/late/batch_id=N`` and the running newest time ``base/clock/batch_id=N``."""
+    ``base/late/batch_id=N`` and keeps the running newest time in ``base/clock``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -62,7 +84,7 @@ def late_rows_writer(base: str, delay_ms: int = 10_000):
         else:
             late = batch.limit(0)
         late.write.mode("overwrite").parquet(f"{base}/late/batch_id={batch_id}")
-        newest_now.write.mode("overwrite").parquet(f"{base}/clock/batch_id={batch_id}")
+        write_state(newest_now, f"{base}/clock", batch_id)
 
     return write
 
@@ -71,8 +93,8 @@ def recent_changes_writer(base: str, window_ms: int = TRAILING_MS, k: int = TOP_
     """``foreachBatch`` function over raw report rows: the trailing-window
     list after every delayed report of the batch, emitted only when it
     changed, to ``base/changes/batch_id=N``.  The previous batches are
-    represented by the newest ``k`` distinct delayed vehicles, stored in
-    ``base/context/batch_id=N``.  Reports are taken in event-time order within
+    represented by the newest ``k`` distinct delayed vehicles, kept in
+    ``base/context``.  Reports are taken in event-time order within
     a batch; a report older than the stored context is treated as arriving
     after it (the original job processes in arrival order too)."""
 
@@ -86,7 +108,7 @@ def recent_changes_writer(base: str, window_ms: int = TRAILING_MS, k: int = TOP_
             lists.where("changed").drop("changed").write.mode("overwrite").parquet(
                 f"{base}/changes/batch_id={batch_id}"
             )
-            newest_distinct(mine, k, ctx).write.mode("overwrite").parquet(f"{base}/context/batch_id={batch_id}")
+            write_state(newest_distinct(mine, k, ctx), f"{base}/context", batch_id)
         finally:
             mine.unpersist()
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, lm_score, mixing, pii, token_counts, url_filter
+from . import decontaminate, exact_dedup, lm_score, mixing, pii, token_counts, toxicity, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,8 @@ QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": mixing.mixed_documents,
     "op6_url_filter": url_filter.judged_pages,
+    "op7_toxicity": toxicity.scored_documents,
+    "op8_decontamination": decontaminate.contaminated_documents,
     "op9_personal_data": pii.personal_data_of_documents,
     "op10_token_counts": token_counts.counted_documents,
 }

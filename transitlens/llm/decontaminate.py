@@ -12,7 +12,8 @@ fall in step again after an edit.  Bit-sampling LSH: ``BITS`` sampled
 coordinates of the walk are the bucket of a window.  It is repeated with
 independent walks and samples, ``repeats_for_recall`` times.
 
-Every window that shares a bucket with an item is verified exactly: the edit
+Windows that share a bucket with an item, and whose whole embedding is near the
+item's in Hamming distance, are verified exactly: the edit
 distance of the whole item to the best part of the item-sized region around
 the window (bit-parallel, in one pass over the region) must be at most
 ``EDIT_SHARE`` of the item's length.
@@ -45,8 +46,12 @@ RECALL = 0.95
 STRIDE = 4
 BITS = 8
 WALK = 48
+#: a window and an item that share a bucket are compared further when at most
+#: this share of their walks differs (at the largest edit distance about 0.3 does)
+HAMMING_SHARE = 0.4
 #: coordinates taken from the first steps, which sort out most windows
 EARLY_BITS, EARLY_STEPS = 4, 16
+GRAM = 5
 BLOCK = 20_000
 SEED = 20_240
 TABLE = 1 << 18
@@ -61,13 +66,13 @@ def repeats_for_recall(item_words: float, edit_share: float = EDIT_SHARE, recall
     """Independent walks needed so that some aligned window of an item at the
     largest allowed distance shares its bucket with the given probability.
 
-    An edit disturbs about three coordinates of the walk; an item has
-    words / STRIDE aligned windows, of which neighbours are not independent,
-    so only half of them count.
+    An edit disturbs about three coordinates of the walk, so at the largest
+    distance a coordinate agrees with probability 1 - 3 * edit_share; an item
+    has words / STRIDE aligned windows.
     """
     same = (1 - min(3 * edit_share, 0.9)) ** BITS
     tries = math.log(1 - recall) / math.log(1 - same)
-    return max(2, math.ceil(tries / max(item_words / STRIDE / 2, 1)))
+    return max(4, math.ceil(tries / max(item_words / STRIDE, 1)))
 
 
 def symbols(joined: str) -> np.ndarray:
@@ -88,6 +93,14 @@ class Walks:
             frozenset((EARLY_STEPS + rng.choice(WALK - EARLY_STEPS, BITS - EARLY_BITS, replace=False)).tolist()) for _ in range(repeats)
         ]
 
+    def embed(self, r: int, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The whole embedding, one row per window."""
+        out = np.empty((len(at), WALK), np.uint8)
+        for t in range(WALK):
+            out[:, t] = text[at]
+            at = at + self.moves[r][t][out[:, t]]
+        return out
+
     def run(self, r: int, text: np.ndarray, at: np.ndarray, key: np.ndarray, first: int, last: int, sample) -> tuple[np.ndarray, np.ndarray]:
         """Walk steps first .. last - 1; returns places and bucket keys."""
         moves = self.moves[r]
@@ -113,8 +126,9 @@ class Index:
         self.short = [k for k, (_, t) in enumerate(self.items) if 0 < len(t) < WALK]
         long = [k for k, (_, t) in enumerate(self.items) if len(t) >= WALK]
         n_words = [self.items[k][1].count(" ") + 1 for k in long]
-        self.walks = Walks(repeats_for_recall(float(np.percentile(n_words, 10)) if long else 1.0, edit_share))
+        self.walks = Walks(repeats_for_recall(float(np.median(n_words)) if long else 1.0, edit_share))
         self.masks: dict[int, dict[str, int]] = {}
+        self.grams: dict[int, list[str]] = {}
         owner, offset, places, text, base = [], [], [], [], 0
         for k in long:
             t = self.items[k][1]
@@ -128,7 +142,7 @@ class Index:
             base += len(t) + 1
         self.owner, self.offset = np.array(owner, np.int64), np.array(offset, np.int64)
         joined, places = symbols("\0".join(text)), np.array(places, np.int64)
-        self.gates, self.keys, self.at = [], [], []
+        self.gates, self.keys, self.at, self.embedded = [], [], [], []
         for r in range(len(self.walks.moves)):
             pos, key = self.walks.run(r, joined, places, np.zeros(len(places), np.uint64), 0, EARLY_STEPS, self.walks.early[r])
             gate = np.zeros(TABLE, bool)
@@ -138,6 +152,7 @@ class Index:
             self.gates.append(gate)
             self.keys.append(key[order])
             self.at.append(order)
+            self.embedded.append(self.walks.embed(r, joined, places)[order])
 
     def candidates(self, texts: list[str]) -> set[tuple[int, int, int]]:
         """(text, item, where the item would begin) of all shared buckets."""
@@ -157,18 +172,37 @@ class Index:
                 continue
             _, key = self.walks.run(r, joined, at[through], key[through], EARLY_STEPS, WALK, self.walks.late[r])
             lo, hi = np.searchsorted(self.keys[r], key, "left"), np.searchsorted(self.keys[r], key, "right")
-            for i in np.flatnonzero(hi > lo):
-                w = through[i]
-                for e in self.at[r][lo[i] : hi[i]]:
-                    d = int(owner[w])
-                    found.add((d, int(self.owner[e]), int(starts[w] - begins[d] - self.offset[e])))
+            n = hi - lo
+            if not n.any():
+                continue
+            # all (window, item start) pairs of equal buckets, then those whose
+            # embeddings are near in Hamming distance
+            w = np.repeat(np.arange(len(n)), n)
+            e = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n) + lo[w]
+            hit = np.flatnonzero(n)
+            walked = self.walks.embed(r, joined, starts[through[hit]])[np.searchsorted(hit, w)]
+            near = (walked != self.embedded[r][e]).sum(axis=1) <= HAMMING_SHARE * WALK
+            window, entry = through[w[near]], self.at[r][e[near]]
+            begin = starts[window] - begins[owner[window]] - self.offset[entry]
+            found.update(zip(owner[window].tolist(), self.owner[entry].tolist(), begin.tolist(), strict=True))
         return found
 
     def distance(self, item: int, region: str) -> int:
-        """Least edit distance of the item to any part of the region."""
+        """Least edit distance of the item to any part of the region; the
+        item's length stands for any distance beyond the limit."""
         pattern = self.items[item][1]
         if pattern in region:
             return 0
+        # an edit changes at most GRAM of the item's grams, so an item within
+        # the limit keeps this many of them; what has fewer is beyond it
+        least = len(pattern) - GRAM + 1 - GRAM * self.limit[item]
+        if least > 0:
+            there = {region[j : j + GRAM] for j in range(len(region) - GRAM + 1)}
+            grams = self.grams.get(item)
+            if grams is None:
+                grams = self.grams[item] = [pattern[j : j + GRAM] for j in range(len(pattern) - GRAM + 1)]
+            if sum(map(there.__contains__, grams)) < least:
+                return len(pattern)
         mask = self.masks.get(item)
         if mask is None:
             mask = {}

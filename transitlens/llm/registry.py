@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, lm_score, mixing, pii, token_counts, toxicity, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, lm_score, mixing, pii, token_counts, toxicity, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_tree_score": lm_score.scored_documents,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": mixing.mixed_documents,
+    "op5_jaccard_join": jaccard_join.linked_documents,
     "op6_url_filter": url_filter.judged_pages,
     "op7_toxicity": toxicity.scored_documents,
     "op8_decontamination": decontaminate.contaminated_documents,

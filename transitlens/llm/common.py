@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from transitlens.session import fresh_path
 #: ASCII white space, as a regular expression class body
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
+#: size of the bitmap of repeated hashes: fixed, whatever the input
+BITMAP_BITS = 1 << 27
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -57,3 +61,93 @@ def worker_memory(name: str, key, make):
         held = (key, make())
         setattr(memory, name, held)
     return held[1]
+
+
+def bitmap_place(upper: np.ndarray) -> np.ndarray:
+    """Bit of a 32-bit hash in the bitmap of repeated hashes."""
+    return upper.astype(np.uint64) * np.uint64(BITMAP_BITS) >> np.uint64(32)
+
+
+def test_bits(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (bitmap[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 > 0
+
+
+def hash_sums(
+    docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], n_entries: int, common_share: float
+) -> tuple[bytes, bytes, bytes]:
+    """How often each 32-bit hash occurs, over all rows.
+
+    Returns a bitmap (BITMAP_BITS, fixed) of the hashes that occur more than
+    once, and the hashes with more than ``common_share`` of all entries (at
+    least 8; at most 1 / common_share of them), sorted, with their counts.
+    The counting is dealt by ranges of the hash; equal hashes are added up
+    before the shuffle, so a frequent one is one entry of each task's part.
+    """
+    # a range holds about 32 million entries
+    segments = max(64, min(1 << 22, n_entries // 32_000_000 + 1))
+    segments = 1 << (segments - 1).bit_length()
+    shift, bits = 32 - (segments.bit_length() - 1), BITMAP_BITS // segments
+    common = max(8, int(n_entries * common_share))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+
+        def flush() -> pa.RecordBatch:
+            upper, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint32), return_counts=True)
+            held.clear()
+            cuts = np.searchsorted(upper, np.arange(1, segments, dtype=np.uint64) << np.uint64(shift))
+            both = zip(np.split(upper, cuts), np.split(n.astype(np.uint32), cuts), strict=True)
+            parts = [(i, u.tobytes(), c.tobytes()) for i, (u, c) in enumerate(both) if len(u)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in parts], pa.int32()), *[pa.array([x[i] for x in parts], pa.binary()) for i in (1, 2)]],
+                names=["segment", "part", "n"],
+            )
+
+        for b in slices(batches):
+            for h in hashes(b):
+                held.append(h)
+                n_held += len(h)
+            if n_held > 2_000_000:
+                yield flush()
+                n_held = 0
+        yield flush()
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        values = np.concatenate([np.frombuffer(p, np.uint32) for p in rows.column("part").to_pylist()])
+        counts = np.concatenate([np.frombuffer(p, np.uint32) for p in rows.column("n").to_pylist()])
+        order = np.argsort(values, kind="stable")
+        values, counts = values[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        value, n = values[first], np.add.reduceat(counts, first)
+        bitmap = np.zeros(bits, bool)
+        bitmap[bitmap_place(value[n > 1]) % np.uint64(bits)] = True
+        often = n > common
+        return pa.table(
+            {
+                "segment": pa.array([rows.column("segment")[0].as_py()], pa.int32()),
+                "bitmap": pa.array([np.packbits(bitmap).tobytes()], pa.binary()),
+                "often": pa.array([value[often].tobytes()], pa.binary()),
+                "n": pa.array([n[often].tobytes()], pa.binary()),
+            }
+        )
+
+    parts = docs.mapInArrow(deal, "segment int, part binary, n binary")
+    summed = parts.groupBy("segment").applyInArrow(add_up, "segment int, bitmap binary, often binary, n binary").collect()
+    summed = {r["segment"]: r for r in summed}
+    empty = bytes(bits // 8)
+    bitmap = b"".join(bytes(summed[i]["bitmap"]) if i in summed else empty for i in range(segments))
+    return bitmap, *[b"".join(bytes(summed[i][c]) for i in sorted(summed)) for c in ("often", "n")]
+
+
+def packed_bitmap(rows: DataFrame, place: Column, n_bits: int) -> bytes:
+    """Bitmap of ``n_bits`` with the bits at ``place`` of all rows set."""
+    segment = 1 << 16
+
+    def pack(rows: pa.Table) -> pa.Table:
+        bits = np.zeros(segment, bool)
+        bits[rows.column("bit").to_numpy()] = True
+        return pa.table({"segment": rows.column("segment").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    parts = rows.select(F.floor(place / segment).cast("int").alias("segment"), (place % segment).cast("int").alias("bit")).distinct()
+    packed = {r["segment"]: bytes(r["bits"]) for r in parts.groupBy("segment").applyInArrow(pack, "segment int, bits binary").collect()}
+    return b"".join(packed.get(i, bytes(segment // 8)) for i in range(max(1, n_bits // segment)))

@@ -45,13 +45,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, worker_memory, written
+from .common import BITMAP_BITS, bitmap_place, hash_sums, packed_bitmap, slices, table, test_bits, worker_memory, written
 
 WORDS = 5
 PERCENT = 80
 WIDE = 48
 SQUARE = 512
-BITMAP_BITS = 1 << 27
 ENTITY_BITS = 1 << 24
 COMMON_SHARE = 2.0**-20
 #: words remembered by a Python worker; a fuller memory is emptied
@@ -112,71 +111,14 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def column_sums(docs: DataFrame, n_shingles: int, k: int) -> tuple[bytes, bytes, bytes]:
-    """Bitmap of the columns (by the hash's upper 32 bits) that occur in more
-    than one row, and the frequent ones (sorted) with their counts."""
-    # a block holds about 32 million entries of the matrix
-    segments = max(64, min(1 << 22, n_shingles // 32_000_000 + 1))
-    segments = 1 << (segments - 1).bit_length()
-    shift, bits = 32 - (segments.bit_length() - 1), BITMAP_BITS // segments
-    # at most 1 / COMMON_SHARE columns can hold more than this many entries
-    common = max(8, int(n_shingles * COMMON_SHARE))
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
-
-        def flush() -> pa.RecordBatch:
-            # equal columns are added up here, so a frequent one stays one entry
-            upper, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint32), return_counts=True)
-            held.clear()
-            cuts = np.searchsorted(upper, np.arange(1, segments, dtype=np.uint64) << np.uint64(shift))
-            parts = [(i, u.tobytes(), c.tobytes()) for i, (u, c) in enumerate(zip(np.split(upper, cuts), np.split(n.astype(np.uint32), cuts), strict=True)) if len(u)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in parts], pa.int32()), *[pa.array([x[i] for x in parts], pa.binary()) for i in (1, 2)]],
-                names=["segment", "part", "n"],
-            )
+    """The columns (by the hash's upper 32 bits) that occur in more than one
+    row, as a bitmap, and the frequent ones (sorted) with their counts."""
 
-        for b in slices(batches):
-            for s in shingle_sets(b.column("text").to_pylist(), memory(), k):
-                held.append((s >> np.uint64(32)).astype(np.uint32))
-                n_held += len(s)
-            if n_held > 4_000_000:
-                yield flush()
-                n_held = 0
-        yield flush()
-
-    def add_up(rows: pa.Table) -> pa.Table:
-        values = np.concatenate([np.frombuffer(p, np.uint32) for p in rows.column("part").to_pylist()])
-        counts = np.concatenate([np.frombuffer(p, np.uint32) for p in rows.column("n").to_pylist()])
-        order = np.argsort(values, kind="stable")
-        values, counts = values[order], counts[order].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        column, n = values[first], np.add.reduceat(counts, first)
-        bitmap = np.zeros(bits, bool)
-        bitmap[bitmap_place(column[n > 1]) % np.uint64(bits)] = True
-        often = n > common
-        return pa.table(
-            {
-                "segment": pa.array([rows.column("segment")[0].as_py()], pa.int32()),
-                "bitmap": pa.array([np.packbits(bitmap).tobytes()], pa.binary()),
-                "often": pa.array([column[often].tobytes()], pa.binary()),
-                "n": pa.array([n[often].tobytes()], pa.binary()),
-            }
-        )
-
-    parts = docs.select("text").mapInArrow(deal, "segment int, part binary, n binary")
-    summed = parts.groupBy("segment").applyInArrow(add_up, "segment int, bitmap binary, often binary, n binary").collect()
-    summed = {r["segment"]: r for r in summed}
-    empty = bytes(bits // 8)
-    bitmap = b"".join(bytes(summed[i]["bitmap"]) if i in summed else empty for i in range(segments))
-    return bitmap, b"".join(bytes(summed[i]["often"]) for i in sorted(summed)), b"".join(bytes(summed[i]["n"]) for i in sorted(summed))
-
-
-def bitmap_place(upper: np.ndarray) -> np.ndarray:
-    return upper.astype(np.uint64) * np.uint64(BITMAP_BITS) >> np.uint64(32)
-
-
-def test_bits(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return (bitmap[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 > 0
+    def columns(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for s in shingle_sets(batch.column("text").to_pylist(), memory(), k):
+            yield (s >> np.uint64(32)).astype(np.uint32)
+
+    return hash_sums(docs.select("text"), columns, n_shingles, COMMON_SHARE)
 
 
 def entities(docs: DataFrame, k: int) -> DataFrame:
@@ -237,15 +179,7 @@ def prefix_columns(docs: DataFrame, sums: tuple[bytes, bytes, bytes], percent: i
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """entity, shingles (packed) of the wanted entities, one row each."""
 
-    def pack(rows: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << 16, bool)
-        bits[rows.column("bit").to_numpy()] = True
-        return pa.table({"segment": rows.column("segment").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    place = F.pmod("entity", F.lit(ENTITY_BITS))
-    parts = wanted.select(F.floor(place / (1 << 16)).cast("int").alias("segment"), (place % (1 << 16)).cast("int").alias("bit")).distinct()
-    packed = {r["segment"]: bytes(r["bits"]) for r in parts.groupBy("segment").applyInArrow(pack, "segment int, bits binary").collect()}
-    bitmap = b"".join(packed.get(i, bytes(1 << 13)) for i in range(ENTITY_BITS >> 16))
+    bitmap = packed_bitmap(wanted, F.pmod("entity", F.lit(ENTITY_BITS)), ENTITY_BITS)
     shipped = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, lm_score, mixing, pii, token_counts, toxicity, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, lm_score, mixing, pii, suffix_dedup, token_counts, toxicity, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": suffix_dedup.deduplicated_documents,
     "op2_suffix_tree_score": lm_score.scored_documents,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": mixing.mixed_documents,

@@ -324,12 +324,12 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = WORDS
     of its repeated rows one; documents with an empty set all stay."""
     decided = jaccard_components(docs, percent, k, wide)
     goes = decided.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("keep"), F.count(F.lit(1)).alias("rows")
+        F.min("component_id").alias("__keep"), F.count(F.lit(1)).alias("__rows")
     )
-    goes = written(goes.filter("keep < doc_id or rows > 1").withColumnRenamed("doc_id", "__id"), "goes")
+    goes = written(goes.filter("__keep < doc_id or __rows > 1").withColumnRenamed("doc_id", "__id"), "goes")
     marked = docs.join(goes, F.col("doc_id") == F.col("__id"), "left")
     plain = marked.filter(F.col("__id").isNull())
-    again = marked.filter("__id is not null and keep = doc_id").dropDuplicates(["__id"])
+    again = marked.filter("__id is not null and __keep = doc_id").dropDuplicates(["__id"])
     return plain.select(docs.columns).unionByName(again.select(docs.columns))
 
 

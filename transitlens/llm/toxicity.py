@@ -51,9 +51,9 @@ IMITATES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l",
 }
-# natural-log costs of the channel: imitation, dropped separator, dropped
-# repetition, dropped digit or other sign
-IMITATION, SEPARATOR, REPEATED, DROPPED = 1.0, 0.5, 0.7, 6.0
+# natural-log costs of the channel: imitation, dropped separator, dropped third
+# and further equal letter, dropped second one, dropped digit
+IMITATION, SEPARATOR, REPEATED, DOUBLE, DROPPED = 1.0, 0.5, 0.1, 3.0, 6.0
 LETTER = re.compile(r"[^\W\d_]")
 WORD = re.compile(r"[^\W\d_]+")
 RUN = re.compile(r"(.)\1\1")
@@ -75,12 +75,13 @@ class Source:
         return -math.log((seen + 0.1) / (self.before.get(before, 0) + 0.1 * self.letters))
 
 
-def readings(char: str, previous: str) -> list[tuple[str, float]]:
-    """(letter or nothing, cost) for one character of the lattice."""
+def readings(spelling: str, i: int) -> list[tuple[str, float]]:
+    """(letter or nothing, cost) for the i-th character of a spelling."""
+    char = spelling[i]
     if LETTER.match(char):
         out = [(char, 0.0)]
-        if char == previous:
-            out.append(("", REPEATED))
+        if i and spelling[i - 1] == char:  # a double letter is common, a third one isn't
+            out.append(("", REPEATED if spelling[max(i - 2, 0) : i + 1] == 3 * char else DOUBLE))
         return out
     out = [(c, IMITATION) for c in IMITATES.get(char, "")]
     out.append(("", SEPARATOR if not char.isalnum() else DROPPED))
@@ -92,10 +93,9 @@ def restore(spelling: str, source: Source) -> str:
     last two letters read, a handful at each character, so the work is linear
     in the length."""
     states: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
-    previous = ""
-    for char in spelling:
+    for i in range(len(spelling)):
         reached: dict[str, tuple[float, tuple | None]] = {}
-        for letter, extra in readings(char, previous):
+        for letter, extra in readings(spelling, i):
             for last, (cost, path) in states.items():
                 if letter:
                     total, state, way = cost + extra + source.cost(last, letter), last[1] + letter, (letter, path)
@@ -103,7 +103,7 @@ def restore(spelling: str, source: Source) -> str:
                     total, state, way = cost + extra, last, path
                 if state not in reached or total < reached[state][0]:
                     reached[state] = (total, way)
-        states, previous = reached, char
+        states = reached
     _, path = min(((cost + source.cost(last, "$"), path) for last, (cost, path) in states.items()), key=lambda x: x[0])
     letters = []
     while path:
@@ -163,15 +163,6 @@ def features(words) -> set[str]:
     return out
 
 
-def g_statistic(a: int, b: int, n1: int, n0: int) -> float:
-    """Of a feature in a of n1 toxic and b of n0 other texts."""
-    n, g = n1 + n0, 0.0
-    for seen, share, group in ((a, a + b, n1), (b, a + b, n0), (n1 - a, n - a - b, n1), (n0 - b, n - a - b, n0)):
-        if seen > 0:
-            g += 2 * seen * math.log(seen * n / (share * group))
-    return g
-
-
 def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """text, y: distinct texts of the bounded sample of training labels."""
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (id_remainder(4) != 2))
@@ -209,7 +200,7 @@ def pick_features(texts: DataFrame, trigrams: dict[str, int], n1: int, n0: int)
         )
 
     counted = texts.select("text", "y").mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    # the G statistic in SQL would repeat g_statistic; its terms with a > 0 suffice for the order
+    # G statistic of a feature in a of n1 toxic and b of n0 other texts
     n = n1 + n0
     term = lambda seen, share, group: F.when(seen > 0, 2 * seen * F.log(seen * F.lit(float(n)) / (share * F.lit(float(group))))).otherwise(0.0)
     a, b = F.col("a"), F.col("b")

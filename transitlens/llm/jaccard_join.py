@@ -16,11 +16,11 @@ A document's row of the matrix is its set of distinct ``words``-word shingles
 4. The product of each block of columns adds up overlap counts of pairs; a pair
    whose count plus what the prefixes leave open cannot reach the bound is
    discarded.  The others are verified on the whole sets.
-5. A column with more than ``wide`` entities first links its members to the
-   column's smallest one (a star, not all pairs).  Connected components of the
-   links follow, and then the pairs of a wide column that lie in different
-   components are taken, in square blocks of its members, so that no link
-   between different components is lost.
+5. A column with more than ``wide`` entities first compares its members with one
+   of them (a star, not all pairs).  Connected components of the links follow,
+   and then the pairs of a wide column that lie in different components, and
+   for which the column can be the first one shared, are taken in square
+   blocks of its members, so that no link between components is lost.
 
 What is broadcast has a fixed size: a bitmap of ``BITMAP_BITS`` bits naming the
 columns with more than one document, at most ``1 / COMMON_SHARE`` frequent
@@ -135,45 +135,50 @@ def entities(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(name, "doc_id long, entity long, n long")
 
 
-def prefix_of(s: np.ndarray, bitmap: np.ndarray, often: np.ndarray, often_n: np.ndarray, percent: int) -> np.ndarray:
-    """The columns of a set's prefix that other documents have too.
+def prefix_of(s: np.ndarray, bitmap: np.ndarray, often: np.ndarray, often_n: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The columns of a set's prefix that other documents have too, in order,
+    and the place of the first of them among all the set's columns.
 
     Order of the columns: those without a bit (one document only), then by the
     count of the frequent ones (0 for the rest), then by hash.
     """
     upper = (s >> np.uint64(32)).astype(np.uint32)
     shared = test_bits(bitmap, bitmap_place(upper))
-    left = prefix_length(len(s), percent) - (len(s) - int(shared.sum()))
+    alone = len(s) - int(shared.sum())
+    left = prefix_length(len(s), percent) - alone
     if left <= 0:
-        return s[:0]
+        return s[:0], alone
     s, upper = s[shared], upper[shared]
     count = np.zeros(len(s), np.int64)
     if len(often):
         at = np.minimum(np.searchsorted(often, upper), len(often) - 1)
         count = np.where(often[at] == upper, often_n[at], 0)
-    return s[np.lexsort((s, count))][:left]
+    return s[np.lexsort((s, count))][:left], alone
 
 
 def prefix_columns(docs: DataFrame, sums: tuple[bytes, bytes, bytes], percent: int, k: int) -> DataFrame:
-    """h, entity, n: the entries of the incidence matrix that are multiplied."""
+    """h, entity, n, pos: the entries of the incidence matrix that are
+    multiplied; pos is the column's place in the set's order."""
     shipped = docs.sparkSession.sparkContext.broadcast(sums)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, often, often_n = (np.frombuffer(x, t) for x, t in zip(shipped.value, (np.uint8, np.uint32, np.int64), strict=True))
         for b in slices(batches):
-            columns, owner, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            columns, owner, size, pos = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for s in shingle_sets(b.column("text").to_pylist(), memory(), k):
-                prefix = prefix_of(s, bitmap, often, often_n, percent) if len(s) else s
+                prefix, place = prefix_of(s, bitmap, often, often_n, percent) if len(s) else (s, 0)
                 if len(prefix):
                     columns.append(prefix)
                     owner.append(np.full(len(prefix), entity_of(s), np.int64))
                     size.append(np.full(len(prefix), len(s), np.int64))
+                    pos.append(np.arange(place, place + len(prefix)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in ([c.view(np.int64) for c in columns], owner, size)], names=["h", "entity", "n"]
+                [pa.array(np.concatenate(x)) for x in ([c.view(np.int64) for c in columns], owner, size, pos)], names=["h", "entity", "n", "pos"]
             )
 
     # copies have the same entries: partial aggregation drops them before the shuffle
-    return docs.select("text").mapInArrow(cut, "h long, entity long, n long").groupBy("h", "entity").agg(F.first("n").alias("n"))
+    rows = docs.select("text").mapInArrow(cut, "h long, entity long, n long, pos long")
+    return rows.groupBy("h", "entity").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -220,33 +225,44 @@ def within_bounds(n: Column, m: Column, percent: int) -> Column:
     return percent * F.greatest(n, m) <= 100 * F.least(n, m)
 
 
+def overlap_needed(n: Column, m: Column, percent: int) -> Column:
+    return F.ceil(percent * (n + m) / (100 + percent))
+
+
+def can_be_first(percent: int) -> Column:
+    """Whether a shared column can be the first one shared by a linked pair:
+    from there on, either set must have as many columns as must be shared."""
+    least = overlap_needed(F.col("nx"), F.col("ny"), percent)
+    return (F.col("px") + least <= F.col("nx")) & (F.col("py") + least <= F.col("ny"))
+
+
 def candidate_pairs(columns: DataFrame, percent: int, wide: int) -> tuple[DataFrame, DataFrame]:
     """(pairs x, y to verify; entries of the wide columns)."""
-    sums = columns.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("n", "entity")).alias("first")).filter("m > 1")
+    sums = columns.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     entries = written(columns.join(sums, "h"), "columns")
     narrow = entries.filter(F.col("m") <= wide)
-    left, right = (narrow.select("h", F.col("entity").alias(e), F.col("n").alias(n)) for e, n in (("x", "nx"), ("y", "ny")))
+    left, right = (narrow.select("h", *[F.col(c).alias(c[0] + e if c != "entity" else e) for c in ("entity", "n", "pos")]) for e in ("x", "y"))
     product = left.join(right, "h").filter((F.col("x") < F.col("y")) & within_bounds(F.col("nx"), F.col("ny"), percent))
+    counted = product.groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c"), F.max(can_be_first(percent)).alias("first"))
+    # A wide column's star: its centre is the member with the most entries in
+    # wide columns.  An original has more of them than its edited copies.
     broad = entries.filter(F.col("m") > wide)
-    star = broad.select(
-        F.least("entity", "first.entity").alias("x"), F.greatest("entity", "first.entity").alias("y"),
-        F.when(F.col("entity") < F.col("first.entity"), F.col("n")).otherwise(F.col("first.n")).alias("nx"),
-        F.when(F.col("entity") < F.col("first.entity"), F.col("first.n")).otherwise(F.col("n")).alias("ny"),
-    ).filter((F.col("x") < F.col("y")) & within_bounds(F.col("nx"), F.col("ny"), percent))
-    counted = product.groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c"))
-    counted = counted.unionByName(star.select("x", "y", "nx", "ny").distinct().withColumn("c", F.lit(0)))
-    counted = counted.groupBy("x", "y", "nx", "ny").agg(F.sum("c").alias("c"))
-    # entries in wide columns are not counted: each may be one more overlap
     open_ = broad.groupBy("entity").agg(F.count(F.lit(1)).alias("w"))
-    counted = counted.join(open_.select(F.col("entity").alias("x"), F.col("w").alias("wx")), "x", "left")
+    ranked = broad.join(open_, "entity")
+    centre = ranked.groupBy("h").agg(F.max(F.struct("w", "entity", "n")).alias("centre"))
+    star = ranked.join(centre, "h").select(F.col("entity").alias("x"), F.col("n").alias("nx"), F.col("centre.entity").alias("y"), F.col("centre.n").alias("ny"))
+    star = star.filter((F.col("x") != F.col("y")) & within_bounds(F.col("nx"), F.col("ny"), percent))
+    star = star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    # entries in wide columns are not counted: each may be one more overlap
+    counted = counted.filter("first").join(open_.select(F.col("entity").alias("x"), F.col("w").alias("wx")), "x", "left")
     counted = counted.join(open_.select(F.col("entity").alias("y"), F.col("w").alias("wy")), "y", "left")
     # Of the set whose prefix ends first in the order of columns, all entries
     # shared in the prefix are counted; its rest adds at most its size.  Which
     # set that is isn't known here, so the larger rest stands for both.
     rest = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("nx", "ny")])
-    least = F.ceil(percent * (F.col("nx") + F.col("ny")) / (100 + percent))
     most = F.col("c") + F.least(F.coalesce("wx", F.lit(0)), F.coalesce("wy", F.lit(0))) + rest
-    return counted.filter(most >= least).select("x", "y"), broad
+    pairs = counted.filter(most >= overlap_needed(F.col("nx"), F.col("ny"), percent)).select("x", "y")
+    return pairs.union(star).distinct(), broad
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -272,20 +288,21 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def pairs_across(broad: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a wide column in different components, square by square."""
+    """Pairs of a wide column in different components that can link, square by
+    square."""
     label = F.coalesce("label", F.col("entity"))
-    entries = broad.select("h", "entity", "n").join(labels.withColumnRenamed("node", "entity"), "entity", "left").select("h", "entity", "n", label.alias("label"))
+    entries = broad.select("h", "entity", "n", "pos").join(labels.withColumnRenamed("node", "entity"), "entity", "left").select("h", "entity", "n", "pos", label.alias("label"))
     mixed_columns = entries.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).filter("lo < hi")
     entries = entries.join(mixed_columns.select("h", F.ceil(F.col("m") / SQUARE).cast("int").alias("blocks")), "h")
     entries = entries.withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
     # a member meets every block of its column: once as left, once as right side
     left = entries.select("h", F.col("block").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"),
-                          F.col("entity").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
+                          F.col("entity").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("label").alias("lx"))
     right = entries.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("a"), F.col("block").alias("b"),
-                           F.col("entity").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
+                           F.col("entity").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("label").alias("ly"))
     pairs = left.filter("a <= b").join(right.filter("a <= b"), ["h", "a", "b"])
     pairs = pairs.filter((F.col("lx") != F.col("ly")) & ((F.col("a") < F.col("b")) | (F.col("x") < F.col("y"))))
-    pairs = pairs.filter(within_bounds(F.col("nx"), F.col("ny"), percent))
+    pairs = pairs.filter(within_bounds(F.col("nx"), F.col("ny"), percent) & can_be_first(percent))
     return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 

@@ -64,8 +64,8 @@ def test_timeline_with_small_buckets_matches_one_bucket(spark):
 
     rows = random_reports(250, 6, seed=5, max_step=20, delays=(3, 1, -2, 7))
     df = frame(spark, rows)
-    one = sorted(map(tuple, topk.top_delayed_timeline(df, 10, bucket_ms=10**12).collect()))
-    many = sorted(map(tuple, topk.top_delayed_timeline(df, 10, bucket_ms=37).collect()))
+    one = sorted(map(tuple, topk.top_delayed_timeline(df, 10, buckets=1).collect()))
+    many = sorted(map(tuple, topk.top_delayed_timeline(df, 10, buckets=9).collect()))
     assert one == many and len(one) > 0
 
 

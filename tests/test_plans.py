@@ -3,7 +3,7 @@
 import re
 
 from helpers import frame
-from transitlens.operators import filters, gaps, topk
+from transitlens.operators import filters, gaps, recent, topk
 
 
 def _explain(df, mode="formatted"):
@@ -36,17 +36,33 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in per_tick and "Partial" in per_tick
 
 
-def test_trailing_frame_is_partitioned_by_bucket(spark):
-    rows = [{"seq": i, "id": f"v{i % 5}", "t": 1000 * i} for i in range(100)]
-    plan = _explain(gaps.gap_timeline(frame(spark, rows)), "simple")
-    # the frame over the reports runs per time bucket; only the per-bucket
-    # tail summary (at most N rows per bucket) is ordered globally
-    windows = re.findall(r"Window \[[^\n]*", plan)
-    data_frames = [w for w in windows if "RowFrame, -9, currentrow" in w]
-    assert data_frames and all("_b" in w.split("windowspecdefinition(")[1].split(",")[0] for w in data_frames)
+def test_frames_and_tails_are_partitioned_by_bucket(spark):
+    rows = [{"seq": i, "id": f"v{i % 5}", "t": 1000 * i, "delay": i % 3} for i in range(100)]
+    for df in (gaps.gap_timeline(frame(spark, rows)), gaps.gap_per_vehicle(frame(spark, rows)), recent.recent_lists(frame(spark, rows))):
+        plan = _explain(df, "simple")
+        assert "SinglePartition" not in plan and "Window" in plan
+        for w in re.findall(r"Window \[[^\n]*", plan):
+            assert "_b" in w.split("windowspecdefinition(")[1].split(",")[0]
 
 
 def test_latest_per_vehicle_is_partially_aggregated(spark):
     rows = [{"seq": i, "id": f"v{i % 5}", "t": i, "delay": 1} for i in range(100)]
     plan = _explain(topk.latest_delay_per_vehicle(frame(spark, rows)))
     assert "partial_max_by" in plan
+
+
+def test_latest_states_are_aggregated_by_hash(spark):
+    rows = [{"seq": i, "id": f"v{i % 5}", "t": i, "delay": 1} for i in range(100)]
+    r = frame(spark, rows)
+    for df in (topk.latest_delay_per_vehicle(r), topk.top_delayed(r), recent.recent_final(r)):
+        plan = _explain(df, "simple")
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_active_test_reaches_the_events_scan(spark):
+    from transitlens.plans import queries
+
+    q = queries()
+    for name in ("active_reports", "top5_delayed", "avg_delay_sliding", "recent5_final"):
+        plan = _explain(q[name](spark, "/root/testdata/sf0.001"))
+        assert any("event_type" in p for p in re.findall(r"PushedFilters: \[(.*)\]", plan)), name

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from helpers import brute_last_n, brute_recent, frame
 from transitlens.operators import recent
-from transitlens.operators.carry import with_next_time, with_trailing_rows
+from transitlens.operators.carry import with_next_time, with_oldest_of_last
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -22,32 +22,30 @@ def _rows(raw):
 
 
 @SETTINGS
-@given(raw=reports, sub=st.sampled_from([1, 2, 3, 6]))
-def test_recent_lists_property(spark, raw, sub):
+@given(raw=reports, buckets=st.sampled_from([1, 2, 5, 20]))
+def test_recent_lists_property(spark, raw, buckets):
     rows = _rows(raw)
     got = {}
-    for r in recent.recent_lists(frame(spark, rows), 60_000, sub_buckets=sub).collect():
+    for r in recent.recent_lists(frame(spark, rows), 60_000, buckets=buckets).collect():
         got.setdefault(r.seq, []).append((r.rank, r.id, r.delay, r.lastupdate, r.changed))
     got = {s: ([(i, d, t) for _, i, d, t, _ in sorted(v)], v[0][4]) for s, v in got.items()}
     assert got == brute_recent(rows, 60_000)
 
 
 @SETTINGS
-@given(raw=reports, bucket=st.sampled_from([1000, 7000, 50_000, 10**9]), k=st.integers(1, 5))
-def test_trailing_rows_property(spark, raw, bucket, k):
+@given(raw=reports, buckets=st.sampled_from([1, 3, 9, 40]), n=st.integers(2, 6))
+def test_frame_ends_property(spark, raw, buckets, n):
     rows = _rows(raw)
-    got = {r.seq: r.frame for r in with_trailing_rows(frame(spark, rows), k, bucket).collect()}
-    order = sorted(rows, key=lambda r: (r["t"], r["seq"]))
-    want = {r["seq"]: [q["t"] for q in order[max(0, i - k): i + 1]] for i, r in enumerate(order)}
-    assert got == want
-    assert {s: (len(f), f[-1] - f[0]) for s, f in got.items() if len(f) > 1} == brute_last_n(rows, n=k + 1)
+    for part in ([], ["id"]):
+        got = {r.seq: (r.n, r.span_ms) for r in with_oldest_of_last(frame(spark, rows), n, part, buckets=buckets).collect() if r.n > 1}
+        assert got == brute_last_n(rows, n=n, by_vehicle=bool(part))
 
 
 @SETTINGS
-@given(raw=reports, bucket=st.sampled_from([1000, 9000, 10**9]))
-def test_next_time_property(spark, raw, bucket):
+@given(raw=reports, buckets=st.sampled_from([1, 4, 30]))
+def test_next_time_property(spark, raw, buckets):
     rows = _rows(raw)
-    got = {r.seq: r._next for r in with_next_time(frame(spark, rows), bucket).collect()}
+    got = {r.seq: r._next for r in with_next_time(frame(spark, rows), buckets=buckets).collect()}
     want = {}
     for vid in {r["id"] for r in rows}:
         mine = sorted((r for r in rows if r["id"] == vid), key=lambda r: (r["t"], -r["seq"]))

@@ -37,11 +37,11 @@ def test_shrinking_list_counts_as_change(spark):
 
 
 @pytest.mark.parametrize(
-    "seed,vehicles,sub,gap_every", [(1, 6, 6, 0), (2, 8, 3, 20), (3, 3, 1, 10), (4, 12, 12, 30), (5, 6, 7, 12)]
+    "seed,vehicles,buckets,gap_every", [(1, 6, 6, 0), (2, 8, 3, 20), (3, 3, 1, 10), (4, 12, 12, 30), (5, 6, 7, 12)]
 )
-def test_matches_brute_force(spark, seed, vehicles, sub, gap_every):
+def test_matches_brute_force(spark, seed, vehicles, buckets, gap_every):
     rows = random_reports(300, vehicles, seed, gap_every=gap_every, gap=W + 1000)
-    got = _lists(recent.recent_lists(frame(spark, rows), W, sub_buckets=sub))
+    got = _lists(recent.recent_lists(frame(spark, rows), W, buckets=buckets))
     want = brute_recent(rows, W)
     assert got == want
     assert any(not c for _, c in want.values()) or vehicles < 5 or gap_every
@@ -55,8 +55,27 @@ def test_final_list(spark):
     assert got == d[last["seq"]][0]
 
 
-@pytest.mark.parametrize("target", [3, 20, 10**9])
-def test_data_sized_buckets_match_brute_force(spark, target):
-    rows = random_reports(250, 7, seed=target, gap_every=25, gap=W + 1000)
-    got = _lists(recent.recent_lists(frame(spark, rows), W, target_rows=target))
+@pytest.mark.parametrize("chunk", [3, 20, 10**9])
+def test_chunks_of_a_bucket_match_brute_force(spark, chunk, monkeypatch):
+    monkeypatch.setattr(recent, "CHUNK_ROWS", chunk)
+    rows = random_reports(250, 7, seed=chunk, gap_every=25, gap=W + 1000)
+    got = _lists(recent.recent_lists(frame(spark, rows), W, buckets=3))
     assert got == brute_recent(rows, W)
+
+
+def test_newest_places_equal_a_scan():
+    import random
+
+    import numpy as np
+
+    r = random.Random(2)
+    for n, vehicles, k in ((1, 1, 5), (50, 3, 5), (400, 9, 5), (400, 200, 3), (300, 1, 2)):
+        code = [r.randrange(vehicles) for _ in range(n)]
+        got = recent.newest_places(np.array(code), k)
+        for i in range(n):
+            want, seen = [], set()
+            for p in range(i, -1, -1):
+                if code[p] not in seen and len(want) < k:
+                    seen.add(code[p])
+                    want.append(p)
+            assert [p for p in got[i] if p >= 0] == want

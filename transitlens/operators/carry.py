@@ -1,124 +1,107 @@
-"""Trailing row frames without a single-task window.
-
-``Window.orderBy(t).rowsBetween(-k, 0)`` over a whole stream puts every row in
-one task.  Here rows are split into time buckets (per key, if any); a bucket
-needs only the k rows that precede it, and those are found among the last k
-rows of the k previous non-empty buckets (each non-empty bucket holds at least
-one row).  Those "tails" form a small summary, at most k rows per bucket; the
-frame itself is then evaluated per (key, bucket), so a hot key or a busy hour
-is spread over many tasks.
+"""Ordered work without a single-task window: equal-count buckets.
+
+``Window.orderBy(t)`` over a whole stream puts every row in one task, and
+``partitionBy(key)`` puts a hot key there.  Here the rows are range-partitioned
+by ``(key, time, tie)`` into as many buckets as the session has shuffle
+partitions: equal counts whatever the burst or the hot key, since the tie
+breaker splits even equal times.  A key may run on over several buckets; what
+a bucket needs from its neighbours (the last rows before it, the first time
+after it) is a handful of rows each, exchanged by bucket number.
+
+The ordered table is written once to the shared folder; its readers share the
+same bucket borders, and the input itself is read twice (sample and shuffle).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TARGET_ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKET_MS = 1
-GRANULE_MS = 1000
-ONE_BUCKET_MS = 1 << 60  # wider than any epoch-ms range: a single bucket
+from ..session import written
 
 
-def auto_bucket_ms(
-    df: DataFrame,
-    part: Sequence[str] = (),
-    time_col: str = "lastupdate",
-    target_rows: int = TARGET_ROWS_PER_BUCKET,
-    min_ms: int = MIN_BUCKET_MS,
-) -> Column:
-    """Bucket width (ms) so that no (key, bucket) holds much more than
-    ``target_rows`` rows.  The statistic is a distributed aggregate; only the
-    resulting number is fetched (once, when the plan is built).
+def ordered_buckets(df: DataFrame, order: Sequence, buckets: int | None = None, scratch: str | None = None) -> DataFrame:
+    """``df`` with a bucket number ``_b``: 0, 1, ... without gaps, rising with
+    ``order``.  What comes to the driver is one number per bucket.  ``scratch``:
+    where to write the ordered table (default: a fresh shared folder)."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    table = written(parts, "ordered", scratch)
+    used = sorted(r["_p"] for r in table.select("_p").distinct().collect())
+    dense = F.create_map(*[F.lit(x) for i, p in enumerate(used) for x in (p, i)]) if used else F.lit(None)
+    return table.withColumn("_b", dense[F.col("_p")] if used else F.lit(0)).drop("_p")
 
-    The width follows the *peak* rate: rows per second of the busiest
-    (key, second), so a burst or a key holding a third of all reports is cut
-    into many buckets.  A bucket of that width holds at most about
-    ``target_rows`` plus one second's peak.  When the whole input has no more
-    than ``target_rows`` rows, every key keeps one bucket."""
-    per_second = df.groupBy(*part, F.floor(F.col(time_col) / GRANULE_MS).alias("_g")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    stats = per_second.agg(F.sum("n").alias("total"), F.max("n").alias("peak"))
-    width = stats.select(
-        F.when(F.col("total").isNull() | (F.col("total") <= target_rows), F.lit(ONE_BUCKET_MS))
-        .otherwise(
-            F.greatest(F.lit(min_ms), F.floor(F.lit(float(target_rows) * GRANULE_MS) / F.col("peak")).cast("bigint"))
-        )
-        .alias("width")
-    )
-    # one statistic, computed once by a small distributed job; only the
-    # resulting number reaches the driver
-    return F.lit(width.first()["width"])
 
+def rows_before(ordered: DataFrame, k: int, part: Sequence[str], time_col: str, tie_col: str) -> DataFrame:
+    """The last ``k`` rows of the same key before each bucket, as rows of that
+    bucket: ``(part..., time, tie, _b)``.
 
-def _bucket(df: DataFrame, bucket_ms, part, time_col) -> Column:
-    width = auto_bucket_ms(df, part, time_col) if bucket_ms is None else F.lit(bucket_ms)
-    return F.floor(F.col(time_col) / width).cast("bigint")
+    A key that runs on into bucket b fills all buckets between, and each holds
+    a row at least, so the rows lie in the k buckets before b."""
+    part = list(part)
+    cols = [*part, time_col, tie_col]
+    newest = Window.partitionBy("_b").orderBy(*[F.col(c).desc() for c in cols])
+    tails = ordered.select(*cols, "_b").withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= k).drop("_r")
+    ahead = tails.select(*cols, F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + k)).alias("_b"))
+    # only the bucket's first key can have begun before it
+    first = ordered.groupBy("_b").agg(F.min(F.struct(*cols)).alias("_f")).select("_b", *[F.col(f"_f.{c}").alias(f"_f_{c}") for c in part])
+    wanted = ahead.join(first, "_b")
+    for c in part:
+        wanted = wanted.where(F.col(c).eqNullSafe(F.col(f"_f_{c}")))
+    return (
+        wanted.withColumn("_r", F.row_number().over(newest))
+        .where(F.col("_r") <= k)
+        .select(*cols, "_b")
+    )
 
 
-def with_trailing_rows(
+def with_oldest_of_last(
     df: DataFrame,
-    k: int,
-    bucket_ms: int | None = None,
+    n: int,
     part: Sequence[str] = (),
     time_col: str = "lastupdate",
     tie_col: str = "seq",
-    out: str = "frame",
+    buckets: int | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
-    """Add ``out``: the times of the current row and of up to ``k`` preceding
-    rows (order ``time_col, tie_col``, within ``part``), oldest first, as
-    ``array<bigint>``.  ``bucket_ms=None`` sizes buckets from the data."""
+    """Add the ends of the frame "this row and up to n - 1 before it" (order
+    ``time_col, tie_col`` within ``part``): ``n`` (rows in it) and
+    ``span_ms`` (newest minus oldest time)."""
     part = list(part)
-    key = [*part, "_b"]
-    d = df.withColumn("_b", _bucket(df, bucket_ms, part, time_col))
-    item = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("s"))
-
-    # last k rows of every (key, bucket); WindowGroupLimit trims before the shuffle
-    newest = Window.partitionBy(*key).orderBy(F.col(time_col).desc(), F.col(tie_col).desc())
-    tails = (
-        d.select(*key, item.alias("_it"), F.row_number().over(newest).alias("_r"))
-        .where(F.col("_r") <= k)
-        .groupBy(*key)
-        .agg(F.sort_array(F.collect_list("_it")).alias("_tail"))
+    d = ordered_buckets(df, [*part, time_col, tie_col], buckets, scratch)
+    carried = rows_before(d, n - 1, part, time_col, tie_col).withColumn("_own", F.lit(False))
+    both = d.withColumn("_own", F.lit(True)).unionByName(carried, allowMissingColumns=True)
+    w = Window.partitionBy("_b", *part).orderBy(time_col, tie_col)
+    both = both.select(
+        "*",
+        F.least(F.row_number().over(w), F.lit(n)).cast("bigint").alias("n"),
+        F.coalesce(F.lag(time_col, n - 1).over(w), F.first(time_col).over(w)).alias("_oldest"),
     )
-    # rows preceding each bucket: tails of the k previous non-empty buckets.
-    # This window runs on the summary (<= k rows per bucket), not on the data.
-    prev = Window.partitionBy(*part).orderBy("_b").rowsBetween(-k, -1)
-    carried = tails.select(*key, F.flatten(F.collect_list("_tail").over(prev)).alias("_prev"))
-    carried = carried.select(
-        *key, F.explode(F.expr(f"slice(_prev, greatest(size(_prev) - {k - 1}, 1), {k})")).alias("_it")
-    ).select(*key, F.col("_it.t").alias(time_col), F.col("_it.s").alias(tie_col), F.lit(False).alias("_own"))
-
-    own = d.withColumn("_own", F.lit(True))
-    both = own.unionByName(carried, allowMissingColumns=True)
-    frame = Window.partitionBy(*key).orderBy(time_col, tie_col).rowsBetween(-k, 0)
-    return both.withColumn(out, F.collect_list(F.col(time_col)).over(frame)).where("_own").drop("_own", "_b")
+    return both.where("_own").withColumn("span_ms", F.col(time_col) - F.col("_oldest")).drop("_own", "_b", "_oldest")
 
 
 def with_next_time(
     df: DataFrame,
-    bucket_ms: int | None = None,
     part: Sequence[str] = ("id",),
     time_col: str = "lastupdate",
     tie_col: str = "seq",
     out: str = "_next",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``out``: the ``time_col`` of the next row of the same ``part`` in the
-    order (``time_col`` ascending, ``tie_col`` descending), null for the last.
-
-    ``lead`` over ``partitionBy(part)`` would put a key's whole history in one
-    task; instead the lead runs per (key, time bucket) and a bucket's last row
-    takes the first time of the key's next non-empty bucket from a summary
-    holding one row per (key, bucket)."""
+    order (``time_col`` ascending, ``tie_col`` descending), null for the last."""
     part = list(part)
-    key = [*part, "_b"]
-    d = df.withColumn("_b", _bucket(df, bucket_ms, part, time_col))
-    inside = Window.partitionBy(*key).orderBy(F.col(time_col).asc(), F.col(tie_col).desc())
+    d = ordered_buckets(df, [*part, F.col(time_col).asc(), F.col(tie_col).desc()], buckets=buckets)
+    inside = Window.partitionBy("_b", *part).orderBy(F.col(time_col).asc(), F.col(tie_col).desc())
     d = d.withColumn(out, F.lead(time_col).over(inside))
-    firsts = d.groupBy(*key).agg(F.min(time_col).alias("_first"))
-    following = Window.partitionBy(*part).orderBy("_b")
-    firsts = firsts.select(*key, F.lead("_first").over(following).alias("_after"))
-    return d.join(firsts, key, "left").withColumn(out, F.coalesce(F.col(out), F.col("_after"))).drop("_after", "_b")
+    # the bucket's first row, told to the bucket before it: one row per bucket
+    first = d.groupBy("_b").agg(F.min(F.struct(*part, time_col)).alias("_f"))
+    first = first.select((F.col("_b") - 1).alias("_b"), *[F.col(f"_f.{c}").alias(f"_f_{c}") for c in part], F.col(f"_f.{time_col}").alias("_after"))
+    told = d.join(first, "_b", "left")
+    same = F.lit(True)
+    for c in part:
+        same = same & F.col(c).eqNullSafe(F.col(f"_f_{c}"))
+    told = told.withColumn(out, F.coalesce(F.col(out), F.when(same, F.col("_after"))))
+    return told.drop("_after", "_b", *[f"_f_{c}" for c in part])

@@ -11,15 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import adjacent_deltas, duration_text
 from ..schema import LAST_N
-from .carry import with_trailing_rows
+from .carry import with_oldest_of_last
 from .filters import active
 from .topk import top_k
 
-# bucket widths: None = sized from the data (see carry.auto_bucket_ms)
-FLEET_BUCKET_MS = None
-VEHICLE_BUCKET_MS = None
-
-
 def _newest_first() -> tuple[Column, Column]:
     return (F.col("lastupdate").desc(), F.col("seq").desc())
 
@@ -48,26 +43,22 @@ def buffer_deltas(reports: DataFrame, n: int = LAST_N) -> DataFrame:
     )
 
 
-def _gap_columns(frame: str = "frame") -> list[Column]:
-    n = F.size(frame).cast("bigint")
-    span = F.element_at(frame, -1) - F.element_at(frame, 1)
-    return [n.alias("n"), span.alias("span_ms"), (span / (n - 1)).alias("gap_ms")]
+def _gap() -> Column:
+    return (F.col("span_ms") / (F.col("n") - 1)).alias("gap_ms")
 
 
-def gap_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int | None = FLEET_BUCKET_MS) -> DataFrame:
+def gap_timeline(reports: DataFrame, n: int = LAST_N, buckets: int | None = None) -> DataFrame:
     """After every active report (fleet-wide, in event-time order), the mean
     gap over the last ``n`` reports: ``(seq, lastupdate, n, span_ms, gap_ms)``.
     The first report has no gap and gives no row."""
-    a = active(reports).select("seq", "lastupdate")
-    f = with_trailing_rows(a, n - 1, bucket_ms)
-    return f.select("seq", "lastupdate", *_gap_columns()).where("n > 1")
+    f = with_oldest_of_last(active(reports).select("seq", "lastupdate"), n, buckets=buckets)
+    return f.where("n > 1").select("seq", "lastupdate", "n", "span_ms", _gap())
 
 
-def gap_per_vehicle(reports: DataFrame, n: int = LAST_N, bucket_ms: int | None = VEHICLE_BUCKET_MS) -> DataFrame:
+def gap_per_vehicle(reports: DataFrame, n: int = LAST_N, buckets: int | None = None) -> DataFrame:
     """The same per vehicle: ``(id, seq, lastupdate, n, span_ms, gap_ms)``."""
-    a = active(reports).select("id", "seq", "lastupdate")
-    f = with_trailing_rows(a, n - 1, bucket_ms, part=["id"])
-    return f.select("id", "seq", "lastupdate", *_gap_columns()).where("n > 1")
+    f = with_oldest_of_last(active(reports).select("id", "seq", "lastupdate"), n, part=["id"], buckets=buckets)
+    return f.where("n > 1").select("id", "seq", "lastupdate", "n", "span_ms", _gap())
 
 
 def rounded_gap_micros(span_ms: Column, n: Column) -> Column:
@@ -80,13 +71,20 @@ def rounded_gap_micros(span_ms: Column, n: Column) -> Column:
     return F.when(r2 > m, q + 1).when((r2 == m) & (q % 2 == 1), q + 1).otherwise(q)
 
 
-def gap_text_timeline(reports: DataFrame, n: int = LAST_N, bucket_ms: int | None = FLEET_BUCKET_MS) -> DataFrame:
+def gap_text_timeline(reports: DataFrame, n: int = LAST_N, buckets: int | None = None) -> DataFrame:
     """``(seq, gap_text)``: each mean gap as duration text (``H:MM:SS[.ffffff]``)."""
-    g = gap_timeline(reports, n, bucket_ms)
-    return g.select("seq", duration_text(rounded_gap_micros(F.col("span_ms"), F.col("n"))).alias("gap_text"))
+    return gap_text(gap_timeline(reports, n, buckets))
+
+
+def gap_text(frames: DataFrame, *keep: str) -> DataFrame:
+    """``(seq, gap_text)`` of rows ``(seq, n, span_ms)`` with a gap; ``keep``
+    names further columns to pass on."""
+    text = duration_text(rounded_gap_micros(F.col("span_ms"), F.col("n")))
+    return frames.where("n > 1").select("seq", *keep, text.alias("gap_text"))
 
 
 __all__ = [
+    "gap_text",
     "last_n_buffer",
     "gap_final",
     "buffer_deltas",

@@ -1,8 +1,10 @@
 """Last known state per key (A1, A3).
 
-``max_by`` over a struct ordering is a decomposable aggregate: every map task
-keeps one row per key before the shuffle, so a key that holds a third of all
-reports still sends one row per map task, and the state is one row per key.
+``max_by`` is a decomposable aggregate: every map task keeps one row per key
+before the shuffle, so a key that holds a third of all reports still sends one
+row per map task, and the state is one row per key.  Order and values are
+fixed-width, which lets Spark aggregate by hash without sorting its input (a
+text value, such as a train's stop, still needs the sort).
 """
 
 from __future__ import annotations
@@ -16,33 +18,34 @@ from .filters import active, trains
 
 
 def _order(tie: str) -> Column:
+    """``(lastupdate, ±seq)`` packed into one fixed-width number, so that the
+    aggregate's buffer can be updated in place (hash, not sort, aggregation)."""
     if tie not in ("first", "last"):
         raise ValueError("tie must be 'first' or 'last'")
     # 'first': among equal lastupdate the earliest arrival (smallest seq) wins
     seq = -F.col("seq") if tie == "first" else F.col("seq")
-    return F.struct(F.col("lastupdate"), seq)
+    return F.col("lastupdate").cast("decimal(19,0)") * F.lit(f"1{'0' * 19}").cast("decimal(20,0)") + seq.cast("decimal(19,0)")
 
 
 def latest_per_key(
     df: DataFrame,
     key: str | Sequence[str] = "id",
-    cols: Sequence[str | Column] = ("delay", "lastupdate"),
+    cols: Sequence[str] = ("delay", "lastupdate"),
     tie: str = "first",
 ) -> DataFrame:
     """The newest report per ``key`` by ``lastupdate``; ``tie`` picks the first
     or the last arrival among reports with the same ``lastupdate``."""
     keys = [key] if isinstance(key, str) else list(key)
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), _order(tie)).alias("_r"))
-    return picked.select(*keys, "_r.*")
+    order = _order(tie)
+    return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in cols])
 
 
 def train_last_stop(reports: DataFrame) -> DataFrame:
     """``(id, last_stop, last_update)`` for every train reported so far; a report
     replaces the known one only when strictly newer."""
     t = trains(active(reports))
-    return latest_per_key(
-        t, "id", [F.col("laststopid").alias("last_stop"), F.col("lastupdate").alias("last_update")], tie="first"
-    )
+    newest = latest_per_key(t, "id", ["laststopid", "lastupdate"], tie="first")
+    return newest.select("id", F.col("laststopid").alias("last_stop"), F.col("lastupdate").alias("last_update"))
 
 
 def train_snapshot_lines(last_stop: DataFrame, header: str) -> DataFrame:

@@ -6,22 +6,23 @@ holds the newest report of each vehicle among the delayed reports q with
 cut to 5.  A list counts as changed unless it and the previous one both hold
 5 entries with the same ``(id, delay)`` at every position.
 
-Scale-out: time is cut into buckets of width w (sized from the data so a
-bucket holds about 2M reports, or ``W / sub_buckets`` when given).  Every
-bucket is scanned in order by one task; what it needs from earlier buckets is
-tiny: the 5 newest distinct vehicles of each of the ``ceil(2W / w)`` buckets
-before it (the newest 5 distinct vehicles of a union of ranges are among the
-newest 5 of each range).  With those seeds the scan also knows the list that stood
-before its first row.  The scan keeps one entry per vehicle seen within W,
-ordered by recency, so each report costs O(1); no pairs are formed.  This is
-the one place where a Python scan is used: "newest k distinct keys in a
-sliding range" is not a fixed row frame and has no built-in aggregate.
+Scale-out: the reports are range-partitioned by time into buckets of equal
+counts (``carry.ordered_buckets``).  All a bucket needs from the past is the 5
+newest distinct vehicles of each earlier bucket that reaches into the last 2W
+before it (the newest 5 distinct vehicles of a union are among the newest 5 of
+each part); with these seeds it also knows the list that stood before its
+first row.  Within a bucket the lists are array arithmetic: with ``next[p]`` the
+place of the same vehicle's next report, the list at i is the 5 largest places
+p <= i with ``next[p] > i``, found for all rows at once by descending a table of
+block maxima of ``next``.  A bucket is worked off in chunks, each handing its 5
+newest distinct vehicles to the next, so memory does not follow its size.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
+import bisect
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from ..functions import iso_text
 from ..schema import TOP_N, TRAILING_MS
-from .carry import TARGET_ROWS_PER_BUCKET, auto_bucket_ms
+from .carry import ordered_buckets
 from .filters import active, delayed
 from .latest import latest_per_key
 from .topk import top_k
@@ -46,72 +47,113 @@ LIST_SCHEMA = StructType(
 )
 
 
-def _newest(state: OrderedDict, k: int, since: int) -> list:
-    """Up to k entries ``(id, (t, seq, delay))``, newest first, with t >= since."""
-    top = []
-    for vid in reversed(state):
-        e = state[vid]
-        if e[0] < since or len(top) == k:
-            break
-        top.append((vid, e))
-    return top
-
-
 _DTYPES = {"seq": "int64", "rank": "int32", "id": "object", "delay": "float64", "lastupdate": "int64", "changed": "bool"}
-
-
-def _frame(out: dict) -> pd.DataFrame:
-    """Output batch with fixed dtypes (also when empty)."""
-    return pd.DataFrame({c: pd.Series(out[c], dtype=t) for c, t in _DTYPES.items()})
+CHUNK_ROWS = 100_000
+
+
+def next_places(code: np.ndarray) -> np.ndarray:
+    """Place of the next equal code, ``len(code)`` where there is none."""
+    order = np.argsort(code, kind="stable")
+    out = np.full(len(code), len(code), np.int64)
+    same = code[order[1:]] == code[order[:-1]]
+    out[order[:-1][same]] = order[1:][same]
+    return out
+
+
+def block_maxima(values: np.ndarray) -> list[np.ndarray]:
+    """Maxima of aligned blocks of 1, 2, 4, ... values."""
+    levels = [values]
+    while len(levels[-1]) > 1:
+        v = levels[-1]
+        levels.append(np.maximum(v[0::2], np.append(v[1::2], -1)[: len(v[0::2])]))
+    return levels
+
+
+def last_above(levels: list[np.ndarray], before: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Largest place ``p < before`` with a value above ``least``, else -1; for
+    all queries at once, in steps of blocks of doubling size."""
+    pos, block, level = before.copy(), np.full(len(before), -1), np.full(len(before), -1)
+    open_ = np.flatnonzero(pos > 0)
+    for depth, maxima in enumerate(levels):
+        here = open_[(pos[open_] >> depth) & 1 == 1]
+        left = (pos[here] >> depth) - 1
+        hit = maxima[left] > least[here]
+        block[here[hit]], level[here[hit]] = left[hit], depth
+        pos[here[~hit]] -= 1 << depth
+        open_ = open_[(level[open_] < 0) & (pos[open_] > 0)]
+        if not len(open_):
+            break
+    for depth in range(len(levels) - 1, 0, -1):
+        here = np.flatnonzero(level == depth)
+        right = 2 * block[here] + 1
+        inside = right < len(levels[depth - 1])
+        high = np.zeros(len(here), bool)
+        high[inside] = levels[depth - 1][right[inside]] > least[here[inside]]
+        block[here], level[here] = np.where(high, right, right - 1), depth - 1
+    return block
+
+
+def newest_places(code: np.ndarray, k: int) -> np.ndarray:
+    """Row i: the places of the k newest distinct codes up to i, -1 for none."""
+    n = len(code)
+    levels, i = block_maxima(next_places(code)), np.arange(n)
+    out = np.full((n, k), -1, np.int64)
+    out[:, 0] = i
+    for r in range(1, k):
+        more = np.flatnonzero(out[:, r - 1] > 0)
+        out[more, r] = last_above(levels, out[more, r - 1], i[more])
+    return out
 
 
 def _scan(window_ms: int, k: int):
-    """Scan of rows sorted by (bucket, kind, lastupdate, seq); kind 0 = seed
+    """Lists of rows sorted by (bucket, kind, lastupdate, seq); kind 0 = seed
     from earlier buckets, 1 = the bucket's own report."""
 
+    def lists(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """(output of the emitting rows, rows to hand on)."""
+        code = pd.factorize(rows["id"])[0]
+        t, delay = rows["lastupdate"].to_numpy(np.int64), rows["delay"].to_numpy(np.float64)
+        places = newest_places(code, k)
+        shown = (places >= 0) & (t[places] >= (t - window_ms)[:, None])
+        ids, delays = np.where(shown, code[places], -1), np.where(shown, delay[places], 0.0)
+        same = (ids[1:] == ids[:-1]).all(axis=1) & (delays[1:] == delays[:-1]).all(axis=1) & shown[1:].all(axis=1)
+        changed = ~np.concatenate([[False], same])
+        emit = rows["_emit"].to_numpy(bool) & (rows["_kind"].to_numpy() == 1)
+        row, rank = np.nonzero(shown & emit[:, None])
+        at = places[row, rank]
+        out = pd.DataFrame(
+            {
+                "seq": rows["seq"].to_numpy(np.int64)[row],
+                "rank": (rank + 1).astype(np.int32),
+                "id": rows["id"].to_numpy(object)[at],
+                "delay": delay[at],
+                "lastupdate": t[at],
+                "changed": changed[row],
+            }
+        ).astype(_DTYPES)
+        last = places[-1][places[-1] >= 0][::-1]
+        return out, rows.iloc[last].assign(_kind=0)
+
+    def newest_of(seeds: pd.DataFrame) -> pd.DataFrame:
+        """The k newest distinct vehicles among the seeds, oldest first."""
+        return seeds.drop_duplicates("id", keep="last").tail(k)
+
     def run(batches):
-        cur_b, state, last_seed, prev, started = None, OrderedDict(), None, None, False
+        bucket, held = None, None
         for pdf in batches:
-            out = {f.name: [] for f in LIST_SCHEMA.fields}
-            rows = zip(
-                pdf["_b"].tolist(), pdf["_w"].tolist(), pdf["_kind"].tolist(), pdf["lastupdate"].tolist(),
-                pdf["seq"].tolist(), pdf["id"].tolist(), pdf["delay"].tolist(), pdf["_emit"].tolist(),
-            )
-            for b, bucket_ms, kind, t, s, vid, dly, emit in rows:
-                if b != cur_b:
-                    cur_b, state, last_seed, prev, started = b, OrderedDict(), None, None, False
-                if kind == 1 and not started:
-                    started = True
-                    # list after the last report before this bucket; if that
-                    # report lies more than W before the bucket, this bucket's
-                    # first list holds one entry and counts as changed anyway
-                    if last_seed is not None and last_seed >= b * bucket_ms - window_ms:
-                        prev = [(i, e[2]) for i, e in _newest(state, k, last_seed - window_ms)]
-                if vid in state:
-                    state.move_to_end(vid)
-                state[vid] = (t, s, dly)
-                if kind == 0:
-                    last_seed = t
-                    continue
-                while state:
-                    oldest = next(iter(state))
-                    if state[oldest][0] >= t - window_ms:
-                        break
-                    state.popitem(last=False)
-                top = _newest(state, k, t - window_ms)
-                key = [(i, e[2]) for i, e in top]
-                changed = prev is None or len(prev) < k or len(key) < k or key != prev
-                prev = key
-                if not emit:  # a context row: it shapes the state, its list was emitted before
-                    continue
-                for rank, (i, e) in enumerate(top, start=1):
-                    out["seq"].append(s)
-                    out["rank"].append(rank)
-                    out["id"].append(i)
-                    out["delay"].append(e[2])
-                    out["lastupdate"].append(e[0])
-                    out["changed"].append(changed)
-            yield _frame(out)
+            for b, part in pdf.groupby("_b", sort=False):
+                if b != bucket:
+                    bucket, held = b, part.iloc[:0]
+                for lo in range(0, len(part), CHUNK_ROWS):
+                    rows = pd.concat([held, part.iloc[lo : lo + CHUNK_ROWS]], ignore_index=True)
+                    own = rows["_kind"].to_numpy() == 1
+                    if not own.any():
+                        held = newest_of(rows)
+                        continue
+                    first = int(np.argmax(own))
+                    rows = pd.concat([newest_of(rows.iloc[:first]), rows.iloc[first:]], ignore_index=True)
+                    out, held = lists(rows)
+                    yield out
 
     return run
 
@@ -120,38 +162,29 @@ def recent_lists(
     reports: DataFrame,
     window_ms: int = TRAILING_MS,
     k: int = TOP_N,
-    sub_buckets: int | None = None,
-    target_rows: int = TARGET_ROWS_PER_BUCKET,
+    buckets: int | None = None,
     context: DataFrame | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Every delayed report's list: ``(seq, rank, id, delay, lastupdate, changed)``.
-    ``sub_buckets`` fixes the bucket width to ``W / sub_buckets``; by default
-    the width is sized from the data (``target_rows`` reports per bucket).
     ``context``: earlier delayed reports ``(seq, id, delay, lastupdate)`` that
     shape the lists but get none of their own (see ``newest_distinct``)."""
     d = delayed(active(reports)).select("seq", "id", "delay", "lastupdate").withColumn("_emit", F.lit(True))
     if context is not None:
         d = d.unionByName(context.select("seq", "id", "delay", "lastupdate").withColumn("_emit", F.lit(False)))
-    if sub_buckets:
-        width = F.lit(-(-window_ms // sub_buckets)).cast("bigint")
-    else:
-        # at least W/360 wide, so a bucket's seeds (5 per earlier bucket within
-        # 2W) stay far below the rows it holds
-        width = auto_bucket_ms(d, (), target_rows=target_rows, min_ms=max(1, window_ms // 360))
-    d = d.withColumn("_w", width).withColumn("_b", F.floor(F.col("lastupdate") / F.col("_w")).cast("bigint"))
-    # buckets whose tails can matter: everything within 2W before a bucket
-    reach = F.ceil(F.lit(2 * window_ms) / F.col("_w")).cast("bigint")
-
-    # seeds: the k newest distinct vehicles of each bucket, copied to the
-    # 2 * sub_buckets buckets after it (a partial aggregate, then a partial top-k)
-    per_vehicle = d.groupBy("_b", "_w", "id").agg(
-        F.max_by(F.struct("lastupdate", "seq", "delay"), F.struct("lastupdate", "seq")).alias("_r")
-    ).select("_b", "_w", "id", "_r.*")
+    d = ordered_buckets(d, ["lastupdate", "seq"], buckets, scratch)
+    # last bucket that each bucket's newest vehicles can matter to: one row per bucket
+    bounds = d.groupBy("_b").agg(F.min("lastupdate").alias("lo"), F.max("lastupdate").alias("hi")).orderBy("_b").collect()
+    begins = [r["lo"] for r in bounds]
+    reach = [max(bisect.bisect_right(begins, r["hi"] + 2 * window_ms) - 1, i) for i, r in enumerate(bounds)]
+    last = F.element_at(F.array(*[F.lit(x) for x in reach]), F.col("_b") + 1) if reach else F.lit(0)
+
+    per_vehicle = latest_per_key(d, ["_b", "id"], ["lastupdate", "seq", "delay"], tie="last")
     newest = Window.partitionBy("_b").orderBy(F.col("lastupdate").desc(), F.col("seq").desc())
     tails = per_vehicle.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= k).drop("_n")
-    seeds = tails.select(
-        F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + reach)).alias("_b"),
-        "_w", "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"), F.lit(False).alias("_emit"),
+    seeds = tails.where(last > F.col("_b")).select(
+        F.explode(F.sequence(F.col("_b") + 1, last)).alias("_b"),
+        "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"), F.lit(False).alias("_emit"),
     )
     rows = d.withColumn("_kind", F.lit(1)).unionByName(seeds)
     rows = rows.repartition("_b").sortWithinPartitions("_b", "_kind", "lastupdate", "seq")

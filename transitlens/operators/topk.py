@@ -60,11 +60,8 @@ def top_list_json(top: DataFrame) -> DataFrame:
     )
 
 
-TIMELINE_BUCKET_MS = None  # sized from the data (carry.auto_bucket_ms)
-
-
 def top_delayed_timeline(
-    reports: DataFrame, tick_ms: int, k: int = TOP_N, bucket_ms: int | None = TIMELINE_BUCKET_MS
+    reports: DataFrame, tick_ms: int, k: int = TOP_N, buckets: int | None = None
 ) -> DataFrame:
     """The top-``k`` delayed list as it stood at every tick (multiples of
     ``tick_ms`` between the first and the last report): ``(tick_ms, rank, id,
@@ -74,7 +71,7 @@ def top_delayed_timeline(
     a = active(reports).select("id", "seq", "delay", "lastupdate")
     # next report of the same vehicle; in (lastupdate asc, seq desc) order the
     # newest report, first arrival among ties, comes last
-    states = delayed(with_next_time(a, bucket_ms, part=["id"]))
+    states = delayed(with_next_time(a, part=["id"], buckets=buckets))
     # scalar subquery (one value, no join), bound once to a column
     newest = a.select(F.max("lastupdate")).scalar()
     states = states.withColumn("_last_tick", F.floor(newest / tick_ms).cast("bigint") * tick_ms)

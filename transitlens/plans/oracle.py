@@ -9,7 +9,8 @@ at test scale and independent of the Spark plans it checks.
 from __future__ import annotations
 
 from ..schema import SLIDE_10MIN_MS, SLIDE_MS, TRAILING_6H_MS, TRAILING_MS
-from .registry import DAMAGE_ABOVE_VALUE
+from ..sources.replay import JITTER_MS, LEAST_BATCHES, ROWS_PER_FILE, STEP
+from .registry import COARSE_VEHICLES, DAMAGE_ABOVE_VALUE, LATE_KEY_LATENESS_MS, REPLAY_LATENESS_MS
 
 REPORTS = """reports AS (
   SELECT event_id AS seq,
@@ -24,6 +25,19 @@ REPORTS = """reports AS (
   FROM events),
 active AS (SELECT * FROM reports WHERE isinactive = 'false')"""
 
+# few vehicles and one delay (see registry._coarse)
+COARSE_REPORTS = REPORTS.replace(
+    "CAST(user_id AS VARCHAR) AS id", f"'v' || CAST(user_id % {COARSE_VEHICLES} AS VARCHAR) AS id"
+).replace(
+    "CAST(CAST(round(value * 100) AS BIGINT) - 3000 AS DOUBLE) AS delay",
+    "CAST(sign(CAST(round(value * 100) AS BIGINT) - 3000) AS DOUBLE) AS delay",
+)
+
+# arrival batches of the replay (see sources.replay)
+ARRIVED = f"""bounds AS (SELECT min(lastupdate) AS lo, max(lastupdate) AS hi, greatest({LEAST_BATCHES}, count(*) // {ROWS_PER_FILE}) AS n FROM reports),
+arrived AS (
+  SELECT r.*, ((r.lastupdate - lo + (r.seq * {STEP}) % {JITTER_MS}) * n) // (hi - lo + {JITTER_MS}) AS b FROM reports r, bounds)"""
+
 LINES = """lines AS (
   SELECT seq, src_value,
          '{"attributes":{"id":"' || id || '","bearing":' || CAST(CAST(bearing AS BIGINT) AS VARCHAR)
@@ -253,21 +267,62 @@ WHERE rank <= 5""",
     q["last10_gap_text"] = _w(
         f"SELECT seq, {_duration(_rounded_us('span_ms', 'n'))} AS gap_text FROM frame WHERE n > 1", FRAME
     )
-    # streaming twins answer like their batch forms
+    coarse = lambda sql: sql.replace(REPORTS, COARSE_REPORTS)
+    q["recent5_coarse_timeline"] = coarse(q["recent5_timeline_6h"])
+    q["recent5_coarse_changes"] = coarse(q["recent5_changes_6h"])
+    # text files hold the same documents; tokens are cut by SQL itself
+    q["text_scan_reports"] = q["text_stream_scan_reports"] = _w(f"SELECT {COLS.removeprefix('seq, ')} FROM reports")
+    q["text_tokens"] = r"""SELECT token, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(coalesce(text, ''), '\s+')) AS token FROM documents) WHERE token <> '' GROUP BY token"""
+    # streaming twins that do not depend on the order of arrival
     for twin, batch in [
         ("stream_scan_reports", "parse_reports"),
         ("stream_north_bearing", "north_bearing"),
         ("stream_train_last_stop", "train_last_stop"),
         ("stream_top5_delayed", "top5_delayed"),
-        ("stream_last10_per_vehicle", "last10_gap_per_vehicle"),
         ("stream_recent5", "recent5_final"),
-        ("stream_recent5_changes", "recent5_changes"),
         ("stream_last10_buffer", "last10_buffer"),
     ]:
         q[twin] = q[batch]
-    # append mode emits the windows whose end the final watermark has passed
+    # answers per report come once the newest time minus the lateness has passed them
+    settled = f"(SELECT max(lastupdate) - {REPLAY_LATENESS_MS} FROM reports)"
+    for twin, batch, column in [
+        ("stream_recent5_changes", "recent5_changes", "t.seq"),
+        ("stream_recent5_coarse_changes", "recent5_coarse_changes", "t.seq"),
+        ("stream_last10_gap_text", "last10_gap_text", "seq"),
+    ]:
+        word = " AND " if " WHERE " in q[batch].rsplit("\n", 1)[-1] else " WHERE "
+        q[twin] = q[batch] + f"{word}{column} IN (SELECT seq FROM reports WHERE lastupdate < {settled})"
+    # windows whose end the final watermark has passed
     q["stream_avg_delay_sliding"] = (
         "SELECT * FROM (" + _sliding(TRAILING_MS, SLIDE_MS, True) + ") s "
-        "WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type <> 'error') - 10000"
+        f"WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type <> 'error') - {REPLAY_LATENESS_MS}"
+    )
+    q["stream_avg_delay_ptime"] = _w(
+        f"SELECT CAST(count(*) * {TRAILING_MS // SLIDE_MS} AS BIGINT) AS reports_in_windows, "
+        f"CAST({TRAILING_MS // 1000} AS BIGINT) AS shortest_s, CAST({TRAILING_MS // 1000} AS BIGINT) AS longest_s FROM active"
+    )
+    q["stream_late_rows"] = _w(
+        f"""SELECT seq, id, lastupdate FROM arrived a
+WHERE lastupdate < (SELECT max(lastupdate) FROM arrived e WHERE e.b < a.b) - {LATE_KEY_LATENESS_MS}""",
+        ARRIVED,
+    )
+    # in the order of arrival (batch, then event time): a report is answered
+    # when it is among the ten newest that have arrived so far
+    q["stream_last10_per_vehicle"] = _w(
+        """SELECT id, seq, lastupdate, n, span_ms, span_ms / (n - 1) AS gap_ms FROM (
+  SELECT r.id, r.seq, r.lastupdate, count(*) AS n, max(p.lastupdate) - min(p.lastupdate) AS span_ms,
+         bool_or(p.seq = r.seq) AS stays
+  FROM seen r JOIN (
+    SELECT * FROM (
+      SELECT r.seq AS rseq, q.seq, q.lastupdate,
+             row_number() OVER (PARTITION BY r.seq ORDER BY q.lastupdate DESC, q.seq DESC) AS k
+      FROM seen r JOIN seen q ON q.id = r.id
+       AND (q.b < r.b OR (q.b = r.b AND (q.lastupdate < r.lastupdate OR (q.lastupdate = r.lastupdate AND q.seq <= r.seq)))))
+    WHERE k <= 10) p ON p.rseq = r.seq
+  GROUP BY r.id, r.seq, r.lastupdate)
+WHERE stays AND n > 1""",
+        ARRIVED,
+        "seen AS (SELECT * FROM arrived WHERE isinactive = 'false')",
     )
     return q

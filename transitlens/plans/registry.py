@@ -12,18 +12,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import filters, gaps, latest, recent, topk, windows
 from .. import streaming
 from ..schema import REPORT_COLUMNS, SLIDE_10MIN_MS, TRAILING_6H_MS, TRAIN_HEADER
+from ..session import fresh_path
 from ..sources import (
     corrupt_reports,
     load_table,
     parse_reports,
+    read_report_lines,
     report_lines_from_events,
     reports_from_events,
     tokenize_lines,
 )
+from ..sources.replay import stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +45,11 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports_from_events(_events(spark, sf_dir))
 
 
+def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active reports only; the operators' own test on them stays as it is."""
+    return reports_from_events(_events(spark, sf_dir), active_only=True)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_lines_from_events(_events(spark, sf_dir))
 
@@ -74,149 +83,173 @@ def q_reports_as_json(spark, sf_dir):
 
 
 def q_active_reports(spark, sf_dir):
-    return filters.active(_reports(spark, sf_dir))
+    return filters.active(_active(spark, sf_dir))
 
 
 def q_train_reports(spark, sf_dir):
-    return filters.trains(filters.active(_reports(spark, sf_dir)))
+    return filters.trains(filters.active(_active(spark, sf_dir)))
 
 
 def q_delayed_reports(spark, sf_dir):
-    return filters.delayed(filters.active(_reports(spark, sf_dir)))
+    return filters.delayed(filters.active(_active(spark, sf_dir)))
 
 
 def q_north_bearing(spark, sf_dir):
-    return filters.north(filters.active(_reports(spark, sf_dir)))
+    return filters.north(filters.active(_active(spark, sf_dir)))
 
 
 def q_north_json_lines(spark, sf_dir):
-    return filters.north_lines(filters.active(_reports(spark, sf_dir)))
+    return filters.north_lines(filters.active(_active(spark, sf_dir)))
 
 
 def q_train_last_stop(spark, sf_dir):
-    return latest.train_last_stop(_reports(spark, sf_dir))
+    return latest.train_last_stop(_active(spark, sf_dir))
 
 
 def q_train_last_stop_csv(spark, sf_dir):
-    return latest.train_snapshot_lines(latest.train_last_stop(_reports(spark, sf_dir)), TRAIN_HEADER)
+    return latest.train_snapshot_lines(latest.train_last_stop(_active(spark, sf_dir)), TRAIN_HEADER)
 
 
 def q_latest_delay_per_vehicle(spark, sf_dir):
-    return topk.latest_delay_per_vehicle(_reports(spark, sf_dir))
+    return topk.latest_delay_per_vehicle(_active(spark, sf_dir))
 
 
 def q_top5_delayed(spark, sf_dir):
-    return topk.top_delayed(_reports(spark, sf_dir))
+    return topk.top_delayed(_active(spark, sf_dir))
 
 
 def q_top5_delayed_filter_first(spark, sf_dir):
-    return topk.top_delayed(_reports(spark, sf_dir), filter_first=True)
+    return topk.top_delayed(_active(spark, sf_dir), filter_first=True)
 
 
 def q_top5_delayed_json(spark, sf_dir):
-    return topk.top_list_json(topk.top_delayed(_reports(spark, sf_dir)))
+    return topk.top_list_json(topk.top_delayed(_active(spark, sf_dir)))
 
 
 def q_top5_delayed_timeline(spark, sf_dir):
-    return topk.top_delayed_timeline(_reports(spark, sf_dir), TIMELINE_TICK_MS)
+    return topk.top_delayed_timeline(_active(spark, sf_dir), TIMELINE_TICK_MS)
 
 
 def q_avg_delay_total(spark, sf_dir):
-    return windows.total_average(_reports(spark, sf_dir))
+    return windows.total_average(_active(spark, sf_dir))
 
 
 def q_avg_delay_sliding(spark, sf_dir):
-    return windows.sliding_average(_reports(spark, sf_dir))
+    return windows.sliding_average(_active(spark, sf_dir))
 
 
 def q_avg_delay_sliding_6h(spark, sf_dir):
-    return windows.sliding_average(_reports(spark, sf_dir), size_ms=TRAILING_6H_MS, slide_ms=SLIDE_10MIN_MS)
+    return windows.sliding_average(_active(spark, sf_dir), size_ms=TRAILING_6H_MS, slide_ms=SLIDE_10MIN_MS)
 
 
 def q_window_report_count(spark, sf_dir):
-    return windows.window_counts(_reports(spark, sf_dir))
+    return windows.window_counts(_active(spark, sf_dir))
 
 
 def q_window_report_count_6h(spark, sf_dir):
-    return windows.window_counts(_reports(spark, sf_dir), size_ms=TRAILING_6H_MS, slide_ms=SLIDE_10MIN_MS)
+    return windows.window_counts(_active(spark, sf_dir), size_ms=TRAILING_6H_MS, slide_ms=SLIDE_10MIN_MS)
 
 
 def q_recent5_final(spark, sf_dir):
-    return recent.recent_final(_reports(spark, sf_dir))
+    return recent.recent_final(_active(spark, sf_dir))
 
 
 def q_recent5_final_6h(spark, sf_dir):
-    return recent.recent_final(_reports(spark, sf_dir), TRAILING_6H_MS)
+    return recent.recent_final(_active(spark, sf_dir), TRAILING_6H_MS)
 
 
 def q_recent5_timeline(spark, sf_dir):
-    return recent.recent_timeline(_reports(spark, sf_dir))
+    return recent.recent_timeline(_active(spark, sf_dir))
 
 
 def q_recent5_timeline_6h(spark, sf_dir):
-    return recent.recent_timeline(_reports(spark, sf_dir), TRAILING_6H_MS)
+    return recent.recent_timeline(_active(spark, sf_dir), TRAILING_6H_MS)
 
 
 def q_recent5_changes(spark, sf_dir):
-    return recent.recent_changes(_reports(spark, sf_dir))
+    return recent.recent_changes(_active(spark, sf_dir))
 
 
 def q_recent5_changes_6h(spark, sf_dir):
-    return recent.recent_changes(_reports(spark, sf_dir), TRAILING_6H_MS)
+    return recent.recent_changes(_active(spark, sf_dir), TRAILING_6H_MS)
 
 
 def q_recent5_iso(spark, sf_dir):
-    return recent.recent_changes_iso(_reports(spark, sf_dir))
+    return recent.recent_changes_iso(_active(spark, sf_dir))
 
 
 def q_recent5_iso_6h(spark, sf_dir):
-    return recent.recent_changes_iso(_reports(spark, sf_dir), TRAILING_6H_MS)
+    return recent.recent_changes_iso(_active(spark, sf_dir), TRAILING_6H_MS)
 
 
 def q_last10_buffer(spark, sf_dir):
-    return gaps.last_n_buffer(_reports(spark, sf_dir))
+    return gaps.last_n_buffer(_active(spark, sf_dir))
 
 
 def q_last10_gap_final(spark, sf_dir):
-    return gaps.gap_final(_reports(spark, sf_dir))
+    return gaps.gap_final(_active(spark, sf_dir))
 
 
 def q_last10_deltas(spark, sf_dir):
-    return gaps.buffer_deltas(_reports(spark, sf_dir))
+    return gaps.buffer_deltas(_active(spark, sf_dir))
 
 
 def q_last10_gap_timeline(spark, sf_dir):
-    return gaps.gap_timeline(_reports(spark, sf_dir))
+    return gaps.gap_timeline(_active(spark, sf_dir))
 
 
 def q_last10_gap_per_vehicle(spark, sf_dir):
-    return gaps.gap_per_vehicle(_reports(spark, sf_dir))
+    return gaps.gap_per_vehicle(_active(spark, sf_dir))
 
 
 def q_last10_gap_text(spark, sf_dir):
-    return gaps.gap_text_timeline(_reports(spark, sf_dir))
+    return gaps.gap_text_timeline(_active(spark, sf_dir))
 
 
 # --- streaming twins: run to completion (availableNow), read the sink back ---
 
 
+#: lateness of the streamed answers over ``events``: the replay is at most
+#: 50 minutes out of order; the late-row key allows less, so that it has rows
+REPLAY_LATENESS_MS = 3600 * 1000
+LATE_KEY_LATENESS_MS = 10 * 60 * 1000
+COARSE_VEHICLES = 7
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaming.report_stream_from_events(spark, sf_dir)
+
+
+def _coarse(reports: DataFrame) -> DataFrame:
+    """Few vehicles and one delay, so that neighbouring lists repeat."""
+    vehicle = F.concat(F.lit("v"), F.pmod(F.col("id").cast("bigint"), F.lit(COARSE_VEHICLES)).cast("string"))
+    return reports.withColumn("id", vehicle).withColumn("delay", F.signum("delay"))
+
+
+def q_recent5_coarse_timeline(spark, sf_dir):
+    return recent.recent_timeline(_coarse(_active(spark, sf_dir)), TRAILING_6H_MS)
+
+
+def q_recent5_coarse_changes(spark, sf_dir):
+    return recent.recent_changes(_coarse(_active(spark, sf_dir)), TRAILING_6H_MS)
+
+
 def q_stream_scan_reports(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return streaming.run_append(parse_reports(report_lines_from_events(ev)), "stream_scan_reports")
+    lines = report_lines_from_events(stream_events(spark, sf_dir))
+    return streaming.run_append(parse_reports(lines), "stream_scan_reports")
 
 
 def q_stream_north_bearing(spark, sf_dir):
-    return streaming.run_append(streaming.north_stream(streaming.report_stream_from_events(spark, sf_dir)), "stream_north")
+    return streaming.run_append(streaming.north_stream(_stream(spark, sf_dir)), "stream_north")
 
 
 def q_stream_train_last_stop(spark, sf_dir):
-    s = latest.train_last_stop(streaming.report_stream_from_events(spark, sf_dir))
+    s = latest.train_last_stop(_stream(spark, sf_dir))
     return streaming.run_snapshots(s, "stream_train_last_stop", lambda b: b, mode="complete")
 
 
 def q_stream_top5_delayed(spark, sf_dir):
-    per_vehicle = topk.latest_delay_per_vehicle(streaming.report_stream_from_events(spark, sf_dir))
+    per_vehicle = topk.latest_delay_per_vehicle(_stream(spark, sf_dir))
 
     def snapshot(state):
         return topk.top_k(filters.delayed(state), 5, topk.delay_order()).select("rank", "id", "delay", "lastupdate")
@@ -225,46 +258,99 @@ def q_stream_top5_delayed(spark, sf_dir):
 
 
 def q_stream_avg_delay_sliding(spark, sf_dir):
-    s = streaming.sliding_average_stream(streaming.report_stream_from_events(spark, sf_dir))
+    s = streaming.sliding_average_stream(_stream(spark, sf_dir), watermark=f"{REPLAY_LATENESS_MS // 1000} seconds")
     return streaming.run_append(s, "stream_avg_delay_sliding")
 
 
 def q_stream_avg_delay_ptime(spark, sf_dir):
-    s = streaming.sliding_average_processing_time(streaming.report_stream_from_events(spark, sf_dir))
-    return streaming.run_snapshots(s, "stream_avg_delay_ptime", lambda b: b, mode="update")
+    """What the processing-time windows hold whatever the clock says: every
+    report is in 36 windows of 180 seconds."""
+    s = streaming.sliding_average_processing_time(_stream(spark, sf_dir))
+    w = streaming.run_snapshots(s, "stream_avg_delay_ptime", lambda b: b, mode="update", key=["window_start"])
+    seconds = F.col("window_end").cast("long") - F.col("window_start").cast("long")
+    return w.agg(F.sum("n").alias("reports_in_windows"), F.min(seconds).alias("shortest_s"), F.max(seconds).alias("longest_s"))
 
 
 def q_stream_last10_per_vehicle(spark, sf_dir):
-    s = streaming.last_n_per_vehicle_stream(streaming.report_stream_from_events(spark, sf_dir))
-    return streaming.run_append(s, "stream_last10_per_vehicle")
+    return streaming.run_append(streaming.last_n_per_vehicle_stream(_stream(spark, sf_dir)), "stream_last10_per_vehicle")
 
 
 def q_stream_recent5(spark, sf_dir):
-    d = filters.delayed(filters.active(streaming.report_stream_from_events(spark, sf_dir)))
+    d = filters.delayed(filters.active(_stream(spark, sf_dir)))
     per_vehicle = latest.latest_per_key(d, "id", ["delay", "lastupdate", "seq"], tie="last")
-    return streaming.run_snapshots(per_vehicle, "stream_recent5", recent.recent_final_from_latest, mode="complete")
+
+    def snapshot(state):
+        state = state.persist()  # used for the newest time and for the list
+        state.count()
+        return recent.recent_final_from_latest(state)
+
+    return streaming.run_snapshots(per_vehicle, "stream_recent5", snapshot, mode="complete")
+
+
+def _recent_stream(spark, reports, name, **options):
+    out = fresh_path(spark, f"{name}-out")
+    writer = streaming.recent_changes_writer(out, lateness_ms=REPLAY_LATENESS_MS, **options)
+    streaming.run_foreach(reports, name, writer)
+    columns = [f for f in recent.LIST_SCHEMA.fields if f.name != "changed"]
+    return spark.read.schema(StructType(columns)).parquet(f"{out}/changes").select(*[f.name for f in columns])
 
 
 def q_stream_recent5_changes(spark, sf_dir):
-    from ..session import fresh_path
+    return _recent_stream(spark, _stream(spark, sf_dir), "stream_recent5_changes")
 
-    out = fresh_path(spark, "stream_recent5_changes-out")
-    s = streaming.report_stream_from_events(spark, sf_dir)
-    streaming.run_foreach(s, "stream_recent5_changes", streaming.recent_changes_writer(out))
-    schema = recent.LIST_SCHEMA
-    cols = [f.name for f in schema.fields if f.name != "changed"]
-    return spark.read.parquet(f"{out}/changes").select(*cols)
 
+def q_stream_recent5_coarse_changes(spark, sf_dir):
+    return _recent_stream(spark, _coarse(_stream(spark, sf_dir)), "stream_recent5_coarse", window_ms=TRAILING_6H_MS)
 
-def q_stream_last10_buffer(spark, sf_dir):
-    from ..session import fresh_path
 
+def q_stream_last10_buffer(spark, sf_dir):
     out = fresh_path(spark, "stream_last10_buffer-out")
-    s = streaming.report_stream_from_events(spark, sf_dir)
-    streaming.run_foreach(s, "stream_last10_buffer", streaming.last_n_buffer_writer(out))
+    streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_buffer", streaming.last_n_buffer_writer(out))
     return streaming.merges.latest_state(spark, out)
 
 
+def q_stream_last10_gap_text(spark, sf_dir):
+    out = fresh_path(spark, "stream_last10_gap_text-out")
+    streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_gap_text", streaming.gap_text_writer(out, lateness_ms=REPLAY_LATENESS_MS))
+    return spark.read.schema("seq bigint, lastupdate bigint, gap_text string").parquet(f"{out}/gaps").select("seq", "gap_text")
+
+
+def q_stream_late_rows(spark, sf_dir):
+    out = fresh_path(spark, "stream_late_rows-out")
+    s = _stream(spark, sf_dir).select("seq", "id", "lastupdate")
+    streaming.run_foreach(s, "stream_late_rows", streaming.late_rows_writer(out, LATE_KEY_LATENESS_MS))
+    return spark.read.schema("seq bigint, id string, lastupdate bigint").parquet(f"{out}/late").select("seq", "id", "lastupdate")
+
+
+# --- text files: write the landing directory, read it back as text ---
+
+
+def _landing_text(spark, sf_dir):
+    """Folder of text files with one JSON document per line, and ``documents``
+    texts beside them: what a landing directory holds."""
+    out = fresh_path(spark, "landing-text")
+    _lines(spark, sf_dir).select("value").write.text(out)
+    return out
+
+
+def q_text_scan_reports(spark, sf_dir):
+    return parse_reports(read_report_lines(spark, _landing_text(spark, sf_dir))).drop("seq")
+
+
+def q_text_stream_scan_reports(spark, sf_dir):
+    lines = read_report_lines(spark, _landing_text(spark, sf_dir), stream=True, max_files_per_trigger=1)
+    return streaming.run_append(parse_reports(lines), "text_stream_scan_reports").drop("seq")
+
+
+def q_text_tokens(spark, sf_dir):
+    """Occurrences of every white-space token of the ``documents`` texts, read
+    from text files."""
+    out = fresh_path(spark, "landing-documents")
+    load_table(spark, sf_dir, "documents").select(F.col("text").alias("value")).write.text(out)
+    tokens = tokenize_lines(read_report_lines(spark, out))
+    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 

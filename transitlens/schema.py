@@ -30,6 +30,8 @@ TRAILING_MS = 3 * 60 * 1000
 SLIDE_MS = 5 * 1000
 LAST_N = 10
 WATERMARK = "10 seconds"
+# how far behind the newest event time a report may come (streamed answers)
+LATENESS_MS = 10 * 1000
 TRAIN_HEADER = "id,laststop,lastupdate"
 
 # Dense variant used on data whose reports are minutes apart: 6 h windows

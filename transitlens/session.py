@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -33,16 +32,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder named by ``spark.checkpoint.dir``.
-
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so a cluster never writes to a
-    machine-local path.
-    """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="transitlens-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+    """The cluster-wide folder named by ``spark.checkpoint.dir``; where the
+    session names none (tests), a folder in the SQL warehouse, which the driver
+    and all executors share too."""
+    path = spark.conf.get(CHECKPOINT_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_transitlens"
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -53,3 +46,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared folder (one per run)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: what follows can
+    read it more than once, and a lost executor costs a re-read only.  With a
+    ``path`` of the caller's, that folder is overwritten (a stream uses one and
+    the same for all its micro-batches)."""
+    path = path or fresh_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists; any other failure is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Move the folder ``new`` to ``path``, in place of what is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(new).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(p(path), True)
+    if not fs.rename(p(new), p(path)):
+        raise OSError(f"cannot move {new} to {path}")

@@ -27,11 +27,8 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_millis(ts_col: str) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ column, independent of the
-    session time zone (an NTZ difference is an exact day-time interval)."""
-    return F.expr(
-        f"cast(floor(cast(cast({ts_col} - TIMESTAMP_NTZ'1970-01-01 00:00:00' "
-        f"as interval second) as decimal(20, 6)) * 1000) as bigint)"
-    )
+    session time zone."""
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts_col})")
 
 
 def _integral_fields(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -49,9 +46,11 @@ def _integral_fields(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFram
     )
 
 
-def reports_from_events(events: DataFrame) -> DataFrame:
-    """Flat report columns (see ``schema.REPORT_COLUMNS``)."""
-    r = _integral_fields(events)
+def reports_from_events(events: DataFrame, active_only: bool = False) -> DataFrame:
+    """Flat report columns (see ``schema.REPORT_COLUMNS``).  ``active_only``
+    leaves inactive reports out by a test on the raw column, which reaches the
+    Parquet scan."""
+    r = _integral_fields(events.where(F.col("event_type") != "error") if active_only else events)
     return r.select(
         "seq",
         "id",

@@ -1,52 +1,57 @@
-"""Micro-batch merges for fleet-wide answers (Q4 final list, Q6 buffer, late rows).
+"""Micro-batch merges for fleet-wide answers (Q4 lists, Q6 buffer and gaps, late rows).
 
 A fleet-wide answer must not become one long-lived group in the state store.
-Each micro-batch reduces its own rows first (a partial top-k), then merges the
-small result with the previous snapshot in ``foreachBatch``.  A state snapshot
-is written to one of two alternating slots (``slot = batch_id mod 2``) with its
-``batch_id`` inside; a batch reads the newest snapshot of an earlier batch, so
-a replayed batch rewrites its own slot with the same content and the folder
-count stays bounded.  (The states kept here only grow, so an empty snapshot
-never hides a fuller one.)
+Each micro-batch reduces its own rows first, then merges the small result with
+the state of the batch before in ``foreachBatch``.  A state is written to one of
+two alternating slots (``slot = batch_id mod 2``) with its ``batch_id`` inside; a
+batch reads the slot it does not write, so a replayed batch rewrites its own
+slot with the same content and the folder count stays fixed.
+
+Answers per report (the Q4 list, the Q6 gap) depend on the order of the
+reports, and a report may come late.  With L the allowed lateness, the
+*frontier* is the newest event time seen minus L.  A report behind the frontier
+of the earlier batches goes to the late output; the others wait until the
+frontier has passed them and are then answered in event-time order.  So an
+answer once given cannot be made wrong by a report within L, and the state is
+the reports of the last L plus the little the answers need from before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.carry import with_oldest_of_last
 from ..operators.filters import active, delayed
+from ..operators.gaps import gap_text
 from ..operators.recent import newest_distinct, recent_lists
 from ..operators.topk import top_k
-from ..schema import LAST_N, TOP_N, TRAILING_MS
-
+from ..schema import LAST_N, LATENESS_MS, TOP_N, TRAILING_MS
+from ..session import path_exists
 
 SLOTS = 2
 
 
 def write_state(df: DataFrame, base: str, batch_id: int) -> None:
-    """Store a state snapshot of ``batch_id`` in its slot."""
+    """Store a state of ``batch_id`` in its slot."""
     out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     out.write.mode("overwrite").parquet(f"{base}/slot={batch_id % SLOTS}")
 
 
 def previous_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
-    """The snapshot of the batch before ``batch_id``, if any.  Micro-batch ids
-    run consecutively, so it sits in the other slot; only that slot is read,
-    never the one this batch is about to overwrite."""
-    if batch_id <= 0:
+    """The state of the batch before ``batch_id``; None only when no batch has
+    written one.  Micro-batch ids run consecutively, so it sits in the other
+    slot.  A slot that is there but cannot be read fails the batch."""
+    slot = f"{base}/slot={(batch_id - 1) % SLOTS}"
+    if batch_id <= 0 or not path_exists(spark, slot):
         return None
-    try:
-        snaps = spark.read.parquet(f"{base}/slot={(batch_id - 1) % SLOTS}")
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
-    earlier = snaps.where(F.col("batch_id") < batch_id)
-    newest = earlier.select(F.max("batch_id")).scalar()
-    return earlier.where(F.col("batch_id") == newest).drop("batch_id")
+    return spark.read.parquet(slot).where(F.col("batch_id") == batch_id - 1).drop("batch_id")
 
 
 def latest_state(spark: SparkSession, base: str) -> DataFrame:
-    """The newest state snapshot (for reading a result after the stream)."""
+    """The newest state (for reading a result after the stream)."""
     snaps = spark.read.parquet(base)
     newest = snaps.select(F.max("batch_id")).scalar()
     return snaps.where(F.col("batch_id") == newest).drop("batch_id", "slot")
@@ -67,49 +72,148 @@ def last_n_buffer_writer(base: str, n: int = LAST_N):
     return write
 
 
-def late_rows_writer(base: str, delay_ms: int = 10_000):
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """A batch's own rows; a replay overwrites them, an empty batch leaves
+    no folder."""
+    if not df.isEmpty():
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def newest_time(df: DataFrame) -> int | None:
+    return df.agg(F.max("lastupdate")).first()[0]
+
+
+def late_rows_writer(base: str, delay_ms: int = LATENESS_MS):
     """``foreachBatch`` function that sets aside the reports of a micro-batch
     lying more than ``delay_ms`` behind the newest event time of all earlier
-    batches (the rows a watermarked aggregate may drop).  Per batch it writes
-    ``base/late/batch_id=N`` and keeps the running newest time in ``base/clock``."""
+    batches.  They go to ``base/late/batch_id=N``; the newest time seen is kept
+    in ``base/clock``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = previous_snapshot(spark, f"{base}/clock", batch_id)
-        newest_before = None if prev is None else prev.select(F.max("newest")).scalar()
-        newest_now = batch.agg(F.max("lastupdate").alias("newest"))
-        if newest_before is not None:
-            late = batch.where(F.col("lastupdate") < F.lit(newest_before - delay_ms))
-            newest_now = newest_now.select(F.greatest(F.col("newest"), F.lit(newest_before)).alias("newest"))
-        else:
-            late = batch.limit(0)
-        late.write.mode("overwrite").parquet(f"{base}/late/batch_id={batch_id}")
-        write_state(newest_now, f"{base}/clock", batch_id)
+        batch = batch.persist()  # two passes over one micro-batch
+        try:
+            prev = previous_snapshot(batch.sparkSession, f"{base}/clock", batch_id)
+            before = None if prev is None else newest_time(prev)
+            now = newest_time(batch)
+            if before is not None:
+                write_batch(batch.where(F.col("lastupdate") < before - delay_ms), f"{base}/late", batch_id)
+            newest = max((t for t in (before, now) if t is not None), default=None)
+            clock = batch.sparkSession.createDataFrame([(newest,)], "lastupdate bigint")
+            write_state(clock, f"{base}/clock", batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 
 
-def recent_changes_writer(base: str, window_ms: int = TRAILING_MS, k: int = TOP_N):
-    """``foreachBatch`` function over raw report rows: the trailing-window
-    list after every delayed report of the batch, emitted only when it
-    changed, to ``base/changes/batch_id=N``.  The previous batches are
-    represented by the newest ``k`` distinct delayed vehicles, kept in
-    ``base/context``.  Reports are taken in event-time order within
-    a batch; a report older than the stored context is treated as arriving
-    after it (the original job processes in arrival order too)."""
+def settled_writer(
+    base: str,
+    rows_of: Callable[[DataFrame], DataFrame],
+    answer: Callable[[DataFrame, DataFrame | None], DataFrame],
+    remember: Callable[[DataFrame, DataFrame | None], DataFrame],
+    sink: Callable[[DataFrame, int], None],
+    late: Callable[[DataFrame, int], None],
+    lateness_ms: int = LATENESS_MS,
+):
+    """``foreachBatch`` function that answers reports in event-time order once
+    the frontier has passed them.
+
+    ``rows_of(batch)``: the rows that take part, with ``seq`` and ``lastupdate``;
+    ``answer(rows, context)``: the answers of settled rows, which ``sink`` gets;
+    ``remember(rows, context)``: the new context (a few rows); ``late`` gets the
+    rows that came behind the frontier.  The state in ``base/state`` holds the
+    context, the rows still waiting, and the newest time of all reports."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ctx = previous_snapshot(batch.sparkSession, f"{base}/context", batch_id)
-        # the micro-batch (bounded by the trigger) is used by several actions:
-        # keep its delayed reports for the duration of this batch only
-        mine = delayed(active(batch)).persist()
+        spark = batch.sparkSession
+        state_path = f"{base}/state"
+        batch = batch.persist()
         try:
-            lists = recent_lists(mine, window_ms, k, context=ctx)
-            lists.where("changed").drop("changed").write.mode("overwrite").parquet(
-                f"{base}/changes/batch_id={batch_id}"
-            )
-            write_state(newest_distinct(mine, k, ctx), f"{base}/context", batch_id)
+            prev = previous_snapshot(spark, state_path, batch_id)
+            before = newest_time(prev.where("_kind = 'clock'")) if prev is not None else None
+            now = newest_time(batch)
+            newest = max((t for t in (before, now) if t is not None), default=None)
+            rows = rows_of(batch)
+            context = waiting = None
+            if prev is not None:
+                context = prev.where("_kind = 'context'").select(rows.columns)
+                waiting = prev.where("_kind = 'waiting'").select(rows.columns)
+            if before is not None:
+                behind = F.col("lastupdate") < before - lateness_ms
+                late(rows.where(behind), batch_id)
+                rows = rows.where(~behind)
+            if waiting is not None:
+                rows = waiting.unionByName(rows)
+            if newest is None:
+                settled, rest = rows.limit(0), rows
+            else:
+                settled, rest = (rows.where(F.col("lastupdate") < newest - lateness_ms), rows.where(F.col("lastupdate") >= newest - lateness_ms))
+            sink(answer(settled, context), batch_id)
+            clock = spark.createDataFrame([(newest,)], "lastupdate bigint").withColumn("_kind", F.lit("clock"))
+            state = remember(settled, context).select(rows.columns).withColumn("_kind", F.lit("context"))
+            state = state.unionByName(rest.withColumn("_kind", F.lit("waiting"))).unionByName(clock, allowMissingColumns=True)
+            write_state(state, state_path, batch_id)
         finally:
-            mine.unpersist()
+            batch.unpersist()
 
     return write
+
+
+def recent_changes_writer(
+    base: str,
+    window_ms: int = TRAILING_MS,
+    k: int = TOP_N,
+    lateness_ms: int = LATENESS_MS,
+    sink: Callable[[DataFrame, int], None] | None = None,
+    only_changes: bool = True,
+):
+    """The trailing-window list after every delayed report, emitted only when it
+    changed, to ``base/changes/batch_id=N`` (or ``sink``); late reports go to
+    ``base/late``.  The context is the newest ``k`` distinct delayed vehicles as
+    of the last settled report."""
+
+    def answer(rows: DataFrame, context: DataFrame | None) -> DataFrame:
+        lists = recent_lists(rows, window_ms, k, context=context, scratch=f"{base}/scratch")
+        return lists.where("changed").drop("changed") if only_changes else lists.drop("changed")
+
+    def remember(rows: DataFrame, context: DataFrame | None) -> DataFrame:
+        return newest_distinct(rows, k, context).withColumn("isinactive", F.lit("false"))
+
+    return settled_writer(
+        base,
+        lambda batch: delayed(active(batch)).select("seq", "id", "delay", "lastupdate", "isinactive"),
+        answer,
+        remember,
+        sink or (lambda df, i: write_batch(df, f"{base}/changes", i)),
+        lambda df, i: write_batch(df, f"{base}/late", i),
+        lateness_ms,
+    )
+
+
+def gap_text_writer(
+    base: str, n: int = LAST_N, lateness_ms: int = LATENESS_MS, sink: Callable[[DataFrame, int], None] | None = None
+):
+    """The fleet-wide mean gap over the last ``n`` reports after every active
+    report, as ``(seq, lastupdate, gap_text)`` to ``base/gaps/batch_id=N`` (or ``sink``).
+    The context is the last ``n - 1`` settled reports."""
+
+    def answer(rows: DataFrame, context: DataFrame | None) -> DataFrame:
+        both = rows.withColumn("_new", F.lit(True))
+        if context is not None:
+            both = both.unionByName(context.withColumn("_new", F.lit(False)))
+        frames = with_oldest_of_last(both, n, scratch=f"{base}/scratch").where("_new")
+        return gap_text(frames, "lastupdate")
+
+    def remember(rows: DataFrame, context: DataFrame | None) -> DataFrame:
+        both = rows if context is None else rows.unionByName(context)
+        return top_k(both, n - 1, (F.col("lastupdate").desc(), F.col("seq").desc()))
+
+    return settled_writer(
+        base,
+        lambda batch: active(batch).select("seq", "lastupdate"),
+        answer,
+        remember,
+        sink or (lambda df, i: write_batch(df, f"{base}/gaps", i)),
+        lambda df, i: write_batch(df, f"{base}/late", i),
+        lateness_ms,
+    )

@@ -9,6 +9,7 @@ from ..operators.filters import active, north
 from ..schema import SLIDE_MS, TRAILING_MS, WATERMARK
 from ..sources.events import reports_from_events
 from ..sources.landing import report_source
+from ..sources.replay import stream_events
 
 
 def with_event_time(reports: DataFrame) -> DataFrame:
@@ -16,13 +17,10 @@ def with_event_time(reports: DataFrame) -> DataFrame:
     return reports.withColumn("ts", F.timestamp_millis("lastupdate"))
 
 
-def report_stream_from_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table of ``sf_dir`` read as a stream, as reports."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reports_from_events(reader.parquet(sf_dir))
+def report_stream_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table of ``sf_dir`` as a stream of reports that land in
+    several files, a little out of order (see ``sources.replay``)."""
+    return reports_from_events(stream_events(spark, sf_dir))
 
 
 def report_stream_from_text(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..session import fresh_path
-
-RUN_TIMEOUT_S = 3600
+from .merges import latest_state, previous_snapshot, write_state
 
 
 def run_append(df: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
@@ -27,12 +25,7 @@ def run_append(df: DataFrame, name: str, out: str | None = None, checkpoint: str
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(RUN_TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"streaming query {name} did not finish")
-    if q.exception():
-        raise q.exception()
+    q.awaitTermination()  # raises what ended the query
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -43,47 +36,40 @@ def run_snapshots(
     mode: str = "complete",
     out: str | None = None,
     checkpoint: str | None = None,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """Run an aggregating stream; after every micro-batch ``to_snapshot`` turns
-    the batch's result into the snapshot, written to ``out/batch_id=N``
-    (overwritten on replay, so a retried batch leaves one copy).  Returns the
-    newest snapshot."""
+    the batch's result into the snapshot, kept in two alternating slots.  In
+    update mode a batch holds only the rows that changed: they replace the rows
+    of the same ``key`` in the snapshot before.  Returns the newest snapshot."""
+    if mode == "update" and not key:
+        raise ValueError("update mode needs the key its rows are merged by")
     spark = df.sparkSession
     out = out or fresh_path(spark, f"{name}-out")
-    checkpoint = checkpoint or fresh_path(spark, f"{name}-ckpt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        to_snapshot(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        snapshot = to_snapshot(batch)
+        if mode == "update":
+            snapshot = snapshot.persist()  # used by the merge and the write
+            before = previous_snapshot(batch.sparkSession, out, batch_id)
+            merged = snapshot if before is None else before.join(snapshot, list(key), "left_anti").unionByName(snapshot)
+            write_state(merged, out, batch_id)
+            snapshot.unpersist()
+        else:
+            write_state(snapshot, out, batch_id)
+
+    run_foreach(df, name, write, checkpoint, mode)
+    return latest_state(spark, out)
 
+
+def run_foreach(df: DataFrame, name: str, writer, checkpoint: str | None = None, mode: str = "append") -> None:
+    """Run a stream to completion through a ``foreachBatch`` writer."""
+    checkpoint = checkpoint or fresh_path(df.sparkSession, f"{name}-ckpt")
     q = (
-        df.writeStream.foreachBatch(write)
+        df.writeStream.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)
         .outputMode(mode)
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(RUN_TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"streaming query {name} did not finish")
-    if q.exception():
-        raise q.exception()
-    return latest_snapshot(spark, out)
-
-
-def run_foreach(df: DataFrame, name: str, writer, checkpoint: str | None = None) -> None:
-    """Run a stream to completion through a ``foreachBatch`` writer."""
-    checkpoint = checkpoint or fresh_path(df.sparkSession, f"{name}-ckpt")
-    q = df.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(RUN_TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"streaming query {name} did not finish")
-    if q.exception():
-        raise q.exception()
-
-
-def latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    snaps = spark.read.parquet(out)
-    newest = snaps.select(F.max("batch_id")).scalar()
-    return snaps.where(F.col("batch_id") == newest).drop("batch_id")
+    q.awaitTermination()  # raises what ended the query

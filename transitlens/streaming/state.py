@@ -4,6 +4,11 @@ State per vehicle is at most N ``(lastupdate, seq)`` pairs.  A report enters
 when the buffer is not full or when it is newer than the oldest kept one,
 which then leaves; each admitted report emits the buffer's mean gap.  In
 event-time order this equals the batch rows frame of ``gaps.gap_per_vehicle``.
+
+A vehicle's rows of a micro-batch come in Arrow batches (10,000 rows by
+default) and are taken one after the other, each sorted by event time: a busy
+vehicle is never one frame in memory.  Beyond one Arrow batch its order is the
+order of arrival, so a report older than the buffer is passed over.
 """
 
 from __future__ import annotations
@@ -39,21 +44,22 @@ def _buffer_update(n: int):
             buf = sorted(zip(times, seqs))
         else:
             buf = []
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(["lastupdate", "seq"])
-        out = []
-        for t, s in zip(rows["lastupdate"].tolist(), rows["seq"].tolist()):
-            item = (t, s)
-            if len(buf) >= n:
-                if item <= buf[0]:
-                    continue
-                buf.pop(0)
-            bisect.insort(buf, item)
-            if len(buf) > 1:
-                span = buf[-1][0] - buf[0][0]
-                out.append((key[0], s, t, len(buf), span, span / (len(buf) - 1)))
+        for rows in batches:
+            rows = rows.sort_values(["lastupdate", "seq"])
+            out = []
+            for t, s in zip(rows["lastupdate"].tolist(), rows["seq"].tolist()):
+                item = (t, s)
+                if len(buf) >= n:
+                    if item <= buf[0]:
+                        continue
+                    buf.pop(0)
+                bisect.insort(buf, item)
+                if len(buf) > 1:
+                    span = buf[-1][0] - buf[0][0]
+                    out.append((key[0], s, t, len(buf), span, span / (len(buf) - 1)))
+            if out:
+                yield pd.DataFrame({f.name: pd.Series(c, dtype=_DTYPES[f.name]) for f, c in zip(GAP_SCHEMA.fields, zip(*out))})
         state.update(([t for t, _ in buf], [s for _, s in buf]))
-        cols = list(zip(*out)) if out else [[] for _ in GAP_SCHEMA.fields]
-        yield pd.DataFrame({f.name: pd.Series(c, dtype=_DTYPES[f.name]) for f, c in zip(GAP_SCHEMA.fields, cols)})
 
     return update
 

@@ -84,9 +84,12 @@ def shingle_sets(texts: list[str | None], hashes: WordHashes, k: int = WORDS) ->
             continue
         h = np.fromiter(map(get, tokens), np.uint64, n)
         width = min(n, k)
-        total = np.full(n - width + 1, width, np.uint64)
-        for i in range(width):
-            total = mixed(total + h[i : n - width + 1 + i])
+        # the words' hashes are random, so a polynomial tells sequences apart
+        total = h[: n - width + 1] + np.uint64(width)
+        for i in range(1, width):
+            total *= MIX
+            total += h[i : n - width + 1 + i]
+        total = mixed(total)
         out.append(np.unique(total))
     return out
 

@@ -3,23 +3,25 @@
 A position's rank at length h stands for the h bytes that begin there; the
 rank at length 2h is made from the pair (rank at i, rank at i + h).  Ranks are
 64-bit names that equal strings share everywhere (so no table of ranks has to
-be sent around), doubled from 1 to 16 and 32 bytes and closed with the
-overlapping pair at offset 18 for the threshold of 50 bytes.  Spark groups the
-ranks of all documents after each step, and positions whose rank is unique
-take no further part:
-
-1. length 16, at sampled positions: of each 50-byte string, the position of
-   its smallest 16-byte rank (equal strings have theirs at the same place).
-   Neighbouring strings share it, so a run of about 17 positions is one row.
+be sent around), doubled from 1 to 16 and 32 bytes; overlapping pairs close
+the lengths between (16 and 16 at offset 8, 32 and 32 at offset 18).  Spark
+groups the ranks of all documents after each step, and positions whose rank is
+unique take no further part:
+
+1. length 24, at sampled positions: of each 50-byte string, the position of
+   its smallest 24-byte rank (equal strings have theirs at the same place).
+   Neighbouring strings share it, so a run of about 14 positions is one row.
 2. length 50, a whole run at a time: runs around the same sampled string with
    the same 50-byte ranks form a class.  In every document but the class's
    first one, all strings of the run are repeats.
 3. length 50, position by position, only where the sampled string has several
    classes, and only for the first document of each class.
 
-What is broadcast has a fixed size: a bitmap of the 16-byte ranks that occur
-more than once, and one of the classes of step 3 (collisions cost work, never
-a wrong result).
+What is broadcast has a fixed size: bitmaps of the ranks that occur more than
+once, of the classes of step 3 and of the documents with repeats (collisions
+cost work, never a wrong result), and at most ``1 / FREQUENT_SHARE`` frequent
+ranks.  The rows of a frequent sampled string are salted: grouped in parts
+first, and the parts' results once more.
 
 Edge cases: null text counts as empty; texts shorter than the threshold keep
 all; a null ``doc_id`` comes after all others; documents of equal id never
@@ -36,11 +38,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import BITMAP_BITS, bitmap_place, hash_sums, packed_bitmap, slices, table, test_bits, text_or_empty, written
 
 THRESHOLD = 50
-SAMPLED = 16
+SAMPLED = 24
+FREQUENT_SHARE = 2.0**-12
+SALTS = 64
+ID_BITS = 1 << 24
 LAST_ID = (1 << 63) - 1
 #: bytes of text that are ranked at a time
 CHUNK = 1 << 20
@@ -78,8 +84,8 @@ class Runs:
         while 2 * h <= threshold:
             rank = pair_rank(rank[:-h], rank[h:])
             h *= 2
-            if h == SAMPLED:
-                sampled = rank
+            if h == SAMPLED - SAMPLED % 16:
+                sampled = pair_rank(rank[: -(SAMPLED - h)], rank[SAMPLED - h :]) if SAMPLED > h else rank
                 if not whole:
                     break
         # smallest sampled rank among the candidates of each string, leftmost
@@ -137,75 +143,109 @@ def named_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), text_or_empty().alias("text"))
 
 
-def sampled_runs(texts: DataFrame, repeated: bytes, threshold: int) -> DataFrame:
+def text_name(text: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def names_of(raw: list[bytes], named: bool) -> np.ndarray:
+    """Tells texts of equal ids apart; 0 for all where ids are unique."""
+    return np.array([text_name(t) for t in raw], np.int64) if named else np.zeros(len(raw), np.int64)
+
+
+def sampled_runs(texts: DataFrame, sums: tuple[bytes, bytes, bytes], threshold: int, named: bool) -> DataFrame:
     """One row per run whose sampled rank occurs more than once: anchor, run
-    (ranks), place (bit of the class), id, text_name, first, size."""
-    shipped = texts.sparkSession.sparkContext.broadcast(repeated)
+    (ranks), salt (0 unless the anchor is frequent), id, name, first, size."""
+    shipped = texts.sparkSession.sparkContext.broadcast(sums)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(shipped.value, np.uint8)
+        bitmap, often = np.frombuffer(shipped.value[0], np.uint8), np.frombuffer(shipped.value[1], np.uint32)
         for ids, raw in chunks(batches):
             runs = Runs(raw, threshold)
-            ok = test_bits(bitmap, bitmap_place((runs.anchor >> np.uint64(32)).astype(np.uint32)))
+            upper = (runs.anchor >> np.uint64(32)).astype(np.uint32)
+            ok = test_bits(bitmap, bitmap_place(upper))
             owner = runs.owner[ok]
             doc = np.array(ids, np.int64)[owner]
-            names = np.array([text_name(t) for t in raw], np.int64)[owner]
-            place = class_place(runs.anchor[ok], runs.run[ok], doc).astype(np.int64)
-            columns = [runs.anchor[ok].view(np.int64), runs.run[ok].view(np.int64), place, doc, names,
-                       (runs.first[ok] - runs.begins[owner]).astype(np.int32), runs.size[ok].astype(np.int16)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "run", "place", "id", "text_name", "first", "size"])
+            salt = np.where(np.isin(upper[ok], often), 1 + doc % SALTS, 0).astype(np.int32)
+            columns = [runs.anchor[ok].view(np.int64), runs.run[ok].view(np.int64), salt, doc, names_of(raw, named)[owner],
+                       (runs.first[ok] - runs.begins[owner]).astype(np.int32), runs.size[ok].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "run", "salt", "id", "name", "first", "size"])
 
-    return texts.mapInArrow(emit, "anchor long, run long, place long, id long, text_name long, first int, size short")
+    return texts.mapInArrow(emit, "anchor long, run long, salt int, id long, name long, first int, size int")
 
 
-def text_name(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+class OpenStrings:
+    """The strings of a chunk that are ranked one by one."""
+
+    def __init__(self, ids: list[int], raw: list[bytes], classes: np.ndarray, threshold: int):
+        runs = Runs(raw, threshold)
+        doc = np.array(ids, np.int64)
+        hit = np.flatnonzero(test_bits(classes, class_place(runs.anchor, runs.run, doc[runs.owner]))) if len(runs.owner) else np.zeros(0, np.int64)
+        size = runs.size[hit]
+        i = np.repeat(runs.cut[hit], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) if len(hit) else hit
+        self.owner = np.repeat(runs.owner[hit], size) if len(hit) else hit
+        self.rank = runs.rank[i] if len(hit) else np.zeros(0, np.uint64)
+        self.start = (runs.starts[i] - runs.begins[self.owner]).astype(np.int32) if len(hit) else hit.astype(np.int32)
+        self.id = doc[self.owner]
 
 
-def open_strings(texts: DataFrame, classes: bytes, threshold: int) -> DataFrame:
-    """rank, id, text_name, start of the strings that are ranked one by one."""
+def repeated_strings(texts: DataFrame, classes: bytes, n_classes: int, threshold: int, named: bool) -> DataFrame:
+    """rank, id, name, start of the open strings whose rank occurs twice."""
     shipped = texts.sparkSession.sparkContext.broadcast(classes)
 
+    def ranks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for ids, raw in chunks(iter([batch])):
+            yield (OpenStrings(ids, raw, np.frombuffer(shipped.value, np.uint8), threshold).rank >> np.uint64(32)).astype(np.uint32)
+
+    sums = texts.sparkSession.sparkContext.broadcast(hash_sums(texts, ranks, 16 * n_classes, 1.0)[0])
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(shipped.value, np.uint8)
+        classes, repeated = np.frombuffer(shipped.value, np.uint8), np.frombuffer(sums.value, np.uint8)
         for ids, raw in chunks(batches):
-            runs = Runs(raw, threshold)
-            doc = np.array(ids, np.int64)[runs.owner]
-            hit = np.flatnonzero(test_bits(bitmap, class_place(runs.anchor, runs.run, doc))) if len(doc) else np.zeros(0, np.int64)
-            size = runs.size[hit]
-            i = np.repeat(runs.cut[hit] if len(hit) else hit, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            owner = np.repeat(runs.owner[hit], size)
-            names = np.array([text_name(t) for t in raw], np.int64)
-            rank = runs.rank[i].view(np.int64) if len(i) else i
-            start = (runs.starts[i] - runs.begins[owner]).astype(np.int32) if len(i) else i.astype(np.int32)
-            columns = [rank, np.array(ids, np.int64)[owner], names[owner], start]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rank", "id", "text_name", "start"])
+            found = OpenStrings(ids, raw, classes, threshold)
+            ok = test_bits(repeated, bitmap_place((found.rank >> np.uint64(32)).astype(np.uint32)))
+            columns = [found.rank[ok].view(np.int64), found.id[ok], names_of(raw, named)[found.owner[ok]], found.start[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rank", "id", "name", "start"])
 
-    return texts.mapInArrow(emit, "rank long, id long, text_name long, start int")
+    return texts.mapInArrow(emit, "rank long, id long, name long, start int")
 
 
 def repeated_spans(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """id, text_name, start, end of the strings (merged by runs) that also
-    begin in a document of a smaller id."""
+    """id, name, start, end of the strings (by runs) that also begin in a
+    document of a smaller id."""
+    named = not texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, raw in chunks(iter([batch])):
             yield (Runs(raw, threshold, whole=False).anchor >> np.uint64(32)).astype(np.uint32)
 
-    repeated, _, _ = hash_sums(texts, anchors, n_bytes // 16, 1.0)
-    runs = written(sampled_runs(texts, repeated, threshold), "runs")
-    classes = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "place")).alias("origin"), F.count(F.lit(1)).alias("n"))
-    classes = written(classes.select("anchor", "run", F.col("origin.id").alias("origin"), F.col("origin.place").alias("place"), "n"), "classes")
-    covered = runs.join(classes.filter("n > 1").select("anchor", "run", "origin"), ["anchor", "run"]).filter(F.col("id") > F.col("origin"))
-    covered = covered.select("id", "text_name", F.col("first").alias("start"), (F.col("first") + F.col("size") + (threshold - 1)).alias("end"))
-    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("anchor")
-    places = classes.join(several, "anchor", "left_semi")
-    strings = written(open_strings(texts, packed_bitmap(places, F.col("place"), BITMAP_BITS), threshold), "strings")
+    runs = sampled_runs(texts, hash_sums(texts, anchors, n_bytes // 14, FREQUENT_SHARE), threshold, named)
+    part, group = Window.partitionBy("anchor", "salt"), Window.partitionBy("anchor", "salt", "run")
+    runs = runs.withColumn("origin", F.min("id").over(group)).withColumn("several", F.min("run").over(part) < F.max("run").over(part))
+    # the ranks are only needed where a class is open or was grouped in parts
+    told = (F.col("salt") > 0) | (F.col("several") & (F.col("id") == F.col("origin")))
+    ranks = [F.when(told, F.col(c)).alias(c) for c in ("anchor", "run")]
+    runs = written(runs.filter(told | (F.col("id") > F.col("origin"))).select("id", "name", "first", "size", "origin", "salt", "several", *ranks), "runs")
+    plain, salted = runs.filter("salt = 0"), runs.filter("salt > 0")
+    classes = salted.groupBy("anchor", "run").agg(F.min("origin").alias("origin"))
+    several = classes.groupBy("anchor").agg((F.min("run") < F.max("run")).alias("several")).filter("several").select("anchor")
+    open_classes = plain.filter("several and id = origin").select("anchor", "run", "origin").distinct()
+    open_classes = written(open_classes.unionByName(classes.join(several, "anchor", "left_semi").select("anchor", "run", "origin")), "open")
+    covered = plain.filter("id > origin").select("id", "name", "first", "size")
+    covered = covered.unionByName(salted.drop("origin").join(classes, ["anchor", "run"]).filter("id > origin").select("id", "name", "first", "size"))
+    covered = covered.select("id", "name", F.col("first").alias("start"), (F.col("first") + F.col("size") + (threshold - 1)).alias("end"))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            anchor, run, origin = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("anchor", "run", "origin"))
+            place = class_place(anchor.view(np.uint64), run.view(np.uint64), origin).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(place)], names=["place"])
+
+    bits = packed_bitmap(open_classes.mapInArrow(places, "place long"), F.col("place"), BITMAP_BITS)
+    strings = written(repeated_strings(texts, bits, open_classes.count(), threshold, named), "strings")
     origin = strings.groupBy("rank").agg(F.min("id").alias("origin"), F.max("id").alias("last")).filter("origin < last")
     single = strings.join(origin, "rank").filter(F.col("id") > F.col("origin"))
-    single = single.select("id", "text_name", "start", (F.col("start") + threshold).alias("end"))
-    return covered.unionByName(single)
+    return covered.unionByName(single.select("id", "name", "start", (F.col("start") + threshold).alias("end")))
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -213,27 +253,50 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     texts = named_texts(docs)
     spans = repeated_spans(texts, threshold)
     # a document has at most as many spans as bytes
-    per_text = spans.groupBy("id", "text_name").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    per_text = spans.groupBy("id", "name").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    per_text = written(per_text, "spans")
+    packed = packed_bitmap(per_text, F.pmod("id", F.lit(ID_BITS)), ID_BITS)
+    named = not per_text.filter("name <> 0").isEmpty()
+    shipped = texts.sparkSession.sparkContext.broadcast(packed)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts without a repeat are done here; of the others the packed text
+        goes to its spans."""
+        import zstandard
+
+        bitmap, squeeze = np.frombuffer(shipped.value, np.uint8), zstandard.ZstdCompressor(level=3).compress
         for b in slices(batches):
-            names = pa.array([text_name(t.encode()) for t in b.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), names], names=["id", "text", "text_name"])
+            raw = [t.encode() for t in b.column("text").to_pylist()]
+            some = test_bits(bitmap, (b.column("id").to_numpy() % ID_BITS).astype(np.uint64))
+            columns = [
+                b.column("id"),
+                pa.array(names_of(raw, named)),
+                pa.array([len(t) for t in raw], pa.int64()),
+                pa.array([squeeze(t) if s else None for t, s in zip(raw, some, strict=True)], pa.binary()),
+                pa.array([None if s else hashlib.sha256(t).hexdigest() for t, s in zip(raw, some, strict=True)], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "name", "n_bytes", "packed", "sha"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         for b in slices(batches, 64):
             rows = []
-            for text, starts, ends in zip(*[b.column(c).to_pylist() for c in ("text", "starts", "ends")], strict=True):
-                raw = text.encode()
-                rows.append((len(raw), *removed(raw, starts or [], ends or [])))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            for packed, sha, starts, ends in zip(*[b.column(c).to_pylist() for c in ("packed", "sha", "starts", "ends")], strict=True):
+                if packed is None:
+                    rows.append((0, 0, sha))
+                else:
+                    rows.append(removed(zstandard.ZstdDecompressor().decompress(packed), starts or [], ends or []))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())],
+                [b.column("id"), b.column("n_bytes"), *[pa.array(c, pa.int64()) for c in columns[:2]], pa.array(columns[2], pa.string())],
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    joined = texts.mapInArrow(name, "id long, text string, text_name long").join(per_text, ["id", "text_name"], "left")
-    out = joined.select("id", "text", "starts", "ends").mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    joined = texts.mapInArrow(pack, "id long, name long, n_bytes long, packed binary, sha string").join(per_text, ["id", "name"], "left")
+    out = joined.select("id", "n_bytes", "packed", "sha", "starts", "ends").mapInArrow(
+        cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    )
     return out.select(F.nullif("id", F.lit(LAST_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -1,11 +1,15 @@
 import os
+import random
 import shutil
 
+import pytest
+
 from conftest import report
 from transitlens import streaming
-from transitlens.operators import filters, latest, topk
+from transitlens.operators import filters, gaps, latest, recent, topk
 from transitlens.sources import parse_reports, read_report_lines
-from transitlens.streaming.runner import latest_snapshot, run_append, run_snapshots
+from transitlens.streaming.merges import latest_state, previous_snapshot, write_state
+from transitlens.streaming.runner import run_append, run_foreach, run_snapshots
 from transitlens.streaming.state import last_n_per_vehicle_stream
 
 
@@ -87,11 +91,29 @@ def test_watermark_drops_late_rows_and_closes_windows(spark, landing):
     assert max(r.window_end_ms for r in rows) <= newest - 10_000
 
 
-def test_snapshot_reader_takes_newest(spark, tmp_path):
-    base = str(tmp_path / "snaps")
-    spark.range(3).write.parquet(f"{base}/batch_id=0")
-    spark.range(5).write.parquet(f"{base}/batch_id=1")
-    assert latest_snapshot(spark, base).count() == 5
+def test_state_slots(spark, tmp_path):
+    base = str(tmp_path / "state")
+    assert previous_snapshot(spark, base, 0) is None and previous_snapshot(spark, base, 1) is None
+    for i in range(3):
+        write_state(spark.range(i + 3), base, i)
+    assert latest_state(spark, base).count() == 5
+    assert previous_snapshot(spark, base, 2).count() == 4
+
+
+def test_unreadable_state_fails_loudly(spark, tmp_path):
+    base = tmp_path / "broken"
+    (base / "slot=0").mkdir(parents=True)
+    (base / "slot=0" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="parquet|footer|schema|SCHEMA"):
+        previous_snapshot(spark, str(base), 1).count()
+
+
+def test_update_mode_keeps_untouched_keys(spark, landing):
+    path = landing([[report("a", 1_000_000)], [report("b", 1_000_001)], [report("a", 1_000_002)]])
+    r = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    counts = r.groupBy("id").count()
+    got = run_snapshots(counts, "t-update", lambda b: b, mode="update", key=["id"]).collect()
+    assert sorted(map(tuple, got)) == [("a", 2), ("b", 1)]
 
 
 def test_fleet_buffer_merged_over_batches(spark, landing, tmp_path):
@@ -103,8 +125,6 @@ def test_fleet_buffer_merged_over_batches(spark, landing, tmp_path):
     out = str(tmp_path / "buf")
     s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
     run_foreach(s, "t-buf", last_n_buffer_writer(out))
-    from transitlens.streaming.merges import latest_state
-
     assert sorted(os.listdir(out)) == ["slot=0", "slot=1"]  # bounded, not one folder per batch
     got = [r.lastupdate for r in latest_state(spark, out).orderBy("rank").collect()]
     want = [r.lastupdate for r in last_n_buffer(parse_reports(read_report_lines(spark, path))).orderBy("rank").collect()]
@@ -150,21 +170,47 @@ def test_pane_and_plain_streaming_windows_agree(spark, landing):
     assert results[0] == results[1] and results[0]
 
 
-def test_recent_changes_stream_equals_batch_over_batches(spark, landing, tmp_path):
-    from transitlens.operators import recent
-    from transitlens.streaming import recent_changes_writer, run_foreach
-
-    # few vehicles, repeated delays: lists fill up and unchanged ones occur
-    # every vehicle reports twice in a row with the same delay: the second
-    # report leaves a full list unchanged
-    docs = [report(f"v{(i // 2) % 6}", 1_000_000 + 5_000 * i, delay=1 + (i // 2) % 2) for i in range(90)]
-    path = landing(_chunks(docs, 13))
-    base = str(tmp_path / "rc")
+def _per_report(spark, landing, tmp_path, shuffle):
+    """Reports of few vehicles in 7 files; with ``shuffle`` up to 40 s late."""
+    docs = [(1_000_000 + 5_000 * i, report(f"v{(i // 2) % 6}", 1_000_000 + 5_000 * i, delay=1 + (i // 2) % 2)) for i in range(90)]
+    if shuffle:
+        r = random.Random(shuffle)
+        docs.sort(key=lambda x: x[0] + r.randrange(40_000))
+    path = landing(_chunks([d for _, d in docs], 13), name=f"late-{shuffle}")
+    reports = parse_reports(read_report_lines(spark, path))
     s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
-    run_foreach(s, "t-rc", recent_changes_writer(base, window_ms=120_000))
+    return reports, s, str(tmp_path / f"out-{shuffle}"), 1_000_000 + 5_000 * 89 - 40_000
+
+
+@pytest.mark.parametrize("shuffle", [0, 1, 2])
+def test_recent_changes_stream_equals_batch_over_late_batches(spark, landing, tmp_path, shuffle):
+    reports, s, base, until = _per_report(spark, landing, tmp_path, shuffle)
+    run_foreach(s, "t-rc", streaming.recent_changes_writer(base, window_ms=120_000, lateness_ms=40_000))
     got = sorted(map(tuple, spark.read.parquet(f"{base}/changes").select("rank", "id", "delay", "lastupdate").collect()))
-    batch = recent.recent_changes(parse_reports(read_report_lines(spark, path)), 120_000)
-    want = sorted(map(tuple, batch.select("rank", "id", "delay", "lastupdate").collect()))
+    lists = recent.recent_lists(reports, 120_000)
+    settled = lists.join(reports.where(f"lastupdate < {until}").select("seq"), "seq")
+    want = sorted(map(tuple, settled.where("changed").select("rank", "id", "delay", "lastupdate").collect()))
     assert got == want
-    all_lists = recent.recent_timeline(parse_reports(read_report_lines(spark, path)), 120_000)
-    assert len(want) < all_lists.count()  # some lists did not change
+    assert len(want) < settled.count()  # some lists did not change
+    assert not os.path.exists(f"{base}/late")
+
+
+@pytest.mark.parametrize("shuffle", [0, 3])
+def test_gap_text_stream_equals_batch_over_late_batches(spark, landing, tmp_path, shuffle):
+    reports, s, base, until = _per_report(spark, landing, tmp_path, shuffle)
+    run_foreach(s, "t-gap", streaming.gap_text_writer(base, lateness_ms=40_000))
+    got = sorted(r.gap_text for r in spark.read.parquet(f"{base}/gaps").collect())
+    want = gaps.gap_text_timeline(reports).join(reports.where(f"lastupdate < {until}").select("seq"), "seq")
+    assert got == sorted(r.gap_text for r in want.collect()) and got
+
+
+def test_reports_behind_the_frontier_go_to_the_late_output(spark, landing, tmp_path):
+    path = landing([[report(f"v{i}", 1_000_000 + 1000 * i, delay=1) for i in range(12)], [report("late", 1_000_000, delay=9)], [report("z", 1_100_000, delay=1)]])
+    base = str(tmp_path / "behind")
+    s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    run_foreach(s, "t-behind", streaming.recent_changes_writer(base, lateness_ms=2000))
+    assert [r.id for r in spark.read.parquet(f"{base}/late").collect()] == ["late"]
+    lists = spark.read.parquet(f"{base}/changes")
+    assert lists.where("id = 'late'").isEmpty()
+    # a report of the second batch sees the vehicles of the first
+    assert lists.groupBy("seq").count().agg({"count": "max"}).first()[0] == 5

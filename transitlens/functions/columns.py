@@ -26,12 +26,21 @@ def heading_within(bearing, center: float = 0.0, tolerance: float = 45.0) -> Col
 
 def number_text(x) -> Column:
     """Text of a number the way a JSON number would be printed: integral
-    values without a fraction (``45``), others with one (``45.5``)."""
+    values without a fraction (``45``), others with one (``45.5``); from 1e16
+    up and below 1e-4 with an exponent (``1e+20``, ``5e-05``)."""
     v = _c(x)
+    # Java writes d.dddE[-]x beyond [1e-3, 1e7); decimals bring it to digits
+    java = v.cast("double").cast("string")
+    mantissa = F.regexp_replace(F.regexp_extract(java, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
+    power = F.regexp_extract(java, r"E(-?[0-9]+)$", 1).cast("int")
+    exponent = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    plain = F.regexp_replace(v.cast("double").cast("decimal(38,20)").cast("string"), r"0+$", "")
     return (
         F.when(v.isNull(), F.lit("null"))
-        .when(v == F.floor(v), F.floor(v).cast("string"))
-        .otherwise(v.cast("string"))
+        .when((v == F.floor(v)) & (F.abs(v) < 1e16), F.floor(v).cast("string"))
+        .when((F.abs(v) >= 1e16) | (F.abs(v) < 1e-4), exponent)
+        .when(java.contains("E"), plain)
+        .otherwise(java)
     )
 
 
@@ -42,7 +51,7 @@ def _ascii_only(text: Column) -> Column:
     return F.array_join(
         F.transform(
             units,
-            lambda u: F.when(F.conv(u, 16, 10).cast("int") < 128, F.char(F.conv(u, 16, 10).cast("int"))).otherwise(
+            lambda u: F.when(F.conv(u, 16, 10).cast("int") < 127, F.char(F.conv(u, 16, 10).cast("int"))).otherwise(
                 F.concat(F.lit("\\u"), F.lower(u))
             ),
         ),
@@ -52,10 +61,11 @@ def _ascii_only(text: Column) -> Column:
 
 def json_string(s) -> Column:
     """A string as a quoted JSON literal, escaped like a JSON dump with ASCII
-    output: quotes, backslashes and control characters by ``to_json``, any
+    output: quotes, backslashes and control characters by ``to_json``, DEL and any
     non-ASCII character as ``\\uXXXX`` (only lines that hold one pay for it)."""
-    quoted = F.regexp_extract(F.to_json(F.array(_c(s))), r"^\[(.*)\]$", 1)
-    return F.when(quoted.rlike("[^\\x00-\\x7F]"), _ascii_only(quoted)).otherwise(quoted)
+    array = F.to_json(F.array(_c(s)))
+    quoted = F.substring(array, F.lit(2), F.length(array) - 2)  # without the brackets
+    return F.when(quoted.rlike("[^\\x00-\\x7E]"), _ascii_only(quoted)).otherwise(quoted)
 
 
 def json_pair_line(key, number) -> Column:

@@ -53,13 +53,15 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 
 def worker_memory(name: str, key, make):
-    """A helper object that the tasks of one Python worker share (at most one
-    per name; another key replaces it).  Results never depend on it."""
+    """A helper object that the tasks of one Python worker share.  A worker
+    holds one at a time: asking for another name or key lets the last one go,
+    so a chain of stages holds no more than its largest.  Results never depend
+    on it."""
     memory = sys.modules.setdefault("transitlens_worker_memory", types.ModuleType("transitlens_worker_memory"))
-    held = getattr(memory, name, None)
-    if held is None or held[0] != key:
-        held = (key, make())
-        setattr(memory, name, held)
+    held = getattr(memory, "held", None)
+    if held is None or held[0] != (name, key):
+        memory.held = held = None
+        memory.held = held = ((name, key), make())
     return held[1]
 
 

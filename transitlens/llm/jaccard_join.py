@@ -54,7 +54,7 @@ SQUARE = 512
 ENTITY_BITS = 1 << 24
 COMMON_SHARE = 2.0**-20
 #: words remembered by a Python worker; a fuller memory is emptied
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -1,9 +1,11 @@
+import json
 import os
 
 import pytest
 
 from conftest import report
 from transitlens.app import run_batch, run_stream
+from transitlens.sinks import publish
 
 
 def _read(path):
@@ -23,15 +25,43 @@ def src(landing):
     return landing([docs[:15], docs[15:]])
 
 
-@pytest.mark.parametrize("q", list("123456"))
-def test_batch_questions_write_output(spark, src, tmp_path, q):
-    out = str(tmp_path / "out")
-    run_batch(spark, src, out, q)
-    assert _read(out)
+IDS = ['a"b', "é\u2028x", "v2", "v3"]
+
+
+@pytest.fixture
+def odd(landing):
+    docs = [report(IDS[i % 4], 1_000_000 + 5000 * i, bearing=(i * 45) % 360, delay=(i % 5) - 0.5, ltype=5 if i % 4 == 0 else 2) for i in range(40)]
+    docs.append(report("last", 1_000_000 + 5000 * 60, delay=-1))  # settles the others
+    return landing([docs[:15], docs[15:30], docs[30:]])
 
 
 @pytest.mark.parametrize("q", list("123456"))
-def test_stream_questions_once(spark, src, tmp_path, q):
-    out = str(tmp_path / "out")
-    run_stream(spark, src, out, q, once=True)
-    assert os.listdir(out)
+def test_both_modes_write_the_same_lines(spark, odd, tmp_path, q):
+    one, two = str(tmp_path / "batch"), str(tmp_path / "stream")
+    run_batch(spark, odd, one, q)
+    run_stream(spark, odd, two, q, once=True)
+    folder = [f for f in os.listdir(one)][0]
+    batch, stream = _read(f"{one}/{folder}"), _read(f"{two}/{folder}")
+    assert batch and stream
+    if q in "23":  # one snapshot, in one file
+        assert stream == batch
+    elif q == "4":
+        assert sorted(stream) == sorted(batch) and all(len(json.loads(x)) <= 5 for x in stream)
+        assert {i for x in stream for i, _, _ in json.loads(x)} == set(IDS)
+    elif q == "1":
+        assert sorted(stream) == sorted(batch) and all(len(json.loads(x)) == 2 for x in stream)
+    else:  # the last answers are not settled yet
+        assert not set(stream) - set(batch) and len(stream) >= len(batch) - 40
+
+
+def test_snapshot_is_rewritten_only_when_changed(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    lines = spark.createDataFrame([("b",), ("a",)], "line string")
+    assert publish(lines, path) and not publish(lines.orderBy("line"), path)
+    assert _read(path) == ["a", "b"]
+    assert publish(lines.limit(1), path) and len(_read(path)) == 1
+
+
+def test_answers_on_the_console(spark, odd, tmp_path, capsys):
+    run_batch(spark, odd, str(tmp_path / "c"), "3", show=True)
+    assert "[[" in capsys.readouterr().out

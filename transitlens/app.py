@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sinks, streaming
-from .functions import duration_text
+from .functions import number_text
 from .operators import filters, gaps, latest, recent, topk, windows
-from .operators.gaps import rounded_gap_micros
-from .schema import TRAIN_HEADER
+from .schema import TOP_N, TRAIN_HEADER
 from .session import build_session
 from .sources import report_source
 
@@ -38,73 +37,84 @@ def _trigger(once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": "5 seconds"}
 
 
-def _gap_line(buffer: DataFrame) -> DataFrame:
-    g = buffer.agg(F.count(F.lit(1)).alias("n"), (F.max("lastupdate") - F.min("lastupdate")).alias("span"))
-    return g.where("n > 1").select(duration_text(rounded_gap_micros(F.col("span"), F.col("n"))).alias("line"))
+def question_lines(r: DataFrame, q: str) -> tuple[DataFrame, tuple[str, ...], str]:
+    """(lines, their order, folder) of a question over a bounded table."""
+    if q == "1":
+        return filters.north_lines(filters.active(r)), ("line",), "heading_north"
+    if q == "2":
+        return latest.train_snapshot_lines(latest.train_last_stop(r), TRAIN_HEADER), ("ord", "line"), "trains"
+    if q == "3":
+        return topk.top_list_json(topk.top_delayed(r)), ("line",), "delayed"
+    if q == "4":
+        return recent.list_lines(recent.recent_changes(r)), ("t", "seq"), "delayed3minutes"
+    if q == "5":
+        return average_lines(windows.sliding_average(r)), ("window_start_ms",), "averagedelay"
+    if q == "6":
+        return gap_lines(gaps.gap_text(gaps.gap_timeline(r), "lastupdate")), ("lastupdate", "seq"), "last10reports"
+    raise ValueError(f"unknown question {q}")
 
 
-def run_batch(spark: SparkSession, src: str, out: str, q: str) -> None:
-    r = report_source(spark, src)
-    if q == "1":
-        sinks.write_lines(filters.north_lines(filters.active(r)), f"{out}/heading_north")
-    elif q == "2":
-        sinks.write_train_snapshot(latest.train_last_stop(r), f"{out}/trains")
-    elif q == "3":
-        sinks.write_lines(topk.top_list_json(topk.top_delayed(r)), f"{out}/delayed")
-    elif q == "4":
-        c = recent.recent_changes_iso(r)
-        items = F.concat(F.lit('["'), "id", F.lit('", '), F.col("delay").cast("string"), F.lit(', "'), "lastupdate_iso", F.lit('"]'))
-        lines = c.groupBy("seq").agg(F.sort_array(F.collect_list(F.struct("rank", items.alias("i")))).alias("l"))
-        lines = lines.select("seq", F.concat(F.lit("["), F.array_join(F.transform("l", lambda x: x["i"]), ", "), F.lit("]")).alias("line"))
-        sinks.write_lines(lines.orderBy("seq"), f"{out}/delayed3minutes")
-    elif q == "5":
-        w = windows.sliding_average(r).orderBy("window_start_ms")
-        sinks.write_lines(w.select(F.col("avg_delay").cast("string").alias("line")), f"{out}/averagedelay")
-    elif q == "6":
-        t = gaps.gap_text_timeline(r).orderBy("seq")
-        sinks.write_lines(t.select(F.col("gap_text").alias("line")), f"{out}/last10reports")
+def average_lines(averages: DataFrame) -> DataFrame:
+    return averages.select("window_start_ms", number_text("avg_delay").alias("line"))
+
 
+def gap_lines(texts: DataFrame) -> DataFrame:
+    return texts.select("seq", "lastupdate", F.col("gap_text").alias("line"))
 
-def run_stream(spark: SparkSession, src: str, out: str, q: str, once: bool) -> None:
+
+def run_batch(spark: SparkSession, src: str, out: str, q: str, show: bool = False) -> None:
+    lines, order, folder = question_lines(report_source(spark, src), q)
+    if q in "23":
+        sinks.publish(lines, f"{out}/{folder}", order)
+    else:
+        sinks.write_lines(lines.orderBy(*order), f"{out}/{folder}")
+    if show:
+        sinks.show_lines(lines.orderBy(*order))
+
+
+def run_stream(spark: SparkSession, src: str, out: str, q: str, once: bool, show: bool = False) -> None:
+    """The same lines as a bounded run, as the reports come in.  Answers per
+    report (4 and 6) and per window (5) follow once they are settled: when the
+    newest event time lies the lateness (10 s) beyond them.  Reports that come
+    later than that go to a folder of their own."""
     ck = spark.conf.get("spark.checkpoint.dir", None) or f"{out}/_checkpoints"
     # stable per (output, question): a restarted job finds its own checkpoint
     ck = f"{ck.rstrip('/')}/question-{q}-{hashlib.sha1(out.encode()).hexdigest()[:10]}"
     r = streaming.report_stream_from_text(spark, src)
-    trig = _trigger(once)
+    df, mode, queries = r, "append", []
+
+    def start(frame, writer, checkpoint, output):
+        w = frame.writeStream.foreachBatch(writer).outputMode(output).option("checkpointLocation", checkpoint)
+        queries.append(w.trigger(**_trigger(once)).start())
+
     if q == "1":
-        query = sinks.stream_lines(filters.north_lines(filters.active(r)), f"{out}/heading_north", ck, trigger=trig)
+        df, write = filters.north_lines(filters.active(r)), sinks.batch_lines(f"{out}/heading_north", ("line",), show)
+    elif q in ("2", "3"):
+        mode, folder = "complete", "trains" if q == "2" else "delayed"
+        df = latest.train_last_stop(r) if q == "2" else topk.latest_delay_per_vehicle(r)
+
+        def write(b, i):
+            if q == "2":
+                lines, order = latest.train_snapshot_lines(b, TRAIN_HEADER), ("ord", "line")
+            else:
+                lines, order = topk.top_list_json(topk.top_k(filters.delayed(b), TOP_N, topk.delay_order())), ("line",)
+            if sinks.publish(lines, f"{out}/{folder}", order) and show:
+                sinks.show_lines(lines.orderBy(*order))
+    elif q == "4":
+        sink = sinks.batch_lines(f"{out}/delayed3minutes", ("t", "seq"), show)
+        write = streaming.recent_changes_writer(f"{out}/_delayed3minutes", sink=lambda b, i: sink(recent.list_lines(b), i))
+    elif q == "5":
+        sink = sinks.batch_lines(f"{out}/averagedelay", ("window_start_ms",), show)
+        df, write = streaming.sliding_average_stream(r), lambda b, i: sink(average_lines(b), i)
+        start(filters.active(r), streaming.late_rows_writer(f"{out}/_averagedelay"), f"{ck}-late", "append")
+    elif q == "6":
+        sink = sinks.batch_lines(f"{out}/last10reports", ("lastupdate", "seq"), show)
+        write = streaming.gap_text_writer(f"{out}/_last10reports", sink=lambda b, i: sink(gap_lines(b), i))
     else:
-        if q == "2":
-            df, mode, write = latest.train_last_stop(r), "complete", sinks.train_snapshot_writer(f"{out}/trains", TRAIN_HEADER)
-        elif q == "3":
-            df, mode = topk.latest_delay_per_vehicle(r), "complete"
-
-            def write(b, i):
-                snap = topk.top_k(filters.delayed(b), 5, topk.delay_order())
-                sinks.write_lines(topk.top_list_json(snap), f"{out}/delayed/batch_id={i}")
-        elif q == "4":
-            d = filters.delayed(filters.active(r))
-            df, mode = latest.latest_per_key(d, "id", ["delay", "lastupdate", "seq"], tie="last"), "complete"
-
-            def write(b, i):
-                recent.recent_final_from_latest(b).write.mode("overwrite").parquet(f"{out}/delayed3minutes/batch_id={i}")
-        elif q == "5":
-            df, mode = streaming.sliding_average_stream(r), "append"
-
-            def write(b, i):
-                b.write.mode("overwrite").parquet(f"{out}/averagedelay/batch_id={i}")
-        elif q == "6":
-            df, mode = r, "append"
-            buffer_writer = streaming.last_n_buffer_writer(f"{out}/last10reports/buffer")
-
-            def write(b, i):
-                buffer_writer(b, i)
-                buf = streaming.merges.latest_state(spark, f"{out}/last10reports/buffer")
-                sinks.write_lines(_gap_line(buf), f"{out}/last10reports/gap/batch_id={i}")
-        else:
-            raise ValueError(f"unknown question {q}")
-        query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", ck).trigger(**trig).start()
-    query.awaitTermination()
+        raise ValueError(f"unknown question {q}")
+    start(df, write, ck, mode)
+    for query in queries:
+        query.awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -115,13 +125,14 @@ def main(argv: list[str] | None = None) -> None:
     g = p.add_mutually_exclusive_group()
     g.add_argument("--batch", action="store_true", help="bounded read of the files present now")
     g.add_argument("--once", action="store_true", help="stream what is there, then stop")
+    p.add_argument("--console", action="store_true", help="print the answers too")
     p.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     a = p.parse_args(argv)
     spark = build_session(a.master) if a.master else SparkSession.builder.getOrCreate()
     if a.batch:
-        run_batch(spark, a.input, a.output, a.question)
+        run_batch(spark, a.input, a.output, a.question, a.console)
     else:
-        run_stream(spark, a.input, a.output, a.question, a.once)
+        run_stream(spark, a.input, a.output, a.question, a.once, a.console)
 
 
 if __name__ == "__main__":

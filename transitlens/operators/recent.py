@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..functions import iso_text
+from ..functions import iso_text, json_string, number_text
 from ..schema import TOP_N, TRAILING_MS
 from .carry import ordered_buckets
 from .filters import active, delayed
@@ -220,6 +220,18 @@ def recent_changes_iso(reports: DataFrame, window_ms: int = TRAILING_MS, k: int
     return c.select("seq", "rank", "id", "delay", iso_text("lastupdate").alias("lastupdate_iso"))
 
 
+def list_lines(lists: DataFrame) -> DataFrame:
+    """``(seq, t, line)``: each list as one JSON line ``[["id", delay, "iso time"],
+    ...]``; t is the event time of the report it stands after."""
+    item = F.concat(
+        F.lit("["), json_string("id"), F.lit(", "), number_text("delay"), F.lit(', "'), iso_text("lastupdate"), F.lit('"]')
+    )
+    items = F.sort_array(F.collect_list(F.struct("rank", item.alias("item"))))
+    lines = lists.groupBy("seq").agg(F.max("lastupdate").alias("t"), items.alias("items"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["item"]), ", "), F.lit("]"))
+    return lines.select("seq", "t", text.alias("line"))
+
+
 def recent_final_from_latest(per_vehicle: DataFrame, window_ms: int = TRAILING_MS, k: int = TOP_N) -> DataFrame:
     """The final list from each vehicle's newest delayed report
     ``(id, delay, lastupdate, seq)``: a vehicle whose newest delayed report is

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .operators.latest import train_snapshot_lines
 from .schema import TRAIN_HEADER
+from .session import path_exists, replace_path
 
 
 def write_lines(lines: DataFrame, path: str, column: str = "line", max_records_per_file: int | None = None) -> None:
@@ -32,26 +33,52 @@ def stream_lines(lines: DataFrame, path: str, checkpoint: str, column: str = "li
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def write_train_snapshot(last_stop: DataFrame, path: str, header: str = TRAIN_HEADER) -> None:
-    """Rewrite the snapshot: header line, then ``'id','stop','ms'`` per train.
-    Sorted output keeps the header in the first part file; the work is spread
-    over tasks (no single-task coalesce)."""
-    lines = train_snapshot_lines(last_stop, header).orderBy("ord", "line")
-    lines.select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+def publish(lines: DataFrame, path: str, order: tuple[str, ...] = ("line",)) -> bool:
+    """Make ``lines`` the one snapshot that readers find at ``path``, in one text
+    file; left alone when it already holds the same lines.  The new snapshot is
+    written beside it and moved into its place.  A snapshot is a state of one
+    line per vehicle at most, so one task sorts and writes it."""
+    spark = lines.sparkSession
+    lines = lines.persist()
+    try:
+        digest = [F.count(F.lit(1)), F.sum(F.xxhash64("line").cast("decimal(38,0)"))]
+        if path_exists(spark, path):
+            there = spark.read.text(path).select(F.col("value").alias("line"))
+            if there.agg(*digest).first() == lines.agg(*digest).first():
+                return False
+        new = f"{path}__new"
+        lines.repartition(1).sortWithinPartitions(*order).select(F.col("line").alias("value")).write.mode("overwrite").text(new)
+        replace_path(spark, new, path)
+        return True
+    finally:
+        lines.unpersist()
 
 
-def train_snapshot_writer(base: str, header: str = TRAIN_HEADER):
-    """``foreachBatch`` function for a complete-mode stream of
-    ``(id, last_stop, last_update)``: each micro-batch writes its snapshot to
-    ``base/batch_id=N`` (a retried batch overwrites its own folder), so
-    readers take the highest complete ``batch_id``."""
+def write_train_snapshot(last_stop: DataFrame, path: str, header: str = TRAIN_HEADER) -> bool:
+    """The snapshot: header line, then ``'id','stop','ms'`` per train."""
+    return publish(train_snapshot_lines(last_stop, header), path, ("ord", "line"))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_train_snapshot(batch, f"{base}/batch_id={batch_id}", header)
+
+def batch_lines(path: str, order: tuple[str, ...], show: bool = False):
+    """Sink of a micro-batch's answers: text lines in ``path/batch_id=N``, in
+    event-time order; a replayed batch overwrites its own, an empty one writes
+    nothing."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            write_lines(df.orderBy(*order), f"{path}/batch_id={batch_id}")
+            if show:
+                show_lines(df.orderBy(*order))
 
     return write
 
 
+def show_lines(lines: DataFrame, n: int = 50) -> None:
+    """Print the first lines to the console."""
+    for row in lines.select("line").take(n):
+        print(row["line"], flush=True)
+
+
 def console(df: DataFrame, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
     """Print a stream's rows (console sink) for interactive use; aggregating
     streams need ``mode="update"`` or ``"complete"``."""

@@ -38,7 +38,6 @@ def report_source(
     lines = read_report_lines(spark, path, stream=stream, max_files_per_trigger=max_files_per_trigger)
     if split != "none":
         toks = tokenize_lines(lines) if split == "whitespace" else split_documents(lines)
-        # new tie-breaker per token: load order in a batch, a stable hash in a stream
-        seq = F.xxhash64("seq", "pos") if stream else F.monotonically_increasing_id()
-        lines = toks.select(seq.alias("seq"), F.col("token").alias("value"))
+        # documents of one line follow each other
+        lines = toks.select((F.col("seq") + F.col("pos")).alias("seq"), F.col("token").alias("value"))
     return parse_reports(lines)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..schema import CORRUPT_COLUMN, REPORT_COLUMNS, REPORT_JSON_SCHEMA
 
+# lower part of a line's arrival number: 22 bits below the milliseconds
+ARRIVAL_PLACES = 1 << 22
+
 _PARSE_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT_COLUMN,
@@ -28,9 +31,8 @@ def read_report_lines(
     Batch: a bounded scan of the files present now.  Stream: the directory is
     watched; ``max_files_per_trigger`` bounds a micro-batch.  Writers must
     land files atomically (write elsewhere, then rename) so that no partial
-    document is read.  ``seq`` orders the lines of one batch scan; a stream
-    gets a stable hash of (file, line) instead, so event-time operators use it
-    only to break ties.
+    document is read.  ``seq`` is the order of arrival: by the file's
+    modification time, then (batch) by the place in the file.
     """
     if not path:
         raise ValueError("an input path is required")
@@ -42,8 +44,11 @@ def read_report_lines(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(path)
     source = F.col("_metadata.file_path")
-    # a stream has no global row order; a hash of (file, line) is a stable tie-breaker
-    seq = F.xxhash64(source, F.col("value")) if stream else F.monotonically_increasing_id()
+    # arrival order: when the file landed, then the place in it (a stream knows
+    # no place; a hash of file and line tells the lines of one file apart)
+    landed = F.unix_millis("_metadata.file_modification_time") * ARRIVAL_PLACES
+    place = F.xxhash64(source, F.col("value")) if stream else F.monotonically_increasing_id()
+    seq = landed + F.pmod(place, F.lit(ARRIVAL_PLACES))
     return lines.select(seq.alias("seq"), source.alias("source_file"), "value")
 
 
@@ -59,6 +64,9 @@ def tokenize_lines(lines: DataFrame) -> DataFrame:
     return toks.where(F.length("token") > 0)
 
 
+BARE_FLAG = r"""["']isinactive["']\s*:\s*(true|false)"""
+
+
 def _parsed(lines: DataFrame, text_col: str):
     """Each line with its parsed document as one struct column ``_r``: the flat
     report fields plus ``_corrupt_record`` and the raw ``_text``."""
@@ -68,7 +76,8 @@ def _parsed(lines: DataFrame, text_col: str):
     row = F.struct(
         a["id"].alias("id"),
         a["bearing"].alias("bearing"),
-        a["isinactive"].alias("isinactive"),
+        # the flag is text; an unquoted true or false is another value
+        F.when(~F.col("_text").rlike(BARE_FLAG), a["isinactive"]).alias("isinactive"),
         a["ltype"].alias("ltype"),
         a["delay"].try_cast("double").alias("delay"),
         a["lastupdate"].alias("lastupdate"),

@@ -292,7 +292,7 @@ def _recent_stream(spark, reports, name, **options):
     writer = streaming.recent_changes_writer(out, lateness_ms=REPLAY_LATENESS_MS, **options)
     streaming.run_foreach(reports, name, writer)
     columns = [f for f in recent.LIST_SCHEMA.fields if f.name != "changed"]
-    return spark.read.schema(StructType(columns)).parquet(f"{out}/changes").select(*[f.name for f in columns])
+    return streaming.read_batches(spark, f"{out}/changes", StructType(columns))
 
 
 def q_stream_recent5_changes(spark, sf_dir):
@@ -312,14 +312,14 @@ def q_stream_last10_buffer(spark, sf_dir):
 def q_stream_last10_gap_text(spark, sf_dir):
     out = fresh_path(spark, "stream_last10_gap_text-out")
     streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_gap_text", streaming.gap_text_writer(out, lateness_ms=REPLAY_LATENESS_MS))
-    return spark.read.schema("seq bigint, lastupdate bigint, gap_text string").parquet(f"{out}/gaps").select("seq", "gap_text")
+    return streaming.read_batches(spark, f"{out}/gaps", "seq bigint, gap_text string")
 
 
 def q_stream_late_rows(spark, sf_dir):
     out = fresh_path(spark, "stream_late_rows-out")
     s = _stream(spark, sf_dir).select("seq", "id", "lastupdate")
     streaming.run_foreach(s, "stream_late_rows", streaming.late_rows_writer(out, LATE_KEY_LATENESS_MS))
-    return spark.read.schema("seq bigint, id string, lastupdate bigint").parquet(f"{out}/late").select("seq", "id", "lastupdate")
+    return streaming.read_batches(spark, f"{out}/late", "seq bigint, id string, lastupdate bigint")
 
 
 # --- text files: write the landing directory, read it back as text ---

@@ -15,7 +15,7 @@ from .queries import (
     sliding_average_stream,
     sliding_average_processing_time,
 )
-from .merges import gap_text_writer, last_n_buffer_writer, late_rows_writer, previous_snapshot, recent_changes_writer, settled_writer
+from .merges import gap_text_writer, last_n_buffer_writer, late_rows_writer, previous_snapshot, read_batches, recent_changes_writer, settled_writer
 from .runner import run_append, run_foreach, run_snapshots
 from .state import last_n_per_vehicle_stream
 
@@ -33,6 +33,7 @@ __all__ = [
     "recent_changes_writer",
     "gap_text_writer",
     "settled_writer",
+    "read_batches",
     "previous_snapshot",
     "run_snapshots",
 ]

@@ -22,6 +22,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.carry import with_oldest_of_last
 from ..operators.filters import active, delayed
@@ -79,6 +80,14 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """What ``write_batch`` has written below ``path``; no rows when no batch had any."""
+    empty = spark.createDataFrame([], schema)
+    if not path_exists(spark, path):
+        return empty
+    return spark.read.schema(empty.schema).parquet(path).select(empty.columns)
+
+
 def newest_time(df: DataFrame) -> int | None:
     return df.agg(F.max("lastupdate")).first()[0]
 

@@ -11,8 +11,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import digest, duck  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
+from transitlens import plans  # noqa: E402
 
-NAMES = sorted(E.queries())
+NAMES = sorted(plans.queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,20 +21,16 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_has_an_oracle_or_is_clock_dependent():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"stream_avg_delay_ptime"}
+def test_every_query_has_an_oracle_and_is_registered():
+    assert set(NAMES) == set(plans.oracle_sql())
+    assert set(NAMES) <= set(E.queries()) and set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(df.columns) > 0
-        return
-    cur = con.execute(sql)
+    cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

@@ -73,6 +73,6 @@ def test_next_time_across_buckets(spark):
     from transitlens.operators.carry import with_next_time
 
     rows = [{"seq": i, "id": "a" if i % 3 else "b", "t": t} for i, t in enumerate([5, 5, 9, 30, 31, 77, 200, 200])]
-    got = {r.seq: r._next for r in with_next_time(frame(spark, rows), 10).collect()}
+    got = {r.seq: r._next for r in with_next_time(frame(spark, rows), buckets=4).collect()}
     # per id in (t asc, seq desc) order: a: 5(s1),9(s2),31(s4),77(s5),200(s7); b: 5(s0),30(s3),200(s6)
     assert got == {1: 9, 2: 31, 4: 77, 5: 200, 7: None, 0: 30, 3: 200, 6: None}

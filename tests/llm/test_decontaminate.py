@@ -79,3 +79,27 @@ def test_query_rows_in_one_and_several_blocks(spark, docs_of, words, items):
     assert D.contamination(docs_of([]), bench).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.drop_contaminated(docs_of(rows), none).count() == len(rows)
+
+
+def test_short_items_are_found_at_every_place(words):
+    """Copies at the largest distance, the item's first word at any rank of the text."""
+    r = random.Random(21)
+    short = [(i, " ".join(words(40))[: r.choice([18, 33, 48, 52, 60, 65])].strip()) for i in range(30)]
+    unspaced = [(100 + i, "".join(chr(0x4E00 + r.randrange(300)) for _ in range(r.randint(50, 70)))) for i in range(10)]
+    index = D.Index(short + unspaced, D.EDIT_SHARE)
+    texts, planted = [], []
+    for i, t in short + unspaced:
+        for before in range(5):
+            for share in (0.0, D.EDIT_SHARE):
+                lead = "".join(chr(0x4E00 + r.randrange(300)) for _ in range(20 + before)) if i >= 100 else " ".join(words(20 + before)) + " "
+                texts.append(lead + edited(r, t, int(share * len(t))) + lead[::-1])
+                planted.append(i)
+    assert all(i in found for i, found in zip(planted, index.hits(texts)))
+
+
+def test_pieces_cover_an_item():
+    for length in range(10, 200):
+        n = length // 10 + 1
+        borders = D.pieces(length, n)
+        assert borders[0] == 0 and borders[-1] == length and len(borders) == n + 1
+        assert all(b > a for a, b in zip(borders, borders[1:]))

@@ -2,8 +2,9 @@
 
 Texts and items are lower-cased and their white space made single spaces.
 The windows of a text begin at every ``STRIDE``-th word; an item is indexed
-from each of its word starts, so a planted copy of an item meets about
-words / STRIDE of its aligned windows.
+from each of its word starts with ``WALK`` characters left.  A planted copy of
+an item with at least ``WINDOWS`` * ``STRIDE`` such starts meets ``WINDOWS`` of
+them aligned, wherever in the text it begins.
 
 CGK embedding: a random walk reads a window; at step t it writes the current
 character and moves on by one if a hash of (t, character) says so.  Strings a
@@ -12,18 +13,24 @@ fall in step again after an edit.  Bit-sampling LSH: ``BITS`` sampled
 coordinates of the walk are the bucket of a window.  It is repeated with
 independent walks and samples, ``repeats_for_recall`` times.
 
+Anchors: items with fewer starts (short ones, unspaced script) are cut into
+one piece more than the edits allowed, so one piece of any copy is unchanged.
+The pieces are searched for at every character; a piece's neighbour must be
+there with one edit at most, as some pair of pieces has no more.  No copy of
+such an item is lost.  A longer item has one anchor, the rarest of the block,
+which finds each of its unchanged copies.
+
 Windows that share a bucket with an item, and whose whole embedding is near the
 item's in Hamming distance, are verified exactly: the edit
 distance of the whole item to the best part of the item-sized region around
-the window (bit-parallel, in one pass over the region) must be at most
+the window or anchor (bit-parallel, in one pass over the region) must be at most
 ``EDIT_SHARE`` of the item's length.
 
 The items are a stated query set; they are collected in blocks of at most
 ``BLOCK`` items and each block meets all texts in a pass without a shuffle.
 
-Edge cases: null and empty texts are clean; items that are null, empty or
-shorter than ``WALK`` characters are found by exact search of the normalised
-item (empty ones never); repeated rows are judged alike; an empty benchmark
+Edge cases: null and empty texts are clean; null and empty items are never
+found; items too short for an edit are searched for as they are; repeated rows are judged alike; an empty benchmark
 leaves all documents clean; an empty table gives an empty result; other
 columns are kept by :func:`drop_contaminated` and ignored by the report.
 """
@@ -44,6 +51,8 @@ from .common import slices, table, worker_memory
 EDIT_SHARE = 0.1
 RECALL = 0.95
 STRIDE = 4
+#: aligned windows that an item has at least if it is searched for by walks
+WINDOWS = 8
 BITS = 8
 WALK = 48
 #: a window and an item that share a bucket are compared further when at most
@@ -52,6 +61,8 @@ HAMMING_SHARE = 0.4
 #: coordinates taken from the first steps, which sort out most windows
 EARLY_BITS, EARLY_STEPS = 4, 16
 GRAM = 5
+#: characters of a piece, and of its neighbour, that are compared
+PIECE = 24
 BLOCK = 20_000
 SEED = 20_240
 TABLE = 1 << 18
@@ -75,6 +86,13 @@ def repeats_for_recall(item_words: float, edit_share: float = EDIT_SHARE, recall
     return max(4, math.ceil(tries / max(item_words / STRIDE, 1)))
 
 
+def pieces(length: int, n: int) -> list[int]:
+    """Borders of n pieces: pairs of equal length, and with an odd n a last
+    piece on its own that is longer."""
+    units = n if n % 2 == 0 else n + 0.6
+    return [*(int(i * length / units) for i in range(n)), length]
+
+
 def symbols(joined: str) -> np.ndarray:
     """One byte per character (code points folded), padded for walks off the end."""
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -116,30 +134,112 @@ class Walks:
         return at, key
 
 
+def grams(text: np.ndarray, n: int) -> np.ndarray:
+    """The n <= 8 bytes from each place on, as one number."""
+    padded = text.tobytes() + bytes(8)
+    return np.ndarray((len(text),), "<u8", buffer=padded, strides=(1,)) & np.uint64((1 << 8 * n) - 1)
+
+
+def leading(equal: np.ndarray) -> np.ndarray:
+    """How many of the first columns are true."""
+    return np.where(equal.all(axis=1), equal.shape[1], (~equal).argmax(axis=1))
+
+
+class Anchors:
+    """Pieces of items, of which the first ``size`` bytes are looked up at
+    every place of a text.  Entries: (item, its symbols, begin, end, and begin
+    and end of the neighbour; an empty one for a piece on its own)."""
+
+    CHUNK = 1 << 20
+
+    def __init__(self, size: int, entries: list[tuple[int, np.ndarray, int, int, int, int]]):
+        self.size, n = size, len(entries)
+        keys = np.zeros(n, np.uint64)
+        self.owner, self.offset = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.piece, self.beside = np.zeros((n, PIECE), np.uint8), np.zeros((n, PIECE), np.uint8)
+        self.length, self.reach = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        # where the neighbour begins, from the piece's begin, and which way it is read
+        self.turn, self.way = np.zeros(n, np.int64), np.ones(n, np.int64)
+        for k, (item, text, a, b, c, d) in enumerate(entries):
+            keys[k] = int.from_bytes(text[a : a + size].tobytes(), "little")
+            self.owner[k], self.offset[k] = item, a
+            self.length[k], self.reach[k] = min(b - a, PIECE), min(d - c, PIECE)
+            self.piece[k, : self.length[k]] = text[a:b][:PIECE]
+            near = text[c:d] if c >= a else text[c:d][::-1]
+            self.beside[k, : self.reach[k]] = near[:PIECE]
+            self.turn[k], self.way[k] = (b - a, 1) if c >= a else (-1, -1)
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        for name in ("owner", "offset", "piece", "beside", "length", "reach", "turn", "way"):
+            setattr(self, name, getattr(self, name)[order])
+        self.shift = np.uint64(64 - max(18, (16 * n).bit_length()))
+        self.gate = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.gate[(self.keys * MIX) >> self.shift] = True
+
+    def find(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, entry) of every piece that is there beside its neighbour."""
+        places, entries = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        padded = np.concatenate([np.zeros(PIECE + 2, np.uint8), text, np.zeros(2 * PIECE + 2, np.uint8)])
+        for first in range(0, len(text), self.CHUNK):
+            key = grams(text[first : first + self.CHUNK + 8], self.size)[: self.CHUNK]
+            through = np.flatnonzero(self.gate[(key * MIX) >> self.shift])
+            key = key[through]
+            lo = np.searchsorted(self.keys, key, "left")
+            n = np.searchsorted(self.keys, key, "right") - lo
+            at = np.repeat(through + first, n)
+            e = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+            for part in range(0, len(at), self.CHUNK >> 4):
+                p, x = self.there(padded, at[part : part + (self.CHUNK >> 4)], e[part : part + (self.CHUNK >> 4)])
+                places.append(p)
+                entries.append(x)
+        return np.concatenate(places), np.concatenate(entries)
+
+    def there(self, padded: np.ndarray, at: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        step, zero = np.arange(PIECE), PIECE + 2
+        same = (padded[zero + at[:, None] + step] == self.piece[e]) | (step >= self.length[e][:, None])
+        ok = same.all(axis=1)
+        at, e = at[ok], e[ok]
+        # the neighbour with one edit at most: equal up to the edit, and after
+        # it as it is (replaced) or moved by one (left out, put in)
+        reach = self.reach[e]
+        start, way, beside = zero + at + self.turn[e], self.way[e][:, None], self.beside[e]
+        beyond = step >= reach[:, None]
+        equal = [(padded[start[:, None] + way * (step + move)] == beside) | beyond for move in (0, -1, 1)]
+        before = leading(equal[0])
+        after = [leading(q[:, ::-1]) - (PIECE - reach) for q in equal]
+        left = reach - before
+        ok = (before >= reach) | (after[0] >= left - 1) | (after[1] >= left - 1) | (after[2] >= left)
+        return at[ok], e[ok]
+
+
 class Index:
-    """Buckets of one block of items."""
+    """Buckets and anchors of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], edit_share: float):
         self.items = [(i, normalised(t)) for i, t in items]
         self.limit = [int(edit_share * len(t)) for _, t in self.items]
-        # items too short for a walk are searched for as they are
-        self.short = [k for k, (_, t) in enumerate(self.items) if 0 < len(t) < WALK]
-        long = [k for k, (_, t) in enumerate(self.items) if len(t) >= WALK]
-        n_words = [self.items[k][1].count(" ") + 1 for k in long]
-        self.walks = Walks(repeats_for_recall(float(np.median(n_words)) if long else 1.0, edit_share))
+        # items too short for an edit are searched for as they are
+        self.short = [k for k, (_, t) in enumerate(self.items) if 0 < len(t) < WALK and not self.limit[k]]
+        n_words = [t.count(" ") + 1 for _, t in self.items if len(t) >= WALK]
+        self.walks = Walks(repeats_for_recall(float(np.median(n_words)) if n_words else 1.0, edit_share))
         self.masks: dict[int, dict[str, int]] = {}
         self.grams: dict[int, list[str]] = {}
         owner, offset, places, text, base = [], [], [], [], 0
-        for k in long:
-            t = self.items[k][1]
-            starts = [0, *[j + 1 for j, c in enumerate(t) if c == " "]]
+        walked, cut = [], []
+        for k, (_, t) in enumerate(self.items):
+            starts = [o for o in (0, *[j + 1 for j, c in enumerate(t) if c == " "]) if len(t) - o >= WALK]
+            if len(starts) < WINDOWS * STRIDE:
+                if self.limit[k] or len(t) >= WALK:
+                    cut.append(k)
+                continue
+            walked.append(k)
             for o in starts:
-                if len(t) - o >= WALK or o == 0:
-                    owner.append(k)
-                    offset.append(o)
-                    places.append(base + o)
+                owner.append(k)
+                offset.append(o)
+                places.append(base + o)
             text.append(t)
             base += len(t) + 1
+        self.anchors = self.anchored(cut, walked)
         self.owner, self.offset = np.array(owner, np.int64), np.array(offset, np.int64)
         joined, places = symbols("\0".join(text)), np.array(places, np.int64)
         self.gates, self.keys, self.at, self.embedded = [], [], [], []
@@ -154,17 +254,44 @@ class Index:
             self.at.append(order)
             self.embedded.append(self.walks.embed(r, joined, places)[order])
 
+    def anchored(self, cut: list[int], walked: list[int]) -> list[Anchors]:
+        """Anchors by the bytes looked up: all pieces of the items ``cut``, the
+        rarest part of those ``walked``."""
+        by_size: dict[int, list] = {}
+        for k in cut:
+            text, n = symbols(self.items[k][1]), self.limit[k] + 1
+            borders = pieces(len(self.items[k][1]), n)
+            size = min(8, min(b - a for a, b in zip(borders, borders[1:])))
+            for i in range(n):
+                other = i ^ 1 if i ^ 1 < n else None
+                beside = (borders[other], borders[other + 1]) if other is not None else (borders[i + 1], borders[i + 1])
+                by_size.setdefault(size, []).append((k, text, borders[i], borders[i + 1], *beside))
+        places = {k: grams(symbols(self.items[k][1]), 8)[: len(self.items[k][1]) - PIECE + 1] for k in walked}
+        if walked:
+            seen, n = np.unique(np.concatenate(list(places.values())), return_counts=True)
+            for k in walked:
+                o = int(np.argmin(n[np.searchsorted(seen, places[k])]))
+                by_size.setdefault(8, []).append((k, symbols(self.items[k][1]), o, o + PIECE, o + PIECE, o + PIECE))
+        return [Anchors(size, entries) for size, entries in sorted(by_size.items()) if size]
+
     def candidates(self, texts: list[str]) -> set[tuple[int, int, int]]:
-        """(text, item, where the item would begin) of all shared buckets."""
+        """(text, item, where the item would begin) of all shared buckets and anchors."""
         joined = symbols("\0".join(texts))
         begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])[:-1]]).astype(np.int64)
+        found: set[tuple[int, int, int]] = set()
+        for anchors in self.anchors:
+            at, e = anchors.find(joined[: -WALK - 1])
+            text = np.searchsorted(begins, at, "right") - 1
+            begin = at - begins[text] - anchors.offset[e]
+            found.update(zip(text.tolist(), anchors.owner[e].tolist(), begin.tolist(), strict=True))
+        if not self.owner.size:
+            return found
         spaces = np.flatnonzero(joined[: -WALK - 1] == 32) + 1
         starts = np.sort(np.concatenate([spaces, begins]))
         owner = np.searchsorted(begins, starts, "right") - 1
         rank = np.arange(len(starts)) - np.searchsorted(starts, begins)[owner]
         chosen = rank % STRIDE == 0
         starts, owner = starts[chosen], owner[chosen]
-        found: set[tuple[int, int, int]] = set()
         for r in range(len(self.walks.moves)):
             at, key = self.walks.run(r, joined, starts, np.zeros(len(starts), np.uint64), 0, EARLY_STEPS, self.walks.early[r])
             through = np.flatnonzero(self.gates[r][key & np.uint64(TABLE - 1)])
@@ -230,14 +357,14 @@ class Index:
         """Per text: item id -> edit distance, of every item found."""
         plain = [normalised(t) for t in texts]
         out: list[dict[int, int]] = [{} for _ in texts]
-        if self.owner.size:
+        if self.owner.size or self.anchors:
             tried: set[tuple[int, int, int]] = set()
             for d, k, begin in sorted(self.candidates(plain)):
                 item, near = self.items[k], begin // max(self.limit[k], 8)
                 if (d, k, near) in tried or out[d].get(item[0], 1) == 0:
                     continue
                 tried.add((d, k, near))
-                slack = 2 * self.limit[k] + 8
+                slack = 3 * self.limit[k] + 8
                 edits = self.distance(k, plain[d][max(0, begin - slack) : begin + len(item[1]) + slack])
                 if edits <= self.limit[k] and edits < out[d].get(item[0], edits + 1):
                     out[d][item[0]] = edits

@@ -103,3 +103,36 @@ def test_pieces_cover_an_item():
         borders = D.pieces(length, n)
         assert borders[0] == 0 and borders[-1] == length and len(borders) == n + 1
         assert all(b > a for a, b in zip(borders, borders[1:]))
+
+
+def indexed_starts(text):
+    return sum(len(text) - o >= D.WALK for o in [0, *[j + 1 for j, c in enumerate(text) if c == " "]])
+
+
+def test_recall_of_the_shortest_items_in_a_block_of_long_ones(words):
+    """At the largest distance only, per length class; the block does not change the result."""
+    r = random.Random(22)
+    long = [(100 + i, " ".join(words(50))) for i in range(40)]
+    walked = []
+    while len(walked) < 20:  # the fewest starts that walks are used for
+        w = words(60)
+        walked += [(len(walked), t) for t in (" ".join(w[:n]) for n in range(30, 60)) if indexed_starts(t) == D.WINDOWS * D.STRIDE][:1]
+    short = [(50 + i, " ".join(words(18))) for i in range(20)]
+    for items in (short, walked):
+        index = D.Index(items + long, D.EDIT_SHARE)
+        copies = [edited(r, t, int(D.EDIT_SHARE * len(t))) for _, t in items]
+        texts = [" ".join([*words(20 + k % 4), q, *words(20)]) for k, q in enumerate(copies)]
+        found = index.hits(texts)
+        assert sum(i in h for (i, _), h in zip(items, found)) >= D.RECALL * len(items)
+        alone = D.Index(items, D.EDIT_SHARE).hits(texts)
+        assert alone == [{i: n for i, n in h.items() if i < 100} for h in found]
+
+
+def test_recall_of_items_of_distinct_words_in_a_block_of_long_ones():
+    r = random.Random(23)
+    words = lambda n: ["".join(r.choice("abcdefghiklmnoprstuw") for _ in range(r.randint(2, 8))) for _ in range(n)]
+    items, long = [(i, " ".join(words(15))) for i in range(60)], [(100 + i, " ".join(words(55))) for i in range(90)]
+    texts = [" ".join([*words(20 + i % 4), edited(r, t, int(D.EDIT_SHARE * len(t))), *words(20)]) for i, t in items]
+    found, alone = D.Index(items + long, D.EDIT_SHARE).hits(texts), D.Index(items, D.EDIT_SHARE).hits(texts)
+    assert sum(i in h for (i, _), h in zip(items, found)) >= D.RECALL * len(items)
+    assert found == alone

@@ -11,7 +11,8 @@ character and moves on by one if a hash of (t, character) says so.  Strings a
 small edit distance apart give walks a small Hamming distance apart, as walks
 fall in step again after an edit.  Bit-sampling LSH: ``BITS`` sampled
 coordinates of the walk are the bucket of a window.  It is repeated with
-independent walks and samples, ``repeats_for_recall`` times.
+independent walks and samples, ``repeats_for_recall`` times, as often as the
+items with the fewest aligned windows need, whatever else is in the block.
 
 Anchors: items with fewer starts (short ones, unspaced script) are cut into
 one piece more than the edits allowed, so one piece of any copy is unchanged.
@@ -220,8 +221,7 @@ class Index:
         self.limit = [int(edit_share * len(t)) for _, t in self.items]
         # items too short for an edit are searched for as they are
         self.short = [k for k, (_, t) in enumerate(self.items) if 0 < len(t) < WALK and not self.limit[k]]
-        n_words = [t.count(" ") + 1 for _, t in self.items if len(t) >= WALK]
-        self.walks = Walks(repeats_for_recall(float(np.median(n_words)) if n_words else 1.0, edit_share))
+        self.walks = Walks(repeats_for_recall(WINDOWS * STRIDE, edit_share))
         self.masks: dict[int, dict[str, int]] = {}
         self.grams: dict[int, list[str]] = {}
         owner, offset, places, text, base = [], [], [], [], 0

@@ -214,3 +214,37 @@ def test_reports_behind_the_frontier_go_to_the_late_output(spark, landing, tmp_p
     assert lists.where("id = 'late'").isEmpty()
     # a report of the second batch sees the vehicles of the first
     assert lists.groupBy("seq").count().agg({"count": "max"}).first()[0] == 5
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_busy_vehicle_beyond_one_arrow_batch(spark, landing, tmp_path, keyed):
+    """Within a micro-batch the event time decides, whatever the Arrow batches."""
+    r = random.Random(4)
+    files = []
+    for k in range(3):
+        times = [("a", 1_000_000 + 150_000 * k + 1000 * i) for i in range(200)] + [("b", 1_000_000 + 150_000 * k + 70_000 * i) for i in range(4)]
+        r.shuffle(times)
+        files.append(times)
+    path = landing([[report(v, t) for v, t in times] for times in files])
+    want, buffers = [], {}
+    for times in files:
+        for v, t in sorted(times, key=lambda x: x[1]):
+            buf = buffers.setdefault(v, [])
+            if len(buf) == 10 and t < buf[0]:
+                continue
+            buffers[v] = buf = sorted([*buf, t])[-10:]
+            if len(buf) > 1:
+                want.append((v, t, len(buf), buf[-1] - buf[0]))
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(name, "7")
+    try:
+        s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+        if keyed:
+            got = run_append(last_n_per_vehicle_stream(s), "t-busy")
+        else:
+            run_foreach(s, "t-busy", streaming.last_n_per_vehicle_writer(str(tmp_path / "busy")))
+            got = streaming.read_batches(spark, str(tmp_path / "busy" / "gaps"), streaming.state.GAP_SCHEMA)
+        got = sorted(map(tuple, got.select("id", "lastupdate", "n", "span_ms").collect()))
+    finally:
+        spark.conf.set(name, before)
+    assert got == sorted(want)

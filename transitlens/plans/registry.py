@@ -272,7 +272,9 @@ def q_stream_avg_delay_ptime(spark, sf_dir):
 
 
 def q_stream_last10_per_vehicle(spark, sf_dir):
-    return streaming.run_append(streaming.last_n_per_vehicle_stream(_stream(spark, sf_dir)), "stream_last10_per_vehicle")
+    out = fresh_path(spark, "stream_last10_per_vehicle-out")
+    streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_per_vehicle", streaming.last_n_per_vehicle_writer(out))
+    return streaming.read_batches(spark, f"{out}/gaps", streaming.state.GAP_SCHEMA)
 
 
 def q_stream_recent5(spark, sf_dir):

@@ -2,7 +2,8 @@
 
 The transformations are the batch operators where Spark allows them on a
 stream (filters, per-key aggregates); windows use event time with a
-watermark; the per-vehicle last-N buffer is keyed state.  Runners write to a
+watermark; the per-vehicle last-N buffer is keyed state, or a state merged per
+micro-batch.  Runners write to a
 fresh folder under ``spark.checkpoint.dir`` and keep their checkpoint there,
 so a restarted query resumes where it stopped and a replayed micro-batch
 overwrites its own output (idempotent by ``batch_id``).
@@ -15,7 +16,7 @@ from .queries import (
     sliding_average_stream,
     sliding_average_processing_time,
 )
-from .merges import gap_text_writer, last_n_buffer_writer, late_rows_writer, previous_snapshot, read_batches, recent_changes_writer, settled_writer
+from .merges import gap_text_writer, last_n_buffer_writer, last_n_per_vehicle_writer, late_rows_writer, previous_snapshot, read_batches, recent_changes_writer, settled_writer
 from .runner import run_append, run_foreach, run_snapshots
 from .state import last_n_per_vehicle_stream
 
@@ -29,6 +30,7 @@ __all__ = [
     "run_append",
     "run_foreach",
     "last_n_buffer_writer",
+    "last_n_per_vehicle_writer",
     "late_rows_writer",
     "recent_changes_writer",
     "gap_text_writer",

@@ -20,11 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.carry import with_oldest_of_last
+from ..operators.carry import ordered_buckets, rows_before, with_oldest_of_last
 from ..operators.filters import active, delayed
 from ..operators.gaps import gap_text
 from ..operators.recent import newest_distinct, recent_lists
@@ -226,3 +226,48 @@ def gap_text_writer(
         lambda df, i: write_batch(df, f"{base}/late", i),
         lateness_ms,
     )
+
+
+def last_n_per_vehicle_writer(base: str, n: int = LAST_N, sink: Callable[[DataFrame, int], None] | None = None):
+    """The mean gap over a vehicle's ``n`` newest reports that have arrived so
+    far, after every active report that is among them, as ``state.GAP_SCHEMA``
+    to ``base/gaps/batch_id=N`` (or ``sink``).  The reports of a micro-batch count
+    in event-time order; the state in ``base/state`` is the ``n`` newest reports
+    of each vehicle.
+
+    A micro-batch is worked off in buckets of equal counts (``operators.carry``),
+    so neither a busy vehicle nor a large micro-batch is held by one task."""
+    newest_first = (F.col("lastupdate").desc(), F.col("seq").desc())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state_path = f"{base}/state"
+        rows = ordered_buckets(active(batch).select("id", "seq", "lastupdate"), ["id", "lastupdate", "seq"], scratch=f"{base}/scratch")
+        before = rows_before(rows, n - 1, ["id"], "lastupdate", "seq").withColumn("_own", F.lit(False))
+        both = rows.withColumn("_own", F.lit(True)).unionByName(before)
+        last = Window.partitionBy("_b", "id").orderBy("lastupdate", "seq").rowsBetween(1 - n, 0)
+        report = F.struct("lastupdate", "seq")
+        both = both.withColumn("_last", F.collect_list(report).over(last)).where("_own")
+        prev = previous_snapshot(batch.sparkSession, state_path, batch_id)
+        mine = rows.select("id", "seq", "lastupdate")
+        if prev is not None:
+            # a vehicle's older reports go to each of its buckets once
+            old = prev.groupBy("id").agg(F.collect_list(report).alias("_old")).withColumnRenamed("id", "_id")
+            old = rows.select("id", "_b").distinct().join(old, F.col("id").eqNullSafe(F.col("_id")))
+            old = old.select("_id", F.col("_b").alias("_ob"), "_old")
+            both = both.join(old, (F.col("_b") == F.col("_ob")) & F.col("id").eqNullSafe(F.col("_id")), "left")
+            both = both.withColumn("_last", F.concat("_last", F.coalesce("_old", F.array().cast(both.schema["_last"].dataType))))
+            mine = mine.unionByName(prev.select("id", "seq", "lastupdate"))
+        both = both.withColumn("_last", F.slice(F.sort_array("_last", asc=False), 1, n))
+        both = both.where((F.size("_last") > 1) & (F.element_at("_last", -1) <= report))
+        both = both.select(
+            "id",
+            "seq",
+            "lastupdate",
+            F.size("_last").cast("bigint").alias("n"),
+            (F.element_at("_last", 1)["lastupdate"] - F.element_at("_last", -1)["lastupdate"]).alias("span_ms"),
+        )
+        gaps = both.withColumn("gap_ms", F.col("span_ms") / (F.col("n") - 1))
+        (sink or (lambda df, i: write_batch(df, f"{base}/gaps", i)))(gaps, batch_id)
+        write_state(top_k(mine, n, newest_first, by=["id"]).drop("rank"), state_path, batch_id)
+
+    return write

@@ -83,3 +83,22 @@ def test_odd_rows_and_drop(spark, docs_of, words, model):
     assert X.toxicity(docs_of([]), model, id_remainder(4) == 2).count() == 0
     none = X.train(docs_of(rows), spark.createDataFrame([], "doc_id long, toxic int"))
     assert X.drop_toxic(docs, none).count() == len(rows)
+
+
+def test_language_model_covers_unlabelled_texts(spark, docs_of, words):
+    """Spellings of words that only texts without labels hold are restored."""
+    rows, labels = rows_and_labels(words, 200)
+    rows += [(5000 + i, "zzz kyvgrwq xoplumk kyvgrwq " + " ".join(words(5))) for i in range(60)]
+    model = X.train(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model["trigrams"]["kyv"] == 60 and "zzz" not in model["trigrams"]
+    reader = X.Deobfuscator(X.Source(model["trigrams"]))
+    assert "xoplumk" in reader.words("x0plumk") and "kyvgrwq" in reader.words("k.y.v.g.r.w.q")
+
+
+def test_source_is_a_distribution():
+    """Also where trigrams and pairs are left out."""
+    counts = {"a": 4, "b": 6, "$": 5, "^a": 3, "ab": 3, "b$": 4, "^^a": 3, "^ab": 2, "ab$": 2}
+    source = X.Source(counts)
+    for before in ("^^", "^a", "ab", "bb", "zz"):
+        unknown = source.share(before, "?")
+        assert sum(source.share(before, c) for c in "ab$") + unknown == pytest.approx(1)

@@ -4,15 +4,18 @@
    or ``idiooot`` are read as a lattice: each character stands for itself, for
    the letters it imitates, or for nothing (separators, repeated letters), at
    a cost.  The Viterbi path under a character trigram model of clean words is
-   the restored word.  Clean words pass as they are.
+   the restored word.  Clean words pass as they are.  The model is counted over
+   the clean words of all documents (text only, no labels).
 2. Score.  A logistic regression on the restored words and their beginnings
    (4 to 6 letters), features picked by their G statistic.
 
 Labels are learned from a bounded sample: at most ``SAMPLE`` labelled rows
-whose crc32(id) mod 4 is not 2, the first by a hash of the id.  Counts over
-the sample are made by Spark; the driver gets at most ``MAX_FEATURES``
-features, ``MAX_TRIGRAMS`` trigrams and the sample's hits on these features.
-The pass over all documents needs no shuffle.
+whose crc32(id) mod 4 is not 2, the first by a hash of the id.  Counts are
+made by Spark; the driver gets at most ``MAX_FEATURES`` features,
+``MAX_TRIGRAMS`` trigrams and as many letter pairs, all letters, and the
+sample's hits on these features.  Rarer trigrams and pairs are not lost: their
+mass is dealt by the pairs' and the letters' shares.  The pass that scores all
+documents needs no shuffle.
 
 Edge cases: null and empty texts get the intercept's score; a null ``doc_id``
 is scored like any other and never trained on; repeated rows are scored alike
@@ -43,6 +46,10 @@ LEAST_TOXIC = 3
 THRESHOLD = 0.3
 RIDGE = 1.0
 STEPS = 300
+#: weight of the shorter context's distribution in the character model
+PRIOR = 2.0
+#: a task hands on its word counts when it holds so many (bounds its memory)
+HELD = 200_000
 #: spellings remembered by a Python worker; a fuller memory is emptied
 REMEMBERED = 200_000
 
@@ -61,18 +68,37 @@ EDGE = "\"'.,;:?!#%&*()[]{}<>/\\|-_=~`^"
 
 
 class Source:
-    """Character trigram model of clean words; ``^^`` before, ``$`` after."""
-
-    def __init__(self, trigrams: dict[str, int]):
-        self.trigrams = trigrams
-        self.before: Counter = Counter()
-        for t, n in trigrams.items():
-            self.before[t[:2]] += n
-        self.letters = max(len({t[2] for t in trigrams}), 1)
+    """Character trigram model of clean words; ``^^`` before, ``$`` after.  The
+    counts are of trigrams, of pairs (the last two of a trigram) and of letters
+    (its last one).  What a context's trigrams leave of its count, those not
+    held, is dealt by the shorter context's distribution, as is ``PRIOR``."""
+
+    def __init__(self, counts: dict[str, int]):
+        self.counts = counts
+        self.held: Counter = Counter()
+        for t, n in counts.items():
+            if len(t) > 1:
+                self.held[t[:-1]] += n
+        letters = [n for t, n in counts.items() if len(t) == 1]
+        self.letters, self.total = len(letters) + 1, sum(letters)
+        self.costs: dict[str, float] = {}
+
+    def share(self, before: str, letter: str) -> float:
+        if not before:
+            return (self.counts.get(letter, 0) + 1) / (self.total + self.letters)
+        # every word has one end, and begins once
+        n = self.counts.get("$" if before in ("^", "^^") else before, 0)
+        held = self.held.get(before, 0)
+        n = max(n, held)
+        return (self.counts.get(before + letter, 0) + (n - held + PRIOR) * self.share(before[1:], letter)) / (n + PRIOR)
 
     def cost(self, before: str, letter: str) -> float:
-        seen = self.trigrams.get(before + letter, 0)
-        return -math.log((seen + 0.1) / (self.before.get(before, 0) + 0.1 * self.letters))
+        found = self.costs.get(before + letter)
+        if found is None:
+            if len(self.costs) > REMEMBERED:
+                self.costs.clear()
+            found = self.costs[before + letter] = -math.log(self.share(before, letter))
+        return found
 
 
 def readings(spelling: str, i: int) -> list[tuple[str, float]]:
@@ -174,18 +200,46 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame
     return written(known.groupBy(F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"), F.max("y").alias("y")), "labelled")
 
 
-def count_trigrams(texts: DataFrame) -> dict[str, int]:
+def clean(token: str) -> str:
+    """The word of a token that is not disguised, or nothing."""
+    core = token.strip(EDGE)
+    return core if WORD.fullmatch(core) and not RUN.search(core) else ""
+
+
+def count_trigrams(docs: DataFrame) -> dict[str, int]:
+    """Counts of trigrams, pairs and letters over the distinct clean words of
+    every text."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
-        for b in slices(batches):
-            for text in b.column("text").to_pylist():
-                for w in set(WORD.findall(text.lower())):
+
+        def flush() -> pa.RecordBatch:
+            grams: Counter = Counter()
+            for token, n in held.items():
+                if w := clean(token):
                     w = "^^" + w + "$"
-                    held.update(w[i : i + 3] for i in range(len(w) - 2))
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["t", "n"])
+                    for i in range(2, len(w)):
+                        for k in range(3):
+                            grams[w[i - k : i + 1]] += n
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["t", "n"])
 
-    counted = texts.select("text").mapInArrow(count, "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
-    return {r["t"]: r["n"] for r in counted.orderBy(F.desc("n"), "t").limit(MAX_TRIGRAMS).collect()}
+        for b in slices(batches):
+            for text in b.column("text").to_pylist():
+                tokens = text.lower().split()
+                held.update(set(tokens))
+            if len(held) > HELD:
+                yield flush()
+        yield flush()
+
+    counted = docs.select(text_or_empty().alias("text")).mapInArrow(count, "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    counted = written(counted, "letters")
+    grams: dict[str, int] = {}
+    for k in (1, 2, 3):  # all letters: Unicode has some 140,000
+        part = counted.filter(F.length("t") == k)
+        part = part if k == 1 else part.orderBy(F.desc("n"), "t").limit(MAX_TRIGRAMS)
+        grams.update((r["t"], r["n"]) for r in part.collect())
+    return grams
 
 
 def pick_features(texts: DataFrame, trigrams: dict[str, int], n1: int, n0: int) -> list[str]:
@@ -241,13 +295,13 @@ def fit(hits: list[tuple[int, list[int]]], n_features: int) -> tuple[np.ndarray,
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """The model: plain values, at most MAX_FEATURES + MAX_TRIGRAMS entries."""
+    """The model: plain values, at most MAX_FEATURES + 2 * MAX_TRIGRAMS entries and the letters."""
     texts = labelled_texts(docs, labels, sample)
     groups = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = groups.get(1, 0), groups.get(0, 0)
     if not n1 or not n0:
         return {"trigrams": {}, "weights": {}, "bias": 50.0 if n1 else -50.0}
-    trigrams = count_trigrams(texts)
+    trigrams = count_trigrams(docs)
     picked = pick_features(texts, trigrams, n1, n0)
     weights, bias = fit(sample_hits(texts, trigrams, picked), len(picked))
     return {"trigrams": trigrams, "weights": dict(zip(picked, weights.tolist(), strict=True)), "bias": bias}

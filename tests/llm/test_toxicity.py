@@ -102,3 +102,13 @@ def test_source_is_a_distribution():
     for before in ("^^", "^a", "ab", "bb", "zz"):
         unknown = source.share(before, "?")
         assert sum(source.share(before, c) for c in "ab$") + unknown == pytest.approx(1)
+
+
+def test_spaced_and_doubled_spellings(model):
+    reader = X.Deobfuscator(X.Source(model["trigrams"]))
+    for text, word in (
+        ("you are a i d i o t", "idiot"), ("s c u m!", "scum"), ("(s c u m) they", "scum"), ("such id i ot there", "idiot"),
+        ("mo r on", "moron"), ("the iddiot here", "idiot"), ("a morron", "moron"), ("1 d 1 0 t", "idiot"),
+    ):
+        assert word in reader.words(text), text
+    assert {"an", "is"} <= reader.words("an is an is here")

@@ -64,6 +64,7 @@ IMITATION, SEPARATOR, REPEATED, DOUBLE, DROPPED = 1.0, 0.5, 0.1, 3.0, 6.0
 LETTER = re.compile(r"[^\W\d_]")
 WORD = re.compile(r"[^\W\d_]+")
 RUN = re.compile(r"(.)\1\1")
+TWICE = re.compile(r"(.)\1")
 EDGE = "\"'.,;:?!#%&*()[]{}<>/\\|-_=~`^"
 
 
@@ -114,12 +115,18 @@ def readings(spelling: str, i: int) -> list[tuple[str, float]]:
     return out
 
 
-def restore(spelling: str, source: Source) -> str:
+def restore(spelling: str, source: Source, gaps=frozenset()) -> str:
     """Viterbi path through the lattice of a spelling.  The states are the
     last two letters read, a handful at each character, so the work is linear
-    in the length."""
+    in the length.  At the places ``gaps`` a word may end and another begin
+    (a space in the result)."""
     states: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
     for i in range(len(spelling)):
+        if i in gaps:
+            ended = [(cost + source.cost(last, "$"), (" ", path)) for last, (cost, path) in states.items() if last != "^^"]
+            joined = {last: (cost + (SEPARATOR if last != "^^" else 0.0), path) for last, (cost, path) in states.items()}
+            ended += [joined["^^"]] if "^^" in joined else []
+            states = {**joined, "^^": min(ended, key=lambda x: x[0])}
         reached: dict[str, tuple[float, tuple | None]] = {}
         for letter, extra in readings(spelling, i):
             for last, (cost, path) in states.items():
@@ -138,6 +145,21 @@ def restore(spelling: str, source: Source) -> str:
     return "".join(reversed(letters))
 
 
+def spaced(tokens: list[str]) -> list[list[str]]:
+    """Runs of three and more tokens of one or two characters, marks at their
+    edges not counted, that may be words spelt with spaces."""
+    out: list[list[str]] = []
+    run: list[str] = []
+    for t in [*tokens, "..."]:
+        if len(t) < 3 or (len(t) < 6 and 0 < len(t.strip(EDGE)) < 3):
+            run.append(t)
+        elif run:
+            if len(run) > 2:
+                out.append(run)
+            run = []
+    return out
+
+
 class Deobfuscator:
     def __init__(self, source: Source):
         self.source = source
@@ -150,8 +172,10 @@ class Deobfuscator:
             core = token.strip(EDGE)
             if not RUN.search(core) and all(LETTER.match(c) for c in core):
                 words = (core,) if core else ()
+                if TWICE.search(core):  # as it is, and without letters put in
+                    words = tuple({core, restore(core, self.source)})
                 if core and token[0] in IMITATES or core and token[-1] in IMITATES and token[-1] not in EDGE:
-                    words = tuple({core, restore(token, self.source)})
+                    words = tuple({*words, restore(token, self.source)})
             else:
                 # the spelling as a whole, and its clean parts
                 words = tuple({restore(core, self.source), *WORD.findall(core)} - {""})
@@ -166,17 +190,31 @@ class Deobfuscator:
         out: set[str] = set()
         for t in set(tokens):
             out.update(self.token(t))
-        # spaced spellings: runs of three and more single characters
-        run: list[str] = []
-        for t in [*tokens, ""]:
-            if len(t) == 1:
-                run.append(t)
-            else:
-                if len(run) > 2:
-                    out.add(restore("".join(run), self.source))
-                run = []
+        for run in spaced(tokens):
+            out.update(self.run(run))
         return out
 
+    def run(self, run: list[str]) -> tuple[str, ...]:
+        """Words of a run of short tokens: its best division into words, and
+        for single characters the run as one word."""
+        key = " ".join(run)
+        words = self.known.get(key)
+        if words is None:
+            parts = [t.strip(EDGE) or t for t in run]
+            gaps, at = set(), 0
+            for t in parts:
+                gaps.add(at)
+                at += len(t)
+            joined = "".join(parts)
+            found = set(restore(joined, self.source, gaps - {0}).split(" "))
+            if all(len(t) == 1 for t in parts):
+                found.add(restore(joined, self.source))
+            words = tuple(found - {""})
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            self.known[key] = words
+        return words
+
 
 def features(words) -> set[str]:
     out = set()
@@ -227,7 +265,8 @@ def count_trigrams(docs: DataFrame) -> dict[str, int]:
         for b in slices(batches):
             for text in b.column("text").to_pylist():
                 tokens = text.lower().split()
-                held.update(set(tokens))
+                # the parts of a spaced spelling are no words
+                held.update(set(tokens).difference(*spaced(tokens)))
             if len(held) > HELD:
                 yield flush()
         yield flush()

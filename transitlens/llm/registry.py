@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, lm_score, mixing, pii, suffix_dedup, token_counts, toxicity, url_filter
+from . import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    lm_score,
+    mixing,
+    pii,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +39,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": decontaminate.contaminated_documents,
     "op9_personal_data": pii.personal_data_of_documents,
     "op10_token_counts": token_counts.counted_documents,
+    "op11_vector_codes": vector_codes.compressed_vectors,
 }
 
 
@@ -35,4 +48,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op4_poisson_mixing": mixing.oracle_sql()}
+    return {
+        "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op4_poisson_mixing": mixing.oracle_sql(),
+        "op11_vector_codes": vector_codes.oracle_sql(),
+    }

@@ -291,12 +291,12 @@ def compressed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle_sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> str:
     """The same rounds in SQL, each part compared with every entry."""
-    distance = "list_sum(list_transform(range(1, len(c.sub) + 1), i -> (c.sub[i] - e.sub[i]) * (c.sub[i] - e.sub[i])))"
+    distance = "list_sum([(c.sub[i] - e.sub[i]) * (c.sub[i] - e.sub[i]) for i in range(1, len(c.sub) + 1)])"
     out = [
         f"""WITH ints AS MATERIALIZED (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 kept AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r FROM ints),
 cells AS MATERIALIZED (
   SELECT r, p.p, v[p.p * len(v) // {parts} + 1 : (p.p + 1) * len(v) // {parts}] AS sub
@@ -312,9 +312,9 @@ book0 AS MATERIALIZED (SELECT p, r - 1 AS entry, sub FROM cells WHERE r <= {entr
         if k < rounds:
             out.append(
                 f"""mean{k} AS MATERIALIZED (
-  SELECT p, entry, list((s - ((s % n + n) % n)) // n ORDER BY at) AS sub
-  FROM (SELECT p, best.entry AS entry, at, CAST(sum(sub[at]) AS BIGINT) AS s, count(*) AS n
-        FROM near{k}, (SELECT unnest(range(1, 1 + (SELECT max(len(sub)) FROM cells))) AS at) WHERE at <= len(sub) GROUP BY ALL)
+  SELECT p, entry, list((s - ((s % n + n) % n)) // n ORDER BY pos) AS sub
+  FROM (SELECT p, best.entry AS entry, pos, CAST(sum(sub[pos]) AS BIGINT) AS s, count(*) AS n
+        FROM near{k}, (SELECT unnest(range(1, 1 + (SELECT max(len(sub)) FROM cells))) AS pos) x WHERE pos <= len(sub) GROUP BY ALL)
   GROUP BY p, entry),
 book{k + 1} AS MATERIALIZED (
   SELECT b.p, b.entry, coalesce(m.sub, b.sub) AS sub FROM book{k} b LEFT JOIN mean{k} m USING (p, entry))"""

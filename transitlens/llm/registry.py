@@ -13,6 +13,7 @@ from . import (
     lm_score,
     mixing,
     pii,
+    sharding,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -40,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op9_personal_data": pii.personal_data_of_documents,
     "op10_token_counts": token_counts.counted_documents,
     "op11_vector_codes": vector_codes.compressed_vectors,
+    "op12_sharding": sharding.sharded_documents,
 }
 
 

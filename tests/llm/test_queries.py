@@ -23,4 +23,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_operators_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries()} == set(range(1, 13))
+    assert {int(n[2:].split("_")[0]) for n in queries()} == set(range(1, 14))

@@ -17,6 +17,7 @@ from . import (
     suffix_dedup,
     token_counts,
     toxicity,
+    turn_repair,
     url_filter,
     vector_codes,
 )
@@ -42,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": token_counts.counted_documents,
     "op11_vector_codes": vector_codes.compressed_vectors,
     "op12_sharding": sharding.sharded_documents,
+    "op13_turn_repair": turn_repair.repaired_conversations,
 }
 
 

@@ -56,4 +56,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": exact_dedup.ORACLE_SQL,
         "op4_poisson_mixing": mixing.oracle_sql(),
         "op11_vector_codes": vector_codes.oracle_sql(),
+        "op13_turn_repair": turn_repair.ORACLE_SQL,
     }

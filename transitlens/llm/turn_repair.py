@@ -524,3 +524,79 @@ def repaired(conversations: DataFrame, rows: DataFrame | None = None, long: int
 
 def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(table(spark, sf_dir, "conversations"))
+
+
+#: the same repairs in SQL: a recursive walk over the rows with the four states
+#: that a text of the grammar can be in (E: nothing, S: after s, U: after u, A: after a)
+ORACLE_SQL = r"""
+WITH RECURSIVE bits(b, k, v) AS (
+  SELECT x, 0, x FROM (SELECT unnest(range(256)) AS x)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc_table AS MATERIALIZED (SELECT b, v FROM bits WHERE k = 8),
+src AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') AS key,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+crc(name, i, v) AS (
+  SELECT DISTINCT name, 0, CAST(4294967295 AS BIGINT) FROM src
+  UNION ALL
+  SELECT crc.name, crc.i + 1, xor(crc.v >> 8, t.v)
+  FROM crc JOIN crc_table t ON t.b = xor(crc.v, CAST(ord(substr(crc.name, crc.i + 1, 1)) AS BIGINT)) & 255 WHERE crc.i < length(crc.name)),
+kinds AS MATERIALIZED (SELECT name, xor(v, 4294967295) % 20 AS kind FROM crc WHERE i = length(name)),
+damaged AS MATERIALIZED (
+  SELECT row_id, key, turn, copy, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM src JOIN kinds USING (name), (VALUES (0), (1)) c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, sha256(text), row_id, copy) AS n,
+         row_number() OVER (PARTITION BY key, role, text ORDER BY turn NULLS FIRST, row_id, copy) AS nth,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last, substr(role, 1, 1) AS initial
+  FROM damaged),
+marked AS MATERIALIZED (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY key ORDER BY n) AS before
+  FROM numbered),
+counts AS MATERIALIZED (
+  SELECT key, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY key),
+shift(f, sym, t) AS (VALUES ('E', 's', 'S'), ('E', 'u', 'U'), ('S', 'u', 'U'), ('A', 'u', 'U'), ('U', 'a', 'A')),
+ins AS MATERIALIZED (
+  SELECT DISTINCT f, f AS t, 0 AS cost, '' AS letters FROM shift
+  UNION ALL SELECT f, t, 3, 'I' FROM shift WHERE sym <> 's'
+  UNION ALL SELECT a.f, b.t, 6, 'II' FROM shift a JOIN shift b ON a.t = b.f WHERE a.sym <> 's' AND b.sym <> 's'),
+edits AS MATERIALIZED (
+  SELECT DISTINCT f, f AS t, 'D' AS letter, 4 AS cost, '' AS sym FROM shift
+  UNION ALL SELECT f, t, 'K', 0, sym FROM shift
+  UNION ALL SELECT f, t, 'R', 3, sym FROM shift WHERE sym <> 's'),
+walk(key, n, st, best) AS (
+  SELECT key, CAST(0 AS BIGINT), t, struct_pack(cost := CAST(cost AS BIGINT), audit := letters) FROM counts, ins WHERE f = 'E'
+  UNION ALL
+  SELECT w.key, w.n + 1, i.t,
+         min(struct_pack(cost := CAST(w.best.cost + e.cost + i.cost + CASE WHEN m.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END AS BIGINT),
+                         audit := w.best.audit || e.letter || i.letters))
+  FROM walk w JOIN marked m ON m.key = w.key AND m.n = w.n + 1
+  JOIN edits e ON e.f = w.st AND (e.letter = 'D' OR (m.fault NOT IN ('blank', 'duplicate') AND (e.letter = 'R' OR e.sym = m.initial)))
+  JOIN ins i ON i.f = e.t
+  GROUP BY w.key, w.n, i.t),
+least AS MATERIALIZED (
+  SELECT w.key, min(w.best) AS best FROM walk w JOIN counts c ON c.key = w.key AND c.n = w.n WHERE w.st IN ('E', 'A') GROUP BY w.key),
+letters AS (
+  SELECT key, substr(audit, i, 1) AS letter, length(replace(substr(audit, 1, i), 'I', '')) AS n, length(replace(substr(audit, 1, i), 'D', '')) AS place
+  FROM (SELECT key, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS i FROM least)),
+kept AS (
+  SELECT l.*, m.role, CASE WHEN l.letter = 'I' THEN '' ELSE m.text END AS text,
+         max(CASE WHEN l.place = 1 AND l.letter = 'K' AND m.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.key) AS system
+  FROM letters l LEFT JOIN marked m ON m.key = l.key AND m.n = l.n WHERE l.letter <> 'D'),
+hashes AS (
+  SELECT key, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                                chr(10) ORDER BY place)) AS sha
+  FROM kept GROUP BY key)
+SELECT s.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(l.best.cost, 0) AS cost,
+       coalesce(l.best.audit, '') AS audit, coalesce(h.sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, key FROM src) s LEFT JOIN counts c USING (key) LEFT JOIN least l USING (key) LEFT JOIN hashes h USING (key)
+"""

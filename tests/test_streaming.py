@@ -93,11 +93,40 @@ def test_watermark_drops_late_rows_and_closes_windows(spark, landing):
 
 def test_state_slots(spark, tmp_path):
     base = str(tmp_path / "state")
-    assert previous_snapshot(spark, base, 0) is None and previous_snapshot(spark, base, 1) is None
+    assert previous_snapshot(spark, base, 0) is None
+    with pytest.raises(FileNotFoundError):  # batch 0 wrote a state, which is lost
+        previous_snapshot(spark, base, 1)
     for i in range(3):
         write_state(spark.range(i + 3), base, i)
     assert latest_state(spark, base).count() == 5
-    assert previous_snapshot(spark, base, 2).count() == 4
+    assert previous_snapshot(spark, base, 3).count() == 5
+    with pytest.raises(RuntimeError, match="holds the state of batch"):
+        previous_snapshot(spark, base, 5)
+
+
+def test_the_replay_is_out_of_order(spark):
+    from conftest import SF_ORACLE
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+    from transitlens.sources.replay import LANDED_MS, land_events
+
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(land_events(spark, SF_ORACLE))
+    rows = rows.select("ts", F.unix_millis("_metadata.file_modification_time").alias("landed"))
+    newest = rows.groupBy("landed").agg(F.max("ts").alias("newest"))
+    before = newest.select(F.col("landed").alias("l"), F.max("newest").over(Window.orderBy("landed").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    behind = rows.join(before, F.col("landed") == F.col("l")).where("ts < before").count()
+    assert behind >= 0.01 * rows.count() and rows.agg(F.min("landed")).first()[0] == LANDED_MS
+
+
+def test_latest_state_follows_the_order_of_arrival(spark, landing, tmp_path):
+    # one time for all: the first arrival wins, over lines, files and micro-batches
+    docs = [report(f"T{i % 3}", 1000, stop=f"s{i}", ltype=5) for i in range(12)]
+    path = landing([[f"{docs[0]} {docs[1]}", docs[2]], docs[3:7], docs[7:]])
+    out = str(tmp_path / "latest")
+    s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    run_foreach(s, "t-latest", streaming.latest_writer(out, lambda b: b, latest.LAST_STOP))
+    got = sorted(map(tuple, latest.as_last_stop(latest_state(spark, out)).collect()))
+    assert got == [("T0", "s0", 1000), ("T1", "s1", 1000), ("T2", "s2", 1000)]
 
 
 def test_unreadable_state_fails_loudly(spark, tmp_path):

@@ -22,6 +22,7 @@ from .operators import filters, gaps, latest, recent, topk, windows
 from .schema import TOP_N, TRAIN_HEADER
 from .session import build_session
 from .sources import report_source
+from .sources.arrival import numbered_writer
 
 QUESTIONS = {
     "1": "vehicles heading north (±45°)",
@@ -81,38 +82,40 @@ def run_stream(spark: SparkSession, src: str, out: str, q: str, once: bool, show
     # stable per (output, question): a restarted job finds its own checkpoint
     ck = f"{ck.rstrip('/')}/question-{q}-{hashlib.sha1(out.encode()).hexdigest()[:10]}"
     r = streaming.report_stream_from_text(spark, src)
-    df, mode, queries = r, "append", []
+    df, queries = r, []
 
-    def start(frame, writer, checkpoint, output):
-        w = frame.writeStream.foreachBatch(writer).outputMode(output).option("checkpointLocation", checkpoint)
+    def start(frame, writer, checkpoint):
+        w = frame.writeStream.foreachBatch(numbered_writer(writer)).option("checkpointLocation", checkpoint)
         queries.append(w.trigger(**_trigger(once)).start())
 
     if q == "1":
         df, write = filters.north_lines(filters.active(r)), sinks.batch_lines(f"{out}/heading_north", ("line",), show)
     elif q in ("2", "3"):
-        mode, folder = "complete", "trains" if q == "2" else "delayed"
-        df = latest.train_last_stop(r) if q == "2" else topk.latest_delay_per_vehicle(r)
+        folder = "trains" if q == "2" else "delayed"
 
-        def write(b, i):
+        def snapshot(b, i):
             if q == "2":
-                lines, order = latest.train_snapshot_lines(b, TRAIN_HEADER), ("ord", "line")
+                lines, order = latest.train_snapshot_lines(latest.as_last_stop(b), TRAIN_HEADER), ("ord", "line")
             else:
                 lines, order = topk.top_list_json(topk.top_k(filters.delayed(b), TOP_N, topk.delay_order())), ("line",)
             if sinks.publish(lines, f"{out}/{folder}", order) and show:
                 sinks.show_lines(lines.orderBy(*order))
+
+        rows = (lambda b: filters.trains(filters.active(b))) if q == "2" else filters.active
+        write = streaming.latest_writer(f"{out}/_{folder}", rows, latest.LAST_STOP if q == "2" else ("delay", "lastupdate"), sink=snapshot)
     elif q == "4":
         sink = sinks.batch_lines(f"{out}/delayed3minutes", ("t", "seq"), show)
         write = streaming.recent_changes_writer(f"{out}/_delayed3minutes", sink=lambda b, i: sink(recent.list_lines(b), i))
     elif q == "5":
         sink = sinks.batch_lines(f"{out}/averagedelay", ("window_start_ms",), show)
         df, write = streaming.sliding_average_stream(r), lambda b, i: sink(average_lines(b), i)
-        start(filters.active(r), streaming.late_rows_writer(f"{out}/_averagedelay"), f"{ck}-late", "append")
+        start(filters.active(r), streaming.late_rows_writer(f"{out}/_averagedelay"), f"{ck}-late")
     elif q == "6":
         sink = sinks.batch_lines(f"{out}/last10reports", ("lastupdate", "seq"), show)
         write = streaming.gap_text_writer(f"{out}/_last10reports", sink=lambda b, i: sink(gap_lines(b), i))
     else:
         raise ValueError(f"unknown question {q}")
-    start(df, write, ck, mode)
+    start(df, write, ck)
     for query in queries:
         query.awaitTermination()
 

@@ -40,12 +40,19 @@ def latest_per_key(
     return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in cols])
 
 
+#: what is kept of a train's newest report
+LAST_STOP = ("laststopid", "lastupdate")
+
+
+def as_last_stop(newest: DataFrame) -> DataFrame:
+    return newest.select("id", F.col("laststopid").alias("last_stop"), F.col("lastupdate").alias("last_update"))
+
+
 def train_last_stop(reports: DataFrame) -> DataFrame:
     """``(id, last_stop, last_update)`` for every train reported so far; a report
     replaces the known one only when strictly newer."""
     t = trains(active(reports))
-    newest = latest_per_key(t, "id", ["laststopid", "lastupdate"], tie="first")
-    return newest.select("id", F.col("laststopid").alias("last_stop"), F.col("lastupdate").alias("last_update"))
+    return as_last_stop(latest_per_key(t, "id", LAST_STOP, tie="first"))
 
 
 def train_snapshot_lines(last_stop: DataFrame, header: str) -> DataFrame:

@@ -9,8 +9,8 @@ at test scale and independent of the Spark plans it checks.
 from __future__ import annotations
 
 from ..schema import SLIDE_10MIN_MS, SLIDE_MS, TRAILING_6H_MS, TRAILING_MS
-from ..sources.replay import JITTER_MS, LEAST_BATCHES, ROWS_PER_FILE, STEP
-from .registry import COARSE_VEHICLES, DAMAGE_ABOVE_VALUE, LATE_KEY_LATENESS_MS, REPLAY_LATENESS_MS
+from ..sources.replay import JITTER_MS, LEAST_BATCHES, PAIR_STEP, ROWS_PER_FILE, SHUFFLED_PAIRS
+from .registry import COARSE_VEHICLES, DAMAGE_ABOVE_VALUE, LATE_KEY_LATENESS_MS, REPLAY_LATENESS_MS, TEXT_LATENESS_MS
 
 REPORTS = """reports AS (
   SELECT event_id AS seq,
@@ -36,7 +36,14 @@ COARSE_REPORTS = REPORTS.replace(
 # arrival batches of the replay (see sources.replay)
 ARRIVED = f"""bounds AS (SELECT min(lastupdate) AS lo, max(lastupdate) AS hi, greatest({LEAST_BATCHES}, count(*) // {ROWS_PER_FILE}) AS n FROM reports),
 arrived AS (
-  SELECT r.*, ((r.lastupdate - lo + (r.seq * {STEP}) % {JITTER_MS}) * n) // (hi - lo + {JITTER_MS}) AS b FROM reports r, bounds)"""
+  SELECT r.*, ((r.lastupdate - lo + CAST('0x' || substr(md5(CAST(r.seq AS VARCHAR)), 1, 8) AS BIGINT) % {JITTER_MS}) * n) // (hi - lo + {JITTER_MS}) AS b
+  FROM reports r, bounds)"""
+
+# documents of the landing text files: hours for times, numbers by place
+TEXT_REPORTS = REPORTS.replace("epoch_us(ts) // 1000 AS lastupdate", "epoch_us(ts) // 3600000000 * 3600000 AS lastupdate").replace(
+    "SELECT event_id AS seq",
+    f"""SELECT row_number() OVER (ORDER BY event_id // 2 // {SHUFFLED_PAIRS}, event_id // 2 % {SHUFFLED_PAIRS} * {PAIR_STEP} % {SHUFFLED_PAIRS}, event_id DESC) - 1 AS seq""",
+)
 
 LINES = """lines AS (
   SELECT seq, src_value,
@@ -272,6 +279,14 @@ WHERE rank <= 5""",
     q["recent5_coarse_changes"] = coarse(q["recent5_changes_6h"])
     # text files hold the same documents; tokens are cut by SQL itself
     q["text_scan_reports"] = q["text_stream_scan_reports"] = _w(f"SELECT {COLS.removeprefix('seq, ')} FROM reports")
+    placed = lambda sql: sql.replace(REPORTS, TEXT_REPORTS)
+    q["text_arrival_order"] = placed(_w("SELECT seq, id, lastupdate, laststopid FROM reports"))
+    for twin, batch in [("train_last_stop", "train_last_stop"), ("top5_delayed", "top5_delayed"), ("recent5_changes", "recent5_changes_6h")]:
+        q[f"text_{twin}"] = q[f"text_stream_{twin}"] = placed(q[batch])
+    q["text_stream_recent5_changes"] = (
+        q["text_recent5_changes"].replace("SELECT t.seq, t.rank", "SELECT t.rank")
+        + f" AND t.rt < (SELECT max(lastupdate) - {TEXT_LATENESS_MS} FROM reports)"
+    )
     q["text_tokens"] = r"""SELECT token, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(coalesce(text, ''), '\s+')) AS token FROM documents) WHERE token <> '' GROUP BY token"""
     # streaming twins that do not depend on the order of arrival

@@ -27,7 +27,8 @@ from ..sources import (
     reports_from_events,
     tokenize_lines,
 )
-from ..sources.replay import stream_events
+from ..sources.landing import report_source
+from ..sources.replay import JITTER_MS, land_text, stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,10 +210,10 @@ def q_last10_gap_text(spark, sf_dir):
 # --- streaming twins: run to completion (availableNow), read the sink back ---
 
 
-#: lateness of the streamed answers over ``events``: the replay is at most
-#: 50 minutes out of order; the late-row key allows less, so that it has rows
-REPLAY_LATENESS_MS = 3600 * 1000
-LATE_KEY_LATENESS_MS = 10 * 60 * 1000
+#: lateness of the streamed answers over ``events``: as far as the replay is
+#: out of order; the late-row key allows less, so that it has rows
+REPLAY_LATENESS_MS = JITTER_MS
+LATE_KEY_LATENESS_MS = 12 * 3600 * 1000
 COARSE_VEHICLES = 7
 
 
@@ -291,7 +292,7 @@ def q_stream_recent5(spark, sf_dir):
 
 def _recent_stream(spark, reports, name, **options):
     out = fresh_path(spark, f"{name}-out")
-    writer = streaming.recent_changes_writer(out, lateness_ms=REPLAY_LATENESS_MS, **options)
+    writer = streaming.recent_changes_writer(out, **{"lateness_ms": REPLAY_LATENESS_MS, **options})
     streaming.run_foreach(reports, name, writer)
     columns = [f for f in recent.LIST_SCHEMA.fields if f.name != "changed"]
     return streaming.read_batches(spark, f"{out}/changes", StructType(columns))
@@ -341,7 +342,55 @@ def q_text_scan_reports(spark, sf_dir):
 
 def q_text_stream_scan_reports(spark, sf_dir):
     lines = read_report_lines(spark, _landing_text(spark, sf_dir), stream=True, max_files_per_trigger=1)
-    return streaming.run_append(parse_reports(lines), "text_stream_scan_reports").drop("seq")
+    return streaming.run_append(parse_reports(lines).drop("seq", "arrival"), "text_stream_scan_reports")
+
+
+# two documents a line, two files at a time, many reports of one time: what
+# comes first is known by the order of arrival only
+
+#: shuffled pairs lie within 128 events, less than six days of the smallest table
+TEXT_LATENESS_MS = 6 * 24 * 3600 * 1000
+
+
+def q_text_arrival_order(spark, sf_dir):
+    return report_source(spark, land_text(spark, sf_dir)).select("seq", "id", "lastupdate", "laststopid")
+
+
+def q_text_train_last_stop(spark, sf_dir):
+    return latest.train_last_stop(report_source(spark, land_text(spark, sf_dir)))
+
+
+def q_text_top5_delayed(spark, sf_dir):
+    return topk.top_delayed(report_source(spark, land_text(spark, sf_dir)))
+
+
+def q_text_recent5_changes(spark, sf_dir):
+    return recent.recent_changes(report_source(spark, land_text(spark, sf_dir)), TRAILING_6H_MS)
+
+
+def _text_stream(spark, sf_dir):
+    return streaming.report_stream_from_text(spark, land_text(spark, sf_dir), max_files_per_trigger=2)
+
+
+def _text_latest(spark, sf_dir, name, rows, cols):
+    out = fresh_path(spark, f"{name}-out")
+    streaming.run_foreach(_text_stream(spark, sf_dir), name, streaming.latest_writer(out, rows, cols))
+    return streaming.merges.latest_state(spark, out)
+
+
+def q_text_stream_train_last_stop(spark, sf_dir):
+    state = _text_latest(spark, sf_dir, "text_stream_train", lambda b: filters.trains(filters.active(b)), latest.LAST_STOP)
+    return latest.as_last_stop(state)
+
+
+def q_text_stream_top5_delayed(spark, sf_dir):
+    state = _text_latest(spark, sf_dir, "text_stream_top5", filters.active, ("delay", "lastupdate"))
+    return topk.top_k(filters.delayed(state), 5, topk.delay_order()).select("rank", "id", "delay", "lastupdate")
+
+
+def q_text_stream_recent5_changes(spark, sf_dir):
+    lists = _recent_stream(spark, _text_stream(spark, sf_dir), "text_stream_recent5", window_ms=TRAILING_6H_MS, lateness_ms=TEXT_LATENESS_MS)
+    return lists.drop("seq")
 
 
 def q_text_tokens(spark, sf_dir):

@@ -65,10 +65,14 @@ def batch_lines(path: str, order: tuple[str, ...], show: bool = False):
     nothing."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        if not df.isEmpty():
-            write_lines(df.orderBy(*order), f"{path}/batch_id={batch_id}")
-            if show:
-                show_lines(df.orderBy(*order))
+        df = df.persist()  # looked at, written and shown
+        try:
+            if not df.isEmpty():
+                write_lines(df.orderBy(*order), f"{path}/batch_id={batch_id}")
+                if show:
+                    show_lines(df.orderBy(*order))
+        finally:
+            df.unpersist()
 
     return write
 

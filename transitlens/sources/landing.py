@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import parse_reports, read_report_lines, split_documents, tokenize_lines
+from .arrival import numbered
+from .text import arriving_lines, parse_reports, split_documents, tokenize_lines, with_provisional_seq
 
-SPLITS = ("documents", "whitespace", "none")
+SPLITS = ("documents", "whitespace", "none", "files")
 
 MODES = ("batch", "bulk", "stream")
 
@@ -23,10 +24,14 @@ def report_source(
     """Reports from the JSON files under ``path``.
 
     ``mode``: "batch" (or "bulk") reads the files present now; "stream" watches
-    the directory.  ``split``: "documents" (default) cuts a line between
-    documents (``}`` whitespace ``{``), "whitespace" cuts at every run of
-    whitespace (compact documents only; a document holding a space is torn
-    and lands among the corrupt ones), "none" takes each line as one document.
+    the directory.  ``split``: "documents" (default) cuts a line after each
+    document, "whitespace" cuts at every run of whitespace (compact documents
+    only; a document holding a space is torn and lands among the corrupt ones),
+    "none" takes each line as one document, "files" cuts whole files, whose
+    documents may run over several lines (a file must fit into a row).
+
+    ``seq`` numbers the documents in their order of arrival, each one once; in a
+    stream the numbers are given to each micro-batch (``run_foreach``).
     """
     if not path:
         raise ValueError("an input path is required")
@@ -35,9 +40,8 @@ def report_source(
     if split not in SPLITS:
         raise ValueError(f"unknown split {split!r}; use one of {SPLITS}")
     stream = mode == "stream"
-    lines = read_report_lines(spark, path, stream=stream, max_files_per_trigger=max_files_per_trigger)
+    lines = arriving_lines(spark, path, stream, max_files_per_trigger, whole_files=split == "files")
     if split != "none":
         toks = tokenize_lines(lines) if split == "whitespace" else split_documents(lines)
-        # documents of one line follow each other
-        lines = toks.select((F.col("seq") + F.col("pos")).alias("seq"), F.col("token").alias("value"))
-    return parse_reports(lines)
+        lines = toks.select("arrival", F.col("arrival.file").alias("source_file"), F.col("token").alias("value"))
+    return parse_reports(with_provisional_seq(lines) if stream else numbered(lines))

@@ -1,13 +1,15 @@
-"""The ``events`` table as files that land one after the other, a little out of
-order, so that the streamed questions see several micro-batches.
+"""The ``events`` table as files that land one after the other, out of order, so
+that the streamed questions see several micro-batches and late reports.
 
 Row e belongs to arrival batch
 
-    ((t - lo + (event_id * 7919) mod JITTER_MS) * B) div (hi - lo + JITTER_MS)
+    ((t - lo + j) * B) div (hi - lo + JITTER_MS)
 
-with t its epoch milliseconds, lo and hi the table's first and last, and B =
-max(6, rows div 2,000,000).  A report is thus at most JITTER_MS behind the
-newest one of the batches before.
+with t its epoch milliseconds, lo and hi the table's first and last, B = max(6,
+rows div 2,000,000), and the delay j the first 8 hex digits of the MD5 of its
+``event_id`` modulo JITTER_MS.  A report is thus at most JITTER_MS behind the
+newest one of the batches before; since the jitter is a good part of the span of
+a batch, many are behind it.
 """
 
 from __future__ import annotations
@@ -16,21 +18,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .events import epoch_millis, load_table
+from .events import epoch_millis, load_table, report_lines_from_events
 
-JITTER_MS = 3_000_000
+JITTER_MS = 2 * 24 * 3600 * 1000
 LEAST_BATCHES = 6
 ROWS_PER_FILE = 2_000_000
-STEP = 7919
+LANDED_MS = 1_600_000_000_000
 
 _landed: dict[tuple[str, str], str] = {}
 
 
 def arrival_batch(lo: int, hi: int, batches: int):
-    shifted = epoch_millis("ts") - F.lit(lo) + F.pmod(F.col("event_id") * STEP, F.lit(JITTER_MS))
+    jitter = F.conv(F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % JITTER_MS
+    shifted = epoch_millis("ts") - F.lit(lo) + jitter
     return F.floor(shifted * batches / F.lit(hi - lo + JITTER_MS)).cast("int")
 
 
+def state_landing_times(spark: SparkSession, files: list[tuple[str, int]]) -> None:
+    """Set the modification times (ms) of files: the order in which they landed."""
+    for name, at in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(path, at, -1)
+
+
+def files_below(spark: SparkSession, folder: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(f.getPath().toString() for f in found if f.getPath().getName().startswith(("part-", "b=")))
+
+
 def land_events(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one Parquet file per arrival batch, in landing order; made
     once per application and table."""
@@ -44,13 +60,9 @@ def land_events(spark: SparkSession, sf_dir: str) -> str:
         numbered = events.withColumn("b", arrival_batch(lo or 0, hi or 0, batches))
         numbered.repartition(batches, "b").write.partitionBy("b").parquet(out)
         # a file stream takes the oldest file first: state the landing order
-        path = spark._jvm.org.apache.hadoop.fs.Path(out)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        for folder in fs.listStatus(path):
-            name = folder.getPath().getName()
-            if name.startswith("b="):
-                for f in fs.listStatus(folder.getPath()):
-                    fs.setTimes(f.getPath(), 1_600_000_000_000 + 10_000 * int(name[2:]), -1)
+        folders = files_below(spark, out)
+        batch = lambda f: int(f.rstrip("/").rsplit("b=", 1)[1])
+        state_landing_times(spark, [(f, LANDED_MS + 10_000 * batch(d)) for d in folders for f in files_below(spark, d)])
         _landed[key] = out
     return _landed[key]
 
@@ -60,3 +72,35 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = load_table(spark, sf_dir, "events").schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true")
     return reader.parquet(land_events(spark, sf_dir))
+
+
+#: pairs of documents that change places in the landing files, and the factor
+#: (prime to it) that says how
+SHUFFLED_PAIRS, PAIR_STEP = 64, 37
+TEXT_FILES = 12
+
+_landed_text: dict[tuple[str, str], str] = {}
+
+
+def land_text(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of text files with two documents a line.
+
+    The events 2k and 2k + 1 stand on one line, the second one first; of 64
+    lines in a row, line k comes in place (37 k) mod 64.  The files hold
+    ranges of these lines and land two at a time, with the same time.  Event
+    times are cut to the hour, so that reports of one time abound and the order
+    of arrival decides."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed_text:
+        hour = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, int(timestampdiff(HOUR, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)), 0, 0)")
+        lines = report_lines_from_events(load_table(spark, sf_dir, "events").withColumn("ts", hour))
+        pair = F.floor(F.col("seq") / 2).cast("bigint")
+        both = F.array_sort(F.collect_list(F.struct((-F.col("seq")).alias("at"), "value")))
+        lines = lines.groupBy(pair.alias("pair")).agg(F.array_join(F.transform(both, lambda x: x["value"]), " ").alias("value"))
+        at = F.floor(F.col("pair") / SHUFFLED_PAIRS) * SHUFFLED_PAIRS + (F.col("pair") % SHUFFLED_PAIRS) * PAIR_STEP % SHUFFLED_PAIRS
+        out = fresh_path(spark, "landing-pairs")
+        lines.withColumn("at", at).repartitionByRange(TEXT_FILES, "at").sortWithinPartitions("at").select("value").write.text(out)
+        files = files_below(spark, out)
+        state_landing_times(spark, [(f, LANDED_MS + 10_000 * (i // 2)) for i, f in enumerate(files)])
+        _landed_text[key] = out
+    return _landed_text[key]

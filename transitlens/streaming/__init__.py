@@ -16,7 +16,7 @@ from .queries import (
     sliding_average_stream,
     sliding_average_processing_time,
 )
-from .merges import gap_text_writer, last_n_buffer_writer, last_n_per_vehicle_writer, late_rows_writer, previous_snapshot, read_batches, recent_changes_writer, settled_writer
+from .merges import gap_text_writer, last_n_buffer_writer, last_n_per_vehicle_writer, late_rows_writer, latest_writer, previous_snapshot, read_batches, recent_changes_writer, settled_writer
 from .runner import run_append, run_foreach, run_snapshots
 from .state import last_n_per_vehicle_stream
 
@@ -32,6 +32,7 @@ __all__ = [
     "last_n_buffer_writer",
     "last_n_per_vehicle_writer",
     "late_rows_writer",
+    "latest_writer",
     "recent_changes_writer",
     "gap_text_writer",
     "settled_writer",

@@ -18,7 +18,7 @@ the reports of the last L plus the little the answers need from before.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from pyspark.sql.types import StructType
 from ..operators.carry import ordered_buckets, rows_before, with_oldest_of_last
 from ..operators.filters import active, delayed
 from ..operators.gaps import gap_text
+from ..operators.latest import latest_per_key
 from ..operators.recent import newest_distinct, recent_lists
 from ..operators.topk import top_k
 from ..schema import LAST_N, LATENESS_MS, TOP_N, TRAILING_MS
@@ -42,13 +43,21 @@ def write_state(df: DataFrame, base: str, batch_id: int) -> None:
 
 
 def previous_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
-    """The state of the batch before ``batch_id``; None only when no batch has
-    written one.  Micro-batch ids run consecutively, so it sits in the other
-    slot.  A slot that is there but cannot be read fails the batch."""
-    slot = f"{base}/slot={(batch_id - 1) % SLOTS}"
-    if batch_id <= 0 or not path_exists(spark, slot):
+    """The state of the batch before ``batch_id``; None for the first batch only.
+    Micro-batch ids run consecutively and every batch writes a state, so it sits
+    in the other slot; a slot that is missing, cannot be read or holds the state
+    of another batch fails the batch."""
+    if batch_id <= 0:
         return None
-    return spark.read.parquet(slot).where(F.col("batch_id") == batch_id - 1).drop("batch_id")
+    slot = f"{base}/slot={(batch_id - 1) % SLOTS}"
+    if not path_exists(spark, slot):
+        raise FileNotFoundError(f"the state of batch {batch_id - 1} is missing: {slot}")
+    state = spark.read.parquet(slot)
+    held = [r["batch_id"] for r in state.select("batch_id").distinct().take(2)]
+    # a state without rows names no batch
+    if held and held != [batch_id - 1]:
+        raise RuntimeError(f"{slot} holds the state of batch {held}, not of {batch_id - 1}")
+    return state.drop("batch_id")
 
 
 def latest_state(spark: SparkSession, base: str) -> DataFrame:
@@ -58,6 +67,32 @@ def latest_state(spark: SparkSession, base: str) -> DataFrame:
     return snaps.where(F.col("batch_id") == newest).drop("batch_id", "slot")
 
 
+def latest_writer(
+    base: str,
+    rows_of: Callable[[DataFrame], DataFrame],
+    cols: Sequence[str],
+    key: str = "id",
+    tie: str = "first",
+    sink: Callable[[DataFrame, int], None] | None = None,
+):
+    """``foreachBatch`` function that keeps the newest report per ``key`` seen so
+    far, ``(key, cols..., seq)``; ``sink`` gets the state after each micro-batch.
+    A micro-batch is reduced to a row per key before it meets the state."""
+    kept = list(dict.fromkeys([*cols, "lastupdate", "seq"]))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = rows_of(batch).select(key, *kept)
+        prev = previous_snapshot(spark, base, batch_id)
+        if prev is not None:
+            mine = mine.unionByName(prev.select(key, *kept))
+        write_state(latest_per_key(mine, key, kept, tie), base, batch_id)
+        if sink is not None:
+            sink(spark.read.parquet(f"{base}/slot={batch_id % SLOTS}").drop("batch_id"), batch_id)
+
+    return write
+
+
 def last_n_buffer_writer(base: str, n: int = LAST_N):
     """``foreachBatch`` function over raw report rows: keeps the ``n`` newest
     active report times seen so far as ``(rank, seq, lastupdate)``."""
@@ -76,8 +111,12 @@ def last_n_buffer_writer(base: str, n: int = LAST_N):
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """A batch's own rows; a replay overwrites them, an empty batch leaves
     no folder."""
-    if not df.isEmpty():
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    df = df.persist()  # looked at and written
+    try:
+        if not df.isEmpty():
+            df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    finally:
+        df.unpersist()
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -88,6 +127,17 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> Da
     return spark.read.schema(empty.schema).parquet(path).select(empty.columns)
 
 
+#: a bucket of a micro-batch holds about so many reports
+BUCKET_ROWS = 100_000
+
+
+def buckets_for(df: DataFrame) -> int:
+    """Buckets of a micro-batch: few for few reports, and as many as the session
+    has shuffle partitions for many."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, df.count() // BUCKET_ROWS + 1))
+
+
 def newest_time(df: DataFrame) -> int | None:
     return df.agg(F.max("lastupdate")).first()[0]
 
@@ -118,7 +168,7 @@ def late_rows_writer(base: str, delay_ms: int = LATENESS_MS):
 def settled_writer(
     base: str,
     rows_of: Callable[[DataFrame], DataFrame],
-    answer: Callable[[DataFrame, DataFrame | None], DataFrame],
+    answer: Callable[[DataFrame, DataFrame | None, int], DataFrame],
     remember: Callable[[DataFrame, DataFrame | None], DataFrame],
     sink: Callable[[DataFrame, int], None],
     late: Callable[[DataFrame, int], None],
@@ -128,7 +178,8 @@ def settled_writer(
     the frontier has passed them.
 
     ``rows_of(batch)``: the rows that take part, with ``seq`` and ``lastupdate``;
-    ``answer(rows, context)``: the answers of settled rows, which ``sink`` gets;
+    ``answer(rows, context, buckets)``: the answers of settled rows, worked off in
+    so many buckets, which ``sink`` gets;
     ``remember(rows, context)``: the new context (a few rows); ``late`` gets the
     rows that came behind the frontier.  The state in ``base/state`` holds the
     context, the rows still waiting, and the newest time of all reports."""
@@ -157,11 +208,13 @@ def settled_writer(
                 settled, rest = rows.limit(0), rows
             else:
                 settled, rest = (rows.where(F.col("lastupdate") < newest - lateness_ms), rows.where(F.col("lastupdate") >= newest - lateness_ms))
-            sink(answer(settled, context), batch_id)
+            settled = settled.persist()
+            sink(answer(settled, context, buckets_for(settled)), batch_id)
             clock = spark.createDataFrame([(newest,)], "lastupdate bigint").withColumn("_kind", F.lit("clock"))
             state = remember(settled, context).select(rows.columns).withColumn("_kind", F.lit("context"))
             state = state.unionByName(rest.withColumn("_kind", F.lit("waiting"))).unionByName(clock, allowMissingColumns=True)
             write_state(state, state_path, batch_id)
+            settled.unpersist()
         finally:
             batch.unpersist()
 
@@ -181,8 +234,8 @@ def recent_changes_writer(
     ``base/late``.  The context is the newest ``k`` distinct delayed vehicles as
     of the last settled report."""
 
-    def answer(rows: DataFrame, context: DataFrame | None) -> DataFrame:
-        lists = recent_lists(rows, window_ms, k, context=context, scratch=f"{base}/scratch")
+    def answer(rows: DataFrame, context: DataFrame | None, buckets: int) -> DataFrame:
+        lists = recent_lists(rows, window_ms, k, buckets, context=context, scratch=f"{base}/scratch")
         return lists.where("changed").drop("changed") if only_changes else lists.drop("changed")
 
     def remember(rows: DataFrame, context: DataFrame | None) -> DataFrame:
@@ -206,11 +259,11 @@ def gap_text_writer(
     report, as ``(seq, lastupdate, gap_text)`` to ``base/gaps/batch_id=N`` (or ``sink``).
     The context is the last ``n - 1`` settled reports."""
 
-    def answer(rows: DataFrame, context: DataFrame | None) -> DataFrame:
+    def answer(rows: DataFrame, context: DataFrame | None, buckets: int) -> DataFrame:
         both = rows.withColumn("_new", F.lit(True))
         if context is not None:
             both = both.unionByName(context.withColumn("_new", F.lit(False)))
-        frames = with_oldest_of_last(both, n, scratch=f"{base}/scratch").where("_new")
+        frames = with_oldest_of_last(both, n, buckets=buckets, scratch=f"{base}/scratch").where("_new")
         return gap_text(frames, "lastupdate")
 
     def remember(rows: DataFrame, context: DataFrame | None) -> DataFrame:
@@ -241,7 +294,8 @@ def last_n_per_vehicle_writer(base: str, n: int = LAST_N, sink: Callable[[DataFr
 
     def write(batch: DataFrame, batch_id: int) -> None:
         state_path = f"{base}/state"
-        rows = ordered_buckets(active(batch).select("id", "seq", "lastupdate"), ["id", "lastupdate", "seq"], scratch=f"{base}/scratch")
+        batch = active(batch).select("id", "seq", "lastupdate")
+        rows = ordered_buckets(batch, ["id", "lastupdate", "seq"], buckets_for(batch), f"{base}/scratch")
         before = rows_before(rows, n - 1, ["id"], "lastupdate", "seq").withColumn("_own", F.lit(False))
         both = rows.withColumn("_own", F.lit(True)).unionByName(before)
         last = Window.partitionBy("_b", "id").orderBy("lastupdate", "seq").rowsBetween(1 - n, 0)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from ..session import fresh_path
+from ..sources.arrival import numbered_writer
 from .merges import latest_state, previous_snapshot, write_state
 
 
@@ -63,10 +64,11 @@ def run_snapshots(
 
 
 def run_foreach(df: DataFrame, name: str, writer, checkpoint: str | None = None, mode: str = "append") -> None:
-    """Run a stream to completion through a ``foreachBatch`` writer."""
+    """Run a stream to completion through a ``foreachBatch`` writer; reports
+    read from text files get their unique numbers here."""
     checkpoint = checkpoint or fresh_path(df.sparkSession, f"{name}-ckpt")
     q = (
-        df.writeStream.foreachBatch(writer)
+        df.writeStream.foreachBatch(numbered_writer(writer))
         .option("checkpointLocation", checkpoint)
         .outputMode(mode)
         .trigger(availableNow=True)

@@ -277,3 +277,33 @@ def test_busy_vehicle_beyond_one_arrow_batch(spark, landing, tmp_path, keyed):
     finally:
         spark.conf.set(name, before)
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("shuffle", [0, 5])
+def test_top_changes_stream_equals_batch_over_late_batches(spark, landing, tmp_path, shuffle):
+    from transitlens.operators import rolling
+
+    docs = [(1_000_000 + 5_000 * i, report(f"v{(i * 5) % 8}", 1_000_000 + 5_000 * i, delay=(i * 7) % 11 - 3)) for i in range(90)]
+    if shuffle:
+        r = random.Random(shuffle)
+        docs.sort(key=lambda x: x[0] + r.randrange(40_000))
+    path = landing(_chunks([d for _, d in docs], 23), name=f"top-{shuffle}")
+    base = str(tmp_path / "top")
+    run_foreach(streaming.report_stream_from_text(spark, path, max_files_per_trigger=1), "t-top-changes", streaming.top_changes_writer(base, lateness_ms=40_000))
+    columns = ["rank", "id", "delay", "lastupdate"]
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/changes").select(columns).collect()))
+    reports = parse_reports(read_report_lines(spark, path))
+    settled = reports.where(f"lastupdate < {1_000_000 + 5_000 * 89 - 40_000}").select("seq")
+    want = rolling.top_after_each(reports).where("changed").join(settled, "seq")
+    assert got == sorted(map(tuple, want.select(columns).collect())) and got
+
+
+def test_last_stop_changes_stream_equals_batch(spark, landing, tmp_path):
+    r = random.Random(6)
+    docs = [report(f"T{i % 3}", r.randint(0, 40), stop=f"s{i}", ltype=5) for i in range(60)]
+    path = landing(_chunks(docs, 13))
+    base = str(tmp_path / "stops")
+    run_foreach(streaming.report_stream_from_text(spark, path, max_files_per_trigger=1), "t-stops", streaming.last_stop_changes_writer(base))
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/changes").select("id", "last_stop", "last_update").collect()))
+    want = latest.last_stop_changes(parse_reports(read_report_lines(spark, path)))
+    assert got == sorted(map(tuple, want.select("id", "last_stop", "last_update").collect())) and len(got) < 60

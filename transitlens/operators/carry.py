@@ -30,8 +30,9 @@ def ordered_buckets(df: DataFrame, order: Sequence, buckets: int | None = None,
     parts = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
     table = written(parts, "ordered", scratch)
     used = sorted(r["_p"] for r in table.select("_p").distinct().collect())
-    dense = F.create_map(*[F.lit(x) for i, p in enumerate(used) for x in (p, i)]) if used else F.lit(None)
-    return table.withColumn("_b", dense[F.col("_p")] if used else F.lit(0)).drop("_p")
+    # one row per bucket
+    dense = df.sparkSession.createDataFrame([(p, i) for i, p in enumerate(used)], "_p int, _b int")
+    return table.join(F.broadcast(dense), "_p").drop("_p")
 
 
 def rows_before(ordered: DataFrame, k: int, part: Sequence[str], time_col: str, tie_col: str) -> DataFrame:
@@ -105,3 +106,34 @@ def with_next_time(
         same = same & F.col(c).eqNullSafe(F.col(f"_f_{c}"))
     told = told.withColumn(out, F.coalesce(F.col(out), F.when(same, F.col("_after"))))
     return told.drop("_after", "_b", *[f"_f_{c}" for c in part])
+
+
+def with_next_place(df: DataFrame, part: str = "id", time_col: str = "lastupdate", tie_col: str = "seq", buckets: int | None = None) -> DataFrame:
+    """Add ``next_t`` and ``next_s``: time and tie of the next row of the same
+    ``part`` in the order of both, null for the last."""
+    d = ordered_buckets(df, [part, time_col, tie_col], buckets)
+    inside = Window.partitionBy("_b", part).orderBy(time_col, tie_col)
+    place = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("s"))
+    d = d.withColumn("_next", F.lead(place).over(inside))
+    first = d.groupBy("_b").agg(F.min(F.struct(F.col(part).alias("p"), place.alias("at"))).alias("_f"))
+    told = d.join(first.select((F.col("_b") - 1).alias("_b"), "_f"), "_b", "left")
+    after = F.when(F.col(part).eqNullSafe(F.col("_f.p")), F.col("_f.at"))
+    told = told.withColumn("_next", F.coalesce("_next", after))
+    return told.select(*df.columns, F.col("_next.t").alias("next_t"), F.col("_next.s").alias("next_s"))
+
+
+def with_running_sums(df: DataFrame, order: str, sums: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``sums`` added up over all rows up to this one by ``order`` (unique), and
+    ``next_<order>``, the next row's ``order``.  A bucket adds up its own rows;
+    the sums of the buckets before it are one row per bucket."""
+    d = ordered_buckets(df, [order], buckets)
+    totals = d.groupBy("_b").agg(F.min(order).alias("_first"), *[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    # one row per bucket in one task
+    past = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.lead("_first").over(Window.orderBy("_b")).alias("_ahead")
+    totals = totals.select("_b", ahead, *[F.sum(f"_sum_{c}").over(past).alias(f"_past_{c}") for c in sums])
+    inside = Window.partitionBy("_b").orderBy(order)
+    told = d.join(totals, "_b")
+    running = [(F.sum(c).over(inside) + F.coalesce(F.col(f"_past_{c}"), F.lit(0))).alias(c) for c in sums]
+    rest = [c for c in df.columns if c not in sums]
+    return told.select(*rest, *running, F.coalesce(F.lead(order).over(inside), F.col("_ahead")).alias(f"next_{order}"))

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .carry import ordered_buckets
 from .filters import active, trains
 
 
@@ -55,6 +56,30 @@ def train_last_stop(reports: DataFrame) -> DataFrame:
     return as_last_stop(latest_per_key(t, "id", LAST_STOP, tie="first"))
 
 
+def last_stop_changes(reports: DataFrame, buckets: int | None = None, known: DataFrame | None = None, scratch: str | None = None) -> DataFrame:
+    """Every report that replaced what was known of its train, in the order of
+    arrival (``seq``): ``(seq, id, last_stop, last_update)``.  A report does so
+    when it is strictly newer than all of the train that arrived before it.
+
+    ``known``: the newest report per train ``(id, lastupdate)`` from before.  The
+    running maximum of a train goes over buckets of equal counts; a train that
+    runs on over several buckets hands on one maximum each."""
+    t = trains(active(reports)).select("seq", "id", "laststopid", "lastupdate", F.lit(True).alias("_emit"))
+    if known is not None:
+        old = known.select(F.lit(-1).cast("bigint").alias("seq"), "id", F.lit(None).cast("string").alias("laststopid"), "lastupdate", F.lit(False).alias("_emit"))
+        t = t.unionByName(old)
+    d = ordered_buckets(t, ["id", "seq"], buckets, scratch)
+    before = Window.partitionBy("_b", "id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_before", F.max("lastupdate").over(before))
+    earlier = Window.partitionBy("id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = d.groupBy("_b", "id").agg(F.max("lastupdate").alias("_m")).withColumn("_carried", F.max("_m").over(earlier))
+    carried = carried.where("_carried IS NOT NULL").select(F.col("_b").alias("_cb"), F.col("id").alias("_cid"), "_carried")
+    d = d.join(carried, (F.col("_b") == F.col("_cb")) & F.col("id").eqNullSafe(F.col("_cid")), "left")
+    newest = F.greatest("_before", "_carried")
+    new = d.where(F.col("_emit") & (newest.isNull() | (F.col("lastupdate") > newest)))
+    return new.select("seq", "id", F.col("laststopid").alias("last_stop"), F.col("lastupdate").alias("last_update"))
+
+
 def train_snapshot_lines(last_stop: DataFrame, header: str) -> DataFrame:
     """The snapshot file as ``(ord, line)``: the header (ord 0), then one
     ``'id','stop','ms'`` line per train (ord 1)."""

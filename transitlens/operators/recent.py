@@ -177,13 +177,13 @@ def recent_lists(
     bounds = d.groupBy("_b").agg(F.min("lastupdate").alias("lo"), F.max("lastupdate").alias("hi")).orderBy("_b").collect()
     begins = [r["lo"] for r in bounds]
     reach = [max(bisect.bisect_right(begins, r["hi"] + 2 * window_ms) - 1, i) for i, r in enumerate(bounds)]
-    last = F.element_at(F.array(*[F.lit(x) for x in reach]), F.col("_b") + 1) if reach else F.lit(0)
+    reached = d.sparkSession.createDataFrame([(i, last) for i, last in enumerate(reach)], "_b int, _last int")
 
     per_vehicle = latest_per_key(d, ["_b", "id"], ["lastupdate", "seq", "delay"], tie="last")
     newest = Window.partitionBy("_b").orderBy(F.col("lastupdate").desc(), F.col("seq").desc())
     tails = per_vehicle.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= k).drop("_n")
-    seeds = tails.where(last > F.col("_b")).select(
-        F.explode(F.sequence(F.col("_b") + 1, last)).alias("_b"),
+    seeds = tails.join(F.broadcast(reached), "_b").where("_last > _b").select(
+        F.explode(F.sequence(F.col("_b") + 1, F.col("_last"))).alias("_b"),
         "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"), F.lit(False).alias("_emit"),
     )
     rows = d.withColumn("_kind", F.lit(1)).unionByName(seeds)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import json_string, number_text
 from ..schema import TOP_N
-from .carry import with_next_time
 from .filters import active, delayed
 from .latest import latest_per_key
 
@@ -66,24 +65,12 @@ def top_delayed_timeline(
     """The top-``k`` delayed list as it stood at every tick (multiples of
     ``tick_ms`` between the first and the last report): ``(tick_ms, rank, id,
     delay)``.  A report is a vehicle's state from its ``lastupdate`` until the
-    vehicle's next report; only states with a positive delay are expanded, and
-    the per-tick ranking is a partial top-k before its shuffle."""
-    a = active(reports).select("id", "seq", "delay", "lastupdate")
-    # next report of the same vehicle; in (lastupdate asc, seq desc) order the
-    # newest report, first arrival among ties, comes last
-    states = delayed(with_next_time(a, part=["id"], buckets=buckets))
-    # scalar subquery (one value, no join), bound once to a column
-    newest = a.select(F.max("lastupdate")).scalar()
-    states = states.withColumn("_last_tick", F.floor(newest / tick_ms).cast("bigint") * tick_ms)
-    last_tick = F.col("_last_tick")
-    first = F.expr(f"(lastupdate + {tick_ms - 1}) div {tick_ms} * {tick_ms}")
-    stop = F.least(F.coalesce(F.col("_next") - 1, last_tick), last_tick)
-    stop = F.floor(stop / tick_ms).cast("bigint") * tick_ms
-    ticks = states.select(
-        "id",
-        "delay",
-        F.explode(
-            F.when(first <= stop, F.sequence(first, stop, F.lit(tick_ms))).otherwise(F.array().cast("array<bigint>"))
-        ).alias("tick_ms"),
-    )
-    return top_k(ticks, k, delay_order(), by=["tick_ms"]).select("tick_ms", "rank", "id", "delay")
+    vehicle's next report (see ``rolling``)."""
+    from . import rolling
+
+    a = active(reports).select("id", "seq", "delay", "lastupdate", "isinactive")
+    lo, hi = a.agg(F.min("lastupdate"), F.max("lastupdate")).first()
+    first, last = (0, -1) if lo is None else (-(-lo // tick_ms) * tick_ms, hi // tick_ms * tick_ms)
+    marks = rolling.tick_marks(reports.sparkSession, first, last, tick_ms)
+    lists = rolling.lists_at(rolling.states(a, buckets), marks, k, buckets)
+    return lists.select(F.col("t").alias("tick_ms"), "rank", "id", "delay")

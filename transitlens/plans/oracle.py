@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from ..schema import SLIDE_10MIN_MS, SLIDE_MS, TRAILING_6H_MS, TRAILING_MS
 from ..sources.replay import JITTER_MS, LEAST_BATCHES, PAIR_STEP, ROWS_PER_FILE, SHUFFLED_PAIRS
+from ..sources.text import ARRIVAL_PLACES
 from .registry import COARSE_VEHICLES, DAMAGE_ABOVE_VALUE, LATE_KEY_LATENESS_MS, REPLAY_LATENESS_MS, TEXT_LATENESS_MS
 
 REPORTS = """reports AS (
@@ -83,6 +84,37 @@ GROUP BY w"""
     )
 
 
+def _vehicle_windows(size_ms: int, slide_ms: int) -> str:
+    """Each window with the newest report of each vehicle in it."""
+    per = size_ms // slide_ms
+    return _w(
+        f"""SELECT w AS window_start_ms, w + {size_ms} AS window_end_ms, sum(delay) AS delay_sum, count(delay) AS n, sum(delay) / count(delay) AS avg_delay
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY w, id ORDER BY lastupdate DESC, seq ASC) AS rn
+  FROM (SELECT a.*, (lastupdate // {slide_ms}) * {slide_ms} - k * {slide_ms} AS w FROM active a, range(0, {per}) t(k)))
+WHERE rn = 1 GROUP BY w"""
+    )
+
+
+# the list after every active report, by a join with the states that stand there
+TOP_AFTER_EACH = (
+    "firsts AS (SELECT id, lastupdate, min(seq) AS seq, arg_min(delay, seq) AS delay FROM active GROUP BY id, lastupdate)",
+    """standing AS (SELECT *, lead(lastupdate) OVER w AS next_t, lead(seq) OVER w AS next_s FROM firsts
+  WINDOW w AS (PARTITION BY id ORDER BY lastupdate))""",
+    """toplists AS (
+  SELECT r.seq, r.lastupdate AS rt, s.id, s.delay, s.lastupdate,
+         CAST(row_number() OVER (PARTITION BY r.seq ORDER BY s.delay DESC, s.id ASC) AS INTEGER) AS rank
+  FROM active r JOIN standing s
+    ON s.delay > 0 AND s.lastupdate <= r.lastupdate AND r.lastupdate <= coalesce(s.next_t, 9223372036854775807)
+   AND (s.lastupdate < r.lastupdate OR s.seq <= r.seq)
+   AND (s.next_t IS NULL OR r.lastupdate < s.next_t OR r.seq < s.next_s))""",
+)
+TOP_FLAGS = """topflags AS (
+  SELECT seq, key IS DISTINCT FROM lag(key) OVER (ORDER BY lastupdate, seq) AS changed FROM (
+    SELECT a.seq, a.lastupdate, string_agg(t.id || '|' || CAST(t.delay AS VARCHAR), ',' ORDER BY t.rank) AS key
+    FROM active a LEFT JOIN toplists t ON t.seq = a.seq AND t.rank <= 5 GROUP BY a.seq, a.lastupdate))"""
+
+
 def _top5(filter_first: bool) -> str:
     if filter_first:
         src = """ff AS (SELECT id, delay, lastupdate FROM (
@@ -240,6 +272,21 @@ WHERE rank <= 5""",
   (min(lastupdate) + {TICK_MS - 1}) // {TICK_MS} * {TICK_MS}, max(lastupdate) // {TICK_MS} * {TICK_MS}, {TICK_MS})) AS tick_ms
   FROM active)""",
     )
+    per_report = """SELECT seq, rank, id, delay, lastupdate FROM toplists WHERE rank <= 5"""
+    q["top5_delayed_per_report"] = _w(per_report, *TOP_AFTER_EACH)
+    q["top5_delayed_changes"] = _w(per_report + " AND seq IN (SELECT seq FROM topflags WHERE changed)", *TOP_AFTER_EACH, TOP_FLAGS)
+    q["train_last_stop_changes"] = _w(
+        f"""SELECT seq, id, last_stop, last_update FROM (
+  SELECT seq, id, laststopid AS last_stop, lastupdate AS last_update,
+         max(lastupdate) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS known
+  FROM (SELECT * REPLACE (
+          (lastupdate + CAST('0x' || substr(md5(CAST(seq AS VARCHAR)), 1, 8) AS BIGINT) % {JITTER_MS}) * {ARRIVAL_PLACES} + seq % {ARRIVAL_PLACES} AS seq)
+        FROM active)
+  WHERE ltype = 5) WHERE known IS NULL OR last_update > known"""
+    )
+    q["avg_delay_vehicles"] = _vehicle_windows(TRAILING_MS, SLIDE_MS)
+    q["avg_delay_vehicles_6h"] = _vehicle_windows(TRAILING_6H_MS, SLIDE_10MIN_MS)
+    q["avg_delay_stored_panes"] = _sliding(TRAILING_6H_MS, SLIDE_10MIN_MS, True)
     q["avg_delay_total"] = _w("SELECT sum(delay) AS delay_sum, count(delay) AS n, sum(delay) / count(delay) AS avg_delay FROM active")
     q["avg_delay_sliding"] = _sliding(TRAILING_MS, SLIDE_MS, True)
     q["avg_delay_sliding_6h"] = _sliding(TRAILING_6H_MS, SLIDE_10MIN_MS, True)
@@ -297,6 +344,7 @@ FROM (SELECT unnest(regexp_split_to_array(coalesce(text, ''), '\s+')) AS token F
         ("stream_top5_delayed", "top5_delayed"),
         ("stream_recent5", "recent5_final"),
         ("stream_last10_buffer", "last10_buffer"),
+        ("stream_train_last_stop_changes", "train_last_stop_changes"),
     ]:
         q[twin] = q[batch]
     # answers per report come once the newest time minus the lateness has passed them
@@ -305,6 +353,7 @@ FROM (SELECT unnest(regexp_split_to_array(coalesce(text, ''), '\s+')) AS token F
         ("stream_recent5_changes", "recent5_changes", "t.seq"),
         ("stream_recent5_coarse_changes", "recent5_coarse_changes", "t.seq"),
         ("stream_last10_gap_text", "last10_gap_text", "seq"),
+        ("stream_top5_delayed_changes", "top5_delayed_changes", "seq"),
     ]:
         word = " AND " if " WHERE " in q[batch].rsplit("\n", 1)[-1] else " WHERE "
         q[twin] = q[batch] + f"{word}{column} IN (SELECT seq FROM reports WHERE lastupdate < {settled})"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import filters, gaps, latest, recent, topk, windows
+from ..operators import filters, gaps, latest, recent, rolling, topk, windows
 from .. import streaming
 from ..schema import REPORT_COLUMNS, SLIDE_10MIN_MS, TRAILING_6H_MS, TRAIN_HEADER
 from ..session import fresh_path
@@ -28,6 +28,7 @@ from ..sources import (
     tokenize_lines,
 )
 from ..sources.landing import report_source
+from ..sources.text import ARRIVAL_PLACES
 from ..sources.replay import JITTER_MS, land_text, stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +132,41 @@ def q_top5_delayed_timeline(spark, sf_dir):
     return topk.top_delayed_timeline(_active(spark, sf_dir), TIMELINE_TICK_MS)
 
 
+def q_top5_delayed_per_report(spark, sf_dir):
+    return rolling.top_after_each(_active(spark, sf_dir)).drop("changed")
+
+
+def q_top5_delayed_changes(spark, sf_dir):
+    return rolling.top_after_each(_active(spark, sf_dir)).where("changed").drop("changed")
+
+
+def _arrived(reports):
+    """Reports numbered as the replay delivers them: by event time plus delay."""
+    delay = F.conv(F.substring(F.md5(F.col("seq").cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % JITTER_MS
+    return reports.withColumn("seq", (F.col("lastupdate") + delay) * ARRIVAL_PLACES + F.col("seq") % ARRIVAL_PLACES)
+
+
+def q_train_last_stop_changes(spark, sf_dir):
+    return latest.last_stop_changes(_arrived(_active(spark, sf_dir)))
+
+
+def q_avg_delay_vehicles(spark, sf_dir):
+    return windows.sliding_vehicle_average(_active(spark, sf_dir))
+
+
+def q_avg_delay_vehicles_6h(spark, sf_dir):
+    return windows.sliding_vehicle_average(_active(spark, sf_dir), size_ms=TRAILING_6H_MS, slide_ms=SLIDE_10MIN_MS)
+
+
+def q_avg_delay_stored_panes(spark, sf_dir):
+    """Two halves of the reports stored as panes, and merged."""
+    out = fresh_path(spark, "panes")
+    r = _active(spark, sf_dir)
+    for half in (0, 1):
+        windows.store_panes(r.where(F.col("seq") % 2 == half), out, str(half), slide_ms=SLIDE_10MIN_MS)
+    return windows.average_of_panes(windows.stored_panes(spark, out), TRAILING_6H_MS, SLIDE_10MIN_MS)
+
+
 def q_avg_delay_total(spark, sf_dir):
     return windows.total_average(_active(spark, sf_dir))
 
@@ -306,6 +342,18 @@ def q_stream_recent5_coarse_changes(spark, sf_dir):
     return _recent_stream(spark, _coarse(_stream(spark, sf_dir)), "stream_recent5_coarse", window_ms=TRAILING_6H_MS)
 
 
+def q_stream_top5_delayed_changes(spark, sf_dir):
+    out = fresh_path(spark, "stream_top5_changes-out")
+    streaming.run_foreach(_stream(spark, sf_dir), "stream_top5_changes", streaming.top_changes_writer(out, lateness_ms=REPLAY_LATENESS_MS))
+    return streaming.read_batches(spark, f"{out}/changes", "seq bigint, rank int, id string, delay double, lastupdate bigint")
+
+
+def q_stream_train_last_stop_changes(spark, sf_dir):
+    out = fresh_path(spark, "stream_train_changes-out")
+    streaming.run_foreach(_arrived(_stream(spark, sf_dir)), "stream_train_changes", streaming.last_stop_changes_writer(out))
+    return streaming.read_batches(spark, f"{out}/changes", "seq bigint, id string, last_stop string, last_update bigint")
+
+
 def q_stream_last10_buffer(spark, sf_dir):
     out = fresh_path(spark, "stream_last10_buffer-out")
     streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_buffer", streaming.last_n_buffer_writer(out))

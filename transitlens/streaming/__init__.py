@@ -16,7 +16,19 @@ from .queries import (
     sliding_average_stream,
     sliding_average_processing_time,
 )
-from .merges import gap_text_writer, last_n_buffer_writer, last_n_per_vehicle_writer, late_rows_writer, latest_writer, previous_snapshot, read_batches, recent_changes_writer, settled_writer
+from .merges import (
+    gap_text_writer,
+    last_n_buffer_writer,
+    last_n_per_vehicle_writer,
+    last_stop_changes_writer,
+    late_rows_writer,
+    latest_writer,
+    previous_snapshot,
+    read_batches,
+    recent_changes_writer,
+    settled_writer,
+    top_changes_writer,
+)
 from .runner import run_append, run_foreach, run_snapshots
 from .state import last_n_per_vehicle_stream
 
@@ -31,7 +43,9 @@ __all__ = [
     "run_foreach",
     "last_n_buffer_writer",
     "last_n_per_vehicle_writer",
+    "last_stop_changes_writer",
     "late_rows_writer",
+    "top_changes_writer",
     "latest_writer",
     "recent_changes_writer",
     "gap_text_writer",

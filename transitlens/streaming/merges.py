@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.carry import ordered_buckets, rows_before, with_oldest_of_last
-from ..operators.filters import active, delayed
+from ..operators.filters import active, delayed, trains
 from ..operators.gaps import gap_text
-from ..operators.latest import latest_per_key
+from ..operators.latest import last_stop_changes, latest_per_key
 from ..operators.recent import newest_distinct, recent_lists
+from ..operators.rolling import top_after_each
 from ..operators.topk import top_k
 from ..schema import LAST_N, LATENESS_MS, TOP_N, TRAILING_MS
 from ..session import path_exists
@@ -252,6 +253,57 @@ def recent_changes_writer(
     )
 
 
+def top_changes_writer(
+    base: str, k: int = TOP_N, lateness_ms: int = LATENESS_MS, sink: Callable[[DataFrame, int], None] | None = None
+):
+    """The top-``k`` delayed list after every active report, when it changed, as
+    ``(seq, rank, id, delay, lastupdate)`` to ``base/changes/batch_id=N`` (or
+    ``sink``); late reports go to ``base/late``.  The context is the newest
+    settled report of each vehicle that is delayed: one below the list may come
+    up again when another one falls."""
+
+    def answer(rows: DataFrame, context: DataFrame | None, buckets: int) -> DataFrame:
+        lists = top_after_each(rows, k, buckets, context, f"{base}/scratch")
+        return lists.where("changed").drop("changed")
+
+    def remember(rows: DataFrame, context: DataFrame | None) -> DataFrame:
+        both = rows if context is None else rows.unionByName(context)
+        newest = latest_per_key(both, "id", ["seq", "delay", "lastupdate"], tie="first")
+        return delayed(newest).withColumn("isinactive", F.lit("false"))
+
+    return settled_writer(
+        base,
+        lambda batch: active(batch).select("seq", "id", "delay", "lastupdate", "isinactive"),
+        answer,
+        remember,
+        sink or (lambda df, i: write_batch(df, f"{base}/changes", i)),
+        lambda df, i: write_batch(df, f"{base}/late", i),
+        lateness_ms,
+    )
+
+
+def last_stop_changes_writer(base: str, sink: Callable[[DataFrame, int], None] | None = None):
+    """Every report that replaced what was known of its train, in the order of
+    arrival, to ``base/changes/batch_id=N`` (or ``sink``); the state in
+    ``base/state`` is the newest report per train."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        prev = previous_snapshot(batch.sparkSession, f"{base}/state", batch_id)
+        mine = trains(active(batch)).select("seq", "id", "laststopid", "lastupdate", "ltype", "isinactive").persist()
+        try:
+            known = None if prev is None else prev.select("id", "lastupdate")
+            changes = last_stop_changes(mine, buckets_for(mine), known, f"{base}/scratch")
+            (sink or (lambda df, i: write_batch(df, f"{base}/changes", i)))(changes, batch_id)
+            newest = mine.select("seq", "id", "lastupdate")
+            if prev is not None:
+                newest = newest.unionByName(prev.select("seq", "id", "lastupdate"))
+            write_state(latest_per_key(newest, "id", ["seq", "lastupdate"], tie="first"), f"{base}/state", batch_id)
+        finally:
+            mine.unpersist()
+
+    return write
+
+
 def gap_text_writer(
     base: str, n: int = LAST_N, lateness_ms: int = LATENESS_MS, sink: Callable[[DataFrame, int], None] | None = None
 ):

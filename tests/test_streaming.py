@@ -1,3 +1,4 @@
+import json
 import os
 import random
 import shutil
@@ -307,3 +308,103 @@ def test_last_stop_changes_stream_equals_batch(spark, landing, tmp_path):
     got = sorted(map(tuple, spark.read.parquet(f"{base}/changes").select("id", "last_stop", "last_update").collect()))
     want = latest.last_stop_changes(parse_reports(read_report_lines(spark, path)))
     assert got == sorted(map(tuple, want.select("id", "last_stop", "last_update").collect())) and len(got) < 60
+
+
+def _lines_of(spark, sink):
+    return sorted(r.value for r in sink.lines(spark).collect())
+
+
+def test_rolling_lines_bound_the_files_and_survive_a_restart(spark, tmp_path):
+    from transitlens.sinks import RollingLines
+
+    path = str(tmp_path / "rolled")
+    sink = RollingLines(path, ("line",), roll_bytes=60)
+    want = []
+    for i in range(20):
+        lines = [f"batch {i:02d} line {k}" for k in range(i % 3)]
+        want += lines
+        sink(spark.createDataFrame([(x,) for x in lines], "line string"), i)
+    assert _lines_of(spark, sink) == sorted(want)
+    finished = sink.finished(spark)
+    assert len(finished) >= 3 and len(os.listdir(f"{path}/_open")) <= 4
+    # in the order of the batches, and no batch twice
+    first = []
+    for a, b in finished:
+        folder = tmp_path / "rolled" / f"batches={a}-{b}"
+        first += [x for f in sorted(folder.glob("part-*")) for x in f.read_text().splitlines()]
+    assert first == sorted(first) and all(b < c for (_, b), (c, _) in zip(finished, finished[1:], strict=False))
+    # a replayed batch that has rolled over is left alone; one that has not is written anew
+    again = RollingLines(path, ("line",), roll_bytes=60)
+    again(spark.createDataFrame([("other",)], "line string"), finished[0][0])
+    again(spark.createDataFrame([(x,) for x in want if x.startswith("batch 19")], "line string"), 19)
+    assert _lines_of(spark, again) == sorted(want)
+    # a run that ended after the move, before its open folders went
+    a, b = finished[-1]
+    left = f"{path}/_open/batch_id={b}"
+    os.makedirs(left)
+    with open(f"{left}/part-0.txt", "w") as f:
+        f.write("line of a finished batch\n")
+    assert _lines_of(spark, again) == sorted(want)
+    again(spark.createDataFrame([], "line string"), 20)
+    assert not os.path.exists(left)
+
+
+def test_idle_lines_roll_over(spark, tmp_path):
+    from transitlens.sinks import RollingLines
+
+    sink = RollingLines(str(tmp_path / "idle"), ("line",), idle_batches=2)
+    sink(spark.createDataFrame([("a",)], "line string"), 0)
+    for i in (1, 2):
+        sink(spark.createDataFrame([], "line string"), i)
+    assert sink.finished(spark) == [(0, 0)] and _lines_of(spark, sink) == ["a"]
+
+
+def test_replaced_folder_is_never_lost(spark, tmp_path):
+    from transitlens.session import replace_path, restore_path
+
+    def put(name, text):
+        spark.createDataFrame([(text,)], "value string").write.text(str(tmp_path / name))
+
+    path = str(tmp_path / "snap")
+    put("snap", "one")
+    put("new", "two")
+    replace_path(spark, str(tmp_path / "new"), path)
+    assert spark.read.text(path).first().value == "two" and not os.path.exists(f"{path}__old")
+    # a run that ended between the two moves
+    os.rename(path, f"{path}__old")
+    restore_path(spark, path)
+    assert spark.read.text(path).first().value == "two"
+
+
+def test_a_cluster_has_to_name_its_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from transitlens.session import shared_dir
+
+    session = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077"), conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+
+
+def test_list_state_writes_touched_vehicles_only(spark, landing, tmp_path):
+    from transitlens.streaming import keyed_state, last_n_per_vehicle_listed
+
+    r = random.Random(5)
+    many = [report(f"v{i % 30}", 1_000_000 + 500 * i) for i in range(120)]
+    r.shuffle(many)
+    path = landing([many, [report("v3", 2_000_000), report("v3", 1_999_000)]])
+    s = streaming.report_stream_from_text(spark, path, max_files_per_trigger=1)
+    with keyed_state(spark):
+        assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+        out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+        df = last_n_per_vehicle_listed(s)
+        q = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+        updated = [p["stateOperators"][0]["numRowsUpdated"] for p in (json.loads(x.json) for x in q.recentProgress) if p["stateOperators"]]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    # the second micro-batch puts the list of one vehicle
+    assert updated[0] >= 30 and updated[1] <= 12
+    columns = ["id", "lastupdate", "n", "span_ms"]
+    want = run_append(last_n_per_vehicle_stream(s), "t-unlisted").select(columns)
+    got = spark.read.parquet(out).select(columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("id = 'v3'").count() == 5

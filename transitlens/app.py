@@ -89,7 +89,7 @@ def run_stream(spark: SparkSession, src: str, out: str, q: str, once: bool, show
         queries.append(w.trigger(**_trigger(once)).start())
 
     if q == "1":
-        df, write = filters.north_lines(filters.active(r)), sinks.batch_lines(f"{out}/heading_north", ("line",), show)
+        df, write = filters.north_lines(filters.active(r)), sinks.RollingLines(f"{out}/heading_north", ("line",), show=show)
     elif q in ("2", "3"):
         folder = "trains" if q == "2" else "delayed"
 
@@ -104,14 +104,14 @@ def run_stream(spark: SparkSession, src: str, out: str, q: str, once: bool, show
         rows = (lambda b: filters.trains(filters.active(b))) if q == "2" else filters.active
         write = streaming.latest_writer(f"{out}/_{folder}", rows, latest.LAST_STOP if q == "2" else ("delay", "lastupdate"), sink=snapshot)
     elif q == "4":
-        sink = sinks.batch_lines(f"{out}/delayed3minutes", ("t", "seq"), show)
+        sink = sinks.RollingLines(f"{out}/delayed3minutes", ("t", "seq"), show=show)
         write = streaming.recent_changes_writer(f"{out}/_delayed3minutes", sink=lambda b, i: sink(recent.list_lines(b), i))
     elif q == "5":
-        sink = sinks.batch_lines(f"{out}/averagedelay", ("window_start_ms",), show)
+        sink = sinks.RollingLines(f"{out}/averagedelay", ("window_start_ms",), show=show)
         df, write = streaming.sliding_average_stream(r), lambda b, i: sink(average_lines(b), i)
         start(filters.active(r), streaming.late_rows_writer(f"{out}/_averagedelay"), f"{ck}-late")
     elif q == "6":
-        sink = sinks.batch_lines(f"{out}/last10reports", ("lastupdate", "seq"), show)
+        sink = sinks.RollingLines(f"{out}/last10reports", ("lastupdate", "seq"), show=show)
         write = streaming.gap_text_writer(f"{out}/_last10reports", sink=lambda b, i: sink(gap_lines(b), i))
     else:
         raise ValueError(f"unknown question {q}")

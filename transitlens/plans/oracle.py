@@ -373,7 +373,7 @@ WHERE lastupdate < (SELECT max(lastupdate) FROM arrived e WHERE e.b < a.b) - {LA
     )
     # in the order of arrival (batch, then event time): a report is answered
     # when it is among the ten newest that have arrived so far
-    q["stream_last10_per_vehicle"] = _w(
+    q["stream_last10_listed"] = q["stream_last10_per_vehicle"] = _w(
         """SELECT id, seq, lastupdate, n, span_ms, span_ms / (n - 1) AS gap_ms FROM (
   SELECT r.id, r.seq, r.lastupdate, count(*) AS n, max(p.lastupdate) - min(p.lastupdate) AS span_ms,
          bool_or(p.seq = r.seq) AS stays

@@ -314,6 +314,12 @@ def q_stream_last10_per_vehicle(spark, sf_dir):
     return streaming.read_batches(spark, f"{out}/gaps", streaming.state.GAP_SCHEMA)
 
 
+def q_stream_last10_listed(spark, sf_dir):
+    """The same over a list state per vehicle."""
+    with streaming.keyed_state(spark):
+        return streaming.run_append(streaming.last_n_per_vehicle_listed(_stream(spark, sf_dir)), "stream_last10_listed")
+
+
 def q_stream_recent5(spark, sf_dir):
     d = filters.delayed(filters.active(_stream(spark, sf_dir)))
     per_vehicle = latest.latest_per_key(d, "id", ["delay", "lastupdate", "seq"], tie="last")

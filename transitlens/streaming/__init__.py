@@ -29,8 +29,8 @@ from .merges import (
     settled_writer,
     top_changes_writer,
 )
-from .runner import run_append, run_foreach, run_snapshots
-from .state import last_n_per_vehicle_stream
+from .runner import keyed_state, run_append, run_foreach, run_snapshots
+from .state import last_n_per_vehicle_listed, last_n_per_vehicle_stream
 
 __all__ = [
     "report_stream_from_events",
@@ -39,6 +39,8 @@ __all__ = [
     "sliding_average_stream",
     "sliding_average_processing_time",
     "last_n_per_vehicle_stream",
+    "last_n_per_vehicle_listed",
+    "keyed_state",
     "run_append",
     "run_foreach",
     "last_n_buffer_writer",

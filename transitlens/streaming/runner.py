@@ -2,15 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import fresh_path
 from ..sources.arrival import numbered_writer
 from .merges import latest_state, previous_snapshot, write_state
 
 
+#: settings of a state store that writes what changed
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their keyed state in RocksDB and write the
+    changes of each micro-batch to the checkpoint; afterwards the session's
+    settings are as before."""
+    before = {k: spark.conf.get(k, None) for k in KEYED_STATE}
+    for k, v in KEYED_STATE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_append(df: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Append ``df`` into a Parquet folder until the input is exhausted
     (``availableNow``); the file sink's log makes this exactly-once across

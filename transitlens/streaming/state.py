@@ -10,6 +10,12 @@ default) in any order.  All of them are sorted together by event time, so the
 result does not depend on the batch size; a report takes 16 bytes until then.
 ``merges.last_n_per_vehicle_writer`` gives the same without holding a vehicle's
 micro-batch in one task.
+
+Two forms: ``last_n_per_vehicle_stream`` keeps one state row per vehicle with
+``applyInPandasWithState``; ``last_n_per_vehicle_listed`` keeps the times in a
+list state of ``transformWithStateInPandas`` (RocksDB provider, see
+``runner.keyed_state``), so that a micro-batch reads and writes the states of the
+vehicles that it touches only, and may forget a vehicle after a time of silence.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ import bisect
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -41,36 +48,68 @@ _DTYPES = {"id": "object", "seq": "int64", "lastupdate": "int64", "n": "int64",
 STATE_SCHEMA = StructType([StructField("times", ArrayType(LongType())), StructField("seqs", ArrayType(LongType()))])
 
 
+def _admitted(vehicle, parts: list[tuple[np.ndarray, np.ndarray]], buf: list[tuple[int, int]], n: int):
+    """Frames of the gap of each report that enters ``buf`` (sorted, changed in
+    place), for all of a vehicle's ``(times, seqs)`` of a micro-batch."""
+    t_all, s_all = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
+    order = np.lexsort((s_all, t_all))
+    for first in range(0, len(order), OUT_ROWS):
+        out = []
+        part = order[first : first + OUT_ROWS]
+        for t, s in zip(t_all[part].tolist(), s_all[part].tolist()):
+            item = (t, s)
+            if len(buf) >= n:
+                if item <= buf[0]:
+                    continue
+                buf.pop(0)
+            bisect.insort(buf, item)
+            if len(buf) > 1:
+                span = buf[-1][0] - buf[0][0]
+                out.append((vehicle, s, t, len(buf), span, span / (len(buf) - 1)))
+        if out:
+            yield pd.DataFrame({f.name: pd.Series(c, dtype=_DTYPES[f.name]) for f, c in zip(GAP_SCHEMA.fields, zip(*out))})
+
+
+def _times(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return rows["lastupdate"].to_numpy(np.int64), rows["seq"].to_numpy(np.int64)
+
+
 def _buffer_update(n: int):
     def update(key, batches, state):
-        if state.exists:
-            times, seqs = state.get
-            buf = sorted(zip(times, seqs))
-        else:
-            buf = []
-        parts = [(rows["lastupdate"].to_numpy(np.int64), rows["seq"].to_numpy(np.int64)) for rows in batches]
-        t_all, s_all = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
-        order = np.lexsort((s_all, t_all))
-        for first in range(0, len(order), OUT_ROWS):
-            out = []
-            part = order[first : first + OUT_ROWS]
-            for t, s in zip(t_all[part].tolist(), s_all[part].tolist()):
-                item = (t, s)
-                if len(buf) >= n:
-                    if item <= buf[0]:
-                        continue
-                    buf.pop(0)
-                bisect.insort(buf, item)
-                if len(buf) > 1:
-                    span = buf[-1][0] - buf[0][0]
-                    out.append((key[0], s, t, len(buf), span, span / (len(buf) - 1)))
-            if out:
-                yield pd.DataFrame({f.name: pd.Series(c, dtype=_DTYPES[f.name]) for f, c in zip(GAP_SCHEMA.fields, zip(*out))})
+        buf = sorted(zip(*state.get)) if state.exists else []
+        yield from _admitted(key[0], [_times(rows) for rows in batches], buf, n)
         state.update(([t for t, _ in buf], [s for _, s in buf]))
 
     return update
 
 
+class LastTimes(StatefulProcessor):
+    """The last ``n`` report times of a vehicle in a list state; ``forget_ms``
+    after its last report a vehicle's list is dropped (processing time)."""
+
+    def __init__(self, n: int, forget_ms: int | None):
+        self.n, self.forget_ms = n, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.times = handle.getListState("times", "lastupdate long, seq long", self.forget_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        buf = sorted((int(t), int(s)) for t, s in self.times.get()) if self.times.exists() else []
+        yield from _admitted(key[0], [_times(pdf) for pdf in rows], buf, self.n)
+        self.times.put(buf)
+
+    def close(self) -> None:
+        pass
+
+
+def last_n_per_vehicle_listed(reports: DataFrame, n: int = LAST_N, forget_ms: int | None = None) -> DataFrame:
+    """The same stream of gaps over a list state; run it inside
+    ``runner.keyed_state``."""
+    a = active(reports).select("id", "seq", "lastupdate")
+    mode = "None" if forget_ms is None else "ProcessingTime"
+    return a.groupBy("id").transformWithStateInPandas(LastTimes(n, forget_ms), GAP_SCHEMA, "Append", mode)
+
+
 def last_n_per_vehicle_stream(reports: DataFrame, n: int = LAST_N) -> DataFrame:
     """Stream of ``(id, seq, lastupdate, n, span_ms, gap_ms)`` per admitted report."""
     a = active(reports).select("id", "seq", "lastupdate")

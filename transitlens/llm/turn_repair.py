@@ -40,7 +40,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from os.path import commonprefix
 
 import pyarrow as pa
@@ -63,37 +62,26 @@ REDUCTIONS = {5: 2, 7: 3, 8: 3}
 P_STATE, FINAL = 3, (0, 3)
 
 
-class Stack:
-    """A node of the graph-structured stack; equal stacks are one object."""
+#: a node of the graph-structured stack: (state, node below); equal stacks are equal values
+Stack = tuple
+START: Stack = (0, None)
+_shifted: dict = {}
+_moves: dict = {}
 
-    nodes: dict = {}
 
-    def __init__(self, state: int, below: Stack | None):
-        self.state, self.below, self.after = state, below, {}
-
-    @classmethod
-    def of(cls, state: int, below: Stack | None = None) -> Stack:
-        key = (state, below)
-        if key not in cls.nodes:
-            cls.nodes[key] = cls(state, below)
-        return cls.nodes[key]
-
-    def shift(self, symbol: str) -> Stack | None:
-        """The stack after the symbol and all reductions; None if it is refused."""
-        if symbol not in self.after:
-            to = SHIFTS.get(self.state, {}).get(symbol)
-            top = None if to is None else Stack.of(to, self)
-            while top is not None and top.state in REDUCTIONS:
-                base = top
-                for _ in range(REDUCTIONS[top.state]):
-                    base = base.below
-                # P is pushed on the start state; a P that was popped with it is part of the new one
-                top = Stack.of(P_STATE, base)
-            self.after[symbol] = top
-        return self.after[symbol]
-
-
-START = Stack.of(0)
+def shift(stack: Stack, symbol: str) -> Stack | None:
+    """The stack after the symbol and all reductions; None if it is refused."""
+    if (stack, symbol) not in _shifted:
+        to = SHIFTS.get(stack[0], {}).get(symbol)
+        top = None if to is None else (to, stack)
+        while top is not None and top[0] in REDUCTIONS:
+            base = top
+            for _ in range(REDUCTIONS[top[0]]):
+                base = base[1]
+            # P is pushed on the start state; a P that was popped with it is part of the new one
+            top = (P_STATE, base)
+        _shifted[stack, symbol] = top
+    return _shifted[stack, symbol]
 
 
 def all_stacks() -> list[Stack]:
@@ -101,7 +89,7 @@ def all_stacks() -> list[Stack]:
     found = [START]
     for s in found:
         for symbol in "sua":
-            t = s.shift(symbol)
+            t = shift(s, symbol)
             if t is not None and t not in found:
                 found.append(t)
     return found
@@ -123,23 +111,25 @@ def with_insertions(tops: dict) -> dict:
         stack = work.pop()
         cost, audit = tops[stack]
         for symbol in ROLE:
-            to = stack.shift(symbol)
+            to = shift(stack, symbol)
             if to is not None and merged(tops, to, cost + INSERT, audit + "I"):
                 work.append(to)
     return tops
 
 
-@lru_cache(None)
 def moves(stack: Stack, fault: str, initial: str) -> tuple:
     """(stack, cost, audit) of all edits of one row and insertions after it."""
-    tops = {stack: (DELETE, "D")}
-    if fault not in ("blank", "duplicate"):
-        extra = TRUNCATED if fault == "truncated" else 0
-        for letter, cost, symbol in (("K", KEEP, initial), ("R", REROLE, "u"), ("R", REROLE, "a")):
-            to = stack.shift(symbol)
-            if to is not None:
-                merged(tops, to, cost + extra, letter)
-    return tuple((s, *x) for s, x in with_insertions(tops).items())
+    key = (stack, fault, initial)
+    if key not in _moves:
+        tops = {stack: (DELETE, "D")}
+        if fault not in ("blank", "duplicate"):
+            extra = TRUNCATED if fault == "truncated" else 0
+            for letter, cost, symbol in (("K", KEEP, initial), ("R", REROLE, "u"), ("R", REROLE, "a")):
+                to = shift(stack, symbol)
+                if to is not None:
+                    merged(tops, to, cost + extra, letter)
+        _moves[key] = tuple((s, *x) for s, x in with_insertions(tops).items())
+    return _moves[key]
 
 
 class Frontier:
@@ -167,7 +157,7 @@ class Frontier:
 
 
 def least_final(ends: dict) -> tuple[int, str]:
-    return min(x for s, x in ends.items() if s.state in FINAL)
+    return min(x for s, x in ends.items() if s[0] in FINAL)
 
 
 def repair(rows: Iterable[tuple[str, str]]) -> tuple[int, str]:

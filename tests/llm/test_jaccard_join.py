@@ -85,3 +85,10 @@ def test_least_overlap_bounds():
 def test_empty_table(docs_of):
     assert J.jaccard_components(docs_of([])).count() == 0
     assert J.drop_near_duplicates(docs_of([])).count() == 0
+
+
+def test_drop_tells_rows_of_one_id_apart(docs_of):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(1, a), (7, a), (7, b), (None, a), (None, "x y z"), (None, "x y z"), (9, ""), (9, "")]
+    left = J.drop_near_duplicates(docs_of(rows, extra=True)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == [("1", a), ("7", b), ("9", ""), ("9", ""), ("None", "x y z")]

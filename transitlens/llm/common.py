@@ -74,6 +74,50 @@ def test_bits(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (bitmap[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 > 0
 
 
+class HashParts:
+    """Counting of 32-bit hashes in ranges of the hash: tasks deal their hashes
+    to the ranges (equal ones added up before the shuffle), a range adds up its
+    parts.  ``n_entries``: about how many hashes there are; a range holds some
+    32 million of them."""
+
+    def __init__(self, n_entries: int, common_share: float):
+        segments = max(64, min(1 << 22, n_entries // 32_000_000 + 1))
+        self.segments = 1 << (segments - 1).bit_length()
+        self.shift, self.bits = 32 - (self.segments.bit_length() - 1), BITMAP_BITS // self.segments
+        self.common = max(8, int(n_entries * common_share))
+
+    def parts(self, held: list[np.ndarray]) -> list[tuple[int, bytes, bytes]]:
+        """(segment, hashes, counts) of some hashes."""
+        upper, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint32), return_counts=True)
+        cuts = np.searchsorted(upper, np.arange(1, self.segments, dtype=np.uint64) << np.uint64(self.shift))
+        both = zip(np.split(upper, cuts), np.split(n.astype(np.uint32), cuts), strict=True)
+        return [(i, u.tobytes(), c.tobytes()) for i, (u, c) in enumerate(both) if len(u)]
+
+    def summed(self, parts: Iterable[bytes], counts: Iterable[bytes]) -> tuple[bytes, bytes, bytes]:
+        """(bitmap, frequent hashes, their counts) of a segment's parts."""
+        values = np.concatenate([np.frombuffer(p, np.uint32) for p in parts])
+        n = np.concatenate([np.frombuffer(p, np.uint32) for p in counts])
+        order = np.argsort(values, kind="stable")
+        values, n = values[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        value, n = values[first], np.add.reduceat(n, first)
+        bitmap = np.zeros(self.bits, bool)
+        bitmap[bitmap_place(value[n > 1]) % np.uint64(self.bits)] = True
+        often = n > self.common
+        return np.packbits(bitmap).tobytes(), value[often].tobytes(), n[often].tobytes()
+
+    def joined(self, summed: list) -> tuple[bytes, bytes, bytes]:
+        """All segments' rows (segment, bitmap, often, n) as one."""
+        by = {r["segment"]: r for r in summed}
+        empty = bytes(self.bits // 8)
+        bitmap = b"".join(bytes(by[i]["bitmap"]) if i in by else empty for i in range(self.segments))
+        return bitmap, *[b"".join(bytes(by[i][c]) for i in sorted(by)) for c in ("often", "n")]
+
+
+#: hashes that a task holds before it deals them out
+HELD = 2_000_000
+
+
 def hash_sums(
     docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], n_entries: int, common_share: float
 ) -> tuple[bytes, bytes, bytes]:
@@ -82,24 +126,15 @@ def hash_sums(
     Returns a bitmap (BITMAP_BITS, fixed) of the hashes that occur more than
     once, and the hashes with more than ``common_share`` of all entries (at
     least 8; at most 1 / common_share of them), sorted, with their counts.
-    The counting is dealt by ranges of the hash; equal hashes are added up
-    before the shuffle, so a frequent one is one entry of each task's part.
     """
-    # a range holds about 32 million entries
-    segments = max(64, min(1 << 22, n_entries // 32_000_000 + 1))
-    segments = 1 << (segments - 1).bit_length()
-    shift, bits = 32 - (segments.bit_length() - 1), BITMAP_BITS // segments
-    common = max(8, int(n_entries * common_share))
+    how = HashParts(n_entries, common_share)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
 
         def flush() -> pa.RecordBatch:
-            upper, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint32), return_counts=True)
+            parts = how.parts(held)
             held.clear()
-            cuts = np.searchsorted(upper, np.arange(1, segments, dtype=np.uint64) << np.uint64(shift))
-            both = zip(np.split(upper, cuts), np.split(n.astype(np.uint32), cuts), strict=True)
-            parts = [(i, u.tobytes(), c.tobytes()) for i, (u, c) in enumerate(both) if len(u)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in parts], pa.int32()), *[pa.array([x[i] for x in parts], pa.binary()) for i in (1, 2)]],
                 names=["segment", "part", "n"],
@@ -109,36 +144,17 @@ def hash_sums(
             for h in hashes(b):
                 held.append(h)
                 n_held += len(h)
-            if n_held > 2_000_000:
+            if n_held > HELD:
                 yield flush()
                 n_held = 0
         yield flush()
 
     def add_up(rows: pa.Table) -> pa.Table:
-        values = np.concatenate([np.frombuffer(p, np.uint32) for p in rows.column("part").to_pylist()])
-        counts = np.concatenate([np.frombuffer(p, np.uint32) for p in rows.column("n").to_pylist()])
-        order = np.argsort(values, kind="stable")
-        values, counts = values[order], counts[order].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        value, n = values[first], np.add.reduceat(counts, first)
-        bitmap = np.zeros(bits, bool)
-        bitmap[bitmap_place(value[n > 1]) % np.uint64(bits)] = True
-        often = n > common
-        return pa.table(
-            {
-                "segment": pa.array([rows.column("segment")[0].as_py()], pa.int32()),
-                "bitmap": pa.array([np.packbits(bitmap).tobytes()], pa.binary()),
-                "often": pa.array([value[often].tobytes()], pa.binary()),
-                "n": pa.array([n[often].tobytes()], pa.binary()),
-            }
-        )
+        made = how.summed(rows.column("part").to_pylist(), rows.column("n").to_pylist())
+        return pa.table({"segment": rows.column("segment").slice(0, 1), **{c: pa.array([x], pa.binary()) for c, x in zip(("bitmap", "often", "n"), made, strict=True)}})
 
     parts = docs.mapInArrow(deal, "segment int, part binary, n binary")
-    summed = parts.groupBy("segment").applyInArrow(add_up, "segment int, bitmap binary, often binary, n binary").collect()
-    summed = {r["segment"]: r for r in summed}
-    empty = bytes(bits // 8)
-    bitmap = b"".join(bytes(summed[i]["bitmap"]) if i in summed else empty for i in range(segments))
-    return bitmap, *[b"".join(bytes(summed[i][c]) for i in sorted(summed)) for c in ("often", "n")]
+    return how.joined(parts.groupBy("segment").applyInArrow(add_up, "segment int, bitmap binary, often binary, n binary").collect())
 
 
 def packed_bitmap(rows: DataFrame, place: Column, n_bits: int) -> bytes:

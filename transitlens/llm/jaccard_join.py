@@ -13,14 +13,18 @@ A document's row of the matrix is its set of distinct ``words``-word shingles
    ``percent/100 * m`` shingles, hence a column among the first
    ``n - ceil(percent/100 * n) + 1`` of either.  Only these prefixes are
    multiplied, and columns with one document are left out at once.
-4. The product of each block of columns adds up overlap counts of pairs; a pair
-   whose count plus what the prefixes leave open cannot reach the bound is
-   discarded.  The others are verified on the whole sets.
-5. A column with more than ``wide`` entities first compares its members with one
-   of them (a star, not all pairs).  Connected components of the links follow,
-   and then the pairs of a wide column that lie in different components, and
-   for which the column can be the first one shared, are taken in square
-   blocks of its members, so that no link between components is lost.
+4. A column with more than FEW entities first compares its members with one of
+   them (a star, not all pairs).  Connected components of these links follow.
+5. The product of each block of columns adds up overlap counts of pairs in
+   different components; a pair whose count plus what the prefixes leave open
+   cannot reach the bound is discarded.  The others are verified on the whole
+   sets.  In a column with more than ``wide`` entities the pairs that lie in
+   different components, and for which the column can be the first one shared,
+   are taken in square blocks of its members.  No link between components is
+   lost, and large groups of near copies cost a star each.
+
+A text is cut into shingles twice: for its name and the column sums, and for its
+prefix, which is written with the whole set where it has columns to multiply.
 
 What is broadcast has a fixed size: a bitmap of ``BITMAP_BITS`` bits naming the
 columns with more than one document, at most ``1 / COMMON_SHARE`` frequent
@@ -29,7 +33,7 @@ in a bitmap cost work, never a link.
 
 Edge cases: null and empty texts have an empty set, linked with nothing;
 repeated rows are one entity; with a null ``doc_id`` a document takes part and
-its id is never the smallest; an empty table gives an empty result; other
+its id is never the smallest; very long texts are one row with a long set; an empty table gives an empty result; other
 columns are ignored by :func:`jaccard_components` and kept by
 :func:`drop_near_duplicates`.
 """
@@ -45,11 +49,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BITMAP_BITS, bitmap_place, hash_sums, packed_bitmap, slices, table, test_bits, worker_memory, written
+from .common import HELD, HashParts, bitmap_place, packed_bitmap, slices, table, test_bits, text_or_empty, worker_memory, written
 
 WORDS = 5
 PERCENT = 80
 WIDE = 48
+#: columns with more entities than this have a star before anything is multiplied
+FEW = 3
 SQUARE = 512
 ENTITY_BITS = 1 << 24
 COMMON_SHARE = 2.0**-20
@@ -99,6 +105,10 @@ def entity_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def from_spark(name: str) -> pa.DataType:
+    return {"bigint": pa.int64(), "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}[name]
+
+
 def memory() -> WordHashes:
     return worker_memory("word hashes", 0, WordHashes)
 
@@ -113,29 +123,68 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def column_sums(docs: DataFrame, n_shingles: int, k: int) -> tuple[bytes, bytes, bytes]:
-    """The columns (by the hash's upper 32 bits) that occur in more than one
-    row, as a bitmap, and the frequent ones (sorted) with their counts."""
+#: documents of a group that passes through the shuffle beside the sums
+PASSED_ROWS = 20_000
 
-    def columns(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for s in shingle_sets(batch.column("text").to_pylist(), memory(), k):
-            yield (s >> np.uint64(32)).astype(np.uint32)
 
-    return hash_sums(docs.select("text"), columns, n_shingles, COMMON_SHARE)
+def entities_and_sums(docs: DataFrame, k: int) -> tuple[DataFrame, tuple[bytes, bytes, bytes]]:
+    """(the rows with entity and n instead of the text; the column sums).
 
+    The column sums: the columns (by the hash's upper 32 bits) that occur in
+    more than one row, as a bitmap, and the frequent ones (sorted) with their
+    counts.  Both come from one pass over the texts: a task's rows go through
+    the shuffle of the sums in groups of their own."""
+    rest = [c for c in docs.columns if c != "text"]
+    n_rows, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    how = HashParts((n_bytes or 0) // 6, COMMON_SHARE)
+    groups = max(256, n_rows // PASSED_ROWS)
+    types = {c: docs.schema[c].dataType.simpleString() for c in rest} | {"entity": "long", "size": "long"}
+    made = {"segment": "int", "bitmap": "binary", "often": "binary", "n": "binary"}
 
-def entities(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, entity, n of every document."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+
+        def flush() -> pa.RecordBatch:
+            parts = how.parts(held)
+            held.clear()
+            columns = {"segment": pa.array([x[0] for x in parts], pa.int32())} | {c: pa.array([x[i] for x in parts], pa.binary()) for i, c in ((1, "part"), (2, "n"))}
+            return batch_with(columns, len(parts))
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = shingle_sets(b.column("text").to_pylist(), memory(), k)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([entity_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                names=["doc_id", "entity", "n"],
-            )
-
-    return docs.mapInArrow(name, "doc_id long, entity long, n long")
+            names = np.array([entity_of(s) for s in sets], np.int64)
+            columns = {c: b.column(c) for c in rest} | {"entity": pa.array(names), "size": pa.array([len(s) for s in sets], pa.int64())}
+            # rows of one entity may be many, so a row's place says its group
+            columns["segment"] = pa.array(-1 - (names.view(np.uint64) + np.arange(len(names), dtype=np.uint64)).astype(np.int64) % groups, pa.int32())
+            yield batch_with(columns, len(sets))
+            for s in sets:
+                held.append((s >> np.uint64(32)).astype(np.uint32))
+                n_held += len(s)
+            if n_held > HELD:
+                yield flush()
+                n_held = 0
+        yield flush()
+
+    schema = pa.schema([(c, from_spark(t)) for c, t in (types | {"segment": "int", "part": "binary", "n": "binary"}).items()])
+
+    def batch_with(columns: dict, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    out_schema = pa.schema([(c, from_spark(t)) for c, t in (types | made).items()])
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        if rows.column("segment")[0].as_py() < 0:
+            columns = {c: rows.column(c) for c in types}
+            return pa.table([columns[f.name] if f.name in columns else pa.nulls(rows.num_rows, f.type) for f in out_schema], schema=out_schema)
+        summed = how.summed(rows.column("part").to_pylist(), rows.column("n").to_pylist())
+        columns = {"segment": rows.column("segment").slice(0, 1)} | {c: pa.array([x], pa.binary()) for c, x in zip(("bitmap", "often", "n"), summed, strict=True)}
+        return pa.table([columns[f.name] if f.name in columns else pa.nulls(1, f.type) for f in out_schema], schema=out_schema)
+
+    ddl = lambda fields: ", ".join(f"{c} {t}" for c, t in fields.items())
+    dealt = docs.mapInArrow(work, ddl(types | {"segment": "int", "part": "binary", "n": "binary"}))
+    both = written(dealt.groupBy("segment").applyInArrow(add_up, ddl(types | made)), "entities")
+    named = both.filter("segment is null").select(*rest, "entity", F.col("size").alias("n"))
+    return named, how.joined(both.filter("segment is not null").select(*made).collect())
 
 
 def prefix_of(s: np.ndarray, bitmap: np.ndarray, often: np.ndarray, often_n: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -159,50 +208,49 @@ def prefix_of(s: np.ndarray, bitmap: np.ndarray, often: np.ndarray, often_n: np.
     return s[np.lexsort((s, count))][:left], alone
 
 
-def prefix_columns(docs: DataFrame, sums: tuple[bytes, bytes, bytes], percent: int, k: int) -> DataFrame:
-    """h, entity, n, pos: the entries of the incidence matrix that are
-    multiplied; pos is the column's place in the set's order."""
+def prefixes(docs: DataFrame, sums: tuple[bytes, bytes, bytes], percent: int, k: int) -> DataFrame:
+    """entity, n, place, columns, shingles of the rows that have columns to be
+    multiplied; place is that of the first one in the set's order, and shingles
+    is the packed set."""
     shipped = docs.sparkSession.sparkContext.broadcast(sums)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, often, often_n = (np.frombuffer(x, t) for x, t in zip(shipped.value, (np.uint8, np.uint32, np.int64), strict=True))
         for b in slices(batches):
-            columns, owner, size, pos = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            rows = []
             for s in shingle_sets(b.column("text").to_pylist(), memory(), k):
                 prefix, place = prefix_of(s, bitmap, often, often_n, percent) if len(s) else (s, 0)
                 if len(prefix):
-                    columns.append(prefix)
-                    owner.append(np.full(len(prefix), entity_of(s), np.int64))
-                    size.append(np.full(len(prefix), len(s), np.int64))
-                    pos.append(np.arange(place, place + len(prefix)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in ([c.view(np.int64) for c in columns], owner, size, pos)], names=["h", "entity", "n", "pos"]
-            )
+                    rows.append((entity_of(s), len(s), place, prefix.view(np.int64), s.tobytes()))
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["entity", "n", "place", "columns", "shingles"]
+                )
+
+    return docs.select("text").mapInArrow(cut, "entity long, n long, place long, columns array<long>, shingles binary")
+
 
+def prefix_columns(cut: DataFrame) -> DataFrame:
+    """h, entity, n, pos: the entries of the incidence matrix that are
+    multiplied; pos is the column's place in the set's order."""
+    rows = cut.select("entity", "n", "place", F.posexplode("columns").alias("i", "h"))
     # copies have the same entries: partial aggregation drops them before the shuffle
-    rows = docs.select("text").mapInArrow(cut, "h long, entity long, n long, pos long")
-    return rows.groupBy("h", "entity").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
+    return rows.groupBy("h", "entity").agg(F.first("n").alias("n"), F.first(F.col("place") + F.col("i")).alias("pos"))
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def sets_of(cut: DataFrame, wanted: DataFrame) -> DataFrame:
     """entity, shingles (packed) of the wanted entities, one row each."""
-
     bitmap = packed_bitmap(wanted, F.pmod("entity", F.lit(ENTITY_BITS)), ENTITY_BITS)
-    shipped = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shipped = cut.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(shipped.value, np.uint8)
-        for b in slices(batches):
-            names, packed = [], []
-            for s in shingle_sets(b.column("text").to_pylist(), memory(), k):
-                if len(s):
-                    e = entity_of(s)
-                    if test_bits(bitmap, np.array([e % ENTITY_BITS], np.uint64))[0]:
-                        names.append(e)
-                        packed.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packed, pa.binary())], names=["entity", "shingles"])
-
-    found = docs.select("text").mapInArrow(emit, "entity long, shingles binary")
+        for b in batches:
+            place = np.mod(b.column("entity").to_numpy(), ENTITY_BITS).astype(np.uint64)
+            yield b.filter(pa.array(test_bits(bitmap, place), pa.bool_()))
+
+    found = cut.select("entity", "shingles").mapInArrow(emit, "entity long, shingles binary")
     return found.groupBy("entity").agg(F.first("shingles").alias("shingles")).join(wanted, "entity", "left_semi")
 
 
@@ -239,24 +287,30 @@ def can_be_first(percent: int) -> Column:
     return (F.col("px") + least <= F.col("nx")) & (F.col("py") + least <= F.col("ny"))
 
 
-def candidate_pairs(columns: DataFrame, percent: int, wide: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs x, y to verify; entries of the wide columns)."""
-    sums = columns.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    entries = written(columns.join(sums, "h"), "columns")
-    narrow = entries.filter(F.col("m") <= wide)
-    left, right = (narrow.select("h", *[F.col(c).alias(c[0] + e if c != "entity" else e) for c in ("entity", "n", "pos")]) for e in ("x", "y"))
-    product = left.join(right, "h").filter((F.col("x") < F.col("y")) & within_bounds(F.col("nx"), F.col("ny"), percent))
-    counted = product.groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c"), F.max(can_be_first(percent)).alias("first"))
-    # A wide column's star: its centre is the member with the most entries in
-    # wide columns.  An original has more of them than its edited copies.
-    broad = entries.filter(F.col("m") > wide)
-    open_ = broad.groupBy("entity").agg(F.count(F.lit(1)).alias("w"))
-    ranked = broad.join(open_, "entity")
-    centre = ranked.groupBy("h").agg(F.max(F.struct("w", "entity", "n")).alias("centre"))
+def stars(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of each column's members with one of them.  The centre is
+    the member with the most entries in such columns: an original has more of
+    them than its edited copies."""
+    weights = written(entries.groupBy("entity").agg(F.count(F.lit(1)).alias("w")), "weights")
+    ranked = written(entries.join(weights, "entity"), "ranked")
+    centre = written(ranked.groupBy("h").agg(F.max(F.struct("w", "entity", "n")).alias("centre")), "centres")
     star = ranked.join(centre, "h").select(F.col("entity").alias("x"), F.col("n").alias("nx"), F.col("centre.entity").alias("y"), F.col("centre.n").alias("ny"))
     star = star.filter((F.col("x") != F.col("y")) & within_bounds(F.col("nx"), F.col("ny"), percent))
-    star = star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def product_pairs(entries: DataFrame, percent: int, wide: int) -> DataFrame:
+    """Pairs (x, y) in different components (column ``label``) to verify, from
+    the overlap counts of the columns with at most ``wide`` members."""
+    narrow = entries.filter(F.col("m") <= wide)
+    left, right = (
+        narrow.select("h", F.col("entity").alias(e), F.col("n").alias(f"n{e}"), F.col("pos").alias(f"p{e}"), F.col("label").alias(f"l{e}")) for e in ("x", "y")
+    )
+    apart = (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly"))
+    product = left.join(right, "h").filter(apart & within_bounds(F.col("nx"), F.col("ny"), percent))
+    counted = product.groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c"), F.max(can_be_first(percent)).alias("first"))
     # entries in wide columns are not counted: each may be one more overlap
+    open_ = entries.filter(F.col("m") > wide).groupBy("entity").agg(F.count(F.lit(1)).alias("w"))
     counted = counted.filter("first").join(open_.select(F.col("entity").alias("x"), F.col("w").alias("wx")), "x", "left")
     counted = counted.join(open_.select(F.col("entity").alias("y"), F.col("w").alias("wy")), "y", "left")
     # Of the set whose prefix ends first in the order of columns, all entries
@@ -264,8 +318,7 @@ def candidate_pairs(columns: DataFrame, percent: int, wide: int) -> tuple[DataFr
     # set that is isn't known here, so the larger rest stands for both.
     rest = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("nx", "ny")])
     most = F.col("c") + F.least(F.coalesce("wx", F.lit(0)), F.coalesce("wy", F.lit(0))) + rest
-    pairs = counted.filter(most >= overlap_needed(F.col("nx"), F.col("ny"), percent)).select("x", "y")
-    return pairs.union(star).distinct(), broad
+    return counted.filter(most >= overlap_needed(F.col("nx"), F.col("ny"), percent)).select("x", "y")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -290,14 +343,13 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", F.col("next").alias("label"))
 
 
-def pairs_across(broad: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def pairs_across(broad: DataFrame, percent: int) -> DataFrame:
     """Pairs of a wide column in different components that can link, square by
     square."""
-    label = F.coalesce("label", F.col("entity"))
-    entries = broad.select("h", "entity", "n", "pos").join(labels.withColumnRenamed("node", "entity"), "entity", "left").select("h", "entity", "n", "pos", label.alias("label"))
+    entries = broad.select("h", "entity", "n", "pos", "label")
     mixed_columns = entries.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).filter("lo < hi")
-    entries = entries.join(mixed_columns.select("h", F.ceil(F.col("m") / SQUARE).cast("int").alias("blocks")), "h")
-    entries = entries.withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
+    blocks = written(mixed_columns.select("h", F.ceil(F.col("m") / SQUARE).cast("int").alias("blocks")), "blocks")
+    entries = entries.join(blocks, "h").withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
     # a member meets every block of its column: once as left, once as right side
     left = entries.select("h", F.col("block").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"),
                           F.col("entity").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("label").alias("lx"))
@@ -309,47 +361,60 @@ def pairs_across(broad: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def entity_components(docs: DataFrame, named: DataFrame, percent: int, k: int, wide: int) -> DataFrame:
+def entity_components(docs: DataFrame, sums: tuple[bytes, bytes, bytes], percent: int, k: int, wide: int) -> DataFrame:
     """entity, label for every entity that has a link."""
-    n_shingles = named.agg(F.sum("n")).first()[0] or 0
-    columns = prefix_columns(docs, column_sums(docs, n_shingles, k), percent, k)
-    pairs, broad = candidate_pairs(columns, percent, wide)
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("x").alias("entity")).union(pairs.select("y")).union(broad.select("entity")).distinct()
-    sets = written(sets_of(docs, written(wanted, "wanted"), k), "sets")
-    links = written(linked(pairs, sets, percent), "linked")
+    cut = written(prefixes(docs, sums, percent, k), "prefixes")
+    columns = prefix_columns(cut)
+    sums = written(columns.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "column-sums")
+    entries = written(columns.join(sums, "h"), "columns")
+    sets = written(sets_of(cut, written(entries.select("entity").distinct(), "wanted")), "sets")
+    links = written(linked(written(stars(entries.filter(F.col("m") > FEW), percent), "stars"), sets, percent), "linked")
     labels = components(links)
-    if not broad.isEmpty():
-        more = written(pairs_across(broad, labels, percent).join(pairs, ["x", "y"], "left_anti"), "across")
-        found = written(linked(more, sets, percent), "linked")
-        if not found.isEmpty():
-            labels = components(links.union(found))
+    label = F.coalesce("label", F.col("entity"))
+    entries = written(entries.join(labels.withColumnRenamed("node", "entity"), "entity", "left").withColumn("label", label), "labelled")
+    across = product_pairs(entries, percent, wide).union(pairs_across(entries.filter(F.col("m") > wide), percent)).distinct()
+    found = written(linked(written(across, "across"), sets, percent), "linked")
+    if not found.isEmpty():
+        labels = components(links.union(found))
     return labels.withColumnRenamed("node", "entity")
 
 
+def row_components(rows: DataFrame, percent: int, k: int, wide: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with n and label of those that have a set, rows with none)."""
+    named, sums = entities_and_sums(rows, k)
+    labels = entity_components(rows, sums, percent, k, wide)
+    some = named.filter("n > 0").join(labels, "entity", "left").withColumn("label", F.coalesce("label", F.col("entity")))
+    return some, named.filter("n = 0")
+
+
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS, wide: int = WIDE) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named = written(entities(rows, k), "entities")
-    labels = entity_components(rows, named, percent, k, wide)
-    some = named.filter("n > 0").join(labels, "entity", "left").withColumn("label", F.coalesce("label", F.col("entity")))
-    smallest = some.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    some, none = row_components(rows, percent, k, wide)
+    smallest = written(some.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
     out = some.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = named.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = none.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone)
 
 
+def text_digest() -> Column:
+    return F.unhex(F.md5(text_or_empty().cast("binary")))
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = WORDS, wide: int = WIDE) -> DataFrame:
-    """The document with the smallest id of each component, with all columns;
-    of its repeated rows one; documents with an empty set all stay."""
-    decided = jaccard_components(docs, percent, k, wide)
-    goes = decided.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("__keep"), F.count(F.lit(1)).alias("__rows")
-    )
-    goes = written(goes.filter("__keep < doc_id or __rows > 1").withColumnRenamed("doc_id", "__id"), "goes")
-    marked = docs.join(goes, F.col("doc_id") == F.col("__id"), "left")
-    plain = marked.filter(F.col("__id").isNull())
-    again = marked.filter("__id is not null and __keep = doc_id").dropDuplicates(["__id"])
+    """One document of each component, with all columns: that with the smallest
+    id (null ids last), then the smallest digest of its text; of its repeated
+    rows one.  Rows are told apart by id and text, so another text under the
+    same id has a decision of its own.  Documents with an empty set all stay."""
+    some, _ = row_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest().alias("digest")), percent, k, wide)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest")
+    groups = written(some.groupBy("label", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")), "near-rows")
+    stays = written(groups.groupBy("label").agg(F.min(key).alias("stays")), "near-kept")
+    decided = groups.join(stays, "label").withColumn("drop", key != F.col("stays")).filter(F.col("drop") | (F.col("rows") > 1))
+    goes = written(decided.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("drop").alias("__drop")), "goes")
+    marked = docs.withColumn("__text", text_digest()).join(goes, (F.col("__text") == F.col("__digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
+    plain = marked.filter(F.col("__drop").isNull())
+    again = marked.filter(~F.col("__drop")).dropDuplicates(["__id", "__digest"])
     return plain.select(docs.columns).unionByName(again.select(docs.columns))
 
 

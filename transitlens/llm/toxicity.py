@@ -30,6 +30,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -145,18 +146,44 @@ def restore(spelling: str, source: Source, gaps=frozenset()) -> str:
     return "".join(reversed(letters))
 
 
+def without_doubles(word: str, source: Source) -> str:
+    """The Viterbi path of a spelling of letters without a third equal one in a
+    row: only second letters may go, and letting one go changes the costs of the
+    two letters behind it and no others.  So where doubled letters stand three
+    places apart each is decided by itself; else the lattice is walked."""
+    twice = [m.end() - 1 for m in TWICE.finditer(word)]
+    if any(b - a < 3 for a, b in zip(twice, twice[1:], strict=False)):
+        return restore(word, source)
+    # neighbours on both sides, with the marks of the ends
+    w, drop = "^^" + word + "$", []
+    for i in twice:
+        a, b, c = w[i], w[i + 1], w[i + 2]  # the letter before, the double
+        d, e = w[i + 3], w[i + 4 : i + 5]
+        keep = source.cost(a + b, c) + source.cost(b + c, d) + (source.cost(c + d, e) if e else 0.0)
+        gone = DOUBLE + source.cost(a + b, d) + (source.cost(b + d, e) if e else 0.0)
+        if gone < keep:
+            drop.append(i)
+    return "".join(x for i, x in enumerate(word) if i not in drop) if drop else word
+
+
 def spaced(tokens: list[str]) -> list[list[str]]:
     """Runs of three and more tokens of one or two characters, marks at their
     edges not counted, that may be words spelt with spaces."""
     out: list[list[str]] = []
     run: list[str] = []
-    for t in [*tokens, "..."]:
-        if len(t) < 3 or (len(t) < 6 and 0 < len(t.strip(EDGE)) < 3):
+    last = -1
+    # only tokens of up to five characters can take part
+    for i in [i for i, t in enumerate(tokens) if len(t) < 6]:
+        t = tokens[i]
+        if len(t) < 3 or 0 < len(t.strip(EDGE)) < 3:
+            if i != last + 1:
+                if len(run) > 2:
+                    out.append(run)
+                run = []
             run.append(t)
-        elif run:
-            if len(run) > 2:
-                out.append(run)
-            run = []
+            last = i
+    if len(run) > 2:
+        out.append(run)
     return out
 
 
@@ -164,31 +191,46 @@ class Deobfuscator:
     def __init__(self, source: Source):
         self.source = source
         self.known: dict[str, tuple[str, ...]] = {}
+        #: tokens that are read as they are
+        self.same: set[str] = set()
+
+    def remember(self, key: str, words: tuple[str, ...]) -> tuple[str, ...]:
+        if len(self.known) > REMEMBERED:  # the older half goes
+            for old in list(islice(self.known, REMEMBERED // 2)):
+                del self.known[old]
+        self.known[key] = words
+        return words
 
     def token(self, token: str) -> tuple[str, ...]:
         """Words of one token without white space."""
-        words = self.known.get(token)
-        if words is None:
-            core = token.strip(EDGE)
-            if not RUN.search(core) and all(LETTER.match(c) for c in core):
-                words = (core,) if core else ()
-                if TWICE.search(core):  # as it is, and without letters put in
-                    words = tuple({core, restore(core, self.source)})
-                if core and token[0] in IMITATES or core and token[-1] in IMITATES and token[-1] not in EDGE:
-                    words = tuple({*words, restore(token, self.source)})
-            else:
-                # the spelling as a whole, and its clean parts
-                words = tuple({restore(core, self.source), *WORD.findall(core)} - {""})
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self.known[token] = words
-        return words
+        core = token.strip(EDGE)
+        plain = not core or WORD.fullmatch(core) is not None
+        edges = bool(core) and (token[0] in IMITATES or (token[-1] in IMITATES and token[-1] not in EDGE))
+        if plain and not edges and not TWICE.search(core):
+            if core == token:
+                if len(self.same) > REMEMBERED:
+                    self.same.clear()
+                self.same.add(token)
+            return (core,) if core else ()
+        return self.known.get(token) or self.remember(token, self.doubtful(token, core, plain, edges))
+
+    def doubtful(self, token: str, core: str, plain: bool, edges: bool) -> tuple[str, ...]:
+        if plain and not RUN.search(core):
+            words = {core} if core else set()
+            if TWICE.search(core):  # as it is, and without letters put in
+                words.add(without_doubles(core, self.source))
+            if edges:
+                words.add(restore(token, self.source))
+            return tuple(words)
+        # the spelling as a whole, and its clean parts
+        return tuple({restore(core, self.source), *WORD.findall(core)} - {""})
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a text."""
         tokens = text.lower().split()
-        out: set[str] = set()
-        for t in set(tokens):
+        distinct = set(tokens)
+        out = distinct & self.same
+        for t in distinct - out:
             out.update(self.token(t))
         for run in spaced(tokens):
             out.update(self.run(run))
@@ -209,10 +251,7 @@ class Deobfuscator:
             found = set(restore(joined, self.source, gaps - {0}).split(" "))
             if all(len(t) == 1 for t in parts):
                 found.add(restore(joined, self.source))
-            words = tuple(found - {""})
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self.known[key] = words
+            words = self.remember(key, tuple(found - {""}))
         return words
 
 
@@ -246,21 +285,19 @@ def clean(token: str) -> str:
 
 def count_trigrams(docs: DataFrame) -> dict[str, int]:
     """Counts of trigrams, pairs and letters over the distinct clean words of
-    every text."""
+    every text.  Tasks count words; their letters are counted once per distinct
+    word, by built-in expressions."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            grams: Counter = Counter()
+            words: Counter = Counter()
             for token, n in held.items():
                 if w := clean(token):
-                    w = "^^" + w + "$"
-                    for i in range(2, len(w)):
-                        for k in range(3):
-                            grams[w[i - k : i + 1]] += n
+                    words[w] += n
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["t", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["w", "n"])
 
         for b in slices(batches):
             for text in b.column("text").to_pylist():
@@ -271,7 +308,11 @@ def count_trigrams(docs: DataFrame) -> dict[str, int]:
                 yield flush()
         yield flush()
 
-    counted = docs.select(text_or_empty().alias("text")).mapInArrow(count, "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    words = docs.select(text_or_empty().alias("text")).mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    whole = F.concat(F.lit("^^"), F.col("w"), F.lit("$"))
+    ends = words.select("n", whole.alias("w"), F.explode(F.sequence(F.lit(3), F.length("w") + 3)).alias("end"))
+    grams = F.explode(F.array(*[F.substring("w", F.col("end") - k, F.lit(k + 1)) for k in range(3)]))
+    counted = ends.select("n", grams.alias("t")).groupBy("t").agg(F.sum("n").alias("n"))
     counted = written(counted, "letters")
     grams: dict[str, int] = {}
     for k in (1, 2, 3):  # all letters: Unicode has some 140,000
@@ -350,9 +391,12 @@ def scorer(model: dict):
     """text -> probability of being toxic."""
     reader = Deobfuscator(Source(model["trigrams"]))
     weights, bias = model["weights"], model["bias"]
+    # whatever a word can hit begins with its first three letters
+    heads = {f.removeprefix("^")[:3] for f in weights}
 
     def score(text: str | None) -> float:
-        z = bias + sum(sorted(weights[f] for f in features(reader.words(text or "")) if f in weights))
+        words = [w for w in reader.words(text or "") if w[:3] in heads]
+        z = bias + sum(sorted(weights[f] for f in features(words) if f in weights))
         return 1 / (1 + math.exp(-min(max(z, -50.0), 50.0)))
 
     return score

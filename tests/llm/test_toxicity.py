@@ -124,12 +124,12 @@ def test_doubled_letters_decided_alone_equal_the_lattice():
         for i in range(2, len(w)):
             for k in range(3):
                 counts[w[i - k : i + 1]] = counts.get(w[i - k : i + 1], 0) + 1
-    source, changed = toxicity.Source(counts), 0
+    source, changed = X.Source(counts), 0
     for _ in range(4000):
         w = "".join(r.choices("abcei", k=r.randint(2, 10)))
-        if not toxicity.RUN.search(w):
-            got = toxicity.without_doubles(w, source)
-            assert got == toxicity.restore(w, source)
+        if not X.RUN.search(w):
+            got = X.without_doubles(w, source)
+            assert got == X.restore(w, source)
             changed += got != w
     assert changed > 50
 
@@ -137,8 +137,8 @@ def test_doubled_letters_decided_alone_equal_the_lattice():
 def test_remembered_spellings_do_not_change_the_words(monkeypatch):
     texts = ["an iddiot said n o t h i n g to the m4n", "stuupid stuff, really"] * 3
     counts = {"^^t": 3, "^th": 3, "the": 3, "he$": 3, "t": 4, "h": 4, "e": 5, "$": 3}
-    want = [toxicity.Deobfuscator(toxicity.Source(counts)).words(t) for t in texts]
-    monkeypatch.setattr(toxicity, "REMEMBERED", 2)
-    reader = toxicity.Deobfuscator(toxicity.Source(counts))
+    want = [X.Deobfuscator(X.Source(counts)).words(t) for t in texts]
+    monkeypatch.setattr(X, "REMEMBERED", 2)
+    reader = X.Deobfuscator(X.Source(counts))
     assert [reader.words(t) for t in texts] == want
     assert len(reader.known) <= 3 and len(reader.same) <= 3

@@ -16,22 +16,35 @@ one vocabulary entry that ends there and is compatible with the last token of
 the prefix before it: ``count[i] = count[i - len(last)] + 1``.  Work per word
 is linear in its length (times the longest token).
 
-Stored per document (:func:`prefix_table`): the end offset and cumulative
-count of every chunk, from which :func:`tokens_before` and :func:`cut_to_budget`
-answer without encoding again.  For the query, only the last count is kept.
-
-Edge cases: null and empty texts have 0 tokens; the strings of special tokens
+Stored per document (:func:`prefix_tables`): the exact count at every prefix,
+by code points, also inside words, from which :func:`tokens_in_prefix` and
+:func:`chars_in_budget` answer truncation and budget questions with DataFrame
+functions alone.  The query keeps the last count and the place where the text
+would be cut to the limit: of a text beyond the limit, the prefix counts of the
+one chunk in which the limit falls are looked up.
+
+A prefix of a chunk cuts one word; the words before it stay as they are, and
+``closed`` of the cut word gives the rest.  Only three things look ahead:
+contractions ("'re"; at most three characters), strings of special tokens
+(ordinary text until they are complete) and combining marks that are not yet
+composed (the words at the cut are then counted anew).
+
+Edge cases: null and empty texts have 0 tokens and one prefix; the strings of special tokens
 inside a text count as the library counts them by default; a chunk of any
-length is processed whole; repeated rows count alike; other columns are
+length, and a text of any length, is processed whole, in time linear in its
+length; repeated rows count alike, and of prefixes with equal counts the longest
+is the cut; other columns are
 ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import bisect
 import re
+import unicodedata
 from collections.abc import Iterator
+from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +102,7 @@ class PrefixCounter:
         self.pair_ok: dict[tuple[str, str], bool] = {}
         self.words: dict[str, int] = {}
         self.chunks: dict[str, int] = {}
+        self.letters: dict[str, str] = {}
 
     def edge(self, token: str, side: int) -> list[tuple[str, float]]:
         """The symbols that stand at one edge of a token while it is merged,
@@ -140,7 +154,7 @@ class PrefixCounter:
         known, fits, longest = self.pair_ok, self.ends_prefix, self.longest
         opened, closed, last = [0] * (n + 1), [0] * (n + 1), [""] * (n + 1)
         for i in range(1, n):
-            if word[:i] in tokens:
+            if i <= longest and word[:i] in tokens:
                 opened[i], last[i] = 1, word[:i]
                 continue
             for j in range(1 if i <= longest else i - longest, i):
@@ -208,45 +222,103 @@ class PrefixCounter:
             total += n
         return total
 
-    def prefix_table(self, text: str) -> tuple[list[int], list[int]]:
-        """End offset (code points) and cumulative tokens of every chunk."""
-        ends, counts, total = [], [], 0
-        spaces = list(SPACES.finditer(text))
-        starts = [0, *[m.end() for m in spaces]]
-        for a, b in zip(starts, [*[m.start() for m in spaces], len(text)], strict=True):
-            if b > a:
-                total += self.chunks.get(text[a:b]) if text[a:b] in self.chunks else self.chunk(text[a:b])
-                ends.append(b)
-                counts.append(total)
-        return ends, counts
+    def places(self, part: str, normal: str) -> list[int] | None:
+        """How much of the normal text the first 1, 2, ... characters give;
+        None where they are not normalised one by one."""
+        if not unicodedata.is_normalized("NFC", part):
+            return None
+        known, out, at = self.letters, [], 0
+        for c in part:
+            own = known.get(c)
+            if own is None:
+                own = known[c] = self.tokenizer.normalizer.normalize_str(c)
+            if not normal.startswith(own, at):
+                return None
+            at += len(own)
+            out.append(at)
+        return out if at == len(normal) else None
+
+    def plain_prefixes(self, part: str) -> list[int]:
+        """Tokens of part[:1], part[:2], ... of a chunk without special strings."""
+        normal = self.tokenizer.normalizer.normalize_str(part)
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+        counts, starts, done = [0] * (len(normal) + 1), [0], 0
+        for symbols, (a, b) in split:
+            starts.append(a)
+            if normal[a] == "'" and b - a > 1 and normal[a + 1].isalpha():  # a contraction
+                for e in range(a + 1, b + 1):
+                    counts[e] = done + sum(map(self.word_total, self.pieces(normal[a:e])))
+            else:
+                closed, at = self.word(symbols)[1], 0
+                for e in range(a, b):
+                    at += len(normal[e].encode())
+                    counts[e + 1] = done + closed[at]
+            done = counts[b]
+        places = self.places(part, normal)
+        if places is not None:
+            return [counts[e] for e in places]
+        out = []
+        for k in range(1, len(part) + 1):
+            cut = self.tokenizer.normalizer.normalize_str(part[:k])
+            if normal.startswith(cut):
+                out.append(counts[len(cut)])
+                continue
+            # the last letter is another one: from the word before the cut on, anew
+            same = len(commonprefix([cut, normal]))
+            a = ([0, 0] + [x for x in starts if x < max(same, 1)])[-2]
+            out.append(counts[a] + sum(map(self.word_total, self.pieces(cut[a:]))))
+        return out
 
     def prefix_counts(self, chunk: str) -> list[int]:
-        """Tokens of every prefix (by code points) of a chunk, each an answer
-        of the word tables: whole words before, ``closed`` of the word cut."""
-        out = [0]
-        for i in range(1, len(chunk) + 1):
-            parts = self.split_specials(chunk[:i])
-            total = sum(1 for k in range(1, len(parts), 2))
-            for part in parts[::2]:
-                total += sum(map(self.word_total, self.pieces(part)))
-            out.append(total)
+        """Tokens of every prefix (by code points, the empty one first) of a chunk."""
+        out, parts = [0], self.split_specials(chunk)
+        for i in range(0, len(parts), 2):
+            before = out[-1]
+            if parts[i]:
+                out += [before + n for n in self.plain_prefixes(parts[i])]
+            if i + 1 < len(parts):
+                whole = out[-1] + 1
+                out += [before + n for n in self.plain_prefixes(parts[i] + parts[i + 1][:-1])[len(parts[i]) :]]
+                out.append(whole)
         return out
 
-    def tokens_before(self, text: str, prefix: tuple[list[int], list[int]], length: int) -> int:
-        """Tokens of text[:length], from the stored table."""
-        ends, counts = prefix
-        k = bisect.bisect_right(ends, length)
-        done = counts[k - 1] if k else 0
-        start = ends[k - 1] if k else 0
-        rest = SPACES.sub("", text[start:length])
-        return done + (self.prefix_counts(rest)[-1] if rest else 0)
+    def spans(self, text: str) -> Iterator[tuple[int, int]]:
+        """Start and end of every chunk."""
+        start = 0
+        for m in SPACES.finditer(text):
+            if m.start() > start:
+                yield start, m.start()
+            start = m.end()
+        if start < len(text):
+            yield start, len(text)
+
+    def prefix_table(self, text: str) -> np.ndarray:
+        """Tokens of text[:0], text[:1], ... text[:n]."""
+        out, total, end, known = np.zeros(len(text) + 1, np.int32), 0, 0, {}
+        for a, b in self.spans(text):
+            chunk = text[a:b]
+            counts = known.get(chunk)
+            if counts is None:
+                counts = np.array(self.prefix_counts(chunk), np.int32)
+                if len(chunk) < 32 and len(known) < REMEMBERED // 10:
+                    known[chunk] = counts
+            out[end:a] = total  # the white space between
+            out[a : b + 1] = total + counts
+            total, end = int(out[b]), b
+        out[end:] = total
+        return out
 
-    def cut_to_budget(self, text: str, prefix: tuple[list[int], list[int]], budget: int) -> int:
-        """The longest length (code points) whose tokens fit into the budget
-        and that ends with a whole chunk."""
-        ends, counts = prefix
-        k = bisect.bisect_right(counts, budget)
-        return ends[k - 1] if k else 0
+    def cut(self, text: str, budget: int) -> int:
+        """The longest prefix (code points) whose tokens fit into the budget."""
+        total = 0
+        for a, b in self.spans(text):
+            n = self.chunks.get(text[a:b])
+            n = self.chunk(text[a:b]) if n is None else n
+            if total + n > budget:
+                counts = self.prefix_counts(text[a:b])
+                return a + max(i for i, c in enumerate(counts) if total + c <= budget)
+            total += n
+        return len(text)
 
 
 def vocabulary_text(spark: SparkSession, path: str | None = None) -> str:
@@ -261,7 +333,8 @@ def vocabulary_text(spark: SparkSession, path: str | None = None) -> str:
 
 
 def token_counts(docs: DataFrame, vocabulary_json: str, limit: int = TOKEN_LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for every document."""
+    """doc_id, n_bytes, n_tokens, over_limit and limit_chars (code points of the
+    longest prefix within the limit) for every document."""
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary_json)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,38 +342,44 @@ def token_counts(docs: DataFrame, vocabulary_json: str, limit: int = TOKEN_LIMIT
         for b in slices(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             n_bytes = pa.array([len(t.encode()) for t in texts], pa.int64())
+            counts = [counter.count(t) for t in texts]
+            kept = [len(t) if n <= limit else counter.cut(t, limit) for t, n in zip(texts, counts, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), n_bytes, pa.array([counter.count(t) for t in texts], pa.int64())],
-                names=["doc_id", "n_bytes", "n_tokens"],
+                [b.column("doc_id"), n_bytes, pa.array(counts, pa.int64()), pa.array(kept, pa.int64())],
+                names=["doc_id", "n_bytes", "n_tokens", "limit_chars"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, limit_chars long")
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "limit_chars")
 
 
 def prefix_tables(docs: DataFrame, vocabulary_json: str) -> DataFrame:
-    """doc_id, ends, counts: the stored prefix table of every document."""
+    """doc_id, counts: the tokens of every prefix of every document, the empty
+    one first.  One text at a time is held beside its counts."""
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary_json)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = worker_memory("prefix counter", shipped.value, lambda: PrefixCounter(shipped.value))
-        for b in slices(batches):
-            both = [counter.prefix_table(t or "") for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([e for e, _ in both], pa.list_(pa.int32())), pa.array([c for _, c in both], pa.list_(pa.int32()))],
-                names=["doc_id", "ends", "counts"],
-            )
+        for b in slices(batches, 1):
+            table = pa.array(counter.prefix_table(b.column("text")[0].as_py() or ""))
+            counts = pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), counts], names=["doc_id", "counts"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(build, "doc_id long, ends array<int>, counts array<int>")
+    return rows.mapInArrow(build, "doc_id long, counts array<int>")
+
+
+def tokens_in_prefix(length: int) -> Column:
+    """Over a prefix table: tokens of the first ``length`` characters (of the
+    whole text, where it is shorter); nothing is encoded."""
+    return F.element_at("counts", F.least(F.lit(length + 1), F.size("counts")))
 
 
-def tokens_in_budget(budget: int) -> Column:
-    """Over a prefix table: characters kept by a cut to ``budget`` tokens at a
-    chunk's end (DataFrame functions only, nothing is encoded)."""
-    fit = F.size(F.filter("counts", lambda c: c <= budget))
-    return F.when(fit > 0, F.element_at("ends", fit)).otherwise(F.lit(0))
+def chars_in_budget(budget: int) -> Column:
+    """Over a prefix table: characters of the longest prefix within ``budget``
+    tokens; nothing is encoded."""
+    return F.array_max(F.transform("counts", lambda c, i: F.when(c <= budget, i)))
 
 
 def counted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ normalised text.
 2. The candidates (a few hundred at most, by the summary's own bound) are
    recounted exactly; the verified winners (digest, row that stays, count) are
    broadcast, and the rows of these groups are decided where they are read.
-3. All other groups are smaller than ``rows / heavy_share`` and go through an
-   ordinary shuffle on the digest.
+3. All other groups go through an ordinary shuffle on the digest: added up per
+   task first, then one row per group meets its members (a join, which adaptive
+   execution splits where a group is large; no group is sorted or held).
 
 Edge cases: null text equals empty text; a null ``doc_id`` sorts after all
 others; of repeated rows (same id, equal text) exactly one stays; an empty
@@ -26,7 +27,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import ASCII_SPACE, text_or_empty, written
 
@@ -77,35 +77,22 @@ def frequent_digests(rows: DataFrame, n_rows: int, heavy_share: int, counters: i
 
 
 def decide(rows: DataFrame, heavy_share: int = HEAVY_SHARE, counters: int = COUNTERS) -> DataFrame:
-    """rows(doc_id, digest, row_id) -> the same with keep_id, group_size, kept
-    and n_same (rows that share the staying row's id and text)."""
+    """rows(doc_id, digest, row_id) -> the same with keep_id, group_size, kept."""
     spark = rows.sparkSession
     n_rows = rows.count()
     candidates = frequent_digests(rows, n_rows, heavy_share, counters)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row_id").alias("row"))
     named = spark.createDataFrame([(bytes(d),) for d in candidates], "digest binary")
-    winners = (
-        rows.join(F.broadcast(named), "digest", "left_semi")
-        .groupBy("digest", "doc_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("row_id"))
-        .groupBy("digest")
-        .agg(F.min(F.struct(order.alias("first"), F.col("n").alias("same"))).alias("w"), F.sum("n").alias("group_size"))
-        .filter(F.col("group_size") > F.lit(n_rows / heavy_share))
-        .select("digest", "w", "group_size")
-    )
+    grouped = [F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size")]
+    winners = rows.join(F.broadcast(named), "digest", "left_semi").groupBy("digest").agg(*grouped)
     # at most heavy_share rows, since each holds more than 1/heavy_share of the table
-    won = [(bytes(r["digest"]), r["w"]["first"]["id"], r["w"]["first"]["row"], r["w"]["same"], r["group_size"]) for r in winners.collect()] if candidates else []
-    verified = spark.createDataFrame(won, "digest binary, keep_id long, keep_row long, n_same long, group_size long")
-    small = Window.partitionBy("digest")
-    first = F.min(order).over(small)
-    light = (
-        rows.join(F.broadcast(verified.select("digest")), "digest", "left_anti")
-        .withColumn("first", first)
-        .withColumn("group_size", F.count(F.lit(1)).over(small))
-        .withColumn("n_same", F.sum(F.col("doc_id").eqNullSafe(F.col("first.id")).cast("long")).over(small))
-        .select("doc_id", "digest", "row_id", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row"), "n_same", "group_size")
-    )
-    heavy = rows.join(F.broadcast(verified), "digest").select(light.columns)
+    heaviest = winners.filter(F.col("group_size") > F.lit(n_rows / heavy_share)).collect() if candidates else []
+    won = [(bytes(r["digest"]), r["first"]["id"], r["first"]["row"], r["group_size"]) for r in heaviest]
+    verified = spark.createDataFrame(won, "digest binary, keep_id long, keep_row long, group_size long")
+    others = rows.join(F.broadcast(verified.select("digest")), "digest", "left_anti")
+    groups = others.groupBy("digest").agg(*grouped)
+    groups = groups.select("digest", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size")
+    heavy, light = rows.join(F.broadcast(verified), "digest"), others.join(groups, "digest")
     return heavy.unionByName(light).withColumn("kept", F.col("row_id") == F.col("keep_row"))
 
 
@@ -123,8 +110,8 @@ def exact_duplicates(docs: DataFrame, heavy_share: int = HEAVY_SHARE, counters:
 
 def drop_exact_duplicates(docs: DataFrame, heavy_share: int = HEAVY_SHARE, counters: int = COUNTERS) -> DataFrame:
     """The documents that stay, with all their columns."""
-    keep = decide(digest_table(docs), heavy_share, counters).filter("kept")
-    keep = keep.select(F.col("digest").alias("__keep_digest"), F.col("keep_id").alias("__keep_id"), (F.col("n_same") > 1).alias("__repeated"))
+    same = decide(digest_table(docs), heavy_share, counters).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    keep = same.groupBy(F.col("digest").alias("__keep_digest"), F.col("keep_id").alias("__keep_id")).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
     marked = docs.withColumn("__digest", digest_column()).join(
         keep, F.col("__digest").eqNullSafe(F.col("__keep_digest")) & F.col("doc_id").eqNullSafe(F.col("__keep_id"))
     )

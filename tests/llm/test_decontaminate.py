@@ -66,17 +66,23 @@ def test_recall_at_the_largest_distance_and_no_false_hits(items, words):
 
 def test_query_rows_in_one_and_several_blocks(spark, docs_of, words, items):
     rows = odd_rows(words) + [(80, "a " + items[3][1].upper() + " b"), (81, items[3][1] + "\n" + items[4][1]), (82, "needs Short item here")]
-    bench = spark.createDataFrame([*items, (90, None), (91, ""), (92, "short  item")], "item_id long, text string")
-    want = {80: [3], 81: [3, 4], 82: [92]}
+    rows += [(83, "held " + items[5][1] + " without id"), (82, "Short items, another text, is clean"), (None, items[6][1])]
+    nameless = [(None, items[5][1]), (None, items[7][1]), (5, "not in any text but of an id that is")]
+    bench = [(i, t) for i, t in items if i not in (5, 7)] + nameless
+    bench = spark.createDataFrame([*bench, (90, None), (91, ""), (92, "short  item here"), (92, "no short item")], "item_id long, text string")
+    want = {80: [3], 81: [3, 4], 82: [92], 83: [None], None: [6]}
+    clean = {"Short items, another text, is clean", "one two three"}
     for block in (20_000, 15):
         got = D.contamination(docs_of(rows, extra=True), bench, block=block).collect()
         assert len(got) == len(rows)
         for r in got:
-            assert sorted(r["item_ids"]) == want.get(r["doc_id"], []) and r["contaminated"] == (r["doc_id"] in want)
+            assert r["contaminated"] == bool(r["item_ids"]) == bool(r["edits"]) == (r["n_items"] > 0)
+        found = sorted((str(r["doc_id"]), r["item_ids"]) for r in got)
+        assert found == sorted((str(i), [] if t in clean else want.get(i, [])) for i, t in rows)
         docs = docs_of(rows, extra=True)
         left = D.drop_contaminated(docs, bench, block=block)
-        assert left.columns == docs.columns and left.count() == len(rows) - 3
-    assert D.contamination(docs_of([]), bench).count() == 0
+        assert left.columns == docs.columns and left.count() == len(rows) - 5
+    assert D.contamination(docs_of([]), bench).count() == 0 and D.contamination(docs_of([]), bench, block=15).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.drop_contaminated(docs_of(rows), none).count() == len(rows)
 

@@ -14,8 +14,10 @@ coordinates of the walk are the bucket of a window.  It is repeated with
 independent walks and samples, ``repeats_for_recall`` times, as often as the
 items with the fewest aligned windows need, whatever else is in the block.
 
-Anchors: items with fewer starts (short ones, unspaced script) are cut into
-one piece more than the edits allowed, so one piece of any copy is unchanged.
+Anchors: every item with a start is searched for by walks.  Items with fewer
+than those starts (short ones, unspaced script) meet too few aligned windows for
+the target recall; they are cut into
+one piece more than the edits allowed as well, so one piece of any copy is unchanged.
 The pieces are searched for at every character; a piece's neighbour must be
 there with one edit at most, as some pair of pieces has no more.  No copy of
 such an item is lost.  A longer item has one anchor, the rarest of the block,
@@ -27,27 +29,34 @@ distance of the whole item to the best part of the item-sized region around
 the window or anchor (bit-parallel, in one pass over the region) must be at most
 ``EDIT_SHARE`` of the item's length.
 
-The items are a stated query set; they are collected in blocks of at most
-``BLOCK`` items and each block meets all texts in a pass without a shuffle.
+The items are a stated query set; they are collected in blocks of about
+``BLOCK`` items, one block at a time, and each block meets all texts in a pass
+without a shuffle.  With several blocks, a pass writes only what it finds, by
+(doc_id, SHA-256 of the text), and the findings meet the documents at the end.
 
 Edge cases: null and empty texts are clean; null and empty items are never
-found; items too short for an edit are searched for as they are; repeated rows are judged alike; an empty benchmark
-leaves all documents clean; an empty table gives an empty result; other
+found; items without an ``item_id`` are searched for like others and reported
+as a null id (of one document once, with the least edits); items that share an
+id are reported once, with the least edits; items too short for an edit are
+searched for as they are; texts of any length are searched whole; repeated rows
+are judged alike, and so are rows that share a ``doc_id`` but not a text; an
+empty benchmark leaves all documents clean; an empty table gives an empty result; other
 columns are kept by :func:`drop_contaminated` and ignored by the report.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, worker_memory
+from .common import slices, table, worker_memory, written
 
 EDIT_SHARE = 0.1
 RECALL = 0.95
@@ -231,8 +240,10 @@ class Index:
             if len(starts) < WINDOWS * STRIDE:
                 if self.limit[k] or len(t) >= WALK:
                     cut.append(k)
+            else:
+                walked.append(k)
+            if not starts:
                 continue
-            walked.append(k)
             for o in starts:
                 owner.append(k)
                 offset.append(o)
@@ -375,66 +386,95 @@ class Index:
         return out
 
 
-def item_blocks(items: DataFrame, block: int) -> list[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame, block: int) -> Iterator[list[tuple[int | None, str]]]:
     """The query set in blocks of about ``block`` items, one at a time on the driver."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    n = rows.count()
-    parts = max(1, math.ceil(n / block))
-    if parts == 1:
-        return [[(r[0], r[1]) for r in rows.orderBy("item_id", "text").collect()]]
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return [[(r[0], r[1]) for r in rows.filter(part == k).orderBy("item_id", "text").collect()] for k in range(parts)]
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull())
+    parts = max(1, math.ceil(rows.count() / block))
+    # the hash of the text alone: items that share an id may be in different blocks
+    part = F.pmod(F.xxhash64("text"), F.lit(parts))
+    for k in range(parts):
+        yield [(r[0], r[1]) for r in (rows.filter(part == k) if parts > 1 else rows).orderBy("item_id", "text").collect()]
 
 
 def index_of(shipped, key: str, edit_share: float) -> Index:
     return worker_memory("decontamination", key, lambda: Index(shipped.value, edit_share))
 
 
-REPORT = "doc_id long, item_ids array<long>, edits array<int>"
+FOUND = "item_ids array<long>, edits array<int>"
 
 
-def contamination(docs: DataFrame, items: DataFrame, edit_share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
-    """doc_id, contaminated, n_items, item_ids, edits: one row per document."""
-    report = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.array().cast("array<long>").alias("item_ids"), F.array().cast("array<int>").alias("edits"))
-    for part in item_blocks(items, block):
-        report = search_block(report, part, edit_share)
-    n = F.size("item_ids")
-    return report.select("doc_id", (n > 0).alias("contaminated"), n.cast("long").alias("n_items"), "item_ids", "edits")
-
-
-def search_block(report: DataFrame, part: list[tuple[int, str]], edit_share: float) -> DataFrame:
-    """Adds one block's findings to the rows (doc_id, text, item_ids, edits)."""
-    shipped, key = report.sparkSession.sparkContext.broadcast(part), uuid.uuid4().hex
+def search_block(docs: DataFrame, part: list[tuple[int | None, str]], edit_share: float) -> DataFrame:
+    """docs without its text, which is the last column, and with what is found
+    of one block: item_ids, edits (smallest id first, the null id last)."""
+    shipped, key = docs.sparkSession.sparkContext.broadcast(part), uuid.uuid4().hex
+    names = docs.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_of(shipped, key, edit_share)
         for b in slices(batches):
-            ids, edits = b.column("item_ids").to_pylist(), b.column("edits").to_pylist()
-            for k, found in enumerate(index.hits(b.column("text").to_pylist())):
-                for item in sorted(found):
-                    ids[k] = [*ids[k], item]
-                    edits[k] = [*edits[k], found[item]]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text"), pa.array(ids, pa.list_(pa.int64())), pa.array(edits, pa.list_(pa.int32()))],
-                names=["doc_id", "text", "item_ids", "edits"],
-            )
+            found = [sorted(f.items(), key=lambda x: (x[0] is None, x[0])) for f in index.hits(b.column(len(names)).to_pylist())]
+            lists = [pa.array([[x[i] for x in f] for f in found], pa.list_(t)) for i, t in enumerate((pa.int64(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), *lists], names=[*names, "item_ids", "edits"])
+
+    schema = ", ".join([*(f"{n} {t}" for n, t in docs.dtypes[:-1]), FOUND])
+    return docs.mapInArrow(run, schema)
+
+
+def text_digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+
 
-    return report.mapInArrow(run, report.schema)
+def all_findings(docs: DataFrame, first: list, blocks: Iterator[list], edit_share: float) -> DataFrame:
+    """digest, id, item_ids, edits of the contaminated documents, over several
+    blocks; what a block finds is written before the next one is collected."""
+    keyed = docs.select(text_digest().alias("digest"), F.col("doc_id").cast("long").alias("id"), "text")
+    found = None
+    for part in itertools.chain([first], blocks):
+        hits = search_block(keyed, part, edit_share).filter(F.size("item_ids") > 0)
+        hits = written(hits, "contaminated").select("digest", "id", F.explode(F.arrays_zip("item_ids", "edits")).alias("f"))
+        found = hits if found is None else found.unionByName(hits)
+    least = found.groupBy("digest", "id", F.col("f.item_ids").alias("item")).agg(F.min("f.edits").alias("n"))
+    # as many entries as a document holds items
+    listed = F.sort_array(F.collect_list(F.struct(F.col("item").isNull().alias("none"), "item", "n")))
+    each = least.groupBy("digest", "id").agg(listed.alias("l"))
+    return each.select("digest", "id", F.col("l.item").alias("item_ids"), F.col("l.n").alias("edits"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, edit_share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
+    """doc_id, contaminated, n_items, item_ids, edits: one row per document."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    blocks = item_blocks(items, block)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        report = search_block(rows, first, edit_share)
+    else:
+        found = all_findings(rows, first, itertools.chain([second], blocks), edit_share)
+        rows = rows.select("doc_id", text_digest().alias("text_digest"))
+        same = (F.col("text_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id"))
+        ids, edits = (F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("item_ids", "array<long>"), ("edits", "array<int>")))
+        report = rows.join(found, same, "left").select("doc_id", ids, edits)
+    n = F.size("item_ids")
+    return report.select("doc_id", (n > 0).alias("contaminated"), n.cast("long").alias("n_items"), "item_ids", "edits")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, edit_share: float = EDIT_SHARE, block: int = BLOCK) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
+    blocks = item_blocks(items, block)
+    first, second = next(blocks), next(blocks, None)
+    if second is not None:
+        found = all_findings(docs, first, itertools.chain([second], blocks), edit_share)
+        found = found.select(F.col("digest").alias("__digest"), F.col("id").alias("__id"))
+        same = (text_digest() == F.col("__digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+        return docs.join(found, same, "left_anti")
     place = docs.columns.index("text")
-    for part in item_blocks(items, block):
-        shipped, key = docs.sparkSession.sparkContext.broadcast(part), uuid.uuid4().hex
+    shipped, key = docs.sparkSession.sparkContext.broadcast(first), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped, key=key) -> Iterator[pa.RecordBatch]:
-            index = index_of(shipped, key, edit_share)
-            for b in slices(batches):
-                yield b.filter(pa.array([not found for found in index.hits(b.column(place).to_pylist())], pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = index_of(shipped, key, edit_share)
+        for b in slices(batches):
+            yield b.filter(pa.array([not found for found in index.hits(b.column(place).to_pylist())], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ def brute(rows, k=50):
         raw = (t or "").encode()
         return {raw[p : p + k] for p in range(len(raw) - k + 1)}
 
-    last = 1 << 63
+    last = (1 << 63) - 1  # a null id counts as equal to the largest one
     order = sorted({last if i is None else i for i, _ in rows})
     seen, before = set(), {}
     for i in order:
@@ -35,7 +35,7 @@ def test_matches_brute_force(docs_of, words):
     r = random.Random(3)
     passages = [" ".join(words(r.randint(4, 30))) for _ in range(6)]
     rows = [(i, t) for i, t in odd_rows(words) if not t or len(t) < 40]
-    rows += [(20, "ab" * 60), (21, "ab" * 80), (22, "a" * 300), (23, "b" + "a" * 120), (24, "é" * 60), (25, "xé" + "é" * 40), (26, passages[0])]
+    rows += [(20, "ab" * 60), (21, "ab" * 80), (22, "a" * 300), (23, "b" + "a" * 120), (24, "é" * 60), (25, "xé" + "é" * 40), (26, passages[0]), ((1 << 63) - 1, passages[1])]
     for i in range(30, 70):
         t = " ".join(words(r.randint(0, 25)))
         for _ in range(r.randint(0, 3)):

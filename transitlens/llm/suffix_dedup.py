@@ -26,8 +26,8 @@ ranks.  The rows of a frequent sampled string are salted: grouped in parts
 first, and the parts' results once more.
 
 Edge cases: null text counts as empty; texts shorter than the threshold keep
-all; a null ``doc_id`` comes after all others; documents of equal id never
-remove each other's strings; repeated rows give equal rows; other columns are
+all; a null ``doc_id`` comes after all others and counts as equal to the
+largest 64-bit id; documents of equal id never remove each other's strings; repeated rows give equal rows; other columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -141,8 +141,9 @@ def class_place(anchor: np.ndarray, run: np.ndarray, doc: np.ndarray) -> np.ndar
 
 
 def named_texts(docs: DataFrame) -> DataFrame:
-    """id (null: last), text (null: empty)."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), text_or_empty().alias("text"))
+    """id (null: last), text (null: empty), nameless (the id is null)."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc_id, F.lit(LAST_ID)).alias("id"), text_or_empty().alias("text"), doc_id.isNull().alias("nameless"))
 
 
 def text_name(text: bytes) -> int:
@@ -272,12 +273,13 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             some = test_bits(bitmap, (b.column("id").to_numpy() % ID_BITS).astype(np.uint64))
             columns = [
                 b.column("id"),
+                b.column("nameless"),
                 pa.array(names_of(raw, named)),
                 pa.array([len(t) for t in raw], pa.int64()),
                 pa.array([squeeze(t) if s else None for t, s in zip(raw, some, strict=True)], pa.binary()),
                 pa.array([None if s else hashlib.sha256(t).hexdigest() for t, s in zip(raw, some, strict=True)], pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "name", "n_bytes", "packed", "sha"])
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "nameless", "name", "n_bytes", "packed", "sha"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -291,15 +293,15 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                     rows.append(removed(zstandard.ZstdDecompressor().decompress(packed), starts or [], ends or []))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("n_bytes"), *[pa.array(c, pa.int64()) for c in columns[:2]], pa.array(columns[2], pa.string())],
-                names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [b.column("id"), b.column("nameless"), b.column("n_bytes"), *[pa.array(c, pa.int64()) for c in columns[:2]], pa.array(columns[2], pa.string())],
+                names=["id", "nameless", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    joined = texts.mapInArrow(pack, "id long, name long, n_bytes long, packed binary, sha string").join(per_text, ["id", "name"], "left")
-    out = joined.select("id", "n_bytes", "packed", "sha", "starts", "ends").mapInArrow(
-        cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    joined = texts.mapInArrow(pack, "id long, nameless boolean, name long, n_bytes long, packed binary, sha string").join(per_text, ["id", "name"], "left")
+    out = joined.select("id", "nameless", "n_bytes", "packed", "sha", "starts", "ends").mapInArrow(
+        cut, "id long, nameless boolean, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
-    return out.select(F.nullif("id", F.lit(LAST_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select(F.when(~F.col("nameless"), F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def removed(raw: bytes, starts: list[int], ends: list[int]) -> tuple[int, int, str]:

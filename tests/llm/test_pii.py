@@ -53,4 +53,5 @@ def test_query_rows(docs_of, words):
         text = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
         r = next(r for (j, _), r in got.items() if j == i and r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest())
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == n for _, k, _ in spans) for n in range(4)]
+        assert r["personal"] == any(not s.startswith("url:") for s in r["spans"].split(",") if s)
     assert pii.personal_data(docs_of([])).count() == 0

@@ -158,12 +158,13 @@ def joined(spans) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of the base kinds, digest of the base spans, all spans."""
+    """doc_id, counts of the base kinds, digest of the base spans, all spans,
+    and whether there is any but plain URLs (personal)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = automaton()
         for b in slices(batches):
-            columns: list[list] = [[] for _ in range(6)]
+            columns: list[list] = [[] for _ in range(7)]
             for text in b.column("text").to_pylist():
                 spans = find_spans(text or "", anchors)
                 base = [s for s in spans if s[2] in BASE_KINDS]
@@ -171,14 +172,15 @@ def personal_data(docs: DataFrame) -> DataFrame:
                     column.append(sum(s[2] == kind for s in base))
                 columns[4].append(hashlib.sha256(joined(base).encode()).hexdigest())
                 columns[5].append(joined(spans))
+                columns[6].append(any(s[2] != "url" for s in spans))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:4]], *[pa.array(c, pa.string()) for c in columns[4:]]],
-                names=["doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans"],
+                [b.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:4]], *[pa.array(c, pa.string()) for c in columns[4:6]], pa.array(columns[6], pa.bool_())],
+                names=["doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "personal"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+        scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, personal boolean"
     )
 
 

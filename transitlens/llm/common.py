@@ -44,12 +44,23 @@ def id_remainder(mod: int, col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into pieces of at most ``rows`` rows, so that what a
-    task holds as Python objects stays small however long the texts are."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into pieces of at most ``rows`` rows and ``size`` bytes
+    (a longer text is a piece of its own), so that what a task holds as Python
+    objects stays small however long the texts are."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
+            yield from sized(b.slice(i, rows), size)
+
+
+def sized(b: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Halves of halves until a piece has at most ``size`` bytes or one row."""
+    if b.num_rows <= 1 or b.nbytes <= size:
+        yield b
+    else:
+        half = b.num_rows // 2
+        yield from sized(b.slice(0, half), size)
+        yield from sized(b.slice(half), size)
 
 
 def worker_memory(name: str, key, make):

@@ -2,10 +2,9 @@
 
 Symbols are the words of a text (A-Z lower-cased, cut at ASCII white space)
 and one end.  The tree's root is the add-one unigram distribution ("base").  A
-context (the last 1 .. ``max_depth`` words) is a candidate when at least
-``context_share`` of the training tokens follow it, and is retained when its
-next-symbol distribution diverges from that of its longest retained suffix by
-at least ``min_divergence`` nats.  At a retained context s
+hot context (the last 1 .. ``max_depth`` words, at least ``context_share`` of
+the training tokens) is retained when its next-symbol distribution diverges from
+that of its longest retained suffix by at least ``min_divergence`` nats.  At a retained context s
 
     P(w | s) = (c(s, w) + m P(w | suffix)) / (c(s) + m)      explicit w
     P(w | s) = rest(s) P(w | suffix) / (1 - B(s))            all other w
@@ -16,16 +15,21 @@ explicit symbols' mass under the suffix.  Every distribution sums to 1 over
 the known symbols and one unknown.  A text is scored at the state of its
 longest retained context at each symbol.
 
-All thresholds are shares of the training tokens, so at any input size there
-are at most 1/share contexts, pairs and frequent words: this is the proven
-bound of what is broadcast (the tree and the frequent words' counts).  All
-counts are exact and cover every training text.  Words below the frequent
-share are joined to the corpus counts through a shuffle; no such word holds
-more than ``frequent_share`` of the tokens, so no key is hot.
-
-Edge cases: null and empty texts have one token, the end; a null ``doc_id``
-belongs to the training side; repeated rows are scored alike; an empty table
-gives an empty result; other columns are ignored.
+The hot contexts are what is broadcast: at any input size there are at most
+1/share contexts, pairs and frequent words.  All other contexts (one more word
+before a hot one, so up to ``max_depth`` + 1 words) are kept from MIN_COUNT
+occurrences on, in a table that Spark partitions by context (``lm_tail``): that
+part of the tree grows with the corpus.  All counts are exact and cover every
+training text.  Words below the frequent share are joined to the corpus counts
+through a shuffle; no such word holds more than ``frequent_share`` of the tokens,
+so no key is hot.
+
+Edge cases: null and empty texts have one token, the end; a very long text is
+read whole, in one task; a null ``doc_id`` belongs to the training side; repeated
+rows each count in training and are scored alike; among words of equal counts
+the order of their bytes gives the ids, and no score depends on it; an empty table
+gives an empty result; without training texts the score is the base; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +37,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +44,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_remainder, slices, table, written
+from .lm_tail import MIN_COUNT, gains
+from .lm_tree import END, Tree, context_keys, find, words
 
-END = b""  # no word is empty
 FREQUENT_SHARE = 2.0**-20
 SYMBOL_SHARE = 2.0**-16
 CONTEXT_SHARE = 2.0**-14
@@ -55,58 +59,6 @@ MAX_DEPTH = 2
 HELD = 200_000
 
 
-def words(text: str | None) -> list[bytes]:
-    """The text's symbols: bytes.lower and bytes.split know ASCII only."""
-    out = (text or "").encode().lower().split()
-    out.append(END)
-    return out
-
-
-@dataclass
-class Tree:
-    """Frequent words and retained contexts, as shipped to the tasks."""
-
-    ids: dict[bytes, int]  # frequent words, most frequent first
-    counts: np.ndarray  # training counts by id
-    n_symbols: int  # ids below this take part in contexts and pairs
-    total: int
-    vocabulary: int
-    contexts: list[np.ndarray] = field(default_factory=list)  # by depth: sorted keys
-    states: list[np.ndarray] = field(default_factory=list)  # by depth: state of each key
-    parent: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    back: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10 of rest / (1 - B)
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # state * n_symbols + symbol
-    pair_logp: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-    def base_log(self) -> np.ndarray:
-        return np.log10((self.counts + 1.0) / (self.total + self.vocabulary + 1.0))
-
-    def encode(self, tokens: list[bytes]) -> np.ndarray:
-        get = self.ids.get
-        return np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
-
-
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted key in the sorted keys, -1 where it is absent."""
-    if not len(keys) or not len(wanted):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-def context_keys(ids: np.ndarray, depth: int, n_symbols: int) -> np.ndarray:
-    """Key of the ``depth`` symbols before each place, -1 where there are
-    fewer or one of them is not a symbol."""
-    key = np.zeros(len(ids), np.int64)
-    ok = np.ones(len(ids), bool)
-    for back in range(depth, 0, -1):
-        before = np.full(len(ids), -1, np.int64)
-        before[back:] = ids[:-back] if back < len(ids) else ids[:0]
-        ok &= (before >= 0) & (before < n_symbols)
-        key = key * n_symbols + before
-    return np.where(ok, key, -1)
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """word, c (training count), n (count in all texts)."""
 
@@ -183,6 +135,12 @@ def grow(docs: DataFrame, tree: Tree, context_share, pair_share, min_divergence,
     states: dict[tuple, int] = {}
     parents, backs, explicit = [0], [0.0], []  # by state; explicit: (state, symbols, log10 P)
     probs: dict[int, dict[int, float]] = {0: {}}
+    hot_states = [np.zeros(1, np.int64)]
+
+    def sorted_keys(depth: int) -> tuple[list[tuple], np.ndarray]:
+        key_of = {c: sum(w * S ** (depth - 1 - i) for i, w in enumerate(c)) for c in candidates}
+        ordered = sorted(candidates, key=key_of.get)
+        return ordered, np.array([key_of[c] for c in ordered], np.int64)
 
     def prob(state: int, symbol: int) -> float:
         factor = 1.0
@@ -197,9 +155,7 @@ def grow(docs: DataFrame, tree: Tree, context_share, pair_share, min_divergence,
     for depth in range(1, max_depth + 1):
         if not candidates:
             break
-        key_of = {c: sum(w * S ** (depth - 1 - i) for i, w in enumerate(c)) for c in candidates}
-        ordered = sorted(candidates, key=key_of.get)
-        keys = np.array([key_of[c] for c in ordered], np.int64)
+        ordered, keys = sorted_keys(depth)
         counted = count_pairs(docs, tree, depth, keys).filter(F.col("n") >= F.lit(pair_share * tree.total))
         found = counted.toPandas().sort_values("key")  # at most 1 / pair_share rows
         place, symbol, n = (found["key"] // S).to_numpy(), (found["key"] % S).to_numpy(), found["n"].to_numpy()
@@ -229,11 +185,15 @@ def grow(docs: DataFrame, tree: Tree, context_share, pair_share, min_divergence,
             backs.append(math.log10((rest + prior * rest_under) / (total + prior) / rest_under))
             probs[state] = dict(zip(syms.tolist(), p.tolist(), strict=True))
             explicit.append((state, syms, np.log10(p)))
-            kept_states.append((key_of[c], state))
+            kept_states.append((keys[i], state))
         tree.contexts.append(np.array([k for k, _ in kept_states], np.int64))
         tree.states.append(np.array([s for _, s in kept_states], np.int64))
+        tree.hot.append(keys)
+        hot_states.append(np.array([next((states[c[k:]] for k in range(depth) if c[k:] in states), 0) for c in ordered], np.int64))
         # the next depth extends contexts whose own suffix was a candidate here
         candidates = {c: k for c, k in following.items() if c[1:] in candidates}
+    tree.hot.append(sorted_keys(len(tree.hot) + 1)[1])
+    tree.hot_state = np.concatenate(hot_states)
     tree.parent, tree.back = np.array(parents, np.int64), np.array(backs)
     if explicit:
         keys = np.concatenate([s * S + syms for s, syms, _ in explicit])
@@ -284,7 +244,7 @@ def score_ids(tree: Tree, ids: np.ndarray, base: np.ndarray) -> tuple[float, flo
 
 
 ROWS = (
-    "doc_id long, held_out boolean, n_tokens long, n_frequent long, base_sum double, model_sum double, "
+    "who long, doc_id long, held_out boolean, n_tokens long, n_frequent long, base_sum double, model_sum double, "
     "rare array<binary>, rare_n array<int>"
 )
 
@@ -310,21 +270,23 @@ def score_rows(docs: DataFrame, tree: Tree) -> DataFrame:
                 rare_n.append(list(others.values()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("doc_id"), b.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                    b.column("who"), b.column("doc_id"), b.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
                     pa.array([s[0] for s in sums], pa.float64()), pa.array([s[1] for s in sums], pa.float64()),
                     pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "held_out", "n_tokens", "n_frequent", "base_sum", "model_sum", "rare", "rare_n"],
+                names=["who", "doc_id", "held_out", "n_tokens", "n_frequent", "base_sum", "model_sum", "rare", "rare_n"],
             )
 
     return docs.mapInArrow(score, ROWS)
 
 
-def score(docs: DataFrame, held_out, **shares) -> DataFrame:
+def score(docs: DataFrame, held_out, min_count: int = MIN_COUNT, **shares) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     vocabulary = written(count_words(rows), "word-counts")
     tree = train(rows, vocabulary, **shares)
+    # rows of one id and text score alike, so they share a number
+    rows = rows.withColumn("who", F.xxhash64("doc_id", "text", "held_out"))
     scored = written(score_rows(rows, tree).withColumn("row_id", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("r"))
     rare = rare.select("row_id", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("k"))
@@ -336,14 +298,23 @@ def score(docs: DataFrame, held_out, **shares) -> DataFrame:
         .agg(F.sum(F.col("k") * log_base).alias("rare_sum"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("n_rare"))
     )
     extra = F.coalesce("rare_sum", F.lit(0.0))
-    return scored.drop("rare", "rare_n").join(sums, "row_id", "left").select(
+    out = scored.drop("rare", "rare_n").join(sums, "row_id", "left")
+    gain = F.lit(0.0)
+    if tree.total:
+        gained = gains(
+            rows, tree, min_count, shares.get("min_divergence", MIN_DIVERGENCE), SIGNIFICANCE, shares.get("prior", PRIOR)
+        )
+        copies = scored.groupBy("who").agg(F.count("*").alias("copies"))
+        out = out.join(copies.join(gained, "who"), "who", "left")
+        gain = F.coalesce(F.col("gain") / F.col("copies"), F.lit(0.0))
+    return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"),
         (F.col("base_sum") + extra).alias("base_score"),
-        (F.col("model_sum") + extra).alias("score"),
+        (F.col("model_sum") + extra + gain).alias("score"),
     )
 
 

@@ -108,13 +108,13 @@ def count_pairs(docs: DataFrame, tree: Tree, depth: int, keys: np.ndarray) -> Da
             return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n.astype(np.int64))], names=["key", "n"])
 
         for b in slices(batches):
-            for text in b.column("text").to_pylist():
-                tokens = words(text)
-                seen = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
-                at = find(contexts, context_keys(seen, depth, n_symbols))
-                ok = (at >= 0) & (seen >= 0) & (seen < n_symbols)
-                held.append(at[ok] * n_symbols + seen[ok])
-                n_held += len(held[-1])
+            # ends stand between texts, and no context holds one
+            tokens = [w for text in b.column("text").to_pylist() for w in words(text)]
+            seen = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
+            at = find(contexts, context_keys(seen, depth, n_symbols))
+            ok = (at >= 0) & (seen >= 0) & (seen < n_symbols)
+            held.append(at[ok] * n_symbols + seen[ok])
+            n_held += len(held[-1])
             if n_held > 8 * HELD:
                 yield flush()
                 n_held = 0
@@ -217,30 +217,30 @@ def train(docs: DataFrame, vocabulary: DataFrame, frequent_share=FREQUENT_SHARE,
     return grow(docs, tree, context_share, pair_share, min_divergence, prior, max_depth) if total else tree
 
 
-def score_ids(tree: Tree, ids: np.ndarray, base: np.ndarray) -> tuple[float, float]:
-    """(base, model) log10 of a text's frequent words; the model's part holds
-    the back-off factors of rare words too, whose base part is joined later."""
+def score_ids(tree: Tree, ids: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(base, model) log10 of each of some texts' frequent words; the model's
+    part holds the back-off factors of rare words too, whose base part is joined
+    later.  Texts may follow one another: no context holds an end."""
     S = tree.n_symbols
     known = ids >= 0
-    base_sum = float(base[ids[known]].sum())
+    base_log = np.where(known, base[np.maximum(ids, 0)], 0.0) if len(base) else np.zeros(len(ids))
     state = np.zeros(len(ids), np.int64)
     for depth, (keys, states) in enumerate(zip(tree.contexts, tree.states, strict=True), 1):
         at = find(keys, context_keys(ids, depth, S))
         state = np.where(at >= 0, states[at] if len(states) else 0, state)
-    total, open_ = 0.0, np.arange(len(ids))
-    while True:
-        inner = state[open_] > 0
-        at_root = ids[open_[~inner]]
-        total += float(base[at_root[at_root >= 0]].sum())
-        open_ = open_[inner]
-        if not len(open_):
-            return base_sum, total
+    model, open_ = base_log.copy(), np.flatnonzero(state)
+    model[open_] = 0.0
+    while len(open_):
         symbol = ids[open_]
         explicit = find(tree.pairs, np.where((symbol >= 0) & (symbol < S), state[open_] * S + symbol, -1))
-        total += float(tree.pair_logp[explicit[explicit >= 0]].sum())
+        model[open_[explicit >= 0]] += tree.pair_logp[explicit[explicit >= 0]]
         open_ = open_[explicit < 0]
-        total += float(tree.back[state[open_]].sum())
+        model[open_] += tree.back[state[open_]]
         state[open_] = tree.parent[state[open_]]
+        at_root = state[open_] == 0
+        model[open_[at_root]] += base_log[open_[at_root]]
+        open_ = open_[~at_root]
+    return base_log, model
 
 
 ROWS = (
@@ -258,21 +258,23 @@ def score_rows(docs: DataFrame, tree: Tree) -> DataFrame:
         tree = Tree(**shipped.value)
         base, counted = tree.base_log(), tree.counts > 0
         for b in slices(batches):
-            n_tokens, n_known, sums, rare, rare_n = [], [], [], [], []
+            tokens, starts = [], []
             for text in b.column("text").to_pylist():
-                tokens = words(text)
-                ids = tree.encode(tokens)
-                n_tokens.append(len(tokens))
-                n_known.append(int(counted[ids[ids >= 0]].sum()))
-                sums.append(score_ids(tree, ids, base))
-                others = Counter(tokens[i] for i in np.flatnonzero(ids < 0))
-                rare.append(list(others))
-                rare_n.append(list(others.values()))
+                starts.append(len(tokens))
+                tokens += words(text)
+            ids = tree.encode(tokens)
+            n_tokens = np.diff([*starts, len(tokens)])
+            known = np.where(ids >= 0, counted[np.maximum(ids, 0)], False) if len(counted) else np.zeros(len(ids), bool)
+            base_sum, model_sum = (np.add.reduceat(x, starts) for x in score_ids(tree, ids, base))
+            others: list[Counter] = [Counter() for _ in starts]
+            places = np.flatnonzero(ids < 0)
+            for i, row in zip(places.tolist(), (np.searchsorted(starts, places, side="right") - 1).tolist(), strict=True):
+                others[row][tokens[i]] += 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("who"), b.column("doc_id"), b.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array([s[0] for s in sums], pa.float64()), pa.array([s[1] for s in sums], pa.float64()),
-                    pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32())),
+                    b.column("who"), b.column("doc_id"), b.column("held_out"), pa.array(n_tokens, pa.int64()),
+                    pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(base_sum), pa.array(model_sum),
+                    pa.array([list(o) for o in others], pa.list_(pa.binary())), pa.array([list(o.values()) for o in others], pa.list_(pa.int32())),
                 ],
                 names=["who", "doc_id", "held_out", "n_tokens", "n_frequent", "base_sum", "model_sum", "rare", "rare_n"],
             )

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,21 +36,22 @@ from .lm_tree import Tree, context_keys, find, words
 
 MIN_COUNT = 2
 #: places a segment holds, about
-SEGMENT = 4_000_000
+SEGMENT = 2_000_000
 #: places a task holds before it deals them out
 HELD = 1_000_000
 RARE_WORD = np.uint64(1 << 63)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """The first bytes of all values, then the second ones: small numbers
-    compress well this way."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+def packed(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, compressed: most
+    values are small."""
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes(), 1)
 
 
-def from_planes(data: bytes, kind) -> np.ndarray:
+def unpacked(parts: list[bytes], kind) -> list[np.ndarray]:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    flat = (np.frombuffer(zstandard.decompress(x), np.uint8).reshape(size, -1) for x in parts)
+    return [np.ascontiguousarray(x.T).view(kind).ravel() for x in flat]
 
 
 def segment_of(place: np.ndarray, word: np.ndarray, n_segments: int) -> np.ndarray:
@@ -90,7 +92,10 @@ def tail_places(tree: Tree, ids: np.ndarray, codes: np.ndarray, ends: np.ndarray
     return index[order], below[order], word[order]
 
 
-PART = "segment int, who binary, held binary, row binary, under binary, word binary, symbol binary"
+#: of one task's places in one segment: the rows they come from, how many places
+#: each has, then by place; a rare word is a mark in ``word`` and a hash in ``rare``
+PART = "segment int, who binary, held binary, places binary, under binary, word binary, rare binary, symbol binary"
+MARK = np.uint32(0xFFFFFFFF)
 
 
 def dealt(docs: DataFrame, tree: Tree, n_segments: int) -> DataFrame:
@@ -109,17 +114,22 @@ def dealt(docs: DataFrame, tree: Tree, n_segments: int) -> DataFrame:
             order = np.argsort(of, kind="stable")
             cuts = np.searchsorted(of[order], np.arange(n_segments + 1))
             ids, sides = np.array(who, np.int64), np.array(held_out, np.uint8)
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for s in np.flatnonzero(np.diff(cuts)).tolist():
                 mine = order[cuts[s] : cuts[s + 1]]
-                touched, local = np.unique(row[mine], return_inverse=True)
-                columns = (ids[touched], sides[touched], local.astype(np.uint32), under[mine].astype(np.uint32), word[mine], symbol[mine])
-                for o, x in zip(out, (s, *(planes(c) for c in columns)), strict=True):
+                rows, words_ = row[mine], word[mine]  # rows ascend
+                first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+                touched, is_rare = rows[first], words_ >= RARE_WORD
+                columns = (
+                    ids[touched], sides[touched], np.diff(np.append(first, len(rows))).astype(np.uint32), under[mine].astype(np.uint32),
+                    np.where(is_rare, MARK, words_).astype(np.uint32), words_[is_rare], symbol[mine],
+                )
+                for o, x in zip(out, (s, *map(packed, columns)), strict=True):
                     o.append(x)
             held.clear()
             who.clear()
             held_out.clear()
-            names = ["segment", "who", "held", "row", "under", "word", "symbol"]
+            names = ["segment", "who", "held", "places", "under", "word", "rare", "symbol"]
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(x, pa.binary()) for x in out[1:]]], names=names)
 
         n_held = 0
@@ -170,16 +180,17 @@ def base_with_rare(tree: Tree) -> np.ndarray:
     return np.append(base, np.log10(max(1.0 - float((10.0**base).sum()), least)))
 
 
-def segment_gains(tree: Tree, under, word, symbol, train, min_count: int, min_divergence: float, significance: float, prior: float) -> np.ndarray:
+def segment_gains(
+    tree: Tree, under, word, rare, symbol, train, min_count: int, min_divergence: float, significance: float, prior: float
+) -> np.ndarray:
     """Gain in log10 of each place of one segment over the hot state under it."""
     n_words = len(tree.ids)
-    is_rare = word >= RARE_WORD
-    rare = np.unique(word[is_rare])
-    code = np.where(is_rare, 0, word).astype(np.int64)
-    code[is_rare] = n_words + np.searchsorted(rare, word[is_rare])
+    names, code_of_rare = np.unique(rare, return_inverse=True)
+    code = word.astype(np.int64)
+    code[word == MARK] = n_words + code_of_rare
     # the bounds of the shares and of a segment keep this below 2 ** 63
-    key = (under.astype(np.int64) * (n_words + len(rare)) + code) * (n_words + 1) + symbol
-    order = np.argsort(key, kind="stable")
+    key = (under.astype(np.int64) * (n_words + len(names)) + code) * (n_words + 1) + symbol
+    order = np.argsort(key)
     key = key[order]
     pair = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     context_key = key[pair] // (n_words + 1)
@@ -212,14 +223,12 @@ def gains(docs: DataFrame, tree: Tree, min_count: int, min_divergence: float, si
 
     def add_up(parts: pa.Table) -> pa.Table:
         tree = Tree(**shipped.value)
-        read = lambda name, kind: [from_planes(x, kind) for x in parts.column(name).to_pylist()]
-        who, row = read("who", np.int64), read("row", np.uint32)
-        starts = np.cumsum([0, *map(len, who)])[:-1]
-        row = np.concatenate([r.astype(np.int64) + s for r, s in zip(row, starts, strict=True)])
-        who = np.concatenate(who)
-        held = np.concatenate(read("held", np.uint8)) > 0
-        under, word, symbol = (np.concatenate(read(n, k)) for n, k in (("under", np.uint32), ("word", np.uint64), ("symbol", np.uint32)))
-        gain = segment_gains(tree, under, word, symbol, ~held[row], min_count, min_divergence, significance, prior)
+        read = lambda name, kind: np.concatenate(unpacked(parts.column(name).to_pylist(), kind))
+        who, places = read("who", np.int64), read("places", np.uint32)
+        row = np.repeat(np.arange(len(who)), places)
+        train = ~np.repeat(read("held", np.uint8) > 0, places)
+        gain = segment_gains(tree, read("under", np.uint32), read("word", np.uint32), read("rare", np.uint64), read("symbol", np.uint32), train,
+                             min_count, min_divergence, significance, prior)
         gain = np.bincount(row, gain, len(who))
         some = np.flatnonzero(gain)
         return pa.table({"who": pa.array(who[some]), "gain": pa.array(gain[some])})

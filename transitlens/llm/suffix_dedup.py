@@ -50,8 +50,8 @@ FREQUENT_SHARE = 2.0**-12
 SALTS = 64
 ID_BITS = 1 << 24
 LAST_ID = (1 << 63) - 1
-#: bytes of text that are ranked at a time
-CHUNK = 1 << 20
+#: bytes of text that are ranked at a time: some 100 bytes of arrays for each, kept near the cache
+CHUNK = 1 << 17
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 PLACE_BITS = np.uint64(30)
 BYTE_RANKS = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64)

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from transitlens.llm import lm_score
+from transitlens.llm import lm_score, lm_tail
 from transitlens.llm.common import id_remainder, written
 
 from .conftest import odd_rows
@@ -190,6 +190,18 @@ def test_scores_equal_a_brute_force_tree(docs_of, words):
     assert Counter((str(r["doc_id"]), round(r["score"], 6)) for r in got) == want
 
 
+def test_parts_and_segments_do_not_change_scores(docs_of, words, monkeypatch):
+    rows = corpus(words)
+    want = brute_force_scores(rows, SHARES)
+    monkeypatch.setattr(lm_tail, "HELD", 40)
+    monkeypatch.setattr(lm_tail, "SEGMENT", 100)
+    docs = docs_of(rows).repartition(3)
+    got = lm_score.score(docs, id_remainder(7) == 2, **SHARES).collect()
+    assert Counter((str(r["doc_id"]), round(r["score"], 6)) for r in got) == Counter(
+        (str(i), round(x, 6)) for (i, _), x in zip(rows, want, strict=True)
+    )
+
+
 def test_a_passage_that_occurs_twice_gains_at_any_size(docs_of, words):
     """Absolute counts: a passage of two training texts scores above its base,
     and above the same passage seen once, however much other text there is."""

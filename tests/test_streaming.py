@@ -3,7 +3,9 @@ import os
 import random
 import shutil
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import report
 from transitlens import streaming
@@ -408,3 +410,30 @@ def test_list_state_writes_touched_vehicles_only(spark, landing, tmp_path):
     want = run_append(last_n_per_vehicle_stream(s), "t-unlisted").select(columns)
     got = spark.read.parquet(out).select(columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("id = 'v3'").count() == 5
+
+
+def test_vehicles_of_a_group_share_a_call_and_not_a_list():
+    from transitlens.streaming.state import LastTimes
+
+    class Map(dict):
+        def getValue(self, key):
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    class Handle:
+        def getMapState(self, *_):
+            return Map()
+
+    frame = lambda rows: pd.DataFrame(rows, columns=["id", "seq", "lastupdate"])
+    last = LastTimes(2, None)
+    last.init(Handle())
+    first = list(last.handleInputRows((0,), iter([frame([("b", 1, 50), ("a", 2, 10), (None, 3, 7)]), frame([("a", 4, 5), (None, 5, 9)])]), None))
+    # one frame for the vehicles of both
+    assert len(first) == 1
+    assert sorted(map(tuple, first[0][["seq", "n", "span_ms"]].to_numpy().tolist())) == [(2, 2, 5), (5, 2, 2)]
+    # a report behind the list gives nothing, a newer one pushes the oldest out
+    second = list(last.handleInputRows((0,), iter([frame([("a", 6, 4), ("b", 7, 60), ("a", 8, 30)])]), None))
+    assert sorted(map(tuple, second[0][["seq", "n", "span_ms"]].to_numpy().tolist())) == [(7, 2, 10), (8, 2, 20)]
+    assert last.times[("a",)] == ([10, 30], [2, 8]) and set(last.times) == {("a",), ("b",), (None,)}

@@ -437,3 +437,39 @@ def test_vehicles_of_a_group_share_a_call_and_not_a_list():
     second = list(last.handleInputRows((0,), iter([frame([("a", 6, 4), ("b", 7, 60), ("a", 8, 30)])]), None))
     assert sorted(map(tuple, second[0][["seq", "n", "span_ms"]].to_numpy().tolist())) == [(7, 2, 10), (8, 2, 20)]
     assert last.times[("a",)] == ([10, 30], [2, 8]) and set(last.times) == {("a",), ("b",), (None,)}
+
+
+def test_landed_file_has_row_groups_for_several_tasks(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from transitlens.sources.replay import files_below, land_events
+
+    rows = spark.range(600_000).select(
+        F.col("id").alias("event_id"),
+        F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"),
+        F.xxhash64("id").alias("user_id"),
+        F.rand(1).alias("value"),
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    out = land_events(spark, str(tmp_path))
+    files = [f for d in files_below(spark, out) for f in files_below(spark, d)]
+    found = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in files]
+    # a file per arrival batch, and each can be read by several tasks
+    assert len(files) == 6 and sum(m.num_rows for m in found) == 600_000
+    assert all(m.num_row_groups > 1 for m in found)
+
+
+def test_ordered_micro_batch_is_worked_out_once(spark, tmp_path):
+    from transitlens.operators.carry import ordered_buckets
+
+    worked = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            worked.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 1000, 1, 4).mapInArrow(count, "id long")
+    got = ordered_buckets(df, ["id"], 3, str(tmp_path / "scratch"))
+    assert got.count() == 1000 and worked.value == 1000
+    assert got.select("_b").distinct().count() == 3

@@ -25,10 +25,16 @@ from ..session import written
 def ordered_buckets(df: DataFrame, order: Sequence, buckets: int | None = None, scratch: str | None = None) -> DataFrame:
     """``df`` with a bucket number ``_b``: 0, 1, ... without gaps, rising with
     ``order``.  What comes to the driver is one number per bucket.  ``scratch``:
-    where to write the ordered table (default: a fresh shared folder)."""
+    where to write the ordered table (default: a fresh shared folder); a stream
+    names one, and its micro-batch is worked out once for the sample and the shuffle."""
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
-    table = written(parts, "ordered", scratch)
+    rows = df.persist() if scratch else df
+    try:
+        parts = rows.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+        table = written(parts, "ordered", scratch)
+    finally:
+        if scratch:
+            rows.unpersist()
     used = sorted(r["_p"] for r in table.select("_p").distinct().collect())
     # one row per bucket
     dense = df.sparkSession.createDataFrame([(p, i) for i, p in enumerate(used)], "_p int, _b int")
@@ -108,10 +114,12 @@ def with_next_time(
     return told.drop("_after", "_b", *[f"_f_{c}" for c in part])
 
 
-def with_next_place(df: DataFrame, part: str = "id", time_col: str = "lastupdate", tie_col: str = "seq", buckets: int | None = None) -> DataFrame:
+def with_next_place(
+    df: DataFrame, part: str = "id", time_col: str = "lastupdate", tie_col: str = "seq", buckets: int | None = None, scratch: str | None = None
+) -> DataFrame:
     """Add ``next_t`` and ``next_s``: time and tie of the next row of the same
     ``part`` in the order of both, null for the last."""
-    d = ordered_buckets(df, [part, time_col, tie_col], buckets)
+    d = ordered_buckets(df, [part, time_col, tie_col], buckets, scratch)
     inside = Window.partitionBy("_b", part).orderBy(time_col, tie_col)
     place = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("s"))
     d = d.withColumn("_next", F.lead(place).over(inside))

@@ -257,6 +257,12 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.report_stream_from_events(spark, sf_dir)
 
 
+def _placed(reports: DataFrame) -> DataFrame:
+    """What a list or a gap is made of: a micro-batch is kept while it is worked
+    off, and holds no other column."""
+    return reports.select("seq", "id", "delay", "lastupdate", "isinactive")
+
+
 def _coarse(reports: DataFrame) -> DataFrame:
     """Few vehicles and one delay, so that neighbouring lists repeat."""
     vehicle = F.concat(F.lit("v"), F.pmod(F.col("id").cast("bigint"), F.lit(COARSE_VEHICLES)).cast("string"))
@@ -310,7 +316,7 @@ def q_stream_avg_delay_ptime(spark, sf_dir):
 
 def q_stream_last10_per_vehicle(spark, sf_dir):
     out = fresh_path(spark, "stream_last10_per_vehicle-out")
-    streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_per_vehicle", streaming.last_n_per_vehicle_writer(out))
+    streaming.run_foreach(_placed(_stream(spark, sf_dir)), "stream_last10_per_vehicle", streaming.last_n_per_vehicle_writer(out))
     return streaming.read_batches(spark, f"{out}/gaps", streaming.state.GAP_SCHEMA)
 
 
@@ -341,16 +347,16 @@ def _recent_stream(spark, reports, name, **options):
 
 
 def q_stream_recent5_changes(spark, sf_dir):
-    return _recent_stream(spark, _stream(spark, sf_dir), "stream_recent5_changes")
+    return _recent_stream(spark, _placed(_stream(spark, sf_dir)), "stream_recent5_changes")
 
 
 def q_stream_recent5_coarse_changes(spark, sf_dir):
-    return _recent_stream(spark, _coarse(_stream(spark, sf_dir)), "stream_recent5_coarse", window_ms=TRAILING_6H_MS)
+    return _recent_stream(spark, _coarse(_placed(_stream(spark, sf_dir))), "stream_recent5_coarse", window_ms=TRAILING_6H_MS)
 
 
 def q_stream_top5_delayed_changes(spark, sf_dir):
     out = fresh_path(spark, "stream_top5_changes-out")
-    streaming.run_foreach(_stream(spark, sf_dir), "stream_top5_changes", streaming.top_changes_writer(out, lateness_ms=REPLAY_LATENESS_MS))
+    streaming.run_foreach(_placed(_stream(spark, sf_dir)), "stream_top5_changes", streaming.top_changes_writer(out, lateness_ms=REPLAY_LATENESS_MS))
     return streaming.read_batches(spark, f"{out}/changes", "seq bigint, rank int, id string, delay double, lastupdate bigint")
 
 
@@ -368,7 +374,7 @@ def q_stream_last10_buffer(spark, sf_dir):
 
 def q_stream_last10_gap_text(spark, sf_dir):
     out = fresh_path(spark, "stream_last10_gap_text-out")
-    streaming.run_foreach(_stream(spark, sf_dir), "stream_last10_gap_text", streaming.gap_text_writer(out, lateness_ms=REPLAY_LATENESS_MS))
+    streaming.run_foreach(_placed(_stream(spark, sf_dir)), "stream_last10_gap_text", streaming.gap_text_writer(out, lateness_ms=REPLAY_LATENESS_MS))
     return streaming.read_batches(spark, f"{out}/gaps", "seq bigint, gap_text string")
 
 

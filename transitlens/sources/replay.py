@@ -23,6 +23,7 @@ from .events import epoch_millis, load_table, report_lines_from_events
 JITTER_MS = 2 * 24 * 3600 * 1000
 LEAST_BATCHES = 6
 ROWS_PER_FILE = 2_000_000
+ROW_GROUP_BYTES = 1 << 20
 LANDED_MS = 1_600_000_000_000
 
 _landed: dict[tuple[str, str], str] = {}
@@ -58,7 +59,8 @@ def land_events(spark: SparkSession, sf_dir: str) -> str:
         batches = max(LEAST_BATCHES, n // ROWS_PER_FILE)
         out = fresh_path(spark, "landing")
         numbered = events.withColumn("b", arrival_batch(lo or 0, hi or 0, batches))
-        numbered.repartition(batches, "b").write.partitionBy("b").parquet(out)
+        # a task per file, and row groups that several tasks can read
+        numbered.repartitionById(batches, F.col("b")).write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("b").parquet(out)
         # a file stream takes the oldest file first: state the landing order
         folders = files_below(spark, out)
         batch = lambda f: int(f.rstrip("/").rsplit("b=", 1)[1])

@@ -154,3 +154,12 @@ def test_last_stop_changes_in_the_order_of_arrival(spark, buckets):
     newest = latest.latest_per_key(frame(spark, rows[:75]), "id", ["lastupdate"])
     later = sorted(map(tuple, latest.last_stop_changes(frame(spark, rows[75:]), buckets, newest).collect()))
     assert later == [x for x in want if x[0] >= 75]
+
+
+def test_only_changes_are_the_changed_lists_of_all(spark):
+    for seed, vehicles in ((1, 3), (2, 12), (3, 40)):
+        df = frame(spark, random_reports(300, vehicles, seed, delays=(1, 2, 3, 50, -1, None)))
+        every = rolling.top_after_each(df, buckets=5).where("changed")
+        only = rolling.top_after_each(df, buckets=5, only_changes=True)
+        assert only.rdd.getNumPartitions() == 5  # a bucket per task
+        assert sorted(map(tuple, only.collect())) == sorted(map(tuple, every.collect()))

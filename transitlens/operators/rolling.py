@@ -44,12 +44,12 @@ LISTS = "t long, s long, rank int, id string, delay double, lastupdate long, cha
 _FIELDS = [f.split()[0] for f in ROWS.split(", ")]
 
 
-def states(reports: DataFrame, buckets: int | None = None) -> DataFrame:
+def states(reports: DataFrame, buckets: int | None = None, scratch: str | None = None) -> DataFrame:
     """``(id, delay, t, s, until_t, until_s)``: every positive delay from the
     report that gave it until the vehicle's next strictly newer one."""
     # of a vehicle's reports of one time the first arrival counts
     first = active(reports).groupBy("id", "lastupdate").agg(F.min(F.struct("seq", "delay")).alias("r"))
-    rows = with_next_place(first.select("id", "lastupdate", F.col("r.seq").alias("seq"), F.col("r.delay").alias("delay")), buckets=buckets)
+    rows = with_next_place(first.select("id", "lastupdate", F.col("r.seq").alias("seq"), F.col("r.delay").alias("delay")), buckets=buckets, scratch=scratch)
     ends = [F.coalesce(c, F.lit(NEVER)).alias(f"until_{c[-1]}") for c in ("next_t", "next_s")]
     return rows.where("delay > 0").select("id", "delay", F.col("lastupdate").alias("t"), F.col("seq").alias("s"), *ends)
 
@@ -110,12 +110,13 @@ def buckets_of_block(block: str, n: int):
     return F.sequence(first, F.least(first + wide - 1, F.lit(n - 1).cast("bigint"))).cast("array<int>")
 
 
-def _walk(k: int):
-    """Lists at the marks of rows sorted by (bucket, stands first, place, kind)."""
+def _walk(k: int, only_changes: bool = False):
+    """Lists at the marks of rows sorted by (bucket, stands first, place, kind);
+    ``only_changes``: only those that differ from the list at the mark before."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bucket, heap, shown = None, [], []
-        started = False
+        started = stale = False
 
         def top(t: int, s: int) -> list[tuple]:
             """The k first states of the heap that have not ended at (t, s)."""
@@ -132,30 +133,38 @@ def _walk(k: int):
             out = []
             for b, id_, delay, t, s, until_t, until_s, kind, emit in zip(*[pdf[c].tolist() for c in ("_b", *_FIELDS)], strict=True):
                 if b != bucket:
-                    bucket, heap, shown, started = b, [], [], False
+                    bucket, heap, shown, started, stale = b, [], [], False, False
                 if kind != STANDS and not started:
                     # what stood before the bucket's first place
                     started, whole = True, list(heap)
                     shown = top(t, s - 1) if whole else []
                     heap = whole
                 if kind != MARK:
-                    heapq.heappush(heap, (-delay, id_, until_t, until_s, t))
+                    x = (-delay, id_, until_t, until_s, t)
+                    heapq.heappush(heap, x)
+                    stale = stale or len(shown) < k or x < shown[-1]
                     continue
-                now = top(t, s)
-                changed = [x[:2] for x in now] != [x[:2] for x in shown]
-                shown = now
-                if emit:
-                    out += [(t, s, i + 1, x[1], -x[0], x[4], changed) for i, x in enumerate(now)]
+                # the list stands until a state comes into it or one of its own ends
+                changed = False
+                if stale or any((x[2], x[3]) <= (t, s) for x in shown):
+                    now, stale = top(t, s), False
+                    changed = [x[:2] for x in now] != [x[:2] for x in shown]
+                    shown = now
+                if emit and (changed or not only_changes):
+                    out += [(t, s, i + 1, x[1], -x[0], x[4], changed) for i, x in enumerate(shown)]
             if out:
                 yield pd.DataFrame(out, columns=[f.split()[0] for f in LISTS.split(", ")])
 
     return run
 
 
-def lists_at(states_: DataFrame, marks: DataFrame, k: int = TOP_N, buckets: int | None = None, scratch: str | None = None) -> DataFrame:
+def lists_at(
+    states_: DataFrame, marks: DataFrame, k: int = TOP_N, buckets: int | None = None, scratch: str | None = None, only_changes: bool = False
+) -> DataFrame:
     """The list at every mark ``(t, s, emit)``: ``(t, s, rank, id, delay,
     lastupdate, changed)``; ``changed`` compares with the mark before.  A mark
-    with an empty list has no rows; one without ``emit`` is only compared with."""
+    with an empty list has no rows; one without ``emit`` is only compared with.
+    ``only_changes``: the lists with ``changed`` only."""
     none = [F.lit(None).cast(t).alias(c) for c, t in (("id", "string"), ("delay", "double"), ("until_t", "long"), ("until_s", "long"))]
     rows = states_.withColumn("kind", F.lit(BEGINS)).withColumn("emit", F.lit(False)).select(_FIELDS)
     rows = rows.unionByName(marks.select("t", "s", *none, F.lit(MARK).alias("kind"), "emit"))
@@ -171,7 +180,8 @@ def lists_at(states_: DataFrame, marks: DataFrame, k: int = TOP_N, buckets: int
         in_bucket = top_k(in_bucket, k, delay_order(), by=["_b"], rank_col="_r").drop("_r")
         d = d.unionByName(carried.where("node = 0").drop("node")).unionByName(in_bucket.drop("node"))
     order = ["_b", F.col("kind") != STANDS, "t", "s", "kind"]
-    return d.repartition("_b").sortWithinPartitions(*order).mapInPandas(_walk(k), LISTS)
+    # a bucket per task
+    return d.repartitionById(max(len(begins), 1), F.col("_b")).sortWithinPartitions(*order).mapInPandas(_walk(k, only_changes), LISTS)
 
 
 def tick_marks(spark: SparkSession, first: int, last: int, tick_ms: int) -> DataFrame:
@@ -181,15 +191,20 @@ def tick_marks(spark: SparkSession, first: int, last: int, tick_ms: int) -> Data
 
 
 def top_after_each(
-    reports: DataFrame, k: int = TOP_N, buckets: int | None = None, context: DataFrame | None = None, scratch: str | None = None
+    reports: DataFrame,
+    k: int = TOP_N,
+    buckets: int | None = None,
+    context: DataFrame | None = None,
+    scratch: str | None = None,
+    only_changes: bool = False,
 ) -> DataFrame:
     """The list after every active report, in the order ``(lastupdate, seq)``:
     ``(seq, rank, id, delay, lastupdate, changed)``, ``lastupdate`` being that of
     the listed vehicle.  ``context``: the newest earlier reports, which shape the
-    lists but get none of their own."""
+    lists but get none of their own.  ``only_changes``: the lists with ``changed`` only."""
     a = active(reports).select("id", "seq", "delay", "lastupdate", "isinactive", F.lit(True).alias("emit"))
     if context is not None:
         a = a.unionByName(active(context).select("id", "seq", "delay", "lastupdate", "isinactive", F.lit(False).alias("emit")))
     marks = a.select(F.col("lastupdate").alias("t"), F.col("seq").alias("s"), "emit")
-    lists = lists_at(states(a, buckets), marks, k, buckets, scratch)
+    lists = lists_at(states(a, buckets, scratch and f"{scratch}/states"), marks, k, buckets, scratch and f"{scratch}/lists", only_changes)
     return lists.select(F.col("s").alias("seq"), "rank", "id", "delay", "lastupdate", "changed")

@@ -129,7 +129,7 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 #: a bucket of a micro-batch holds about so many reports
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 40_000
 
 
 def buckets_for(df: DataFrame) -> int:
@@ -263,8 +263,7 @@ def top_changes_writer(
     up again when another one falls."""
 
     def answer(rows: DataFrame, context: DataFrame | None, buckets: int) -> DataFrame:
-        lists = top_after_each(rows, k, buckets, context, f"{base}/scratch")
-        return lists.where("changed").drop("changed")
+        return top_after_each(rows, k, buckets, context, f"{base}/scratch", only_changes=True).drop("changed")
 
     def remember(rows: DataFrame, context: DataFrame | None) -> DataFrame:
         both = rows if context is None else rows.unionByName(context)

@@ -79,3 +79,10 @@ def test_newest_places_equal_a_scan():
                     seen.add(code[p])
                     want.append(p)
             assert [p for p in got[i] if p >= 0] == want
+
+
+def test_a_bucket_per_task(spark):
+    df = frame(spark, random_reports(200, 6, 4))
+    lists = recent.recent_lists(df, W, buckets=5)
+    assert lists.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, lists.collect())) == sorted(map(tuple, recent.recent_lists(df, W, buckets=1).collect()))

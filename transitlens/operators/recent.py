@@ -187,7 +187,8 @@ def recent_lists(
         "id", "lastupdate", "seq", "delay", F.lit(0).alias("_kind"), F.lit(False).alias("_emit"),
     )
     rows = d.withColumn("_kind", F.lit(1)).unionByName(seeds)
-    rows = rows.repartition("_b").sortWithinPartitions("_b", "_kind", "lastupdate", "seq")
+    # a bucket per task
+    rows = rows.repartitionById(max(len(bounds), 1), F.col("_b")).sortWithinPartitions("_b", "_kind", "lastupdate", "seq")
     return rows.mapInPandas(_scan(window_ms, k), LIST_SCHEMA)
 
 

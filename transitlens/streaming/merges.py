@@ -345,8 +345,11 @@ def last_n_per_vehicle_writer(base: str, n: int = LAST_N, sink: Callable[[DataFr
 
     def write(batch: DataFrame, batch_id: int) -> None:
         state_path = f"{base}/state"
-        batch = active(batch).select("id", "seq", "lastupdate")
-        rows = ordered_buckets(batch, ["id", "lastupdate", "seq"], buckets_for(batch), f"{base}/scratch")
+        batch = active(batch).select("id", "seq", "lastupdate").persist()  # counted and ordered
+        try:
+            rows = ordered_buckets(batch, ["id", "lastupdate", "seq"], buckets_for(batch), f"{base}/scratch")
+        finally:
+            batch.unpersist()
         before = rows_before(rows, n - 1, ["id"], "lastupdate", "seq").withColumn("_own", F.lit(False))
         both = rows.withColumn("_own", F.lit(True)).unionByName(before)
         last = Window.partitionBy("_b", "id").orderBy("lastupdate", "seq").rowsBetween(1 - n, 0)

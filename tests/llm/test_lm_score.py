@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from transitlens.llm import lm_score, lm_tail
+from transitlens.llm import lm_score, lm_tail, lm_tree
 from transitlens.llm.common import id_remainder, written
 
 from .conftest import odd_rows
@@ -226,3 +226,20 @@ def test_nothing_to_learn_from(docs_of):
 
 def test_empty_table(docs_of):
     assert lm_score.score(docs_of([]), id_remainder(7) == 2).count() == 0
+
+
+def test_find_by_table_and_by_search():
+    wanted = np.array([5, -1, 0, 7, 10**12, 6, 3, -9], np.int64)
+    for keys in ([0, 5, 6], [3, 7, 10**12], [5], []):
+        keys = np.array(keys, np.int64)
+        want = [{int(k): i for i, k in enumerate(keys)}.get(int(w), -1) for w in wanted]
+        assert lm_tree.find(keys, wanted).tolist() == want
+        assert lm_tree.find(keys, np.tile(wanted, 50)).tolist() == want * 50
+    assert lm_tree.encoded({b"a": 0, b"": 1}, [b"a", b"x", b""]).tolist() == [0, -1, 1]
+
+
+def test_word_counts_of_both_sides(docs_of):
+    train, out = (next(i for i in range(99) if held(i) == side) for side in (False, True))
+    docs = docs_of([(train, "a b a"), (out, "a c c"), (train, "b")]).selectExpr("text", f"doc_id = {out} AS held_out")
+    got = {bytes(r["word"]): (r["c"], r["n"]) for r in lm_score.count_words(docs).collect()}
+    assert got == {b"a": (2, 3), b"b": (2, 2), b"c": (0, 2), b"": (2, 3)}

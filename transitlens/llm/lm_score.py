@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from .common import id_remainder, slices, table, written
 from .lm_tail import MIN_COUNT, gains
-from .lm_tree import END, Tree, context_keys, find, words
+from .lm_tree import END, Tree, context_keys, encoded, find, words
 
 FREQUENT_SHARE = 2.0**-20
 SYMBOL_SHARE = 2.0**-16
@@ -67,15 +67,13 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             train, other = held[False], held[True]
-            names = list(train.keys() | other.keys())
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names, pa.binary()),
-                    pa.array([train.get(w, 0) for w in names], pa.int64()),
-                    pa.array([train.get(w, 0) + other.get(w, 0) for w in names], pa.int64()),
-                ],
-                names=["word", "c", "n"],
-            )
+            # the training words first, then those of other texts only
+            c, n = list(train.values()), train
+            for w, k in other.items():
+                n[w] = n.get(w, 0) + k
+            c += [0] * (len(n) - len(c))
+            columns = [pa.array(list(n), pa.binary()), pa.array(c, pa.int64()), pa.array(list(n.values()), pa.int64())]
+            out = pa.RecordBatch.from_arrays(columns, names=["word", "c", "n"])
             train.clear()
             other.clear()
             return out
@@ -99,7 +97,6 @@ def count_pairs(docs: DataFrame, tree: Tree, depth: int, keys: np.ndarray) -> Da
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, contexts = shipped.value
-        get = ids.get
         held, n_held = [], 0
 
         def flush() -> pa.RecordBatch:
@@ -110,7 +107,7 @@ def count_pairs(docs: DataFrame, tree: Tree, depth: int, keys: np.ndarray) -> Da
         for b in slices(batches):
             # ends stand between texts, and no context holds one
             tokens = [w for text in b.column("text").to_pylist() for w in words(text)]
-            seen = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
+            seen = encoded(ids, tokens)
             at = find(contexts, context_keys(seen, depth, n_symbols))
             ok = (at >= 0) & (seen >= 0) & (seen < n_symbols)
             held.append(at[ok] * n_symbols + seen[ok])
@@ -266,10 +263,9 @@ def score_rows(docs: DataFrame, tree: Tree) -> DataFrame:
             n_tokens = np.diff([*starts, len(tokens)])
             known = np.where(ids >= 0, counted[np.maximum(ids, 0)], False) if len(counted) else np.zeros(len(ids), bool)
             base_sum, model_sum = (np.add.reduceat(x, starts) for x in score_ids(tree, ids, base))
-            others: list[Counter] = [Counter() for _ in starts]
             places = np.flatnonzero(ids < 0)
-            for i, row in zip(places.tolist(), (np.searchsorted(starts, places, side="right") - 1).tolist(), strict=True):
-                others[row][tokens[i]] += 1
+            rare, cuts = [tokens[i] for i in places.tolist()], np.searchsorted(places, [*starts, len(tokens)]).tolist()
+            others = [Counter(rare[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("who"), b.column("doc_id"), b.column("held_out"), pa.array(n_tokens, pa.int64()),

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
-from .lm_tree import Tree, context_keys, find, words
+from .lm_tree import Tree, context_keys, encoded, find, words
 
 MIN_COUNT = 2
 #: places a segment holds, about
@@ -45,7 +45,7 @@ RARE_WORD = np.uint64(1 << 63)
 def packed(values: np.ndarray) -> bytes:
     """The first bytes of all values, then the second ones, compressed: most
     values are small."""
-    return zstandard.compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes(), 1)
 
 
 def unpacked(parts: list[bytes], kind) -> list[np.ndarray]:
@@ -65,8 +65,8 @@ def segment_of(place: np.ndarray, word: np.ndarray, n_segments: int) -> np.ndarr
 def word_codes(ids: np.ndarray, tokens: list[bytes]) -> np.ndarray:
     """The id of a frequent word, else a marked 63-bit hash."""
     codes = ids.astype(np.uint64)
-    for i in np.flatnonzero(ids < 0).tolist():
-        codes[i] = np.uint64(xxhash.xxh3_64_intdigest(tokens[i])) | RARE_WORD
+    rare = np.flatnonzero(ids < 0)
+    codes[rare] = np.fromiter(map(xxhash.xxh3_64_intdigest, [tokens[i] for i in rare.tolist()]), np.uint64, len(rare)) | RARE_WORD
     return codes
 
 
@@ -104,7 +104,7 @@ def dealt(docs: DataFrame, tree: Tree, n_segments: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = Tree(**shipped.value)
-        get, rare = tree.ids.get, len(tree.ids)
+        rare = len(tree.ids)
         held: list[tuple] = []
         who, held_out = [], []
 
@@ -138,7 +138,7 @@ def dealt(docs: DataFrame, tree: Tree, n_segments: int) -> DataFrame:
             for text in b.column("text").to_pylist():
                 tokens += words(text)
                 stops.append(len(tokens))
-            ids = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
+            ids = encoded(tree.ids, tokens)
             ends = np.zeros(len(tokens), bool)
             ends[np.array(stops) - 1] = True
             index, under, word = tail_places(tree, ids, word_codes(ids, tokens), ends)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 
 END = b""  # no word is empty
+#: keys below this are looked up by a table of places
+DENSE = 1 << 17
 
 
 def words(text: str | None) -> list[bytes]:
@@ -38,16 +41,30 @@ class Tree:
         return np.log10((self.counts + 1.0) / (self.total + self.vocabulary + 1.0))
 
     def encode(self, tokens: list[bytes]) -> np.ndarray:
-        get = self.ids.get
-        return np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
+        return encoded(self.ids, tokens)
+
+
+def encoded(ids: dict[bytes, int], tokens: list[bytes]) -> np.ndarray:
+    """The tokens' ids, -1 for a word without one."""
+    return np.fromiter(map(ids.get, tokens, repeat(-1)), np.int64, len(tokens))
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted key in the sorted keys, -1 where it is absent."""
+    """Place of each wanted key (negative: none) in the sorted keys, -1 where
+    it is absent."""
+    out = np.full(len(wanted), -1, np.int64)
     if not len(keys) or not len(wanted):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+        return out
+    some = np.flatnonzero((wanted >= keys[0]) & (wanted <= keys[-1]))
+    sought = wanted[some]
+    if 0 <= keys[0] and keys[-1] < min(DENSE, 8 * len(wanted)):
+        place = np.full(int(keys[-1]) + 1, -1, np.int64)
+        place[keys] = np.arange(len(keys))
+        out[some] = place[sought]
+    else:
+        at = np.searchsorted(keys, sought)
+        out[some] = np.where(keys[at] == sought, at, -1)
+    return out
 
 
 def context_keys(ids: np.ndarray, depth: int, n_symbols: int) -> np.ndarray:

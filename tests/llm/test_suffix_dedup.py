@@ -2,6 +2,7 @@ import hashlib
 import random
 
 from transitlens.llm import suffix_dedup as S
+from transitlens.llm.common import BITMAP_BITS, RANGE, HashParts
 
 from .conftest import odd_rows
 
@@ -65,3 +66,18 @@ def test_very_long_text_and_empty_table(docs_of, words):
     got = {r["doc_id"]: r for r in S.remove_repeats(docs_of(rows)).collect()}
     assert got[1]["n_removed"] >= 0 and got[2]["n_removed"] >= 199000 and got[2]["n_spans"] >= 1
     assert S.remove_repeats(docs_of([])).count() == 0
+
+
+def test_a_range_of_hashes_stays_small_at_any_size():
+    for n in (0, 10**6, 6 * 10**7, 4 * 10**9):
+        how = HashParts(n, 2.0**-12)
+        assert n / how.segments <= RANGE and how.segments * how.bits == BITMAP_BITS and how.bits >= 8
+
+
+def test_batches_are_small_inside_and_the_setting_is_kept(spark, docs_of, monkeypatch):
+    name, seen, inner = "spark.sql.execution.arrow.maxRecordsPerBatch", [], S.without_repeats
+    before = spark.conf.get(name)
+    monkeypatch.setattr(S, "without_repeats", lambda *a: seen.append(int(spark.conf.get(name))) or inner(*a))
+    got = S.remove_repeats(docs_of([(1, "a" * 60), (2, "b" + "a" * 55)]))
+    assert seen == [min(1000, int(before))] and spark.conf.get(name) == before
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got.collect()) == [(1, 60, 0, 0), (2, 56, 55, 1)]

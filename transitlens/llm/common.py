@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs run inside hand at most ``rows`` rows at a time to Python and back:
+    an executor holds a batch several times over (Arrow vectors, the buffer
+    sent, the batch received).  Afterwards the session's setting is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -85,14 +100,18 @@ def test_bits(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (bitmap[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 > 0
 
 
+#: hashes of one range, about: some 60 bytes each while a range is added up
+RANGE = 500_000
+
+
 class HashParts:
     """Counting of 32-bit hashes in ranges of the hash: tasks deal their hashes
     to the ranges (equal ones added up before the shuffle), a range adds up its
-    parts.  ``n_entries``: about how many hashes there are; a range holds some
-    32 million of them."""
+    parts.  ``n_entries``: about how many hashes there are; a range holds about
+    RANGE of them."""
 
     def __init__(self, n_entries: int, common_share: float):
-        segments = max(64, min(1 << 22, n_entries // 32_000_000 + 1))
+        segments = max(64, min(1 << 22, n_entries // RANGE + 1))
         self.segments = 1 << (segments - 1).bit_length()
         self.shift, self.bits = 32 - (self.segments.bit_length() - 1), BITMAP_BITS // self.segments
         self.common = max(8, int(n_entries * common_share))

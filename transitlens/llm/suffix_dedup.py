@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BITMAP_BITS, bitmap_place, hash_sums, packed_bitmap, slices, table, test_bits, text_or_empty, written
+from .common import BITMAP_BITS, bitmap_place, hash_sums, packed_bitmap, slices, small_batches, table, test_bits, text_or_empty, written
 
 THRESHOLD = 50
 SAMPLED = 24
@@ -253,6 +253,11 @@ def repeated_spans(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document."""
+    with small_batches(docs.sparkSession):
+        return written(without_repeats(docs, threshold), "deduplicated")
+
+
+def without_repeats(docs: DataFrame, threshold: int) -> DataFrame:
     texts = named_texts(docs)
     spans = repeated_spans(texts, threshold)
     # a document has at most as many spans as bytes

@@ -1,6 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
+import pytest
+
 from transitlens.llm import suffix_dedup as S
 from transitlens.llm.common import BITMAP_BITS, RANGE, HashParts
 
@@ -81,3 +85,30 @@ def test_batches_are_small_inside_and_the_setting_is_kept(spark, docs_of, monkey
     got = S.remove_repeats(docs_of([(1, "a" * 60), (2, "b" + "a" * 55)]))
     assert seen == [min(1000, int(before))] and spark.conf.get(name) == before
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got.collect()) == [(1, 60, 0, 0), (2, 56, 55, 1)]
+
+
+def test_hashes_of_sampled_ranks_are_even(words):
+    """A sampled rank is the least of many; its bit in the bitmap must not crowd with the others."""
+    upper = S.hash_of(S.Runs([" ".join(words(40000)).encode()]).anchor)
+    distinct = np.unique(upper)
+    assert len(distinct) > 5000 and np.bincount(distinct >> np.uint32(28), minlength=16).max() < len(distinct) / 8
+
+
+@pytest.mark.parametrize("threshold", [50, 90])
+def test_common_line_with_many_surroundings(docs_of, words, threshold):
+    """A frequent string in very many classes: same rows, and no join of rows with their groups."""
+    r, line = random.Random(5), " ".join(words(40))
+    rows = [(i, " ".join(words(8)) + r.choice(["", line[r.randrange(30) :], line[: r.randrange(60, 200)], line + line]) + " ".join(words(9))) for i in range(150)]
+    rows += [(i, rows[7][1][: 40 + i] + "x" + rows[7][1][40 + i :]) for i in range(150, 170)]
+    spans = S.repeated_spans(S.named_texts(docs_of(rows)), threshold)
+    assert "Join" not in spans._jdf.queryExecution().optimizedPlan().toString()
+    got = S.remove_repeats(docs_of(rows), threshold).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == brute(rows, threshold)
+
+
+def test_rows_are_cut_between_keys_only():
+    keys = [1, 1, 2, 3, 3, 3, 3, 3, 3, 4, 5, 5]
+    batches = [pa.RecordBatch.from_pydict({"key": keys[i : i + 2], "n": list(range(i, i + 2))}) for i in range(0, 12, 2)]
+    tables = [t.to_pydict() for t in S.whole_keys(iter([batches[0].slice(0, 0), *batches]))]
+    assert [n for t in tables for n in t["n"]] == list(range(12)) and len(tables) > 2
+    assert all(a["key"][-1] != b["key"][0] for a, b in zip(tables, tables[1:], strict=False))

@@ -17,13 +17,17 @@ part:
    the same 50-byte ranks form a class.  In every document but the class's
    first one, all strings of the run are repeats.
 3. length 50, position by position, only where the sampled string has several
-   classes, and only for the first document of each class.
-
-What is broadcast has a fixed size: bitmaps of the ranks that occur more than
-once, of the classes of step 3 and of the documents with repeats (collisions
-cost work, never a wrong result), and at most ``1 / FREQUENT_SHARE`` frequent
-ranks.  The rows of a frequent sampled string are salted: grouped in parts
-first, and the parts' results once more.
+   classes, and only for the first document of each class.  The bytes of such a
+   run go under its sampled rank, where strings are told apart and neighbours
+   found again leave as one span.
+
+What is broadcast has a bounded size: bitmaps of the sampled ranks that occur
+more than once, of the classes of step 3 (16 bits each, at most 2^30) and of the
+documents with repeats (collisions cost work, never a wrong result), and at most
+``1 / FREQUENT_SHARE`` frequent ranks.  A sampled rank is the least of many, so it
+is mixed once more before its upper bits choose a bit.  The rows of a frequent
+sampled string are dealt to parts by document, in step 3 string by string; only
+the first documents of each part, at most SALTS, come together once more.
 
 Edge cases: null text counts as empty; texts shorter than the threshold keep
 all; a null ``doc_id`` comes after all others and counts as equal to the
@@ -38,11 +42,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BITMAP_BITS, bitmap_place, hash_sums, packed_bitmap, slices, small_batches, table, test_bits, text_or_empty, written
+from .common import bitmap_place, hash_sums, packed_bitmap, slices, small_batches, table, test_bits, text_or_empty, written
 
 THRESHOLD = 50
 SAMPLED = 24
@@ -54,6 +59,8 @@ LAST_ID = (1 << 63) - 1
 CHUNK = 1 << 17
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 PLACE_BITS = np.uint64(30)
+#: a run's row holds its first place, its size (below the threshold) and whether it is salted as one number
+FIRST_AT = 20
 BYTE_RANKS = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -136,8 +143,18 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[
         yield ids, texts
 
 
-def class_place(anchor: np.ndarray, run: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    return pair_rank(pair_rank(anchor, run), doc.view(np.uint64)) >> np.uint64(64 - BITMAP_BITS.bit_length() + 1)
+def class_bits(n_classes: int) -> int:
+    """Size of the bitmap of the open classes: sixteen bits each, within bounds."""
+    return 1 << min(30, max(27, (16 * n_classes).bit_length()))
+
+
+def class_place(run: np.ndarray, doc: np.ndarray, bits: int) -> np.ndarray:
+    return pair_rank(run, doc.view(np.uint64)) >> np.uint64(64 - bits.bit_length() + 1)
+
+
+def hash_of(anchor: np.ndarray) -> np.ndarray:
+    """32 even bits of sampled ranks, which as least ranks of some crowd at the low end."""
+    return (pair_rank(anchor, np.uint64(0)) >> np.uint64(32)).astype(np.uint32)
 
 
 def named_texts(docs: DataFrame) -> DataFrame:
@@ -155,100 +172,191 @@ def names_of(raw: list[bytes], named: bool) -> np.ndarray:
     return np.array([text_name(t) for t in raw], np.int64) if named else np.zeros(len(raw), np.int64)
 
 
-def sampled_runs(texts: DataFrame, sums: tuple[bytes, bytes, bytes], threshold: int, named: bool) -> DataFrame:
-    """One row per run whose sampled rank occurs more than once: anchor, run
-    (ranks), salt (0 unless the anchor is frequent), id, name, first, size."""
-    shipped = texts.sparkSession.sparkContext.broadcast(sums)
+def salted(key: np.ndarray, doc: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The keys, those of frequent sampled ranks dealt to parts by document."""
+    return np.where(often, pair_rank(key, (1 + doc % SALTS).astype(np.uint64)), key).view(np.int64)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, often = np.frombuffer(shipped.value[0], np.uint8), np.frombuffer(shipped.value[1], np.uint32)
-        for ids, raw in chunks(batches):
-            runs = Runs(raw, threshold)
-            upper = (runs.anchor >> np.uint64(32)).astype(np.uint32)
-            ok = test_bits(bitmap, bitmap_place(upper))
-            owner = runs.owner[ok]
-            doc = np.array(ids, np.int64)[owner]
-            salt = np.where(np.isin(upper[ok], often), 1 + doc % SALTS, 0).astype(np.int32)
-            columns = [runs.anchor[ok].view(np.int64), runs.run[ok].view(np.int64), salt, doc, names_of(raw, named)[owner],
-                       (runs.first[ok] - runs.begins[owner]).astype(np.int32), runs.size[ok].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "run", "salt", "id", "name", "first", "size"])
 
-    return texts.mapInArrow(emit, "anchor long, run long, salt int, id long, name long, first int, size int")
+def columns_of(named: bool, **kinds: str) -> dict[str, str]:
+    """Columns and their types; a name only where ids repeat."""
+    return kinds | ({"name": "long"} if named else {})
 
 
-class OpenStrings:
-    """The strings of a chunk that are ranked one by one."""
+def schema_of(columns: dict[str, str]) -> str:
+    return ", ".join(f"{c} {kind}" for c, kind in columns.items())
 
-    def __init__(self, ids: list[int], raw: list[bytes], classes: np.ndarray, threshold: int):
-        runs = Runs(raw, threshold)
-        doc = np.array(ids, np.int64)
-        hit = np.flatnonzero(test_bits(classes, class_place(runs.anchor, runs.run, doc[runs.owner]))) if len(runs.owner) else np.zeros(0, np.int64)
-        size = runs.size[hit]
-        i = np.repeat(runs.cut[hit], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) if len(hit) else hit
-        self.owner = np.repeat(runs.owner[hit], size) if len(hit) else hit
-        self.rank = runs.rank[i] if len(hit) else np.zeros(0, np.uint64)
-        self.start = (runs.starts[i] - runs.begins[self.owner]).astype(np.int32) if len(hit) else hit.astype(np.int32)
-        self.id = doc[self.owner]
 
+def sampled_runs(texts: DataFrame, sums: Broadcast, threshold: int, named: bool) -> DataFrame:
+    """One row per run whose sampled rank occurs more than once: key (sampled
+    rank, salted if frequent), run (rank), id, place (first, size, salted), name."""
+    columns = columns_of(named, key="long", run="long", id="long", place="long")
 
-def repeated_strings(texts: DataFrame, classes: bytes, n_classes: int, threshold: int, named: bool) -> DataFrame:
-    """rank, id, name, start of the open strings whose rank occurs twice."""
-    shipped = texts.sparkSession.sparkContext.broadcast(classes)
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, often = np.frombuffer(sums.value[0], np.uint8), np.frombuffer(sums.value[1], np.uint32)
+        for ids, raw in chunks(batches):
+            runs = Runs(raw, threshold)
+            upper = hash_of(runs.anchor)
+            ok = test_bits(bitmap, bitmap_place(upper))
+            owner, hot = runs.owner[ok], np.isin(upper[ok], often)
+            doc = np.array(ids, np.int64)[owner]
+            place = (runs.first[ok] - runs.begins[owner]) << FIRST_AT | runs.size[ok] << 1 | hot
+            made = [salted(runs.anchor[ok], doc, hot), runs.run[ok].view(np.int64), doc, place, names_of(raw, named)[owner]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in made[: len(columns)]], names=list(columns))
 
-    def ranks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for ids, raw in chunks(iter([batch])):
-            yield (OpenStrings(ids, raw, np.frombuffer(shipped.value, np.uint8), threshold).rank >> np.uint64(32)).astype(np.uint32)
+    return texts.mapInArrow(emit, schema_of(columns))
 
-    sums = texts.sparkSession.sparkContext.broadcast(hash_sums(texts, ranks, 16 * n_classes, 1.0)[0])
+
+def open_runs(texts: DataFrame, sums: Broadcast, classes: Broadcast, threshold: int, named: bool) -> DataFrame:
+    """The runs of open classes in the first document of each, with their bytes
+    under the sampled rank; of a frequent one string by string, with the
+    string's rank, under that rank salted."""
+    columns = columns_of(named, key="long", id="long", place="long", what="binary")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, repeated = np.frombuffer(shipped.value, np.uint8), np.frombuffer(sums.value, np.uint8)
+        bitmap, often = np.frombuffer(sums.value[0], np.uint8), np.frombuffer(sums.value[1], np.uint32)
+        bits = np.frombuffer(classes.value, np.uint8)
         for ids, raw in chunks(batches):
-            found = OpenStrings(ids, raw, classes, threshold)
-            ok = test_bits(repeated, bitmap_place((found.rank >> np.uint64(32)).astype(np.uint32)))
-            columns = [found.rank[ok].view(np.int64), found.id[ok], names_of(raw, named)[found.owner[ok]], found.start[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rank", "id", "name", "start"])
-
-    return texts.mapInArrow(emit, "rank long, id long, name long, start int")
+            runs, doc = Runs(raw, threshold), np.array(ids, np.int64)
+            upper = hash_of(runs.anchor)
+            some = np.flatnonzero(test_bits(bitmap, bitmap_place(upper)))
+            some = some[test_bits(bits, class_place(runs.run[some], doc[runs.owner[some]], 8 * len(bits)))]
+            hot = np.isin(upper[some], often)
+            plain, some = some[~hot], some[hot]
+            row, i = spread(runs.size[some])
+            owner = np.concatenate([runs.owner[plain], runs.owner[some][row]])
+            first = np.concatenate([runs.first[plain], runs.first[some][row] + i])
+            size = np.concatenate([runs.size[plain], np.ones(len(row), np.int64)])
+            rank = runs.rank[runs.cut[some][row] + i] if len(row) else np.zeros(0, np.uint64)
+            joined = b"".join(raw)
+            what = [joined[f : f + n + threshold - 1] for f, n in zip(runs.first[plain].tolist(), runs.size[plain].tolist(), strict=True)]
+            what += [r.tobytes() for r in rank]
+            hot = np.arange(len(owner)) >= len(plain)
+            key = np.concatenate([runs.anchor[plain], rank])
+            place = (first - runs.begins[owner]) << FIRST_AT | size << 1 | hot
+            made = [salted(key, doc[owner], hot), doc[owner], place, what, names_of(raw, named)[owner]]
+            kinds = [None, None, None, pa.binary(), None]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, kinds, strict=True)][: len(columns)], names=list(columns))
+
+    return texts.mapInArrow(emit, schema_of(columns))
+
+
+def spread(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number within the row) of ``size`` entries per row."""
+    row = np.repeat(np.arange(len(size)), size)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+
+
+def string_ranks(joined: np.ndarray, threshold: int) -> np.ndarray:
+    """Rank of the string at every position of the joined bytes."""
+    rank, h = BYTE_RANKS[joined], 1
+    while 2 * h <= threshold:
+        rank = pair_rank(rank[:-h], rank[h:])
+        h *= 2
+    return pair_rank(rank[: len(rank) - (threshold - h)], rank[threshold - h :]) if h < threshold else rank
+
+
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in the order of key, cut between keys only."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column("key").to_numpy()
+        if held and held[-1].column("key")[-1].as_py() != key[-1]:
+            cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
+            yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            held, b = [], b.slice(cut)
+        held.append(b)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def repeated_in_keys(rows: DataFrame, threshold: int, named: bool) -> DataFrame:
+    """id, start, end, rank, name: strings (neighbours as one) that begin under
+    the same key in a row of a smaller id, rank null; and, with their rank, the
+    strings of a salted key that do not."""
+    columns = columns_of(named, id="long", start="int", end="int", rank="long")
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_keys(batches):
+            key, doc, place = (t.column(c).to_numpy() for c in ("key", "id", "place"))
+            first, size, hot = place >> FIRST_AT, (place & (1 << FIRST_AT) - 1) >> 1, (place & 1) > 0
+            what = t.column("what").to_pylist()
+            row, i = spread(size)
+            rank = np.zeros(len(row), np.uint64)
+            if hot.any():
+                rank[hot[row]] = np.frombuffer(b"".join(w for w, one in zip(what, hot.tolist(), strict=True) if one), np.uint64)
+            if not hot.all():
+                joined = np.frombuffer(b"".join(w for w, one in zip(what, hot.tolist(), strict=True) if not one), np.uint8)
+                long = np.where(hot, 0, size + threshold - 1)
+                rank[~hot[row]] = string_ranks(joined, threshold)[((np.cumsum(long) - long)[row] + i)[~hot[row]]]
+            group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))[row]
+            order = np.lexsort((rank, group))  # stable: rows stay in the order of id
+            fresh = np.concatenate([[True], (rank[order][1:] != rank[order][:-1]) | (group[order][1:] != group[order][:-1])])
+            least = np.empty(len(row), np.int64)
+            least[order] = doc[row[order[np.flatnonzero(fresh)]]][np.cumsum(fresh) - 1]
+            again = doc[row] > least
+            at = np.flatnonzero(again)
+            cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])])) if len(at) else at
+            last = at[np.concatenate([cut[1:] - 1, [len(at) - 1]])] if len(at) else at
+            at, undecided = at[cut], np.flatnonzero(hot[row] & ~again)
+            of = np.concatenate([row[at], row[undecided]])
+            start = np.concatenate([(first[row] + i)[at], first[row][undecided]])
+            end = np.concatenate([(first[row] + i)[last], first[row][undecided]]) + threshold
+            ranks = pa.array(np.concatenate([rank[at], rank[undecided]]).view(np.int64), mask=np.arange(len(of)) < len(at))
+            made = [pa.array(doc[of]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), ranks, *([pa.array(t.column("name").to_numpy()[of])] if named else [])]
+            yield pa.RecordBatch.from_arrays(made, names=list(columns))
+
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(told, schema_of(columns))
+
+
+def with_origin(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.withColumn("origin", F.min("id").over(Window.partitionBy(*by)))
 
 
 def repeated_spans(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """id, name, start, end of the strings (by runs) that also begin in a
     document of a smaller id."""
+    sc = texts.sparkSession.sparkContext
     named = not texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, raw in chunks(iter([batch])):
-            yield (Runs(raw, threshold, whole=False).anchor >> np.uint64(32)).astype(np.uint32)
-
-    runs = sampled_runs(texts, hash_sums(texts, anchors, n_bytes // 14, FREQUENT_SHARE), threshold, named)
-    part, group = Window.partitionBy("anchor", "salt"), Window.partitionBy("anchor", "salt", "run")
-    runs = runs.withColumn("origin", F.min("id").over(group)).withColumn("several", F.min("run").over(part) < F.max("run").over(part))
-    # the ranks are only needed where a class is open or was grouped in parts
-    told = (F.col("salt") > 0) | (F.col("several") & (F.col("id") == F.col("origin")))
-    ranks = [F.when(told, F.col(c)).alias(c) for c in ("anchor", "run")]
-    runs = written(runs.filter(told | (F.col("id") > F.col("origin"))).select("id", "name", "first", "size", "origin", "salt", "several", *ranks), "runs")
-    plain, salted = runs.filter("salt = 0"), runs.filter("salt > 0")
-    classes = salted.groupBy("anchor", "run").agg(F.min("origin").alias("origin"))
-    several = classes.groupBy("anchor").agg((F.min("run") < F.max("run")).alias("several")).filter("several").select("anchor")
-    open_classes = plain.filter("several and id = origin").select("anchor", "run", "origin").distinct()
-    open_classes = written(open_classes.unionByName(classes.join(several, "anchor", "left_semi").select("anchor", "run", "origin")), "open")
-    covered = plain.filter("id > origin").select("id", "name", "first", "size")
-    covered = covered.unionByName(salted.drop("origin").join(classes, ["anchor", "run"]).filter("id > origin").select("id", "name", "first", "size"))
-    covered = covered.select("id", "name", F.col("first").alias("start"), (F.col("first") + F.col("size") + (threshold - 1)).alias("end"))
+            yield hash_of(Runs(raw, threshold, whole=False).anchor)
+
+    sums = sc.broadcast(hash_sums(texts, anchors, n_bytes // 14, FREQUENT_SHARE)[:2])
+    runs = with_origin(sampled_runs(texts, sums, threshold, named), "key", "run")
+    part = Window.partitionBy("key")
+    runs = runs.withColumn("several", F.min("run").over(part) < F.max("run").over(part))
+    # the ranks of runs are only needed where a class is open or was grouped in parts
+    undecided = (F.col("id") == F.col("origin")) & (F.col("several") | (F.col("place") % 2 == 1))
+    runs = runs.select("id", "place", F.when(undecided, F.col("run")).alias("run"), name_in(named), (F.col("id") > F.col("origin")).alias("covered"))
+    runs = written(runs.filter("covered or run is not null"), "runs")
+    # at most SALTS documents of a class are left of its parts; a class of a frequent string counts as one of several
+    salted_runs = with_origin(runs.filter("not covered and place % 2 = 1"), "run")
+    salted_runs = written(salted_runs.select("id", "place", "run", "name", (F.col("id") > F.col("origin")).alias("covered")), "salted")
+    decided = runs.filter("covered or place % 2 = 0").unionByName(salted_runs)
+    first, size = F.shiftright("place", FIRST_AT), F.shiftright("place", 1) % (1 << FIRST_AT - 1)
+    covered = decided.filter("covered").select("id", "name", first.cast("int").alias("start"), (first + size + (threshold - 1)).cast("int").alias("end"))
+    open_classes = decided.filter("not covered").select("run", "id")
+    bits = class_bits(open_classes.count())
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            anchor, run, origin = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("anchor", "run", "origin"))
-            place = class_place(anchor.view(np.uint64), run.view(np.uint64), origin).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(place)], names=["place"])
-
-    bits = packed_bitmap(open_classes.mapInArrow(places, "place long"), F.col("place"), BITMAP_BITS)
-    strings = written(repeated_strings(texts, bits, open_classes.count(), threshold, named), "strings")
-    origin = strings.groupBy("rank").agg(F.min("id").alias("origin"), F.max("id").alias("last")).filter("origin < last")
-    single = strings.join(origin, "rank").filter(F.col("id") > F.col("origin"))
-    return covered.unionByName(single.select("id", "name", "start", (F.col("start") + threshold).alias("end")))
+            run, doc = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("run", "id"))
+            yield pa.RecordBatch.from_arrays([pa.array(class_place(run.view(np.uint64), doc, bits).astype(np.int64))], names=["place"])
+
+    classes = sc.broadcast(packed_bitmap(open_classes.mapInArrow(places, "place long"), F.col("place"), bits))
+    strings = repeated_in_keys(open_runs(texts, sums, classes, threshold, named), threshold, named)
+    strings = written(strings.select("id", "start", "end", "rank", name_in(named)), "strings")
+    spans = ["id", "name", "start", "end"]
+    again = with_origin(strings.filter("rank is not null"), "rank").filter(F.col("id") > F.col("origin"))
+    return covered.select(*spans).unionByName(strings.filter("rank is null").select(*spans)).unionByName(again.select(*spans))
+
+
+def name_in(named: bool) -> Column:
+    return F.col("name") if named else F.lit(0).cast("long").alias("name")
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
